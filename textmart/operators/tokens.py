@@ -58,6 +58,8 @@ def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str =
     and last n-1 tokens of each document, joined on running positions.
     """
     g = list(groups)
+    if n == 1:
+        return docs.select(*g, F.explode(tokens).alias(gram))
     inner = docs.select(*g, F.explode(_array_ngrams(F.col(tokens), n)).alias(gram))
     if not across_documents or n < 2:
         return inner

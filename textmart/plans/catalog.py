@@ -118,3 +118,145 @@ def vocabulary_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     toks = doc_tokens(spark, sf_dir, "source").select("source", F.explode("tokens").alias("word"))
     v = freq.vocabulary_stats(toks, by=["source"])
     return v.select("source", "tokens", "unique_terms", F.round("ttr", 6).alias("ttr"))
+
+
+# ---------------------------------------------------------------------------
+# 2. TF-IDF, similarity, collocations, dispersion
+# ---------------------------------------------------------------------------
+
+from textmart.operators import colloc, tfidf  # noqa: E402
+from textmart.operators.tokens import ngram_table, positions  # noqa: E402
+
+SQL_DOC_TOKENS = f"SELECT doc_id, source, {SQL_TOKENS} AS toks FROM documents"
+SQL_CORPUS_TFIDF = f"""
+  d AS ({SQL_DOC_TOKENS}),
+  nd AS (SELECT count(*) AS n FROM documents),
+  t AS (SELECT doc_id, len(toks) AS l, unnest(toks) AS word FROM d),
+  c AS (SELECT doc_id, l, word, count(*) AS c FROM t GROUP BY ALL),
+  a AS (SELECT word, count(*) AS df, sum(c / l) AS tf FROM c GROUP BY word),
+  sc AS (SELECT word, df, ln(nd.n / df) + 1 AS idf, (ln(nd.n / df) + 1) * tf AS score FROM a, nd)"""
+
+
+def corpus_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_tokens(spark, sf_dir, "doc_id")
+    return tfidf.corpus_tfidf(docs).withColumn("score_r", F.round("score", 6))
+
+
+@register("corpus_tfidf_top25", f"""
+WITH {SQL_CORPUS_TFIDF}
+SELECT word, df, round(idf, 6) AS idf, round(score, 6) AS score FROM sc ORDER BY round(score, 6) DESC, word LIMIT 25
+""")
+def corpus_tfidf_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = corpus_scores(spark, sf_dir)
+    top = s.orderBy(F.col("score_r").desc(), F.col("word")).limit(25)
+    return top.select("word", "df", F.round("idf", 6).alias("idf"), F.col("score_r").alias("score"))
+
+
+SRC_LETTERS = LETTERS + "'"
+SQL_SRC_TOKENS = (f"list_filter(regexp_extract_all(lower(coalesce(text, '')), '[{SRC_LETTERS.replace(chr(39), chr(39) * 2)}]+'), "
+                  f"lambda w: w NOT IN {STOP_SQL})")
+SQL_SOURCE_TFIDF = f"""
+  d AS (SELECT source, doc_id, {SQL_SRC_TOKENS} AS toks FROM documents),
+  t AS (SELECT source, doc_id, unnest(toks) AS w, generate_subscripts(toks, 1) AS p FROM d),
+  s AS (SELECT source, w, lead(w) OVER (PARTITION BY source ORDER BY doc_id, p) AS w2 FROM t),
+  g AS (SELECT source, w AS term FROM s UNION ALL SELECT source, w || ' ' || w2 FROM s WHERE w2 IS NOT NULL),
+  tf AS (SELECT source, term, count(*) AS tf FROM g GROUP BY ALL),
+  nu AS (SELECT count(DISTINCT source) AS n FROM documents),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+  w AS (SELECT tf.source, tf.term, tf.tf, tf.tf * (ln((nu.n + 1) / (df.df + 1)) + 1) AS w FROM tf JOIN df USING (term), nu),
+  nw AS (SELECT source, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY source)) AS tfidf FROM w)"""
+
+
+def source_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "source", "doc_id", T.drop_stop_words(T.word_runs("text", SRC_LETTERS), STOP, min_len=1).alias("tokens"))
+    return tfidf.grouped_tfidf(docs, group="source", order="doc_id", ngram_range=(1, 2))
+
+
+@register("source_tfidf_keywords", f"""
+WITH {SQL_SOURCE_TFIDF}
+SELECT source, term, round(tfidf, 6) AS tfidf, rank FROM (
+  SELECT source, term, tfidf, row_number() OVER (PARTITION BY source ORDER BY round(tfidf, 9) DESC, term) AS rank FROM nw)
+WHERE rank <= 20 AND tfidf > 0
+""")
+def source_tfidf_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = source_vectors(spark, sf_dir).withColumn("_r", F.round("tfidf", 9))
+    top = tfidf.top_weights(v, 20, unit="source", term="term", weight="_r")
+    return top.select("source", "term", F.round("tfidf", 6).alias("tfidf"), F.col("rank").cast("long").alias("rank"))
+
+
+@register("source_similarity", f"""
+WITH {SQL_SOURCE_TFIDF},
+  u AS (SELECT DISTINCT source FROM nw),
+  pr AS (SELECT a.source AS source_a, b.source AS source_b FROM u a JOIN u b ON a.source < b.source),
+  dot AS (SELECT a.source AS source_a, b.source AS source_b, sum(a.tfidf * b.tfidf) AS s
+          FROM nw a JOIN nw b ON a.term = b.term AND a.source < b.source GROUP BY ALL)
+SELECT pr.source_a, pr.source_b, round(coalesce(dot.s, 0), 6) AS cosine_similarity
+FROM pr LEFT JOIN dot USING (source_a, source_b)
+""")
+def source_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = source_vectors(spark, sf_dir)
+    sim = tfidf.pairwise_cosine(v, unit="source", term="term", weight="tfidf")
+    return sim.select("source_a", "source_b", F.round("cosine_similarity", 6).alias("cosine_similarity"))
+
+
+SQL_STREAM = f"""
+  d AS ({SQL_DOC_TOKENS}),
+  t AS (SELECT doc_id, unnest(toks) AS w, generate_subscripts(toks, 1) AS p FROM d),
+  s AS (SELECT w AS w1, lead(w) OVER (ORDER BY doc_id, p) AS w2 FROM t),
+  nn AS (SELECT count(*) AS n FROM t),
+  u AS (SELECT w, count(*) AS c FROM t GROUP BY w),
+  b AS (SELECT w1, w2, count(*) AS count FROM s WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 3),
+  m AS (SELECT w1 || ' ' || w2 AS bigram, count, count / (nn.n - 1) AS joint_prob, count / u1.c AS cond_prob,
+               log2(count * nn.n / (u1.c * u2.c)) AS pmi
+        FROM b JOIN u u1 ON b.w1 = u1.w JOIN u u2 ON b.w2 = u2.w, nn)"""
+
+
+def bigram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_tokens(spark, sf_dir, "doc_id")
+    return colloc.bigram_measures(docs, order="doc_id", min_count=3)
+
+
+@register("bigram_frequency", f"""
+WITH {SQL_STREAM}
+SELECT bigram, count, round(joint_prob, 9) AS joint_prob, round(cond_prob, 6) AS cond_prob, round(pmi, 6) AS pmi
+FROM m ORDER BY count DESC, bigram LIMIT 30
+""")
+def bigram_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bigram_table(spark, sf_dir)
+    top = b.orderBy(F.col("count").desc(), F.col("bigram")).limit(30)
+    return top.select("bigram", "count", F.round("joint_prob", 9).alias("joint_prob"),
+                      F.round("cond_prob", 6).alias("cond_prob"), F.round("pmi", 6).alias("pmi"))
+
+
+@register("bigram_pmi", f"""
+WITH {SQL_STREAM}
+SELECT bigram, count, round(pmi, 6) AS pmi FROM m ORDER BY round(pmi, 9) DESC, bigram LIMIT 25
+""")
+def bigram_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bigram_table(spark, sf_dir).withColumn("_r", F.round("pmi", 9))
+    top = b.orderBy(F.col("_r").desc(), F.col("bigram")).limit(25)
+    return top.select("bigram", "count", F.round("pmi", 6).alias("pmi"))
+
+
+@register("lexical_dispersion", f"""
+WITH {SQL_CORPUS_TFIDF},
+  tg AS (SELECT word FROM sc ORDER BY round(score, 6) DESC, word LIMIT 10),
+  tt AS (SELECT doc_id, unnest(toks) AS w, generate_subscripts(toks, 1) AS p FROM d),
+  g AS (SELECT w, row_number() OVER (ORDER BY doc_id, p) - 1 AS gpos FROM tt),
+  gaps AS (SELECT w, gpos - lag(gpos) OVER (PARTITION BY w ORDER BY gpos) AS gap FROM g WHERE w IN (SELECT word FROM tg)),
+  st AS (SELECT w AS word, count(*) AS frequency, avg(gap) AS a, stddev_pop(gap) AS s FROM gaps GROUP BY w),
+  z AS (SELECT word, frequency, CASE WHEN frequency > 1 THEN a ELSE 0 END AS a,
+               CASE WHEN frequency > 1 THEN s ELSE 0 END AS s FROM st),
+  cv AS (SELECT *, CASE WHEN a > 0 THEN s / a ELSE 0 END AS cv FROM z)
+SELECT word, frequency, round(a, 6) AS avg_gap, round(s, 6) AS std_gap,
+       round(CASE WHEN frequency > 1 AND cv < 2 THEN 1 - cv / 2 ELSE 0 END, 6) AS uniformity
+FROM cv
+""")
+def lexical_dispersion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_tokens(spark, sf_dir, "doc_id")
+    scores = tfidf.corpus_tfidf(docs).withColumn("score_r", F.round("score", 6))
+    targets = scores.orderBy(F.col("score_r").desc(), F.col("word")).limit(10).select("word")
+    pos = positions(docs, order="doc_id")
+    d = colloc.dispersion(pos, targets)
+    return d.select("word", "frequency", *[F.round(c, 6).alias(c) for c in ("avg_gap", "std_gap", "uniformity")])
