@@ -260,3 +260,260 @@ def lexical_dispersion(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = positions(docs, order="doc_id")
     d = colloc.dispersion(pos, targets)
     return d.select("word", "frequency", *[F.round(c, 6).alias(c) for c in ("avg_gap", "std_gap", "uniformity")])
+
+
+# ---------------------------------------------------------------------------
+# 3. Job ads: filters, normalisation, n-grams, mentions, attributes, OLAP
+# ---------------------------------------------------------------------------
+
+from textmart.functions import rules as R  # noqa: E402
+from textmart.operators import olap  # noqa: E402
+from textmart.plans import job_ads  # noqa: E402
+
+# Dictionaries for the test corpus (parameters of the jobs; the original
+# dictionaries are the defaults and are exercised by the unit tests).
+JOB_TITLE_KEYWORDS = ["widget", "gizmo"]
+JOB_CONTENT_PHRASE = "data"
+JOB_FILTER_KEYWORDS = ["widget", "gear", "license", "data"]
+JOB_TECH = {
+    "TION": ["tion"], "MENT": ["ment"], "EAU": ["eau"], "SCH": ["sch"], "QUE": ["que", "quel"],
+    "IER": ["ier"], "ING": ["ing"], "MIT": ["mit"], "LEGAL": ["license", "apache"], "CONTACT": ["mail", "token"],
+}
+JOB_EXPERIENCE = r"(\d+)\+?\s*(?:[a-zß-öø-ÿ]+)"
+JOB_PATTERNS = ["tion", "ment", "eau", "sch", "que", "ier", "the", "and", "ing", "license", "mail",
+                "token", "data", "mit", "apache", "der", "und"]
+JOB_CATEGORIES = {
+    "Suffixes": ["tion", "ment", "ing"],
+    "French": ["eau", "que", "ier"],
+    "German": ["sch", "der", "und"],
+    "Legal": ["license", "apache", "mit"],
+    "Contacts": ["mail", "token", "http"],
+}
+JOB_WHITELIST = ["the", "and", "that", "with", "ing", "tion", "der", "des", "que", "data", "license"]
+JOB_STOP = job_ads.DEFAULT_STOP_WORDS
+JOB_STOP_SQL = sql_list(JOB_STOP)
+
+
+def jobs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    j = (docs.join(part, docs.doc_id == part.p_partkey, "left")
+         .join(ev, docs.doc_id == ev.event_id, "left"))
+    return j.select(F.col("doc_id").alias("job_id"), F.coalesce("p_name", F.lit("")).alias("title"),
+                    F.col("text").alias("content"), F.date_format("ts", "HH:mm dd.MM.yyyy").alias("time"))
+
+
+SQL_JOBS = """jobs AS (SELECT doc_id AS job_id, coalesce(p_name, '') AS title, text AS content,
+                     strftime(ts, '%H:%M %d.%m.%Y') AS time
+              FROM documents LEFT JOIN part ON p_partkey = doc_id LEFT JOIN events ON event_id = doc_id)"""
+
+
+def _sql_any(expr: str, needles) -> str:
+    return "(" + " OR ".join(f"contains({expr}, '{n}')" for n in needles) + ")"
+
+
+SQL_P1 = (f"({_sql_any('lower(title)', JOB_TITLE_KEYWORDS)} OR "
+          f"contains(lower(left(coalesce(content, ''), 500)), '{JOB_CONTENT_PHRASE}'))")
+SQL_P2 = f"({_sql_any('lower(title)', JOB_FILTER_KEYWORDS)} OR {_sql_any('lower(content)', JOB_FILTER_KEYWORDS)})"
+_EMOJI_SQL = ("[\\x{1F600}-\\x{1F64F}\\x{1F300}-\\x{1F5FF}\\x{1F680}-\\x{1F6FF}\\x{1F900}-\\x{1F9FF}"
+              "\\x{2702}-\\x{27B0}\\x{1FA00}-\\x{1FA6F}\\x{1FA70}-\\x{1FAFF}\\x{2600}-\\x{26FF}\\x{FE0F}]+")
+
+
+def _sql_normalize(expr: str) -> str:
+    e = f"lower({expr})"
+    for pat, rep in [(r"https?://\S+|www\.\S+", " "), (r"\S+@\S+", " "), (_EMOJI_SQL, " "), ("a/b", "ab_test"),
+                     (r"c\+\+", "cplusplus"), ("c#", "csharp"), (r"[^0-9a-z_ß-öø-ÿ\s]", " "), (r"\s+", " ")]:
+        e = f"regexp_replace({e}, '{pat}', '{rep}', 'g')"
+    return f"trim({e})"
+
+
+SQL_JOB_DOCS = f"""{SQL_JOBS},
+  f1 AS (SELECT * FROM jobs WHERE {SQL_P1}),
+  jd AS (SELECT job_id, title || ' ' || content AS raw, {_sql_normalize("title || ' ' || content")} AS normalized FROM f1),
+  jt AS (SELECT job_id, raw, normalized,
+                list_filter(string_split(normalized, ' '), lambda w: length(w) >= 3 AND w NOT IN {JOB_STOP_SQL}
+                            AND NOT regexp_full_match(w, '[0-9]+')) AS toks FROM jd),
+  ju AS (SELECT job_id, unnest(toks) AS w, generate_subscripts(toks, 1) AS p FROM jt),
+  js AS (SELECT w AS w1, lead(w) OVER (ORDER BY job_id, p) AS w2, lead(w, 2) OVER (ORDER BY job_id, p) AS w3 FROM ju)"""
+
+
+def job_tokens_p1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    jobs = jobs_table(spark, sf_dir)
+    f1 = job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS, content_phrase=JOB_CONTENT_PHRASE)
+    return jobs, job_ads.job_token_docs(f1, stop_words=JOB_STOP)
+
+
+@register("job_filter_analyst", f"""
+WITH {SQL_JOBS} SELECT job_id, title FROM jobs WHERE {SQL_P1}
+""")
+def job_filter_analyst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = jobs_table(spark, sf_dir)
+    return job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS,
+                                       content_phrase=JOB_CONTENT_PHRASE).select("job_id", "title")
+
+
+@register("job_top_bigrams", f"""
+WITH {SQL_JOB_DOCS}
+SELECT ngram, count, rank FROM (
+  SELECT ngram, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, ngram) AS rank
+  FROM (SELECT w1 || ' ' || w2 AS ngram FROM js WHERE w2 IS NOT NULL) GROUP BY ngram) WHERE rank <= 25
+""")
+def job_top_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, docs = job_tokens_p1(spark, sf_dir)
+    return job_ads.top_ngrams(docs, 2, 25).select("ngram", "count", F.col("rank").cast("long").alias("rank"))
+
+
+@register("job_top_trigrams", f"""
+WITH {SQL_JOB_DOCS}
+SELECT ngram, count, rank FROM (
+  SELECT ngram, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, ngram) AS rank
+  FROM (SELECT w1 || ' ' || w2 || ' ' || w3 AS ngram FROM js WHERE w3 IS NOT NULL) GROUP BY ngram) WHERE rank <= 20
+""")
+def job_top_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, docs = job_tokens_p1(spark, sf_dir)
+    return job_ads.top_ngrams(docs, 3, 20).select("ngram", "count", F.col("rank").cast("long").alias("rank"))
+
+
+@register("job_meaningful_terms", f"""
+WITH {SQL_JOB_DOCS}
+SELECT word, count, rank FROM (
+  SELECT word, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, word) AS rank
+  FROM (SELECT w AS word FROM ju WHERE w IN {sql_list(JOB_WHITELIST)}) GROUP BY word) WHERE rank <= 15
+""")
+def job_meaningful_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, docs = job_tokens_p1(spark, sf_dir)
+    out = job_ads.meaningful_terms(docs, whitelist=JOB_WHITELIST, k=15)
+    return out.select("word", "count", F.col("rank").cast("long").alias("rank"))
+
+
+@register("job_funnel", f"""
+WITH {SQL_JOB_DOCS},
+  s AS (SELECT count(*) AS n_f, sum(length(raw)) + greatest(count(*) - 1, 0) AS c_raw,
+               sum(length(normalized)) + greatest(count(*) FILTER (WHERE normalized <> '') - 1, 0) AS c_norm,
+               sum(len(list_filter(string_split(normalized, ' '), lambda w: w <> ''))) AS t_all,
+               sum(len(toks)) AS t_clean FROM jt),
+  n AS (SELECT count(*) AS n FROM jobs)
+SELECT * FROM (
+  SELECT 1 AS ord, 'filter' AS stage, n.n AS n_in, s.n_f AS n_out FROM s, n
+  UNION ALL SELECT 2, 'normalize_chars', c_raw, c_norm FROM s
+  UNION ALL SELECT 3, 'tokenize', t_all, t_all FROM s
+  UNION ALL SELECT 4, 'stop_words', t_all, t_clean FROM s)
+""")
+def job_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, docs = job_tokens_p1(spark, sf_dir)
+    return job_ads.funnel(jobs, docs, stop_words=JOB_STOP).withColumn("ord", F.col("ord").cast("int"))
+
+
+@register("job_tech_mentions", f"""
+WITH {SQL_JOBS}, f1 AS (SELECT lower(title || ' ' || content) AS t FROM jobs WHERE {SQL_P1}),
+  kw AS (SELECT unnest({'[' + ', '.join(repr(k) for k in JOB_PATTERNS) + ']'}) AS keyword),
+  m AS (SELECT keyword, sum((length(t) - length(replace(t, keyword, ''))) // length(keyword)) AS mentions
+        FROM f1, kw GROUP BY keyword HAVING mentions > 0)
+SELECT keyword, mentions, round(mentions / (SELECT count(*) FROM f1), 1) AS per_ad
+FROM m ORDER BY mentions DESC, keyword LIMIT 10
+""")
+def job_tech_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = jobs_table(spark, sf_dir)
+    f1 = job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS, content_phrase=JOB_CONTENT_PHRASE)
+    return job_ads.tech_mentions(f1, patterns=JOB_PATTERNS, k=10)
+
+
+_CAT_ROWS = ", ".join(f"('{c}', '{k}')" for c, ks in JOB_CATEGORIES.items() for k in ks)
+
+
+@register("job_category_mentions", f"""
+WITH {SQL_JOBS}, f1 AS (SELECT lower(coalesce(content, '')) AS t FROM jobs WHERE {SQL_P1}),
+  kw AS (SELECT * FROM (VALUES {_CAT_ROWS}) v(category, keyword)),
+  m AS (SELECT category, keyword, sum((length(t) - length(replace(t, keyword, ''))) // length(keyword)) AS mentions
+        FROM f1, kw GROUP BY ALL HAVING mentions > 0)
+SELECT category, keyword, mentions, sum(mentions) OVER (PARTITION BY category) AS category_total FROM m
+""")
+def job_category_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = jobs_table(spark, sf_dir)
+    f1 = job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS, content_phrase=JOB_CONTENT_PHRASE)
+    return job_ads.category_mentions(f1, categories=JOB_CATEGORIES)
+
+
+def enriched_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = jobs_table(spark, sf_dir)
+    f2 = job_ads.filter_keyword_jobs(jobs, keywords=JOB_FILTER_KEYWORDS)
+    return olap.enrich_jobs(f2, tech_keywords=JOB_TECH, experience_pattern=JOB_EXPERIENCE)
+
+
+_LEVEL_CASE = "CASE " + " ".join(
+    f"WHEN {_sql_any('lt', needles)} THEN '{lvl}'" for lvl, needles in D.LEVEL_RULES) + " ELSE 'Not Specified' END"
+_TECH_LIST = "list_filter([" + ", ".join(
+    f"CASE WHEN {_sql_any('lc', aliases)} THEN '{tag}' END" for tag, aliases in JOB_TECH.items()) + "], lambda x: x IS NOT NULL)"
+SQL_ENRICHED = f"""{SQL_JOBS},
+  f2 AS (SELECT *, lower(coalesce(content, '')) AS lc, lower(title || ' ' || coalesce(content, '')) AS lt FROM jobs WHERE {SQL_P2}),
+  ex AS (SELECT *, regexp_extract(lc, '{JOB_EXPERIENCE}', 1) AS m FROM f2),
+  en AS (SELECT job_id, title,
+                CASE WHEN m = '' THEN 0
+                     WHEN length(regexp_replace(m, '^0+([0-9])', '\\1')) > 2 THEN 10
+                     ELSE least(CAST(m AS INTEGER), 10) END AS experience_years,
+                {_TECH_LIST} AS technologies, {_LEVEL_CASE} AS level,
+                CASE WHEN contains(coalesce(time, ''), ' ') THEN coalesce(string_split_regex(trim(time), '\\s+')[2], time)
+                     ELSE coalesce(time, '') END AS date
+         FROM ex)"""
+
+
+@register("job_attributes", f"""
+WITH {SQL_ENRICHED}
+SELECT job_id, experience_years, array_to_string(technologies, ',') AS technologies, level, date FROM en
+""")
+def job_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = enriched_jobs(spark, sf_dir)
+    return e.select("job_id", "experience_years", F.array_join("technologies", ",").alias("technologies"),
+                    "level", "date")
+
+
+@register("job_distributions", f"""
+WITH {SQL_ENRICHED}, n AS (SELECT count(*) AS n FROM en),
+  u AS (SELECT 'experience' AS dimension, CAST(experience_years AS VARCHAR) AS value, count(*) AS count FROM en GROUP BY ALL
+        UNION ALL SELECT 'technology', t, count(*) FROM (SELECT unnest(technologies) AS t FROM en) GROUP BY ALL
+        UNION ALL SELECT 'level', level, count(*) FROM en GROUP BY ALL
+        UNION ALL SELECT 'date', date, count(*) FROM en GROUP BY ALL)
+SELECT dimension, value, count, round(CASE WHEN n.n > 0 THEN count * 100.0 / n.n ELSE 0 END, 6) AS pct FROM u, n
+""")
+def job_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = olap.distributions(enriched_jobs(spark, sf_dir))
+    return d.select("dimension", "value", "count", F.round("pct", 6).alias("pct"))
+
+
+def _sql_matrix(row: str, values, row_expr: str) -> str:
+    vals = ", ".join(f"({i}, '{v}')" for i, v in enumerate(values))
+    return f"""WITH {SQL_ENRICHED},
+  tc AS (SELECT t AS tech, count(*) AS c FROM (SELECT unnest(technologies) AS t FROM en) GROUP BY t),
+  top AS (SELECT tech, row_number() OVER (ORDER BY c DESC, tech) AS tech_rank FROM tc ORDER BY c DESC, tech LIMIT 9),
+  rv AS (SELECT * FROM (VALUES {vals}) v(row_ord, {row})),
+  cnt AS (SELECT {row_expr} AS {row}, t AS tech, count(*) AS n FROM (SELECT *, unnest(technologies) AS t FROM en) GROUP BY ALL)
+SELECT rv.row_ord, rv.{row}, top.tech_rank, top.tech, coalesce(cnt.n, 0) AS n
+FROM rv CROSS JOIN top LEFT JOIN cnt ON cnt.{row} = rv.{row} AND cnt.tech = top.tech"""
+
+
+_LV = D.LEVEL_ORDER
+_BAND_EXPR = ("CASE WHEN experience_years = 0 THEN '{0}' WHEN experience_years <= 2 THEN '{1}' "
+              "WHEN experience_years <= 4 THEN '{2}' ELSE '{3}' END").format(*D.EXPERIENCE_BANDS)
+
+
+@register("job_level_tech_matrix", _sql_matrix(
+    "level", _LV, f"CASE WHEN level IN {sql_list(_LV)} THEN level ELSE 'Not Specified' END"))
+def job_level_tech_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = olap.level_tech_matrix(enriched_jobs(spark, sf_dir), 9)
+    return m.select(F.col("row_ord").cast("int"), "level", F.col("tech_rank").cast("long"), "tech", "n")
+
+
+@register("job_experience_tech_matrix", _sql_matrix("band", D.EXPERIENCE_BANDS, _BAND_EXPR))
+def job_experience_tech_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = olap.experience_tech_matrix(enriched_jobs(spark, sf_dir), 9)
+    return m.select(F.col("row_ord").cast("int"), "band", F.col("tech_rank").cast("long"), "tech", "n")
+
+
+@register("job_level_tech_cube", f"""
+WITH {SQL_ENRICHED}, r AS (SELECT job_id, level, unnest(CASE WHEN len(technologies) = 0 THEN [NULL] ELSE technologies END) AS tech FROM en)
+SELECT level, tech, count(DISTINCT job_id) AS jobs, grouping(level, tech) AS grouping_id FROM r GROUP BY CUBE (level, tech)
+""")
+def job_level_tech_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = olap.level_tech_cube(enriched_jobs(spark, sf_dir))
+    return c.select("level", "tech", "jobs", F.col("grouping_id").cast("long"))
