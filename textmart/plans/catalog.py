@@ -517,3 +517,178 @@ SELECT level, tech, count(DISTINCT job_id) AS jobs, grouping(level, tech) AS gro
 def job_level_tech_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = olap.level_tech_cube(enriched_jobs(spark, sf_dir))
     return c.select("level", "tech", "jobs", F.col("grouping_id").cast("long"))
+
+
+# ---------------------------------------------------------------------------
+# 4. Time: top words per day and part of day, top terms, daily series, trends
+# ---------------------------------------------------------------------------
+
+from textmart.operators import timeline, trend  # noqa: E402
+
+P0, P1_, P2_ = D.PERIODS
+
+
+def dated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts")
+    toks = docs.join(ev, on="doc_id").select(
+        "ts", F.explode(T.clean_tokens("text", letters=LETTERS, stop_words=STOP)).alias("word"))
+    return timeline.with_day_period(toks)
+
+
+SQL_DATED = f"""
+  dt AS (SELECT e.ts, unnest({SQL_TOKENS}) AS word FROM documents d JOIN events e ON e.event_id = d.doc_id),
+  dp AS (SELECT CAST(ts AS DATE) AS date, strftime(ts, '%d.%m.%Y') AS day,
+                CASE WHEN hour(ts) < 12 THEN '{P0}' WHEN hour(ts) < 18 THEN '{P1_}' ELSE '{P2_}' END AS period,
+                CASE WHEN hour(ts) < 12 THEN 0 WHEN hour(ts) < 18 THEN 1 ELSE 2 END AS period_ord, word FROM dt),
+  c AS (SELECT date, day, period, period_ord, word, count(*) AS freq FROM dp GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY date, period ORDER BY freq DESC, word) AS rank FROM c),
+  top AS (SELECT *, sum(freq) OVER (PARTITION BY date, period) AS sum_freq, dense_rank() OVER (ORDER BY date) AS day_index
+          FROM r WHERE rank <= 5)"""
+
+
+def top5_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.top_per_period(dated_tokens(spark, sf_dir), 5)
+
+
+@register("term_top5_by_period", f"""
+WITH {SQL_DATED}
+SELECT day, day_index, period, period_ord, rank, word, freq, sum_freq,
+       CASE WHEN rank = 1 AND period_ord = min(period_ord) OVER (PARTITION BY date)
+            THEN 'День ' || day_index || chr(10) || day ELSE '' END AS day_label,
+       CASE WHEN rank = 1 THEN period ELSE '' END AS period_label,
+       CASE WHEN rank = 1 THEN CAST(sum_freq AS VARCHAR) ELSE '' END AS sum_label
+FROM top
+""")
+def term_top5_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = timeline.display_columns(top5_table(spark, sf_dir))
+    return t.select("day", F.col("day_index").cast("long"), "period", F.col("period_ord").cast("int"),
+                    F.col("rank").cast("long"), "word", "freq", "sum_freq", "day_label", "period_label", "sum_label")
+
+
+@register("term_top3", f"""
+WITH {SQL_DATED}
+SELECT lower(trim(word)) AS term, count(*) AS appearances FROM top GROUP BY 1 ORDER BY appearances DESC, term LIMIT 3
+""")
+def term_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.top_terms_of_table(top5_table(spark, sf_dir), 3)
+
+
+@register("term_top5_totals", f"""
+WITH {SQL_DATED} SELECT word, sum(freq) AS total_freq FROM top GROUP BY word
+""")
+def term_top5_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.top_word_totals(top5_table(spark, sf_dir))
+
+
+@register("term_period_sums", f"""
+WITH {SQL_DATED} SELECT DISTINCT day, period, period_ord, sum_freq FROM top
+""")
+def term_period_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = timeline.period_sums(top5_table(spark, sf_dir))
+    return s.select("day", "period", F.col("period_ord").cast("int"), "sum_freq")
+
+
+SQL_SERIES = f"""{SQL_DATED},
+  t3 AS (SELECT lower(trim(word)) AS term, count(*) AS appearances FROM top GROUP BY 1 ORDER BY appearances DESC, term LIMIT 3),
+  days AS (SELECT DISTINCT date, day FROM dp),
+  hits AS (SELECT date, word AS term, count(*) AS n FROM dp WHERE word IN (SELECT term FROM t3) GROUP BY ALL),
+  ser AS (SELECT days.date, days.day, t3.term, coalesce(hits.n, 0) AS n
+          FROM days CROSS JOIN t3 LEFT JOIN hits ON hits.date = days.date AND hits.term = t3.term)"""
+
+
+def term_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    toks = dated_tokens(spark, sf_dir)
+    top = timeline.top_per_period(toks, 5)
+    return timeline.daily_series(toks, timeline.top_terms_of_table(top, 3))
+
+
+@register("term_daily_series", f"""
+WITH {SQL_SERIES} SELECT day, term, n FROM ser
+""")
+def term_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = term_series(spark, sf_dir)
+    return s.select(F.date_format("date", D.DAY_FORMAT).alias("day"), "term", "n")
+
+
+def _sql_fit(src: str, series: str) -> str:
+    return f"""
+  ix AS (SELECT date, CAST(dense_rank() OVER (ORDER BY date) - 1 AS DOUBLE) AS x FROM (SELECT DISTINCT date FROM {src})),
+  pts AS (SELECT s.{series} AS series, s.date, ix.x, CAST(s.n AS DOUBLE) AS y FROM {src} s JOIN ix USING (date)),
+  cf AS (SELECT series, regr_intercept(y, x) AS c0, regr_slope(y, x) AS c1, max(x) AS x_last FROM pts GROUP BY series)"""
+
+
+def _sql_forecast_table(series_col: str) -> str:
+    return f"""
+  obs AS (SELECT p.series, p.date, p.x, p.y AS fact, round(c0 + c1 * p.x, 2) AS trend, CAST(NULL AS DOUBLE) AS forecast
+          FROM pts p JOIN cf USING (series)),
+  fut AS (SELECT series, CAST((SELECT max(date) FROM pts) + INTERVAL (h) DAY AS DATE) AS date, x_last + h AS x,
+                 CAST(NULL AS DOUBLE) AS fact, CAST(NULL AS DOUBLE) AS trend, round(c0 + c1 * (x_last + h), 2) AS forecast
+          FROM cf, range(1, 8) r(h))
+SELECT series AS {series_col}, strftime(date, '%d.%m.%Y') AS day, x, fact, trend, forecast FROM (SELECT * FROM obs UNION ALL SELECT * FROM fut)"""
+
+
+def _forecast_rows(points: DataFrame, series_col: str) -> DataFrame:
+    cf = trend.fit(points, series="series", degree=1)
+    t = trend.forecast_table(points, cf, series="series", date="date", horizon=7)
+    return t.select(F.col("series").alias(series_col), F.date_format("date", D.DAY_FORMAT).alias("day"),
+                    "x", "fact", "trend", "forecast")
+
+
+@register("term_trend_forecast", f"""
+WITH {SQL_SERIES}, {_sql_fit("ser", "term")}, {_sql_forecast_table("term")}
+""")
+def term_trend_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = trend.index_series(term_series(spark, sf_dir), series="term", date="date", value="n") \
+        .withColumnRenamed("term", "series")
+    return _forecast_rows(pts, "term")
+
+
+def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    daily = ev.groupBy(F.to_date("ts").alias("date"), F.col("event_type").alias("series")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return trend.index_series(daily, series="series", date="date", value="n")
+
+
+SQL_EVENT_SERIES = "ev AS (SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL)"
+
+
+@register("event_trend_quality", f"""
+WITH {SQL_EVENT_SERIES}, {_sql_fit("ev", "event_type")},
+  q AS (SELECT p.series, c0, c1, x_last, p.y - (c0 + c1 * p.x) AS r, p.y - avg(p.y) OVER (PARTITION BY p.series) AS dy
+        FROM pts p JOIN cf USING (series)),
+  a AS (SELECT series, any_value(c0) AS c0, any_value(c1) AS c1, any_value(x_last) AS x_last, sum(r * r) AS ss_res,
+               sum(dy * dy) AS ss_tot, sqrt(avg(r * r)) AS rmse, avg(abs(r)) AS mae, stddev_pop(r) AS std_resid FROM q GROUP BY series)
+SELECT series AS event_type, round(c0, 6) AS c0, round(c1, 6) AS c1,
+       round(CASE WHEN ss_tot <> 0 THEN 1 - ss_res / ss_tot ELSE 0 END, 6) AS r2, round(rmse, 6) AS rmse,
+       round(mae, 6) AS mae, round(std_resid, 6) AS std_resid, round(2 * std_resid, 6) AS band,
+       CASE WHEN c0 + c1 * x_last > c0 THEN 'rising' ELSE 'falling' END AS direction
+FROM a
+""")
+def event_trend_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = event_points(spark, sf_dir)
+    q = trend.quality(pts, trend.fit(pts, series="series"), series="series")
+    return q.select(F.col("series").alias("event_type"),
+                    *[F.round(c, 6).alias(c) for c in ("c0", "c1", "r2", "rmse", "mae", "std_resid", "band")],
+                    "direction")
+
+
+@register("event_trend_forecast", f"""
+WITH {SQL_EVENT_SERIES}, {_sql_fit("ev", "event_type")}, {_sql_forecast_table("event_type")}
+""")
+def event_trend_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forecast_rows(event_points(spark, sf_dir), "event_type")
+
+
+@register("event_series_stats", f"""
+WITH {SQL_EVENT_SERIES}
+SELECT event_type, count(*) AS n, round(avg(n), 6) AS mean, round(median(n), 6) AS median, round(var_pop(n), 6) AS var,
+       round(stddev_pop(n), 6) AS std, CAST(min(n) AS DOUBLE) AS min, CAST(max(n) AS DOUBLE) AS max
+FROM ev GROUP BY event_type
+""")
+def event_series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    daily = ev.groupBy(F.to_date("ts").alias("date"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    d = freq.describe(daily, "n", by=["event_type"])
+    return d.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "var", "std")], "min", "max")
