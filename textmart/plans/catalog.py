@@ -692,3 +692,256 @@ def event_series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = ev.groupBy(F.to_date("ts").alias("date"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     d = freq.describe(daily, "n", by=["event_type"])
     return d.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "var", "std")], "min", "max")
+
+
+# ---------------------------------------------------------------------------
+# 5. Comparative corpus: lexicon statistics, sentiment, lemmas, stems, POS, report
+# ---------------------------------------------------------------------------
+
+from textmart.plans import corpus_comparison as CC  # noqa: E402
+
+# Sentiment lexicon for the test corpus (a parameter; the original lexicon is the default).
+SENT_POSITIVE = ["tion", "ing", "ment"]
+SENT_NEGATIVE = ["idiot", "trash", "worthless", "moron", "pathetic", "loser", "stupid"]
+_APOS = "''"
+SQL_ART = f"""
+  a0 AS (SELECT source, doc_id, regexp_extract_all(replace(lower(trim(coalesce(text, ''))), '’', '{_APOS}'),
+                 '[{SRC_LETTERS.replace("'", _APOS)}]+') AS raw FROM documents),
+  a1 AS (SELECT *, list_filter(raw, lambda w: length(w) >= 3 AND w NOT IN {STOP_SQL}) AS lemmas FROM a0),
+  a2 AS (SELECT *, len(lemmas) AS tokens_no_stop,
+                len(list_filter(lemmas, lambda w: w IN {sql_list(SENT_POSITIVE)})) AS positive_hits,
+                len(list_filter(lemmas, lambda w: w IN {sql_list(SENT_NEGATIVE)})) AS negative_hits FROM a1),
+  art AS (SELECT *, (positive_hits - negative_hits) / greatest(tokens_no_stop, 1) AS sentiment_score,
+                 row_number() OVER (PARTITION BY source ORDER BY doc_id) AS article_index FROM a2)"""
+
+
+def article_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.lit("").alias("title"),
+                                                   F.col("text").alias("content"))
+    return CC.article_tokens(docs, stop_words=STOP, letters=SRC_LETTERS)
+
+
+@register("source_summary", f"""
+WITH {SQL_ART},
+  u AS (SELECT source, count(DISTINCT l) AS unique_lemmas FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY source),
+  b AS (SELECT source, count(*) AS articles, sum(len(raw)) AS tokens_raw, sum(tokens_no_stop) AS tokens_no_stop,
+               avg(sentiment_score) AS m, median(sentiment_score) AS md,
+               count(*) FILTER (WHERE sentiment_score > 0) / count(*) AS ps, count(*) FILTER (WHERE sentiment_score < 0) / count(*) AS ns
+        FROM art GROUP BY source)
+SELECT b.source, articles, tokens_raw, tokens_no_stop, coalesce(unique_lemmas, 0) AS unique_lemmas,
+       round(coalesce(unique_lemmas, 0) / greatest(tokens_no_stop, 1), 6) AS ttr_lemma, round(m, 6) AS sent_mean,
+       round(md, 6) AS sent_median, round(ps, 6) AS sent_pos_share, round(ns, 6) AS sent_neg_share
+FROM b LEFT JOIN u USING (source)
+""")
+def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CC.source_summary(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+
+
+@register("article_sentiment", f"""
+WITH {SQL_ART}
+SELECT source, article_index, doc_id, tokens_no_stop, positive_hits, negative_hits, round(sentiment_score, 6) AS sentiment_score,
+       CASE WHEN sentiment_score > 0 THEN 'positive' WHEN sentiment_score < 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label
+FROM art
+""")
+def article_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = CC.article_sentiment(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    return s.select("source", F.col("article_index").cast("long"), "doc_id",
+                    F.col("tokens_no_stop").cast("long"), F.col("positive_hits").cast("long"),
+                    F.col("negative_hits").cast("long"), F.round("sentiment_score", 6).alias("sentiment_score"),
+                    "sentiment_label")
+
+
+@register("source_top_lemmas", f"""
+WITH {SQL_ART}, c AS (SELECT source, l AS lemma, count(*) AS count FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY ALL)
+SELECT source, lemma, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY count DESC, lemma) AS rank FROM c)
+WHERE rank <= 20
+""")
+def source_top_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = CC.top_by_source(article_table(spark, sf_dir), "lemmas", 20, name="lemma")
+    return t.select("source", "lemma", "count", F.col("rank").cast("long"))
+
+
+def _sql_stem(w: str) -> str:
+    cases = " ".join(f"WHEN suffix({w}, '{s}') AND length({w}) > {len(s) + 2} THEN left({w}, length({w}) - {len(s)})"
+                     for s in D.STEM_SUFFIXES)
+    return f"CASE {cases} ELSE {w} END"
+
+
+@register("source_top_stems", f"""
+WITH {SQL_ART}, c AS (SELECT source, {_sql_stem('l')} AS stem, count(*) AS count
+                      FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY ALL)
+SELECT source, stem, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY count DESC, stem) AS rank FROM c)
+WHERE rank <= 20
+""")
+def source_top_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = CC.top_by_source(article_table(spark, sf_dir), "stems", 20, name="stem")
+    return t.select("source", "stem", "count", F.col("rank").cast("long"))
+
+
+@register("source_pos_distribution", f"""
+WITH {SQL_ART} SELECT source, 'UNKN' AS pos, count(*) AS count FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY source
+""")
+def source_pos_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CC.pos_distribution(article_table(spark, sf_dir))
+
+
+@register("source_sentiment_breakdown", f"""
+WITH {SQL_ART}
+SELECT source, round(count(*) FILTER (WHERE sentiment_score > 0) * 100.0 / count(*), 6) AS pos_pct,
+       round(count(*) FILTER (WHERE sentiment_score = 0) * 100.0 / count(*), 6) AS neu_pct,
+       round(count(*) FILTER (WHERE sentiment_score < 0) * 100.0 / count(*), 6) AS neg_pct
+FROM art GROUP BY source
+""")
+def source_sentiment_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = CC.article_sentiment(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    b = CC.sentiment_breakdown(s)
+    return b.select("source", *[F.round(c, 6).alias(c) for c in ("pos_pct", "neu_pct", "neg_pct")])
+
+
+@register("source_pos_profile", f"""
+WITH {SQL_ART} SELECT source, 0.0 AS noun_pct, 0.0 AS verb_pct, 0.0 AS adj_pct FROM art GROUP BY source
+""")
+def source_pos_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = CC.pos_profile(CC.pos_distribution(article_table(spark, sf_dir)))
+    return p.select("source", *[F.round(c, 6).alias(c) for c in ("noun_pct", "verb_pct", "adj_pct")])
+
+
+@register("comparative_report", None)
+def comparative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary = CC.source_summary(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    sim = source_similarity(spark, sf_dir)
+    return CC.report_lines(CC.report_facts(summary, sim))
+
+
+# ---------------------------------------------------------------------------
+# 6. Reviews: emotion probabilities, tonality, product comparison, extremes
+# ---------------------------------------------------------------------------
+
+from textmart.functions import scores as S  # noqa: E402
+from textmart.operators import reviews as RV  # noqa: E402
+
+
+def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    j = emb.join(docs, on="vec_id", how="left")
+    return j.select(F.col("vec_id").alias("ord"), F.concat(F.lit("product_"), F.col("label")).alias("product"),
+                    (F.col("vec_id") % 6).cast("int").alias("stars"),
+                    F.trim(F.coalesce("text", F.lit(""))).alias("text"), F.col("embedding").alias("logits"))
+
+
+def scored_reviews(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = review_table(spark, sf_dir)
+    with_text = r.where(F.col("text") != "")
+    probs = [c.alias(k) for k, c in S.probability_columns("logits").items()]
+    scored = RV.tonality(with_text.select("ord", "product", *probs))
+    return r, scored
+
+
+_E = D.EMOTION_LABELS
+_THR = D.EMOTION_THRESHOLDS
+SQL_REVIEWS = f"""
+  r AS (SELECT e.vec_id AS ord, 'product_' || e.label AS product, CAST(e.vec_id % 6 AS INTEGER) AS stars,
+               trim(coalesce(d.text, '')) AS text, e.embedding AS emb FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
+  p AS (SELECT ord, product, stars, text, {", ".join(f'1 / (1 + exp(-CAST(emb[{i + 1}] AS DOUBLE))) AS "p_{x}"' for i, x in enumerate(_E))}
+        FROM r WHERE text <> ''),
+  b AS (SELECT *, "p_Joy" + "p_Surprise" AS pos, "p_Fear" + "p_Anger" + "p_Sadness" + "p_Disgust" AS neg, "p_None" AS neu FROM p),
+  c AS (SELECT *, pos + neg + neu AS total FROM b),
+  sc AS (SELECT *,
+           CASE WHEN pos / total >= neg / total AND pos / total >= neu / total THEN 'Positive'
+                WHEN neg / total >= neu / total THEN 'Negative' ELSE 'Neutral' END AS tonal_label,
+           (pos - neg) / total AS tonal_score, greatest(1.0, least(5.0, 3.0 + 2.0 * (pos - neg) / total)) AS tonal_stars,
+           concat_ws(',', {", ".join(f"CASE WHEN \"p_{x}\" > {_THR[x]} THEN '{x}' END" for x in _E)}) AS emotions
+         FROM c),
+  sc2 AS (SELECT *, CASE tonal_label WHEN 'Positive' THEN pos / total WHEN 'Negative' THEN neg / total ELSE neu / total END AS confidence FROM sc)"""
+
+
+@register("review_tonality", f"""
+WITH {SQL_REVIEWS}
+SELECT ord, product, stars, tonal_label, round(tonal_score, 6) AS tonal_score, round(tonal_stars, 6) AS tonal_stars,
+       round(confidence, 6) AS confidence, emotions FROM sc2
+""")
+def review_tonality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, scored = scored_reviews(spark, sf_dir)
+    j = scored.join(r.select("ord", "stars"), on="ord")
+    return j.select("ord", "product", "stars", "tonal_label",
+                    *[F.round(c, 6).alias(c) for c in ("tonal_score", "tonal_stars", "confidence")],
+                    F.array_join("emotions", ",").alias("emotions"))
+
+
+def _sigmoid_scorer():
+    import numpy as np
+    import pandas as pd
+
+    def score(inputs: list) -> "pd.DataFrame":
+        logits = np.asarray([np.asarray(v[:len(_E)], dtype="float64") for v in inputs]).reshape(-1, len(_E))
+        probs = 1.0 / (1.0 + np.exp(-logits))
+        return pd.DataFrame(probs, columns=list(_E))
+    return score
+
+
+@register("review_tonality_batched", f"""
+WITH {SQL_REVIEWS}
+SELECT ord, tonal_label, round(tonal_score, 6) AS tonal_score, round(confidence, 6) AS confidence FROM sc2
+""")
+def review_tonality_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = review_table(spark, sf_dir).where(F.col("text") != "")
+    probs = RV.score_batches(r, _sigmoid_scorer, text="logits", key="ord", batch_size=32)
+    t = RV.tonality(probs)
+    return t.select("ord", "tonal_label", F.round("tonal_score", 6).alias("tonal_score"),
+                    F.round("confidence", 6).alias("confidence"))
+
+
+@register("product_summary", f"""
+WITH {SQL_REVIEWS},
+  base AS (SELECT r.product, count(*) AS total_reviews, count(sc2.ord) AS reviews_with_text,
+                  avg(CASE WHEN r.stars > 0 THEN CAST(r.stars AS DOUBLE) END) AS avg_stars,
+                  avg(sc2.tonal_stars) AS avg_tonal_stars, avg(sc2.tonal_score) AS avg_tonal_score
+           FROM r LEFT JOIN sc2 USING (ord) GROUP BY r.product),
+  em AS (SELECT product, e AS emotion, count(*) AS n FROM (SELECT product, unnest(string_split(emotions, ',')) AS e FROM sc2 WHERE emotions <> '') GROUP BY ALL),
+  sh AS (SELECT em.product, emotion, n / reviews_with_text AS share FROM em JOIN base USING (product)),
+  tp AS (SELECT product, string_agg(emotion, ',' ORDER BY r) AS top_emotions FROM (
+           SELECT *, row_number() OVER (PARTITION BY product ORDER BY share DESC, emotion) AS r FROM sh) WHERE r <= 3 GROUP BY product)
+SELECT base.product, total_reviews, reviews_with_text, round(avg_stars, 6) AS avg_stars, round(avg_tonal_stars, 6) AS avg_tonal_stars,
+       round(avg_tonal_score, 6) AS avg_tonal_score, round(avg_tonal_stars - avg_stars, 6) AS stars_gap,
+       coalesce(top_emotions, '') AS top_emotions
+FROM base LEFT JOIN tp USING (product)
+""")
+def product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, scored = scored_reviews(spark, sf_dir)
+    s = RV.product_summary(r, scored)
+    return s.select("product", "total_reviews", "reviews_with_text",
+                    *[F.round(c, 6).alias(c) for c in ("avg_stars", "avg_tonal_stars", "avg_tonal_score", "stars_gap")],
+                    F.array_join(F.transform("top_emotions", lambda x: x["emotion"]), ",").alias("top_emotions"))
+
+
+@register("product_emotion_shares", f"""
+WITH {SQL_REVIEWS},
+  n AS (SELECT product, count(*) AS reviews_with_text FROM sc2 GROUP BY product),
+  em AS (SELECT product, e AS emotion, count(*) AS n FROM (SELECT product, unnest(string_split(emotions, ',')) AS e FROM sc2 WHERE emotions <> '') GROUP BY ALL)
+SELECT product, emotion, em.n AS count, round(em.n / reviews_with_text, 6) AS share FROM em JOIN n USING (product)
+""")
+def product_emotion_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = scored_reviews(spark, sf_dir)
+    e = scored.select("product", F.explode("emotions").alias("emotion")).groupBy("product", "emotion").agg(
+        F.count(F.lit(1)).alias("count"))
+    n = scored.groupBy("product").agg(F.count(F.lit(1)).alias("reviews_with_text"))
+    return e.join(n, on="product").select("product", "emotion", "count",
+                                          F.round(F.col("count") / F.col("reviews_with_text"), 6).alias("share"))
+
+
+@register("product_extreme_reviews", f"""
+WITH {SQL_REVIEWS},
+  rows AS (SELECT ord, product, text AS review, round(tonal_score, 4) AS tonal_score, round(confidence, 4) AS confidence FROM sc2),
+  pos AS (SELECT *, 'positive' AS kind, row_number() OVER (PARTITION BY product ORDER BY tonal_score DESC, confidence DESC, ord) AS rank FROM rows),
+  neg AS (SELECT *, 'negative' AS kind, row_number() OVER (PARTITION BY product ORDER BY tonal_score ASC, confidence DESC, ord) AS rank FROM rows),
+  u AS (SELECT * FROM pos WHERE rank <= 3 UNION ALL SELECT * FROM neg WHERE rank <= 3),
+  cp AS (SELECT *, trim(regexp_replace(review, '\\s+', ' ', 'g')) AS one FROM u)
+SELECT product, kind, rank, ord, tonal_score, confidence,
+       CASE WHEN length(one) <= 180 THEN one ELSE left(one, 179) || '…' END AS text_short FROM cp
+""")
+def product_extreme_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, scored = scored_reviews(spark, sf_dir)
+    rows = RV.product_rows(r.where(F.col("text") != ""), scored.drop("product"), key="ord", digits=4)
+    x = RV.extreme_reviews(rows, n=3, max_chars=180, text="review", order="ord")
+    return x.select("product", "kind", F.col("rank").cast("long"), "ord", "tonal_score", "confidence", "text_short")
