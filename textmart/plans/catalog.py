@@ -945,3 +945,191 @@ def product_extreme_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = RV.product_rows(r.where(F.col("text") != ""), scored.drop("product"), key="ord", digits=4)
     x = RV.extreme_reviews(rows, n=3, max_chars=180, text="review", order="ord")
     return x.select("product", "kind", F.col("rank").cast("long"), "ord", "tonal_score", "confidence", "text_short")
+
+
+# ---------------------------------------------------------------------------
+# 7. Topic profiles, supervised classification, stored pages, category mapping
+# ---------------------------------------------------------------------------
+
+from textmart.operators import classify as C  # noqa: E402
+from textmart.operators.joins import bounded, map_category  # noqa: E402
+from textmart.sources import pages as PG  # noqa: E402
+
+WORD = r"(?U)\w"          # Spark side (Unicode word characters)
+WORD_SQL = "0-9a-z_ß-öø-ÿ"  # the same set on the lower-cased test corpus, for RE2
+
+
+def topic_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    bench = table(spark, sf_dir, "benchmark")
+    prof = bench.select(F.concat(F.lit("topic_"), (F.col("item_id") % 3).cast("string")).alias("topic_id"),
+                        (F.col("item_id") % 3).cast("int").alias("topic_ord"), F.lit("en").alias("lang"),
+                        F.explode(T.vectorizer_tokens("text", word=WORD)).alias("term"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    texts = docs.select("text_id", T.detect_language("text").alias("lang"),
+                        T.topic_text_tokens("text", word=WORD, stop_words=STOP).alias("tokens"))
+    return texts, prof
+
+
+SQL_TOPICS = f"""
+  prof AS (SELECT 'topic_' || (item_id % 3) AS topic_id, item_id % 3 AS topic_ord, text FROM benchmark),
+  tc AS (SELECT topic_id, term, count(*) AS c FROM (
+           SELECT topic_id, unnest(regexp_extract_all(lower(text), '[{WORD_SQL}]{{2,}}')) AS term FROM prof) GROUP BY ALL),
+  kk AS (SELECT count(DISTINCT topic_id) AS k FROM tc),
+  dd AS (SELECT term, count(*) AS d FROM tc GROUP BY term),
+  tx AS (SELECT doc_id, term, count(*) AS x FROM (
+           SELECT doc_id, unnest(list_filter(regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '[0-9]+', ' ', 'g'), '[{WORD_SQL}]+'),
+                                             lambda w: length(w) >= 3 AND w NOT IN {STOP_SQL})) AS term FROM documents) GROUP BY ALL),
+  tw AS (SELECT docs.doc_id, tc.topic_id, tc.term,
+                tc.c * (ln((kk.k + 2) / (1 + dd.d + CASE WHEN tx.term IS NULL THEN 0 ELSE 1 END)) + 1) AS w
+         FROM (SELECT doc_id FROM documents) docs CROSS JOIN tc JOIN dd USING (term) CROSS JOIN kk
+         LEFT JOIN tx ON tx.doc_id = docs.doc_id AND tx.term = tc.term),
+  tn AS (SELECT doc_id, topic_id, sqrt(sum(w * w)) AS tnorm FROM tw GROUP BY ALL),
+  xw AS (SELECT tx.doc_id, tx.term, tx.x * (ln((kk.k + 2) / (1 + coalesce(dd.d, 0) + 1)) + 1) AS w FROM tx LEFT JOIN dd USING (term) CROSS JOIN kk),
+  xn AS (SELECT doc_id, sqrt(sum(w * w)) AS xnorm FROM xw GROUP BY doc_id),
+  dot AS (SELECT xw.doc_id, tw.topic_id, sum(xw.w * tw.w) AS dot FROM xw JOIN tw ON tw.doc_id = xw.doc_id AND tw.term = xw.term GROUP BY ALL),
+  sc AS (SELECT tn.doc_id, tn.topic_id,
+                CASE WHEN xn.xnorm > 0 AND tn.tnorm > 0 THEN coalesce(dot.dot, 0) / (xn.xnorm * tn.tnorm) ELSE 0 END AS score
+         FROM tn LEFT JOIN xn USING (doc_id) LEFT JOIN dot USING (doc_id, topic_id))"""
+
+
+@register("topic_scores", f"""
+WITH {SQL_TOPICS} SELECT doc_id AS text_id, topic_id, round(score, 6) AS score FROM sc
+""")
+def topic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, prof = topic_inputs(spark, sf_dir)
+    s = tfidf.topic_scores(texts, bounded(prof), text_id="text_id", topic="topic_id")
+    return s.select("text_id", "topic_id", F.round("score", 6).alias("score"))
+
+
+@register("topic_classification", f"""
+WITH {SQL_TOPICS},
+  r AS (SELECT sc.*, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, topic_ord) AS rn
+        FROM sc JOIN (SELECT DISTINCT topic_id, topic_ord FROM prof) USING (topic_id))
+SELECT doc_id AS text_id, CASE WHEN round(score, 9) < {D.TOPIC_THRESHOLD} THEN 'unknown' ELSE topic_id END AS topic,
+       round(score, 6) AS best_score FROM r WHERE rn = 1
+""")
+def topic_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, prof = topic_inputs(spark, sf_dir)
+    prof = bounded(prof)
+    s = tfidf.topic_scores(texts, prof, text_id="text_id", topic="topic_id").withColumn("score", F.round("score", 9))
+    s = s.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id")
+    b = tfidf.best_topic(s, text_id="text_id", topic="topic_id", topic_order="topic_ord",
+                         threshold=D.TOPIC_THRESHOLD, unknown=D.UNKNOWN_TOPIC)
+    return b.select("text_id", "topic", F.round("best_score", 6).alias("best_score"))
+
+
+CLS_MAP = {"q1": "high", "q0": "low"}
+SQL_CLS = f"""
+  base AS (SELECT d.doc_id, d.text, 'q' || l.quality AS category FROM documents d JOIN labels l USING (doc_id)),
+  pre AS (SELECT doc_id, category, array_to_string(list_filter(regexp_extract_all(
+            regexp_replace(regexp_replace(lower(' ' || coalesce(text, '')), 'http\\S+|www\\.\\S+', '', 'g'), '\\S+@\\S+', '', 'g'),
+            '[{LETTERS}]+'), lambda w: length(w) >= 3 AND w NOT IN {STOP_SQL}), ' ') AS text FROM base),
+  m AS (SELECT doc_id, text, category,
+               CASE category {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLS_MAP.items())} ELSE 'other' END AS label
+        FROM pre WHERE text <> '' AND length(text) > 10),
+  li AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS DOUBLE) AS label_index FROM (SELECT DISTINCT label FROM m)),
+  sp AS (SELECT m.*, li.label_index,
+                row_number() OVER (PARTITION BY m.label ORDER BY ((doc_id % 1000003) * 7919 + 42) % 1000003, doc_id) AS r,
+                count(*) OVER (PARTITION BY m.label) AS n FROM m JOIN li USING (label))"""
+
+
+def classifier_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.plans import classification as CL
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("category"))
+    return CL.prepare(docs.join(lab, on="doc_id"), stop_words=STOP, mapping=CLS_MAP, letters=LETTERS)
+
+
+@register("classifier_dataset", f"""
+WITH {SQL_CLS}
+SELECT doc_id, label, label_index, CASE WHEN r <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM sp
+""")
+def classifier_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = C.stratified_split(C.label_index(classifier_data(spark, sf_dir)), id_col="doc_id", label="label")
+    return d.select("doc_id", "label", "label_index", "split")
+
+
+@register("classifier_features", f"""
+WITH {SQL_CLS},
+  tk AS (SELECT doc_id, regexp_extract_all(lower(text), '[{WORD_SQL}]{{2,}}') AS t FROM m),
+  g AS (SELECT doc_id, unnest(t) AS term FROM tk
+        UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM tk),
+  tf AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY ALL),
+  nn AS (SELECT count(*) AS n FROM m),
+  st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+  v AS (SELECT term, ln((nn.n + 1) / (df + 1)) + 1 AS idf FROM st, nn WHERE df >= 2 AND df <= nn.n * 0.95
+        ORDER BY cf DESC, term LIMIT 5000),
+  w AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * v.idf AS w FROM tf JOIN v USING (term))
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w
+""")
+def classifier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = classifier_data(spark, sf_dir)
+    feats, _ = C.tfidf_features(d, max_features=5000, word=WORD)
+    return feats.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@register("classifier_evaluation", None)
+def classifier_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.plans import classification as CL
+    out = CL.train_and_evaluate(classifier_data(spark, sf_dir))
+    best = out["best"].select(F.col("model").alias("_best"))
+    return out["results"].join(best, out["results"].model == best._best, "left").select(
+        "model", "accuracy", "f1_macro", "f1_weighted", F.col("_best").isNotNull().alias("best"))
+
+
+@register("category_mapping", f"""
+SELECT doc_id, lang, CASE lang WHEN 'en' THEN 'english' WHEN 'fr' THEN 'romance' WHEN 'es' THEN 'romance' ELSE 'other' END AS category
+FROM documents
+""")
+def category_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return map_category(docs, "lang", {"en": "english", "fr": "romance", "es": "romance"}, out="category")
+
+
+PAGE_RULES = [("blog", "https://blog."), ("blog", "http://blog."), ("mobile", "https://m."),
+              ("www", "https://www."), ("www", "http://www."), ("spam", "https://spam-farm.")]
+
+
+def _sql_inner(x: str) -> str:
+    e = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in PG.ENTITIES:
+        e = f"replace({e}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return f"regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
+
+
+SQL_PAGES = f"""
+  h AS (SELECT page_id, url, html,
+               regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', ' ', 'g'),
+                 '(?is)<script\\b[^>]*>.*?</script\\s*>', ' ', 'g'), '(?is)<style\\b[^>]*>.*?</style\\s*>', ' ', 'g') AS s FROM pages),
+  c AS (SELECT *, CASE WHEN regexp_matches(s, '(?is)<article\\b') THEN regexp_extract(s, '(?is)<article\\b[^>]*>(.*?)(?:</article\\s*>|$)', 1) END AS body FROM h),
+  pp AS (SELECT *, list_filter(list_transform(list_transform(regexp_split_to_array(body, '(?i)<(?:p)\\b[^>]*>')[2:],
+                   lambda x: regexp_replace(x, '(?is)</(?:p)\\s*>.*$', '')), lambda y: {_sql_inner('y')}), lambda z: z <> '') AS paras FROM c)"""
+
+
+@register("page_records", f"""
+WITH {SQL_PAGES}
+SELECT page_id, url, regexp_extract(html, '(?i)<html\\b[^>]*\\blang="([^"]*)"', 1) AS lang,
+       coalesce(CASE WHEN regexp_extract(s, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1) <> ''
+                     THEN {_sql_inner("regexp_extract(s, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)")} END, '') AS title,
+       CASE WHEN body IS NULL THEN 0 ELSE len(paras) END AS n_paragraphs,
+       CASE WHEN body IS NULL THEN '{D.CONTENT_NOT_FOUND}' ELSE array_to_string(paras, chr(10) || chr(10)) END AS content,
+       CASE {" ".join(f"WHEN starts_with(url, '{p}') THEN '{c}'" for c, p in PAGE_RULES)} ELSE 'other' END AS category,
+       CASE WHEN body IS NULL THEN 'not_found' ELSE 'ok' END AS status
+FROM pp
+""")
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = PG.extract_pages(table(spark, sf_dir, "pages"), url_rules=PAGE_RULES)
+    return r.select("page_id", "url", "lang", "title", F.col("n_paragraphs").cast("long"), "content", "category", "status")
+
+
+@register("page_links", f"""
+WITH {SQL_PAGES},
+  b AS (SELECT page_id, unnest(regexp_extract_all(s, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1)) AS block,
+               unnest(range(len(regexp_extract_all(s, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1)))) AS pos FROM h),
+  l AS (SELECT page_id, pos, regexp_extract(block, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1) AS link,
+               {_sql_inner("regexp_extract(block, '(?is)<a\\b[^>]*>(.*?)</a\\s*>', 1)")} AS title FROM b)
+SELECT page_id, pos, link, title FROM l WHERE link <> '' AND title <> ''
+""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    l = PG.listing_links(table(spark, sf_dir, "pages"))
+    return l.select("page_id", F.col("pos").cast("long"), "link", "title")
