@@ -31,20 +31,22 @@ def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[st
                  offset: str = "offset", bucket: int = OFFSET_BUCKET) -> DataFrame:
     """Add the number of tokens of all earlier documents (per group) as ``offset``.
 
-    Two-level prefix sum: documents are cut into ranges of ``bucket`` order
-    keys; range totals (a table ``bucket`` times smaller than the corpus) get a
-    running sum, and each range adds its own running sum inside a window
-    partitioned by (groups, range). No task ever sees the whole corpus.
+    Two-level prefix sum over a document-level table: documents are cut into
+    ranges of ``bucket`` order keys and hash-partitioned by (groups, range)
+    once; range totals (a table ``bucket`` times smaller than the corpus) get
+    a running sum, and each range adds its own running sum in a window over
+    that same partitioning. No task ever holds more than one range, and the
+    one exchange is shared by both uses (exchange reuse).
     """
     g = list(groups)
-    d = docs.withColumn("_rng", F.floor(F.col(order) / F.lit(bucket)).cast("long"))
+    d = docs.withColumn("_rng", F.floor(F.col(order) / F.lit(bucket)).cast("long")).repartition(*g, "_rng")
     totals = d.groupBy(*g, "_rng").agg(F.sum(count).alias("_rng_n"))
     w_r = Window.partitionBy(*g).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*g, "_rng", F.coalesce(F.sum("_rng_n").over(w_r), F.lit(0)).alias("_rng_off"))
     w_d = Window.partitionBy(*g, "_rng").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum(count).over(w_d), F.lit(0))
-    out = d.join(totals, on=[*g, "_rng"], how="inner")
-    return out.withColumn(offset, (F.col("_rng_off") + inner).cast("long")).drop("_rng", "_rng_off")
+    out = d.withColumn("_in", inner).join(totals, on=[*g, "_rng"], how="inner")
+    return out.withColumn(offset, (F.col("_rng_off") + F.col("_in")).cast("long")).drop("_rng", "_rng_off", "_in")
 
 
 def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str = "doc_id",
@@ -54,22 +56,24 @@ def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str =
 
     Grams inside a document come from its array (no shuffle). With
     ``across_documents`` the grams that straddle document ends of the
-    concatenated stream (per group, in ``order``) are added from the first
-    and last n-1 tokens of each document, joined on running positions.
+    concatenated stream (per group, in ``order``) are added: each document
+    contributes only its first and last n-1 tokens (a document-level table),
+    which are placed by running offsets and joined on position.
     """
     g = list(groups)
     if n == 1:
         return docs.select(*g, F.explode(tokens).alias(gram))
     inner = docs.select(*g, F.explode(_array_ngrams(F.col(tokens), n)).alias(gram))
-    if not across_documents or n < 2:
+    if not across_documents:
         return inner
     k = n - 1
-    sized = docs.select(*g, order, tokens, F.size(tokens).alias("_n"))
-    sized = with_offsets(sized, order=order, count="_n", groups=g, offset="_off")
-    # boundary tokens: the first k and last k of each document
-    edge = sized.select(*g, "_off", "_n", F.posexplode(tokens).alias("_p", "_w")).where(
-        (F.col("_p") < k) | (F.col("_p") >= F.col("_n") - k))
-    edge = edge.select(*g, (F.col("_off") + F.col("_p")).alias("_g"), "_w", "_p", "_n")
+    size = F.size(tokens)
+    edges = F.filter(F.transform(tokens, lambda w, i: F.struct(i.alias("p"), w.alias("w"))),
+                     lambda e: (e["p"] < k) | (e["p"] >= size - k))
+    bnd = docs.select(*g, order, size.alias("_n"), edges.alias("_e"))
+    bnd = with_offsets(bnd, order=order, count="_n", groups=g, offset="_off")
+    edge = bnd.select(*g, "_off", "_n", F.inline("_e")).select(
+        *g, (F.col("_off") + F.col("p")).alias("_g"), F.col("w").alias("_w"), F.col("p").alias("_p"), "_n")
     starts = edge.where(F.col("_p") >= F.col("_n") - k).select(*g, "_g", F.col("_w").alias("_w0"))
     words = [F.col("_w0")]
     cur = starts
@@ -83,10 +87,15 @@ def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str =
 
 def positions(docs: DataFrame, *, tokens: str = "tokens", order: str = "doc_id",
               groups: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
-    """Token rows with running corpus position ``gpos`` (per group)."""
+    """Token rows with running corpus position ``gpos`` (per group).
+
+    Offsets are computed on a document-level table (group, order, size) and
+    joined back on the document key, so the token arrays are not carried
+    through the prefix-sum shuffles.
+    """
     g = list(groups)
-    sized = docs.select(*g, *keep, order, tokens, F.size(tokens).alias("_n"))
-    sized = with_offsets(sized, order=order, count="_n", groups=g, offset="_off")
-    return sized.select(*g, *keep, order, "_off", F.posexplode(tokens).alias("pos", "word")).select(
+    sizes = docs.select(*g, order, F.size(tokens).alias("_n"))
+    offs = with_offsets(sizes, order=order, count="_n", groups=g, offset="_off").drop("_n")
+    toks = docs.select(*g, *keep, order, tokens).join(offs, on=[*g, order])
+    return toks.select(*g, *keep, order, "_off", F.posexplode(tokens).alias("pos", "word")).select(
         *g, *keep, order, "pos", "word", (F.col("_off") + F.col("pos")).alias("gpos"))
-

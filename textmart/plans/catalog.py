@@ -35,8 +35,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Row keys of the text-heavy test tables.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. A text table stored as one single-row-group file can only be
+    read by one task; it is hash-spread over the cores by its key so that the
+    regex work is parallel. Tables made of many files (the normal case on a
+    cluster) are used as read."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    if key and len(df.inputFiles()) == 1:
+        df = df.repartition(spark.sparkContext.defaultParallelism, key)
+    return df
 
 
 def sql_list(values) -> str:
@@ -196,7 +208,8 @@ FROM pr LEFT JOIN dot USING (source_a, source_b)
 """)
 def source_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = source_vectors(spark, sf_dir)
-    sim = tfidf.pairwise_cosine(v, unit="source", term="term", weight="tfidf")
+    units = [r[0] for r in table(spark, sf_dir, "documents").select("source").distinct().collect()]
+    sim = tfidf.pairwise_cosine(v, unit="source", term="term", weight="tfidf", units=units)
     return sim.select("source_a", "source_b", F.round("cosine_similarity", 6).alias("cosine_similarity"))
 
 
