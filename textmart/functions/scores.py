@@ -55,10 +55,10 @@ def tonal_metrics(probs: str | Column, *, positive: Sequence[str] = D.POSITIVE_E
     neg = sum((_get(p, x) for x in negative), F.lit(0.0))
     neu = _get(p, neutral)
     total = pos + neg + neu
-    bp, bn, bu = pos / total, neg / total, neu / total
+    bp, bn, bu = F.try_divide(pos, total), F.try_divide(neg, total), F.try_divide(neu, total)
     label = F.when((bp >= bn) & (bp >= bu), "Positive").when(bn >= bu, "Negative").otherwise("Neutral")
     conf = F.when(label == "Positive", bp).when(label == "Negative", bn).otherwise(bu)
-    score = (pos - neg) / total
+    score = F.try_divide(pos - neg, total)
     stars = F.greatest(F.lit(1.0), F.least(F.lit(5.0), 3.0 + 2.0 * score))
     ok = total > 0
     return F.struct(
@@ -108,13 +108,13 @@ def with_tonal_metrics(df, *, positive: Sequence[str] = D.POSITIVE_EMOTIONS,
         "_neg": sum((p(x) for x in negative), F.lit(0.0)),
         "_neu": p(neutral),
     }).withColumn("_tot", F.col("_pos") + F.col("_neg") + F.col("_neu"))
-    out = out.withColumns({"_bp": F.col("_pos") / F.col("_tot"), "_bn": F.col("_neg") / F.col("_tot"),
-                           "_bu": F.col("_neu") / F.col("_tot")})
+    out = out.withColumns({"_bp": F.try_divide("_pos", "_tot"), "_bn": F.try_divide("_neg", "_tot"),
+                           "_bu": F.try_divide("_neu", "_tot")})
     ok = F.col("_tot") > 0
     label = F.when((F.col("_bp") >= F.col("_bn")) & (F.col("_bp") >= F.col("_bu")), "Positive") \
         .when(F.col("_bn") >= F.col("_bu"), "Negative").otherwise("Neutral")
     out = out.withColumn("tonal_label", F.when(ok, label).otherwise(F.lit("Neutral")))
-    score = (F.col("_pos") - F.col("_neg")) / F.col("_tot")
+    score = F.try_divide(F.col("_pos") - F.col("_neg"), F.col("_tot"))
     conf = F.when(F.col("tonal_label") == "Positive", F.col("_bp")) \
         .when(F.col("tonal_label") == "Negative", F.col("_bn")).otherwise(F.col("_bu"))
     out = out.withColumns({

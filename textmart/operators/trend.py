@@ -44,7 +44,8 @@ def fit(points: DataFrame, *, series: str = "series", degree: int = 1) -> DataFr
     d0 = _det3(c["t0"], c["s1"], c["s2"], c["t1"], c["s2"], c["s3"], c["t2"], c["s3"], c["s4"])
     d1 = _det3(c["s0"], c["t0"], c["s2"], c["s1"], c["t1"], c["s3"], c["s2"], c["t2"], c["s4"])
     d2 = _det3(c["s0"], c["s1"], c["t0"], c["s1"], c["s2"], c["t1"], c["s2"], c["s3"], c["t2"])
-    return s.select(series, (d0 / det).alias("c0"), (d1 / det).alias("c1"), (d2 / det).alias("c2"), "n", "x_last")
+    return s.select(series, F.try_divide(d0, det).alias("c0"), F.try_divide(d1, det).alias("c1"),
+                    F.try_divide(d2, det).alias("c2"), "n", "x_last")
 
 
 def _trend(x: Column) -> Column:

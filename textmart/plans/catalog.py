@@ -39,15 +39,15 @@ def register(name: str, sql: str | None = None):
 TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = True) -> DataFrame:
     """A test table. A text table stored as one single-row-group file can only be
     read by one task; it is hash-spread over the cores by its key so that the
     regex work is parallel. Tables made of many files (the normal case on a
     cluster) are used as read."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = TEXT_TABLE_KEYS.get(name)
-    if key and len(df.inputFiles()) == 1:
-        df = df.repartition(spark.sparkContext.defaultParallelism, key)
+    if spread and key and len(df.inputFiles()) == 1:
+        df = df.repartition(key)
     return df
 
 
@@ -1048,7 +1048,9 @@ SQL_CLS = f"""
 
 def classifier_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
+    # the labelled subset is joined first; spreading the raw table is not needed here
+    docs = table(spark, sf_dir, "documents", spread=False).select(
+        "doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
     lab = table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("category"))
     return CL.prepare(docs.join(lab, on="doc_id"), stop_words=STOP, mapping=CLS_MAP, letters=LETTERS)
 
