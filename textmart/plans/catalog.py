@@ -1148,3 +1148,15 @@ SELECT page_id, pos, link, title FROM l WHERE link <> '' AND title <> ''
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = PG.listing_links(table(spark, sf_dir, "pages"))
     return l.select("page_id", F.col("pos").cast("long"), "link", "title")
+
+
+@register("classifier_cross_validation", None)
+def classifier_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.plans import classification as CL
+    return CL.cross_validate(classifier_data(spark, sf_dir), C.MODEL_NAMES[0], k=5)
+
+
+@register("classifier_confusion", None)
+def classifier_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.plans import classification as CL
+    return CL.train_and_evaluate(classifier_data(spark, sf_dir))["confusion"]
