@@ -44,6 +44,8 @@ def get_session(
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("TEXTMART_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+        # a union of equally partitioned inputs keeps one partition count (avoids a zip mismatch in 4.1)
+        "spark.sql.unionOutputPartitioning": "false",
     }
     conf.update(extra or {})
     for k, v in conf.items():
