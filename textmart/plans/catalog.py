@@ -1158,3 +1158,54 @@ def classifier_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classifier_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
     return CL.train_and_evaluate(classifier_data(spark, sf_dir))["confusion"]
+
+
+# ---------------------------------------------------------------------------
+# 8. Report lists: class distribution, extreme articles, record preview
+# ---------------------------------------------------------------------------
+
+@register("classifier_class_distribution", f"""
+WITH {SQL_CLS}
+SELECT 'original' AS kind, category AS class, count(*) AS count FROM m GROUP BY category
+UNION ALL SELECT 'mapped', label, count(*) FROM m GROUP BY label
+""")
+def classifier_class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class counts before and after the category mapping."""
+    d = classifier_data(spark, sf_dir)
+    orig = d.groupBy(F.col("category").alias("class")).agg(F.count(F.lit(1)).alias("count")).withColumn("kind", F.lit("original"))
+    mapped = d.groupBy(F.col("label").alias("class")).agg(F.count(F.lit(1)).alias("count")).withColumn("kind", F.lit("mapped"))
+    return orig.unionByName(mapped).select("kind", "class", "count")
+
+
+@register("report_extreme_articles", f"""
+WITH {SQL_ART},
+  p AS (SELECT 'positive' AS kind, row_number() OVER (ORDER BY sentiment_score DESC, source, article_index) AS rank,
+               source, doc_id, sentiment_score FROM art),
+  n AS (SELECT 'negative' AS kind, row_number() OVER (ORDER BY sentiment_score ASC, source, article_index) AS rank,
+               source, doc_id, sentiment_score FROM art)
+SELECT kind, rank, source, doc_id, round(sentiment_score, 6) AS sentiment_score FROM p WHERE rank <= 3
+UNION ALL SELECT kind, rank, source, doc_id, round(sentiment_score, 6) FROM n WHERE rank <= 3
+""")
+def report_extreme_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most positive and the three most negative articles (ties: source, index)."""
+    s = CC.article_sentiment(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    cols = ["source", "doc_id", F.round("sentiment_score", 6).alias("sentiment_score")]
+    pos = freq.top_k(s, 3, order=[F.col("sentiment_score").desc(), F.col("source"), F.col("article_index")])
+    neg = freq.top_k(s, 3, order=[F.col("sentiment_score").asc(), F.col("source"), F.col("article_index")])
+    return (pos.select(F.lit("positive").alias("kind"), F.col("rank").cast("long"), *cols)
+            .unionByName(neg.select(F.lit("negative").alias("kind"), F.col("rank").cast("long"), *cols)))
+
+
+@register("page_preview", f"""
+WITH {SQL_PAGES},
+  r AS (SELECT page_id, CASE WHEN body IS NULL THEN '{D.CONTENT_NOT_FOUND}' ELSE array_to_string(paras, chr(10) || chr(10)) END AS content FROM pp)
+SELECT page_id, replace(left(content, 300), chr(10), ' ') || CASE WHEN length(content) > 300 THEN '...' ELSE '' END AS preview
+FROM r ORDER BY page_id LIMIT 3
+""")
+def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First three records, content cut to 300 characters with newlines as blanks, '...' when longer."""
+    r = PG.extract_pages(table(spark, sf_dir, "pages"), url_rules=PAGE_RULES)
+    first = r.orderBy("page_id").limit(3)
+    prev = F.concat(F.replace(F.left("content", F.lit(300)), F.lit("\n"), F.lit(" ")),
+                    F.when(F.length("content") > 300, F.lit("...")).otherwise(F.lit("")))
+    return first.select("page_id", prev.alias("preview"))
