@@ -25,10 +25,13 @@ def read_json_array(spark: SparkSession, paths: str | Sequence[str], schema: str
     """Files holding one JSON array of objects each; ``ord`` keeps the order inside a file.
 
     ``file`` is the source path (for S2 labels). Order inside a file comes
-    from exploding the array, so it survives any re-partitioning.
+    from exploding the array, so it survives any re-partitioning. A JSON
+    array cannot be split, so each file is parsed by one task; many files
+    scan in parallel (JSON Lines is the splittable alternative).
     """
-    raw = (spark.read.option("wholetext", True).text(paths)
-           .select(F.col("value"), F.col("_metadata.file_path").alias("file")))
+    # file paths arrive URI-encoded ('%20'); '+' is kept literal before decoding
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    raw = spark.read.option("wholetext", True).text(paths).select(F.col("value"), path.alias("file"))
     arr = F.from_json("value", f"array<struct<{_struct_fields(schema)}>>")
     return raw.select("file", F.posexplode(arr).alias("ord", "r")).select("file", "ord", "r.*")
 
