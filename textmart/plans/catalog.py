@@ -787,7 +787,7 @@ SELECT source, stem, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY
 WHERE rank <= 20
 """)
 def source_top_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = CC.top_by_source(article_table(spark, sf_dir), "stems", 20, name="stem")
+    t = CC.top_stems_by_source(article_table(spark, sf_dir), 20)
     return t.select("source", "stem", "count", F.col("rank").cast("long"))
 
 
