@@ -238,3 +238,18 @@ def test_olap_cube_margins_count_jobs(spark):
     assert cube[(None, None, 3)] == 3           # all jobs once, not job-tag rows
     assert cube[("Senior", None, 1)] == 2
     assert cube[(None, "SQL", 2)] == 2
+
+
+def test_stop_word_table_joins_and_listing(spark):
+    from textmart.operators import joins, lexicon
+    toks = spark.createDataFrame([("the",), ("war",), ("peace",), ("war",)], "word string")
+    stops = spark.createDataFrame([("the",)], "w string")
+    assert sorted(r.word for r in joins.remove_stop_words(toks, stops).collect()) == ["peace", "war", "war"]
+    wl = spark.createDataFrame([("war",)], "w string")
+    assert [r.word for r in joins.keep_whitelist(toks, wl).collect()] == ["war", "war"]
+    lemmas = spark.createDataFrame([("війни", "війна", "NOUN")], "token string, lemma string, pos string")
+    docs = spark.createDataFrame([(1, ["війни", "мир"])], "doc_id long, tokens array<string>")
+    got = [(r.position, r.token, r.pos, r.lemma) for r in lexicon.token_listing(docs, lemmas).orderBy("position").collect()]
+    assert got == [(0, "війни", "NOUN", "війна"), (1, "мир", "UNKN", "мир")]
+    words = spark.createDataFrame([("україни",), ("україни",)], "word string")
+    assert [(r.word, r.lemma, r.stem) for r in lexicon.normalisation_table(words).collect()] == [("україни", "україни", "україн")]

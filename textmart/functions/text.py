@@ -31,7 +31,7 @@ def word_runs(text: str | Column, letters: str) -> Column:
 
 def drop_stop_words(tokens: Column, stop_words: Iterable[str] = (), *, min_len: int = 3,
                     drop_digits: bool = False) -> Column:
-    """Keep tokens of at least ``min_len`` characters that are not stop words (P10).
+    """Keep tokens of at least ``min_len`` characters that are not stop words.
 
     A literal list becomes a hash ``InSet`` test inside the lambda, so the whole
     filter stays in codegen; no join is needed for dictionaries of this size.

@@ -21,6 +21,8 @@ def bigram_measures(docs: DataFrame, *, tokens: str = "tokens", order: str = "do
                     min_count: int = 3, across_documents: bool = True) -> DataFrame:
     """(bigram, w1, w2, count, joint_prob, cond_prob, pmi) for bigrams with count >= min_count.
 
+    T3 ranks the result by count or by PMI (ties by bigram).
+
     Unigram totals are never filtered. Both marginal joins are keyed by word;
     the bigram side is pre-aggregated and filtered first, and AQE splits a
     skewed word (such as a very frequent first word) at run time.
@@ -47,7 +49,7 @@ def bigram_measures(docs: DataFrame, *, tokens: str = "tokens", order: str = "do
 
 def dispersion(positions: DataFrame, targets: DataFrame, *, word: str = "word", gpos: str = "gpos",
                bucket: int = GAP_BUCKET) -> DataFrame:
-    """M2: frequency, mean and population std of gaps, uniformity = 1 - cv/2 (0 when cv >= 2).
+    """M2 + W5: frequency, mean and population std of gaps, uniformity = 1 - cv/2 (0 when cv >= 2).
 
     ``targets`` is a bounded word list (for example a top-k result). A word's
     occurrences are split into position ranges: gaps inside a range come from

@@ -72,7 +72,7 @@ def keyword_mentions(df: DataFrame, text: str | Column, keywords: Sequence[str]
 
 
 def vocabulary_stats(tokens: DataFrame, *, by: Sequence[str] = (), word: str = "word") -> DataFrame:
-    """Tokens, distinct terms and type/token ratio (denominator at least 1)."""
+    """A9 + U3: tokens, distinct terms and type/token ratio (denominator at least 1)."""
     return tokens.groupBy(*by).agg(
         F.count(word).alias("tokens"),
         F.count_distinct(word).alias("unique_terms"),

@@ -65,3 +65,20 @@ def prefix_join(df: DataFrame, col: str, rules: DataFrame, *, key: str, prefix:
             .groupBy(key).agg(F.min_by(F.col(category), F.col(order)).alias("_cat")))
     return (df.join(cand, on=key, how="left")
             .withColumn(out, F.coalesce(F.col("_cat"), F.lit(default))).drop("_cat"))
+
+
+def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, *, word: str = "word",
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """J1 for a stop-word *table* (e.g. read from files): anti join, broadcast when the list is bounded.
+
+    Small literal lists are better applied as ``functions.text.drop_stop_words`` (hash set in codegen).
+    """
+    stops = stop_words.select(F.col(stop_words.columns[0]).alias(word)).distinct()
+    return tokens.join(bounded(stops, max_rows), on=word, how="left_anti")
+
+
+def keep_whitelist(tokens: DataFrame, whitelist: DataFrame, *, word: str = "word",
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Semi join with a term whitelist table."""
+    keep = whitelist.select(F.col(whitelist.columns[0]).alias(word)).distinct()
+    return tokens.join(bounded(keep, max_rows), on=word, how="left_semi")

@@ -74,3 +74,18 @@ def score_summary(articles: DataFrame, *, by: Sequence[str] = ("source",), score
 def row_index(df: DataFrame, *, by: Sequence[str], order: str, out: str = "article_index") -> DataFrame:
     """1-based index of a row inside its group, by an explicit order column."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+
+
+def token_listing(docs: DataFrame, lemma_dict: DataFrame | None = None, *, key: str = "doc_id",
+                  tokens: str = "tokens") -> DataFrame:
+    """one row per token ``(key, position, token, pos, lemma)`` in text order."""
+    rows = docs.select(key, F.posexplode(tokens).alias("position", "word"))
+    return lemmatize(rows, lemma_dict).select(key, "position", F.col("word").alias("token"), "pos", "lemma")
+
+
+def normalisation_table(words: DataFrame, lemma_dict: DataFrame | None = None, *, word: str = "word",
+                        stem_suffixes: Sequence[str] = D.STEM_SUFFIXES) -> DataFrame:
+    """Each distinct word side by side with its lemma and its stem."""
+    from textmart.functions.text import stem
+    vocab = words.select(word).distinct()
+    return lemmatize(vocab, lemma_dict, word=word).select(word, "lemma", stem(word, stem_suffixes).alias("stem"))

@@ -33,7 +33,7 @@ def enrich_jobs(jobs: DataFrame, *, title: str = "title", content: str = "conten
 
 
 def distributions(enriched: DataFrame) -> DataFrame:
-    """A4 + A5: ``(dimension, value, count, pct)`` for experience, technology, level and date.
+    """A4 + A5 (+ T8 ordering by years): ``(dimension, value, count, pct)`` for experience, technology, level and date.
 
     ``pct`` is count / number of jobs * 100 (technology shares can sum above
     100 because an ad has several tags).
