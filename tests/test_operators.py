@@ -253,3 +253,14 @@ def test_stop_word_table_joins_and_listing(spark):
     assert got == [(0, "війни", "NOUN", "війна"), (1, "мир", "UNKN", "мир")]
     words = spark.createDataFrame([("україни",), ("україни",)], "word string")
     assert [(r.word, r.lemma, r.stem) for r in lexicon.normalisation_table(words).collect()] == [("україни", "україни", "україн")]
+
+
+def test_row_numbers_match_window_row_number(spark):
+    from pyspark.sql import Window
+    from textmart.operators.tokens import row_numbers
+    rows = [(i % 3 if i % 4 else 0, (i * 37) % 101, i) for i in range(300)]  # class 0 is hot, keys repeat
+    df = spark.createDataFrame(rows, "g int, k long, id long")
+    got = {r.id: r.rn for r in row_numbers(df, by=["g"], order="k", tiebreak=["id"], out="rn", bucket=8).collect()}
+    w = Window.partitionBy("g").orderBy("k", "id")
+    exp = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+    assert got == exp

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart import dictionaries as D
@@ -72,8 +72,13 @@ def score_summary(articles: DataFrame, *, by: Sequence[str] = ("source",), score
 
 
 def row_index(df: DataFrame, *, by: Sequence[str], order: str, out: str = "article_index") -> DataFrame:
-    """1-based index of a row inside its group, by an explicit order column."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+    """1-based index of a row inside its group, by an explicit (numeric, unique) order column.
+
+    Numbered from ranges of the order column, so one very large source is not
+    sorted by a single task.
+    """
+    from textmart.operators.tokens import row_numbers
+    return row_numbers(df, by=by, order=order, out=out)
 
 
 def token_listing(docs: DataFrame, lemma_dict: DataFrame | None = None, *, key: str = "doc_id",

@@ -28,7 +28,7 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", *, keep: Sequence[str]
 
 
 def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[str] = (),
-                 offset: str = "offset", bucket: int = OFFSET_BUCKET) -> DataFrame:
+                 offset: str = "offset", bucket: int = OFFSET_BUCKET, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add the number of tokens of all earlier documents (per group) as ``offset``.
 
     Two-level prefix sum over a document-level table: documents are cut into
@@ -43,7 +43,7 @@ def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[st
     totals = d.groupBy(*g, "_rng").agg(F.sum(count).alias("_rng_n"))
     w_r = Window.partitionBy(*g).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*g, "_rng", F.coalesce(F.sum("_rng_n").over(w_r), F.lit(0)).alias("_rng_off"))
-    w_d = Window.partitionBy(*g, "_rng").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w_d = Window.partitionBy(*g, "_rng").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum(count).over(w_d), F.lit(0))
     out = d.withColumn("_in", inner).join(totals, on=[*g, "_rng"], how="inner")
     return out.withColumn(offset, (F.col("_rng_off") + F.col("_in")).cast("long")).drop("_rng", "_rng_off", "_in")
@@ -99,3 +99,17 @@ def positions(docs: DataFrame, *, tokens: str = "tokens", order: str = "doc_id",
     toks = docs.select(*g, *keep, order, tokens).join(offs, on=[*g, order])
     return toks.select(*g, *keep, order, "_off", F.posexplode(tokens).alias("pos", "word")).select(
         *g, *keep, order, "pos", "word", (F.col("_off") + F.col("pos")).alias("gpos"))
+
+
+def row_numbers(df: DataFrame, *, by: Sequence[str], order: str, tiebreak: Sequence[str] = (),
+                out: str = "row_number", bucket: int = OFFSET_BUCKET) -> DataFrame:
+    """1-based row number inside each group ``by`` in (``order``, ``tiebreak``) order.
+
+    Same result as ``row_number()`` over a window partitioned by ``by``, but
+    built from the two-level prefix sum, so a group holding a large share of
+    the rows is numbered by many tasks (one per range of ``order`` values).
+    ``order`` must be numeric.
+    """
+    one = df.withColumn("_one", F.lit(1))
+    r = with_offsets(one, order=order, count="_one", groups=by, offset="_off", bucket=bucket, tiebreak=tiebreak)
+    return r.withColumn(out, (F.col("_off") + 1).cast("long")).drop("_one", "_off")
