@@ -49,24 +49,25 @@ def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[st
     return out.withColumn(offset, (F.col("_rng_off") + F.col("_in")).cast("long")).drop("_rng", "_rng_off", "_in")
 
 
-def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str = "doc_id",
+def ngram_table(docs: DataFrame, n: int | Sequence[int], *, tokens: str = "tokens", order: str = "doc_id",
                 groups: Sequence[str] = (), across_documents: bool = True,
                 gram: str = "gram") -> DataFrame:
-    """All ``n``-grams of the token stream as rows ``(*groups, gram)``.
-
-    Grams inside a document come from its array (no shuffle). With
-    ``across_documents`` the grams that straddle document ends of the
-    concatenated stream (per group, in ``order``) are added: each document
-    contributes only its first and last n-1 tokens (a document-level table),
-    which are placed by running offsets and joined on position.
+    """All ``n``-grams (one n or several) of the token stream as rows ``(*groups, gram)``.
+
+    Grams inside a document come from its array: one ``explode`` of the
+    concatenated 1..n-gram arrays, no shuffle. With ``across_documents`` the
+    grams that straddle document ends of the concatenated stream (per group,
+    in ``order``) are added: each document contributes only its first and
+    last n-1 tokens (a document-level table), which are placed by running
+    offsets and joined on position.
     """
     g = list(groups)
-    if n == 1:
-        return docs.select(*g, F.explode(tokens).alias(gram))
-    inner = docs.select(*g, F.explode(_array_ngrams(F.col(tokens), n)).alias(gram))
-    if not across_documents:
+    ns = sorted({n} if isinstance(n, int) else set(n))
+    arrays = [F.col(tokens) if m == 1 else _array_ngrams(F.col(tokens), m) for m in ns]
+    inner = docs.select(*g, F.explode(arrays[0] if len(arrays) == 1 else F.concat(*arrays)).alias(gram))
+    if not across_documents or ns[-1] < 2:
         return inner
-    k = n - 1
+    k = ns[-1] - 1
     size = F.size(tokens)
     edges = F.filter(F.transform(tokens, lambda w, i: F.struct(i.alias("p"), w.alias("w"))),
                      lambda e: (e["p"] < k) | (e["p"] >= size - k))
@@ -74,15 +75,18 @@ def ngram_table(docs: DataFrame, n: int, *, tokens: str = "tokens", order: str =
     bnd = with_offsets(bnd, order=order, count="_n", groups=g, offset="_off")
     edge = bnd.select(*g, "_off", "_n", F.inline("_e")).select(
         *g, (F.col("_off") + F.col("p")).alias("_g"), F.col("w").alias("_w"), F.col("p").alias("_p"), "_n")
-    starts = edge.where(F.col("_p") >= F.col("_n") - k).select(*g, "_g", F.col("_w").alias("_w0"))
-    words = [F.col("_w0")]
-    cur = starts
-    for j in range(1, n):
-        nxt = edge.select(*g, (F.col("_g") - j).alias("_g"), F.col("_w").alias(f"_w{j}"))
-        cur = cur.join(nxt, on=[*g, "_g"], how="inner")
-        words.append(F.col(f"_w{j}"))
-    cross = cur.select(*g, F.concat_ws(" ", *words).alias(gram))
-    return inner.unionByName(cross)
+    out = inner
+    for m in ns:
+        if m < 2:
+            continue
+        starts = edge.where(F.col("_p") >= F.col("_n") - (m - 1)).select(*g, "_g", F.col("_w").alias("_w0"))
+        cur, words = starts, [F.col("_w0")]
+        for j in range(1, m):
+            nxt = edge.select(*g, (F.col("_g") - j).alias("_g"), F.col("_w").alias(f"_w{j}"))
+            cur = cur.join(nxt, on=[*g, "_g"], how="inner")
+            words.append(F.col(f"_w{j}"))
+        out = out.unionByName(cur.select(*g, F.concat_ws(" ", *words).alias(gram)))
+    return out
 
 
 def positions(docs: DataFrame, *, tokens: str = "tokens", order: str = "doc_id",
