@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmart.operators.tokens import ngram_table
+from textmart.session import cut_lineage
 
 # Width of the position ranges that split one word's occurrences over tasks.
 GAP_BUCKET = 1 << 22
@@ -28,8 +29,9 @@ def bigram_measures(docs: DataFrame, *, tokens: str = "tokens", order: str = "do
     skewed word (such as a very frequent first word) at run time.
     """
     words = docs.select(F.explode(tokens).alias("w"))
-    uni = words.groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    n_words = docs.select(F.sum(F.size(tokens))).scalar()
+    # unigram counts feed N and both marginal joins: materialise once (reliable checkpoint)
+    uni = cut_lineage(words.groupBy("w").agg(F.count(F.lit(1)).alias("c")))
+    n_words = uni.select(F.sum("c")).scalar()
     bi = (ngram_table(docs, 2, tokens=tokens, order=order, across_documents=across_documents, gram="bigram")
           .groupBy("bigram").agg(F.count(F.lit(1)).alias("count"))
           .where(F.col("count") >= min_count))
