@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,7 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, *, fmt: str = "parquet") -> DataFrame:
+    """Materialise ``df`` once as a table in the shared checkpoint folder and read it back.
+
+    Used for intermediates that several branches of a job consume: they are
+    computed once, survive executor loss (the files are on shared storage) and
+    are read back as a columnar table (column pruning, codegen). ``fmt=None``
+    uses ``DataFrame.checkpoint`` instead.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if fmt is None:
+        return df.checkpoint(eager=True)
+    path = f"{base.rstrip('/')}/textmart-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
