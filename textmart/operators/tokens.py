@@ -32,11 +32,10 @@ def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[st
     """Add the number of tokens of all earlier documents (per group) as ``offset``.
 
     Two-level prefix sum over a document-level table: documents are cut into
-    ranges of ``bucket`` order keys and hash-partitioned by (groups, range)
-    once; range totals (a table ``bucket`` times smaller than the corpus) get
-    a running sum, and each range adds its own running sum in a window over
-    that same partitioning. No task ever holds more than one range, and the
-    one exchange is shared by both uses (exchange reuse).
+    ranges of ``bucket`` order keys and hash-partitioned by (groups, range);
+    range totals (a table ``bucket`` times smaller than the corpus) get a
+    running sum, and each range adds its own running sum in a window over
+    that partitioning. No task ever holds more than one range.
     """
     g = list(groups)
     d = docs.withColumn("_rng", F.floor(F.col(order) / F.lit(bucket)).cast("long")).repartition(*g, "_rng")
