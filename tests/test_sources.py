@@ -93,3 +93,23 @@ def test_streaming_counts_match_batch(spark):
     exp = {(str(r.date), r.period, r.word): r.freq
            for r in timeline.top_per_period(timeline.with_day_period(batch), 100).collect()}
     assert got == exp
+
+
+def test_csv_sink_roundtrip_fixed_order(spark):
+    out = os.path.join(scratch(), "summary")
+    df = spark.createDataFrame([("Rbc", 120, 0.212427)], "source string, articles long, ttr_lemma double")
+    files.write_csv(df, out, ["articles", "source", "ttr_lemma"])
+    back = files.read_csv(spark, out)
+    assert back.columns == ["articles", "source", "ttr_lemma"] and back.first()["source"] == "Rbc"
+
+
+def test_review_cap_order_and_share(spark):
+    from textmart.operators import freq
+    reviews = spark.createDataFrame([("p1", i, i % 5) for i in range(10)] + [("p2", 20, 0)],
+                                    "product string, ord long, stars int")
+    capped = RV.cap_per_product(reviews, 3)
+    assert sorted((r.product, r.ord) for r in capped.collect()) == [("p1", 0), ("p1", 1), ("p1", 2), ("p2", 20)]
+    summary = spark.createDataFrame([("a", None), ("b", 4.5), ("c", 3.0)], "product string, avg_stars double")
+    assert [r.product for r in RV.order_products(summary).collect()] == ["b", "c", "a"]
+    shares = freq.share_of_total(spark.createDataFrame([("x", 1), ("y", 3)], "k string, n long"), "n")
+    assert {r.k: r.pct for r in shares.collect()} == {"x": 25.0, "y": 75.0}
