@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmart import dictionaries as D
 from textmart.functions import rules as R
 
 

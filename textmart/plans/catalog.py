@@ -137,7 +137,7 @@ def vocabulary_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 from textmart.operators import colloc, tfidf  # noqa: E402
-from textmart.operators.tokens import ngram_table, positions  # noqa: E402
+from textmart.operators.tokens import positions  # noqa: E402
 
 SQL_DOC_TOKENS = f"SELECT doc_id, source, {SQL_TOKENS} AS toks FROM documents"
 SQL_CORPUS_TFIDF = f"""
