@@ -1209,3 +1209,31 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     prev = F.concat(F.replace(F.left("content", F.lit(300)), F.lit("\n"), F.lit(" ")),
                     F.when(F.length("content") > 300, F.lit("...")).otherwise(F.lit("")))
     return first.select("page_id", prev.alias("preview"))
+
+
+# ---------------------------------------------------------------------------
+# 9. Token listing and vocabulary normalisation
+# ---------------------------------------------------------------------------
+
+from textmart.operators import lexicon  # noqa: E402
+
+
+@register("token_listing", f"""
+WITH d AS ({SQL_DOC_TOKENS}),
+  u AS (SELECT doc_id, generate_subscripts(toks, 1) - 1 AS position, unnest(toks) AS token FROM d)
+SELECT doc_id, position, token, 'UNKN' AS pos, token AS lemma FROM u
+""")
+def token_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(token, part of speech, lemma) rows in text order (no dictionary: POS UNKN, lemma = token)."""
+    t = lexicon.token_listing(doc_tokens(spark, sf_dir, "doc_id"))
+    return t.select("doc_id", F.col("position").cast("long"), "token", "pos", "lemma")
+
+
+@register("vocabulary_normalisation", f"""
+WITH t AS (SELECT DISTINCT unnest({SQL_TOKENS}) AS word FROM documents)
+SELECT word, word AS lemma, {_sql_stem('word')} AS stem FROM t
+""")
+def vocabulary_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct word with its lemma and its stem."""
+    words = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("word"))
+    return lexicon.normalisation_table(words)
