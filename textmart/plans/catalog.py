@@ -8,6 +8,7 @@ dictionaries as the Spark side, so both use identical literals.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import freq
+from textmart.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,15 +41,26 @@ def register(name: str, sql: str | None = None):
 TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
+# Spread copies of single-file text tables, per Spark application.
+_SPREAD: dict[tuple[str, str], str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = True) -> DataFrame:
     """A test table. A text table stored as one single-row-group file can only be
-    read by one task; it is hash-spread over the cores by its key so that the
-    regex work is parallel. Tables made of many files (the normal case on a
-    cluster) are used as read."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    read by one task; it is rewritten once per application (hash-spread by its
+    key into several files in the checkpoint folder) and every query reads that
+    copy in parallel. Tables made of many files (the normal case on a cluster)
+    are used as read."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
     key = TEXT_TABLE_KEYS.get(name)
     if spread and key and len(df.inputFiles()) == 1:
-        df = df.repartition(key)
+        memo = (spark.sparkContext.applicationId, path)
+        if memo not in _SPREAD:
+            out = f"{checkpoint_dir(spark).rstrip('/')}/spread-{name}-{uuid.uuid4().hex}"
+            df.repartition(2 * spark.sparkContext.defaultParallelism, key).write.parquet(out)
+            _SPREAD[memo] = out
+        df = spark.read.parquet(_SPREAD[memo])
     return df
 
 
