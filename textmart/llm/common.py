@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmart.session import cut_lineage
@@ -63,26 +64,60 @@ def pair_units(rows: DataFrame, key: str, value: str, block: int) -> DataFrame:
             .drop("key_rows", "parts", "other"))
 
 
-def forest(n: int, left, right) -> list[tuple[int, int]]:
-    """Edges (member, smallest member of its component) of the graph on ``range(n)``; components of one are left out."""
-    parent = list(range(n))
-    for a, b in zip(left, right, strict=True):
-        while parent[a] != a:
-            parent[a] = parent[parent[a]]
-            a = parent[a]
-        while parent[b] != b:
-            parent[b] = parent[parent[b]]
-            b = parent[b]
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    out = []
-    for x in range(n):
-        r = x
-        while parent[r] != r:
-            r = parent[r]
-        if r != x:
-            out.append((x, r))
-    return out
+def roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of ``range(n)`` the smallest member of its component under the links (left, right)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        # a label that was lowered lowers what points to it
+        np.minimum.at(new, label, new.copy())
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
+
+
+def pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs i < j of equal values in the sorted array ``group``."""
+    n = len(group)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    ends = np.searchsorted(group, group, side="right")
+    later = ends - np.arange(n) - 1
+    i = np.repeat(np.arange(n), later)
+    first = np.repeat(np.cumsum(later) - later, later)
+    return i, i + 1 + np.arange(len(i)) - first
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches that are sorted by ``keys``; about ``rows`` rows, or one group if that is larger."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(t: pa.Table) -> int:
+        """Start of the last group."""
+        at = 0
+        for k in keys:
+            c = t.column(k).combine_chunks().to_numpy(zero_copy_only=False)
+            differ = np.flatnonzero(c != c[-1])
+            at = max(at, differ[-1] + 1 if len(differ) else 0)
+        return int(at)
+
+    n = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            piece = batch.slice(at, rows)
+            held.append(piece)
+            n += piece.num_rows
+            if n >= rows:
+                t = pa.Table.from_batches(held)
+                if k := cut(t):
+                    yield t.slice(0, k)
+                    held, n = t.slice(k).combine_chunks().to_batches(), t.num_rows - k
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
@@ -101,9 +136,7 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         up = now.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        # nodes whose lower neighbour is not their smallest get linked through that neighbour's minimum as well
-        own = low.filter("m < a").select("a", F.col("m").alias("b"))
-        now = cut_lineage(up.union(own).filter("a <> b").distinct())
+        now = cut_lineage(up.filter("a <> b").distinct())
         # small-star: the smaller neighbours of a node, and the node, are linked to the smallest of them
         low = now.groupBy("a").agg(F.min("b").alias("m"))
         down = now.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -114,6 +147,3 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
         seen = tuple(stats)
     raise RuntimeError("components did not settle")
 
-
-def least_by(*cols: Column | str) -> Column:
-    return F.min(F.struct(*cols))

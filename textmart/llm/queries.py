@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmart.llm.common import table
 
@@ -26,3 +27,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.llm.sentencepiece_codec import encode_texts
 
     return encode_texts(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@register("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
