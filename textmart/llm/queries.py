@@ -35,3 +35,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op9_secrets")
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.secrets import find_secrets, span_text, train
+
+    docs = table(spark, sf_dir, "documents")
+    found, spans = find_secrets(docs, train(docs)), F.col("spans")
+    count = lambda kind: F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(span_text(spans, base_only=True), 256).alias("base_sha256"), span_text(spans, base_only=False).alias("spans"),
+        count("model").alias("n_model"))
