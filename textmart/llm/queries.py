@@ -48,3 +48,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(span_text(spans, base_only=True), 256).alias("base_sha256"), span_text(spans, base_only=False).alias("spans"),
         count("model").alias("n_model"))
+
+
+@register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.langid import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "n_symbols", "rejected")
