@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import decontam
+from textmart.llm import decontam, url_filter
 from textmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_decontamination", decontam.duck_sql())
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_url_filter", url_filter.duck_sql())
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by the quality of the document whose number ends its path."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), "([0-9]+)[^0-9/]*/?$", 1).try_cast("long")
+    pages = pages.withColumn("doc_id", number).join(labels, "doc_id", "left")
+    return url_filter.judge(pages, label_col="good")
