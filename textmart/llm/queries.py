@@ -73,3 +73,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.regexp_extract(url_filter.path_of(F.col("url")), "([0-9]+)[^0-9/]*/?$", 1).try_cast("long")
     pages = pages.withColumn("doc_id", number).join(labels, "doc_id", "left")
     return url_filter.judge(pages, label_col="good")
+
+
+@register("op8_html_text")
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.html_extract import extract, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
