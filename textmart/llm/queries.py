@@ -81,3 +81,12 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages")
     return extract(pages, train(pages))
+
+
+@register("op6_chunk_dedup")
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.chunk_dedup import deduplicate
+
+    found = deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_chunks", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
