@@ -90,3 +90,24 @@ def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_chunks", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                         F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+
+@register("op1_embedding_dedup", EMBEDDING_SQL)
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.embed_dedup import fit, near_duplicates
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return near_duplicates(vectors, fit(vectors, threshold=0.93), threshold=0.93)
