@@ -111,3 +111,11 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return near_duplicates(vectors, fit(vectors, threshold=0.93), threshold=0.93)
+
+
+@register("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.suffix_dedup import deduplicate
+
+    found = deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
