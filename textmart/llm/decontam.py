@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmart.session import cut_lineage
+
 WINDOW = 5
 #: Windows with fewer literal words than this say too little and are not used.
 LITERALS = 3
@@ -109,7 +111,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     # the slots of a window: value of the item and value of the document under each placeholder
     slots = F.expr("filter(transform(sequence(0, size(canon) - 1), k -> struct(get(canon, k) as kind, get(item_words, k) as mine, "
                    "lower(rtrim('.!?', get(raw, k))) as theirs)), x -> x.kind in ('#', '%', '@'))")
-    met = met.select("id", "item", "at", slots.alias("slots")).distinct()
+    # both the votes and the windows they decide on read this: the corpus is scanned once
+    met = cut_lineage(met.select("id", "item", "at", slots.alias("slots")).distinct())
     filled = met.select("id", "item", "at", F.explode("slots").alias("s")).select("id", "item", "at", "s.kind", "s.mine", "s.theirs")
     votes = filled.groupBy("id", "item", "kind", "mine", "theirs").agg(F.countDistinct("at").alias("n"))
     chosen = votes.groupBy("id", "item", "kind", "mine").agg(F.max_by("theirs", F.struct("n", "theirs")).alias("chosen"))
