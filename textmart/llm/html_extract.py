@@ -296,6 +296,13 @@ def layout(rng: random.Random, words: list[str]) -> str:
     para = lambda: " ".join(sentence(4, 18) for _ in range(rng.randint(1, 8)))
     anon = rng.random() < 0.2
 
+    def body_text() -> str:
+        """A paragraph of main text, often with links and emphasis inside."""
+        text = para()
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2, 3])):
+            text = text.replace(" ", rng.choice([f' <a href="/{rng.choice(words)}">{say(1, 4)}</a> ', f" <strong>{say(1, 3)}</strong> ", f" &amp; {say(1, 2)}, ", " &quot;"]), 1) if rng.random() < 0.5 else f"{text} {say(1, 6)} <a href=x>{say(1, 3)}</a>."
+        return text
+
     def box(group: str, tags: str, inner: str) -> str:
         tag = rng.choice(tags.split())
         name = rng.choice(TOKENS[TOKEN_GROUP[group]].split("|"))
@@ -323,17 +330,17 @@ def layout(rng: random.Random, words: list[str]) -> str:
     for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14])):
         kind = rng.random()
         if kind < 0.7:
-            blocks.append(f"<p>{MAIN_MARK}{rng.choice(['', '<b>', '<em>'])}{para()}" + rng.choice(["</p>", "</p>", "", "<br></p>", "<br>"]))
+            blocks.append(f"<p>{MAIN_MARK}{rng.choice(['', '<b>', '<em>'])}{body_text()}" + rng.choice(["</p>", "</p>", "", "<br></p>", "<br>"]))
         elif kind < 0.78:
             blocks.append(f"<{(h := rng.choice(['h2', 'h3']))}>{MAIN_MARK}{say(1, 8)}</{h}>")
         elif kind < 0.85:
             blocks.append("<ul>" + "".join(f"<li>{MAIN_MARK}{say(2, 14)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
         elif kind < 0.9:
-            blocks.append(f"<blockquote><p>{MAIN_MARK}{para()}</p></blockquote>" if rng.random() < 0.5 else f"<pre>{MAIN_MARK}{para()}</pre>")
+            blocks.append(f"<blockquote><p>{MAIN_MARK}{body_text()}</p></blockquote>" if rng.random() < 0.5 else f"<pre>{MAIN_MARK}{para()}</pre>")
         elif kind < 0.93:
             blocks.append("<table>" + "".join(f"<tr><td>{MAIN_MARK}{say(1, 4)}</td><td>{MAIN_MARK}{say(1, 4)}</td></tr>" for _ in range(rng.randint(1, 4))) + "</table>")
         else:
-            blocks.append(f"<div>{MAIN_MARK}{para()}</div>")
+            blocks.append(f"<div>{MAIN_MARK}{body_text()}</div>")
         if rng.random() < 0.12:
             blocks.append(rng.choice([advert, share, related, form, notice])())
     if rng.random() < 0.2:
