@@ -35,6 +35,7 @@ def steps(batches: Iterable[pa.RecordBatch], key: int = 0, text: int = 1,
                 n += len(t or "")
         if ids:
             yield ids, texts
+        pa.default_memory_pool().release_unused()  # workers are reused: what a batch took is given back
 
 
 def arrow_map(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *, arrow: pa.Schema) -> DataFrame:

@@ -204,8 +204,8 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     return model
 
 
-def identify(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(<id_col>, lang_pred, score, cross_entropy, n_symbols, rejected)`` for every row.
+def identify(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``(<id_col>, lang_pred, score, cross_entropy, n_symbols, rejected)`` for every row, and ``text`` with ``keep_text``.
 
     ``lang_pred`` is a learned language, ``und`` (score 0, rejected) for a null text or one without a letter, and ``und``
     throughout if nothing was learned (then only texts without a letter are rejected). Ties go to the first language by
@@ -220,7 +220,8 @@ def identify(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_
         for ids, texts in steps(batches):
             lang, score, h, n, rejected = model.predict(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_type), pa.array(lang), pa.array(score), pa.array(h), pa.array(n), pa.array(rejected)],
-                names=[id_col, "lang_pred", "score", "cross_entropy", "n_symbols", "rejected"])
+                [pa.array(ids, id_type), pa.array(lang), pa.array(score), pa.array(h), pa.array(n), pa.array(rejected), *([pa.array(texts, pa.string())] if keep_text else [])],
+                names=[id_col, "lang_pred", "score", "cross_entropy", "n_symbols", "rejected", *(["text"] if keep_text else [])])
 
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, n_symbols long, rejected boolean")
+    return narrow.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, n_symbols long, rejected boolean"
+                             + ", text string" * keep_text)

@@ -21,7 +21,7 @@ from textmart.llm.common import steps
 
 MARK = "▁"
 #: Distinct chunks that a task's table holds before it starts anew; longer chunks than LONG characters are not kept.
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 60_000
 LONG = 64
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
