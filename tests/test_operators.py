@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textmart.operators import colloc, freq, olap, tfidf, timeline, trend
-from textmart.operators.tokens import ngram_table, positions, with_offsets
+from textmart.operators import classify, colloc, freq, lexicon, olap, tfidf, timeline, trend
+from textmart.operators.joins import prefix_join
+from textmart.operators.tokens import exact_median, ngram_table, positions, row_numbers, with_offsets
+from textmart.plans import topics
 
 random.seed(7)
 VOCAB = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
@@ -31,7 +33,7 @@ def df_of(spark, docs):
 def test_with_offsets_small_bucket(spark):
     docs = corpus()
     d = df_of(spark, docs).select("source", "doc_id", F.size("tokens").alias("n"))
-    got = {r.doc_id: r.offset for r in with_offsets(d, order="doc_id", count="n", groups=["source"], bucket=4).collect()}
+    got = {r.doc_id: r.offset for r in with_offsets(d, order="doc_id", count="n", groups=["source"], ranges=4).collect()}
     run = Counter()
     for doc_id, g, toks in sorted(docs):
         assert got[doc_id] == run[g]
@@ -129,7 +131,7 @@ def test_grouped_tfidf_and_cosine(spark):
     assert set(got) == set(exp)
     for k in exp:
         assert math.isclose(got[k], exp[k], rel_tol=1e-9)
-    sim = {(r.source_a, r.source_b): r.cosine_similarity for r in tfidf.pairwise_cosine(vec, unit="source", block=2).collect()}
+    sim = {(r.source_a, r.source_b): r.cosine_similarity for r in tfidf.pairwise_cosine(vec, unit="source", min_similarity=1e-6).collect()}
     for i, a in enumerate(groups):
         for b in groups[i + 1:]:
             dot = sum(exp[(a, t)] * exp.get((b, t), 0.0) for (g, t) in exp if g == a)
@@ -154,7 +156,7 @@ def test_topic_scores_closed_form_equals_refit(spark):
             vecs.append({w: x / norm for w, x in v.items()})
         for j, name in enumerate(topics):
             exp = sum(vecs[0].get(w, 0) * x for w, x in vecs[j + 1].items())
-            assert math.isclose(got[(i, name)], exp, abs_tol=1e-12), (i, name)
+            assert math.isclose(got.get((i, name), 0.0), exp, abs_tol=1e-12), (i, name)
 
 
 def test_forecast_golden(spark):
@@ -260,7 +262,119 @@ def test_row_numbers_match_window_row_number(spark):
     from textmart.operators.tokens import row_numbers
     rows = [(i % 3 if i % 4 else 0, (i * 37) % 101, i) for i in range(300)]  # class 0 is hot, keys repeat
     df = spark.createDataFrame(rows, "g int, k long, id long")
-    got = {r.id: r.rn for r in row_numbers(df, by=["g"], order="k", tiebreak=["id"], out="rn", bucket=8).collect()}
+    got = {r.id: r.rn for r in row_numbers(df, by=["g"], order="k", tiebreak=["id"], out="rn", ranges=8).collect()}
     w = Window.partitionBy("g").orderBy("k", "id")
     exp = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
     assert got == exp
+
+
+@pytest.mark.parametrize("keys", [
+    [3 * 10 ** 17 * k for k in range(-20, 25)],  # sparse 64-bit, negative and positive
+    [*range(1000, 1030), *range(10 ** 15, 10 ** 15 + 15)],  # clustered
+    list(range(-40, 5)),
+])
+def test_offsets_and_row_numbers_for_any_keys(spark, keys):
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["a", "a", "a", "b", None]), rng.randint(0, 5)) for k in keys]
+    df = spark.createDataFrame(rows, "k long, g string, n int")
+    for ranges in (2, 7, 512):
+        got = {r.k: r.offset for r in with_offsets(df, order="k", count="n", ranges=ranges).collect()}
+        run = 0
+        for k, _, n in sorted(rows, key=lambda r: r[0]):
+            assert got[k] == run
+            run += n
+        got = {r.k: (r.g, r.rn) for r in row_numbers(df, by=["g"], order="k", out="rn", ranges=ranges).collect()}
+        seen = Counter()
+        for k, g, _ in sorted(rows, key=lambda r: r[0]):
+            seen[g] += 1
+            assert got[k] == (g, seen[g])
+
+
+def test_ranges_are_balanced_for_clustered_keys(spark):
+    df = spark.range(5000).select((F.col("id") * F.col("id") * F.col("id")).alias("k"), F.lit(1).alias("n"))
+    p = with_offsets(df, order="k", count="n", ranges=16)
+    assert p.agg(F.max("offset")).first()[0] == 4999
+    assert with_offsets(df.limit(0), order="k", count="n").count() == 0
+
+
+def test_exact_median(spark):
+    rng = random.Random(9)
+    rows = [(g, rng.choice([0.0, 0.0, rng.random()])) for g in ("a", "b", None) for _ in range(rng.randint(5, 60))] + [("one", 3.5), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in exact_median(df, "v", by=["g"]).collect()}
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert got == {g: pytest.approx(float(np.median(v))) for g, v in groups.items()}
+
+
+def test_similarity_of_several_hundred_sources(spark):
+    rng = random.Random(12)
+    names = [f"s{k}" for k in range(300)] + ["a`b", "it's \"q\"", None, ""]
+    rows = []
+    for k, s in enumerate(names):
+        terms = {f"t{(k * 7 + j * j) % 500}": rng.random() for j in range(12)} | {"common": 0.3}
+        if k % 50 == 1:
+            terms = {t: w for _, t, w in rows[-13:]}
+        norm = math.sqrt(sum(w * w for w in terms.values()))
+        rows += [(s, t, w / norm) for t, w in terms.items()]
+    vec = spark.createDataFrame(rows, "source string, term string, tfidf double")
+    got = {(r.source_a, r.source_b): r.cosine_similarity for r in tfidf.pairwise_cosine(vec, unit="source", min_similarity=0.4).collect()}
+    by = {}
+    for s, t, w in rows:
+        by.setdefault(s, {})[t] = w
+    known = sorted(s for s in by if s is not None)
+    want = {}
+    for i, a in enumerate(known):
+        for b in known[i + 1:]:
+            dot = sum(w * by[b].get(t, 0.0) for t, w in by[a].items())
+            if dot >= 0.4:
+                want[(a, b)] = pytest.approx(dot)
+    assert len(want) > 5 and got == want
+
+
+def test_prefix_rules_of_any_length(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, "ab"), (3, "x"), (4, ""), (5, None)], "id long, v string")
+    rules = spark.createDataFrame([(0, "abc", "long"), (1, "ab", "short"), (2, "", "any")], "ord int, prefix string, category string")
+    got = {r.id: r.category for r in prefix_join(df, "v", rules, key="id").collect()}
+    assert got == {1: "long", 2: "short", 3: "any", 4: "any", 5: "other"}
+
+
+def test_lemmas_and_parts_of_speech(spark):
+    d = spark.createDataFrame([("cats", "cat", "NOUN"), ("ran", "run", "VERB"), ("cats", "zcat", "X"), ("at", "at", "ADP")], "token string, lemma string, pos string")
+    docs = spark.createDataFrame([("a", 1, ["cats", "ran", "home", "cats"]), ("b", 1, ["at", "ran"]), (None, 2, [])], "source string, doc_id long, tokens array<string>")
+    got = {(r.source, r.doc_id): r.tokens for r in lexicon.lemmatize_arrays(docs, d, key=["source", "doc_id"]).collect()}
+    assert got == {("a", 1): ["cat", "run", "home", "cat"], ("b", 1): ["at", "run"], (None, 2): []}
+    kept = {r.source: r.tokens for r in lexicon.lemmatize_arrays(docs, d, key=["source", "doc_id"], keep_pos=["NOUN", "VERB"], min_len=3).collect()}
+    assert kept == {"a": ["cat", "run", "cat"], "b": ["run"], None: []}
+
+
+def test_texts_without_a_profile_are_unknown(spark):
+    prof = spark.createDataFrame([("t0", 0, "en", ["alpha", "beta"]), ("t1", 1, "en", ["gamma"])], "topic_id string, topic_ord int, lang string, keywords array<string>")
+    texts = spark.createDataFrame([(1, "alpha beta words"), (2, "слово мова"), (3, "nothing shared"), (4, None)], "text_id long, text string")
+    ranked, best = topics.classify(texts, prof)
+    assert {r.text_id: r.topic for r in best.collect()} == {1: "t0", 2: "unknown", 3: "unknown", 4: "unknown"}
+    assert [(r.text_id, r.topic_id, r["rank"]) for r in ranked.collect()] == [(1, "t0", 1)]
+
+
+def test_confusion_has_zero_cells_and_best_model_ties(spark):
+    df = spark.createDataFrame([("x", "x"), ("x", "y"), ("z", "x")], "label string, predicted_label string")
+    got = {(r.label, r.predicted_label): r.n for r in classify.confusion(df).collect()}
+    assert len(got) == 9 and got[("x", "x")] == got[("x", "y")] == got[("z", "x")] == 1 and sum(got.values()) == 3
+    res = spark.createDataFrame([("b", 0.5), ("a", 0.5), (classify.MODEL_NAMES[2], 0.5), ("c", 0.4)], "model string, accuracy double")
+    assert classify.pick_best(res).first().model == classify.MODEL_NAMES[2]
+    assert classify.pick_best(res, order=[]).first().model == classify.MODEL_NAMES[2]
+
+
+def test_vectors_are_packed_without_python_and_can_be_fitted(spark):
+    from pyspark.ml.classification import NaiveBayes
+
+    docs = spark.createDataFrame([(k, float(k % 2)) for k in range(20)], "doc_id long, label_index double")
+    feats = spark.createDataFrame([(k, "t", j, 1.0 + j) for k in range(19) for j in ((0, 2) if k % 2 else (1,))], "doc_id long, term string, feature int, weight double")
+    vec = classify.to_vectors(feats, docs, 3)
+    rows = {r.doc_id: r.features for r in vec.collect()}
+    assert rows[1].toArray().tolist() == [1.0, 0.0, 3.0] and rows[19].toArray().tolist() == [0.0, 0.0, 0.0]
+    assert "Python" not in vec._jdf.queryExecution().executedPlan().toString()
+    model = NaiveBayes(labelCol="label_index").fit(vec)
+    assert model.transform(vec).filter("prediction = label_index").count() >= 19

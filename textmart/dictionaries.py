@@ -111,6 +111,9 @@ EXPERIENCE_PATTERN = r"(\d+)\+?\s*(?:years?|років|роки|рік)"
 EXPERIENCE_CAP = 10
 EXPERIENCE_BANDS = ["0 (Junior)", "1-2 років", "3-4 років", "5+ років"]
 
+# Parts of speech that the topic classifier keeps when lemmas come from a dictionary.
+TOPIC_POS = ["NOUN", "VERB", "ADJ", "PROPN"]
+
 # Emotion labels, decision thresholds and tonality groups.
 EMOTION_LABELS = ["Joy", "Fear", "Anger", "Sadness", "Disgust", "Surprise", "None"]
 EMOTION_THRESHOLDS = {

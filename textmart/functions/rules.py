@@ -43,17 +43,14 @@ def period_order(period: str | Column, names: Sequence[str] = D.PERIODS) -> Colu
 
 
 def experience_years(content: str | Column, *, pattern: str = D.EXPERIENCE_PATTERN,
-                     cap: int = D.EXPERIENCE_CAP) -> Column:
-    """number before "years"/"років"... (first match), capped; 0 when absent.
+                     cap: int | None = None) -> Column:
+    """number before "years"/"років"... (first match); 0 when absent or not a 64-bit number.
 
-    The digit string is compared without converting huge values: after leading
-    zeros are removed, more than two digits always means "over the cap".
+    ``cap`` (``D.EXPERIENCE_CAP`` in the original) limits the value; without it values are kept as written.
     """
     m = F.regexp_extract(_lower(content), "(?U)" + pattern, 1)
-    digits = F.regexp_replace(m, r"^0+(?=\d)", "")
-    capped = F.when(F.length(digits) > 2, F.lit(cap)).otherwise(
-        F.least(digits.try_cast("int"), F.lit(cap)))
-    return F.when(m == "", F.lit(0)).otherwise(F.coalesce(capped, F.lit(cap))).cast("int")
+    years = F.coalesce(m.try_cast("long"), F.lit(0))
+    return years if cap is None else F.least(years, F.lit(cap))
 
 
 def technologies(content: str | Column, keywords: Mapping[str, Sequence[str]] = D.TECH_KEYWORDS) -> Column:
@@ -120,11 +117,13 @@ def iso_from_date_and_clock(date: str | Column, clock: str | Column, *, offset:
 
 def analyst_job(title: str | Column, content: str | Column, *,
                 title_keywords: Sequence[str] = D.ANALYST_KEYWORDS,
-                content_phrase: str = "data analyst", prefix_chars: int = 500) -> Column:
-    """A title keyword, or the phrase within the first ``prefix_chars`` characters of content."""
+                content_phrase: str = "data analyst", prefix_chars: int | None = None) -> Column:
+    """A title keyword, or the phrase anywhere in the content (in its first ``prefix_chars`` characters, if given)."""
     t = _lower(title)
-    head = F.lower(F.left(F.coalesce(_col(content), F.lit("")), F.lit(prefix_chars)))
-    return contains_any(t, title_keywords) | head.contains(content_phrase)
+    text = F.coalesce(_col(content), F.lit(""))
+    if prefix_chars is not None:
+        text = F.left(text, F.lit(prefix_chars))
+    return contains_any(t, title_keywords) | F.lower(text).contains(content_phrase)
 
 
 def keyword_job(title: str | Column, content: str | Column, *,

@@ -1,9 +1,9 @@
-"""Dictionary joins (J1-J7): broadcast only behind a row-count check.
+"""Dictionary joins (J1-J7) without broadcast hints.
 
 Dictionaries (stop words, lexicons, lemma tables, keyword profiles) are
-small by nature but come from user files, so their size is measured before
-a broadcast hint is given; above the bound the join stays a shuffle join and
-AQE decides at run time.
+small by nature but come from user files, so their size in bytes is left to
+AQE: it broadcasts them below its threshold and splits skewed partitions of
+the shuffle join above it.
 """
 
 from __future__ import annotations
@@ -13,20 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dictionary (rows) that is broadcast explicitly.
-BROADCAST_MAX_ROWS = 2_000_000
+def lookup(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
+    """Join a dictionary onto ``big``; AQE measures the dictionary and broadcasts it below its byte threshold."""
+    return big.join(small, on=on, how=how)
 
 
-def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small`` unchanged."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def lookup(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a (checked) small dictionary onto ``big``."""
-    return big.join(bounded(small, max_rows), on=on, how=how)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal ``keys`` where null equals null; the keys of ``left`` are kept."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(r[f"_r_{k}"])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def map_category(df: DataFrame, col: str, mapping: dict[str, str], *, out: str = "mapped",
@@ -54,31 +52,30 @@ def prefix_join(df: DataFrame, col: str, rules: DataFrame, *, key: str, prefix:
                 default: str = "other") -> DataFrame:
     """J4 with a rule *table*: lowest-``order`` rule whose prefix starts ``col``; default otherwise.
 
-    The join key is the value's first L characters (L = shortest prefix), so
-    the theta join becomes an equi-join plus a ``startswith`` filter; ``key``
-    identifies rows of ``df``.
+    The join key is the value's first L characters, once for each length L
+    that a prefix has (an empty prefix fits every value), so the theta join is
+    an equi-join; ``key`` identifies rows of ``df``.
     """
-    min_len = rules.select(F.min(F.length(prefix))).first()[0] or 1
-    keyed = rules.withColumn("_k", F.left(F.col(prefix), F.lit(min_len)))
-    cand = (df.select(key, col).withColumn("_k", F.left(F.col(col), F.lit(min_len)))
-            .join(bounded(keyed), on="_k").where(F.col(col).startswith(F.col(prefix)))
+    lengths = [r[0] for r in rules.select(F.length(prefix)).distinct().collect() if r[0] is not None]
+    keys = F.array(*[F.left(F.col(col), F.lit(n)) for n in sorted(lengths)]) if lengths else F.array().cast("array<string>")
+    keyed = rules.withColumn("_k", F.col(prefix))
+    cand = (df.select(key, col).withColumn("_k", F.explode(F.array_distinct(keys)))
+            .join(keyed, on="_k")
             .groupBy(key).agg(F.min_by(F.col(category), F.col(order)).alias("_cat")))
     return (df.join(cand, on=key, how="left")
             .withColumn(out, F.coalesce(F.col("_cat"), F.lit(default))).drop("_cat"))
 
 
-def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, *, word: str = "word",
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """J1 for a stop-word *table* (e.g. read from files): anti join, broadcast when the list is bounded.
+def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, *, word: str = "word") -> DataFrame:
+    """J1 for a stop-word *table* (e.g. read from files): anti join.
 
     Small literal lists are better applied as ``functions.text.drop_stop_words`` (hash set in codegen).
     """
     stops = stop_words.select(F.col(stop_words.columns[0]).alias(word)).distinct()
-    return tokens.join(bounded(stops, max_rows), on=word, how="left_anti")
+    return tokens.join(stops, on=word, how="left_anti")
 
 
-def keep_whitelist(tokens: DataFrame, whitelist: DataFrame, *, word: str = "word",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def keep_whitelist(tokens: DataFrame, whitelist: DataFrame, *, word: str = "word") -> DataFrame:
     """Semi join with a term whitelist table."""
     keep = whitelist.select(F.col(whitelist.columns[0]).alias(word)).distinct()
-    return tokens.join(bounded(keep, max_rows), on=word, how="left_semi")
+    return tokens.join(keep, on=word, how="left_semi")

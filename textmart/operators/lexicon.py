@@ -1,9 +1,8 @@
 """Dictionary lookups on tokens: lemmas, parts of speech, sentiment lexicon.
 
-Lemma and POS dictionaries replace per-word analyzers: the distinct
-vocabulary is looked up once (a join of two de-duplicated tables) and joined
-back, and a token missing from the dictionary keeps itself as lemma and gets
-the part of speech ``UNKN``.
+Lemma and POS dictionaries replace per-word analyzers: a table ``(token,
+lemma, pos)`` is joined onto the tokens, and a token missing from it keeps
+itself as lemma and gets the part of speech ``UNKN``.
 """
 
 from __future__ import annotations
@@ -14,30 +13,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart import dictionaries as D
-from textmart.operators.joins import bounded
+from textmart.operators.joins import join_null_safe
+from textmart.operators.tokens import exact_median, row_numbers
 
 
 def lemmatize(tokens: DataFrame, lemma_dict: DataFrame | None = None, *, word: str = "word",
               lemma: str = "lemma", pos: str = "pos") -> DataFrame:
-    """Add ``lemma`` and ``pos`` to token rows (fallback: the token itself and ``UNKN``)."""
+    """Add ``lemma`` and ``pos`` to token rows (fallback: the token itself and ``UNKN``).
+
+    The dictionary (one entry per token: the first by lemma and pos) is joined
+    straight onto the tokens; AQE broadcasts it where its bytes allow.
+    """
     if lemma_dict is None:
         return tokens.withColumn(lemma, F.col(word)).withColumn(pos, F.lit("UNKN"))
-    d = lemma_dict.select(F.col("token").alias("_t"), F.col("lemma").alias("_l"), F.col("pos").alias("_p")) \
-        .dropDuplicates(["_t"])
-    vocab = tokens.select(F.col(word).alias("_t")).distinct()
-    looked = vocab.join(bounded(d), on="_t", how="left")
-    out = tokens.join(looked.withColumnRenamed("_t", word), on=word, how="left")
-    return (out.withColumn(lemma, F.coalesce(F.col("_l"), F.col(word)))
-            .withColumn(pos, F.coalesce(F.col("_p"), F.lit("UNKN"))).drop("_l", "_p"))
-
-
-def lemmatize_arrays(docs: DataFrame, lemma_dict: DataFrame, *, tokens: str = "tokens", key: str = "doc_id") -> DataFrame:
-    """J6 on token arrays: replace every token by its lemma, keeping the order."""
-    rows = docs.select(key, F.posexplode(tokens).alias("_i", "word"))
-    lem = lemmatize(rows, lemma_dict)
-    back = lem.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "lemma"))).alias("_a"))
-    back = back.select(key, F.transform("_a", lambda s: s["lemma"]).alias("_lem"))
-    out = docs.join(back, on=key, how="left")
+    d = lemma_dict.groupBy(F.col("token").alias(word)).agg(F.min(F.struct("lemma", "pos")).alias("_d"))
+    out = tokens.join(d, on=word, how="left")
+    return (out.withColumn(lemma, F.coalesce(F.col("_d.lemma"), F.col(word)))
+            .withColumn(pos, F.coalesce(F.col("_d.pos"), F.lit("UNKN"))).drop("_d"))
+
+
+def lemmatize_arrays(docs: DataFrame, lemma_dict: DataFrame, *, tokens: str = "tokens", key: str | Sequence[str] = "doc_id",
+                     keep_pos: Sequence[str] | None = None, min_len: int = 0) -> DataFrame:
+    """J6 on token arrays: every token becomes its lemma, in the same order.
+
+    ``keep_pos`` and ``min_len`` keep only lemmas of these parts of speech and
+    of this length. ``key`` (one or more columns) identifies a row.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    lem = lemmatize(docs.select(*keys, F.posexplode(tokens).alias("_i", "word")), lemma_dict)
+    if keep_pos is not None:
+        lem = lem.where(F.col("pos").isin(list(keep_pos)))
+    if min_len:
+        lem = lem.where(F.length("lemma") >= min_len)
+    back = lem.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "lemma"))).alias("_a"))
+    back = back.select(*keys, F.transform("_a", lambda s: s["lemma"]).alias("_lem"))
+    out = join_null_safe(docs, back, keys)
     return out.withColumn(tokens, F.coalesce(F.col("_lem"), F.array().cast("array<string>"))).drop("_lem")
 
 
@@ -63,12 +73,13 @@ def score_summary(articles: DataFrame, *, by: Sequence[str] = ("source",), score
     """A10: mean, exact median, share > 0 and share < 0 of a per-article score (0 when empty)."""
     s = F.col(score)
     n = F.count(s)
-    return articles.groupBy(*by).agg(
+    out = articles.groupBy(*by).agg(
         F.coalesce(F.avg(s), F.lit(0.0)).alias("sent_mean"),
-        F.coalesce(F.median(s), F.lit(0.0)).alias("sent_median"),
         (F.count_if(s > 0) / F.greatest(n, F.lit(1))).alias("sent_pos_share"),
         (F.count_if(s < 0) / F.greatest(n, F.lit(1))).alias("sent_neg_share"),
     )
+    out = join_null_safe(out, exact_median(articles, score, by=by, out="sent_median"), list(by))
+    return out.withColumn("sent_median", F.coalesce("sent_median", F.lit(0.0)))
 
 
 def row_index(df: DataFrame, *, by: Sequence[str], order: str, out: str = "article_index") -> DataFrame:
@@ -77,7 +88,6 @@ def row_index(df: DataFrame, *, by: Sequence[str], order: str, out: str = "artic
     Numbered from ranges of the order column, so one very large source is not
     sorted by a single task.
     """
-    from textmart.operators.tokens import row_numbers
     return row_numbers(df, by=by, order=order, out=out)
 
 

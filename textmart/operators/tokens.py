@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmart.functions.text import ngrams as _array_ngrams
+from textmart.operators.joins import join_null_safe
 
-# Width (in order-key units) of the ranges used for the two-level prefix sum.
-OFFSET_BUCKET = 1 << 16
+# Number of order-key ranges of the two-level prefix sum.
+RANGES = 512
 
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens", *, keep: Sequence[str] = (),
@@ -28,24 +29,33 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", *, keep: Sequence[str]
 
 
 def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[str] = (),
-                 offset: str = "offset", bucket: int = OFFSET_BUCKET, tiebreak: Sequence[str] = ()) -> DataFrame:
+                 offset: str = "offset", ranges: int = RANGES, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add the number of tokens of all earlier documents (per group) as ``offset``.
 
-    Two-level prefix sum over a document-level table: documents are cut into
-    ranges of ``bucket`` order keys and hash-partitioned by (groups, range);
-    range totals (a table ``bucket`` times smaller than the corpus) get a
-    running sum, and each range adds its own running sum in a window over
-    that partitioning. No task ever holds more than one range.
+    Two-level prefix sum over a document-level table. The order keys (numeric)
+    are cut at approximate quantiles of the data, so each of the ``ranges``
+    ranges holds about as many rows whatever the keys look like (sparse,
+    negative, clustered). Every (group, range) has its own running sum in a
+    window; the totals of the earlier ranges, at most ``ranges`` numbers per
+    group, are added to it. Null groups are a group, null keys come first.
     """
     g = list(groups)
-    d = docs.withColumn("_rng", F.floor(F.col(order) / F.lit(bucket)).cast("long")).repartition(*g, "_rng")
+    cuts = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    bounds = docs.select(F.percentile_approx(order, cuts, 10 * ranges)).scalar()
+    below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+    d = docs.withColumn("_bounds", bounds)
+    d = d.withColumn("_rng", F.when(F.col(order).isNull() | F.col("_bounds").isNull(), -1).otherwise(below)).drop("_bounds")
     totals = d.groupBy(*g, "_rng").agg(F.sum(count).alias("_rng_n"))
-    w_r = Window.partitionBy(*g).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*g, "_rng", F.coalesce(F.sum("_rng_n").over(w_r), F.lit(0)).alias("_rng_off"))
-    w_d = Window.partitionBy(*g, "_rng").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
-    inner = F.coalesce(F.sum(count).over(w_d), F.lit(0))
-    out = d.withColumn("_in", inner).join(totals, on=[*g, "_rng"], how="inner")
-    return out.withColumn(offset, (F.col("_rng_off") + F.col("_in")).cast("long")).drop("_rng", "_rng_off", "_in")
+    before = F.collect_list(F.struct("_rng", "_rng_n")).alias("_before")
+    w = Window.partitionBy(*g, "_rng").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
+    out = d.withColumn("_in", F.coalesce(F.sum(count).over(w), F.lit(0)))
+    if g:
+        out = join_null_safe(out, totals.groupBy(*g).agg(before), g)
+    else:
+        out = out.withColumn("_before", totals.agg(before).scalar())
+    earlier = F.aggregate(F.filter("_before", lambda t: t["_rng"] < F.col("_rng")), F.lit(0).cast("long"),
+                          lambda acc, t: acc + t["_rng_n"].cast("long"))
+    return out.withColumn(offset, earlier + F.col("_in")).drop("_rng", "_before", "_in")
 
 
 def ngram_table(docs: DataFrame, n: int | Sequence[int], *, tokens: str = "tokens", order: str = "doc_id",
@@ -82,7 +92,7 @@ def ngram_table(docs: DataFrame, n: int | Sequence[int], *, tokens: str = "token
         cur, words = starts, [F.col("_w0")]
         for j in range(1, m):
             nxt = edge.select(*g, (F.col("_g") - j).alias("_g"), F.col("_w").alias(f"_w{j}"))
-            cur = cur.join(nxt, on=[*g, "_g"], how="inner")
+            cur = join_null_safe(cur, nxt, [*g, "_g"], "inner")
             words.append(F.col(f"_w{j}"))
         out = out.unionByName(cur.select(*g, F.concat_ws(" ", *words).alias(gram)))
     return out
@@ -99,13 +109,13 @@ def positions(docs: DataFrame, *, tokens: str = "tokens", order: str = "doc_id",
     g = list(groups)
     sizes = docs.select(*g, order, F.size(tokens).alias("_n"))
     offs = with_offsets(sizes, order=order, count="_n", groups=g, offset="_off").drop("_n")
-    toks = docs.select(*g, *keep, order, tokens).join(offs, on=[*g, order])
+    toks = join_null_safe(docs.select(*g, *keep, order, tokens), offs, [*g, order], "inner")
     return toks.select(*g, *keep, order, "_off", F.posexplode(tokens).alias("pos", "word")).select(
         *g, *keep, order, "pos", "word", (F.col("_off") + F.col("pos")).alias("gpos"))
 
 
 def row_numbers(df: DataFrame, *, by: Sequence[str], order: str, tiebreak: Sequence[str] = (),
-                out: str = "row_number", bucket: int = OFFSET_BUCKET) -> DataFrame:
+                out: str = "row_number", ranges: int = RANGES) -> DataFrame:
     """1-based row number inside each group ``by`` in (``order``, ``tiebreak``) order.
 
     Same result as ``row_number()`` over a window partitioned by ``by``, but
@@ -114,5 +124,22 @@ def row_numbers(df: DataFrame, *, by: Sequence[str], order: str, tiebreak: Seque
     ``order`` must be numeric.
     """
     one = df.withColumn("_one", F.lit(1))
-    r = with_offsets(one, order=order, count="_one", groups=by, offset="_off", bucket=bucket, tiebreak=tiebreak)
-    return r.withColumn(out, (F.col("_off") + 1).cast("long")).drop("_one", "_off")
+    r = with_offsets(one, order=order, count="_one", groups=by, offset="_off", ranges=ranges, tiebreak=tiebreak)
+    return r.withColumn(out, F.col("_off") + 1).drop("_one", "_off")
+
+
+def exact_median(df: DataFrame, value: str, *, by: Sequence[str], out: str = "median") -> DataFrame:
+    """Exact median of ``value`` per group, ``(*by, out)``; groups without a value are left out.
+
+    Counts per distinct value get running offsets, and the middle one or two
+    values are picked from them: no group's values are held by one task.
+    """
+    n = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    off = with_offsets(n, order=value, count="_n", groups=by, offset="_off")
+    off = join_null_safe(off, n.groupBy(*by).agg(F.sum("_n").alias("_all")), list(by))
+
+    def at(k):
+        return F.max(F.when((F.col("_off") < k) & (k <= F.col("_off") + F.col("_n")), F.col(value)))
+
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    return off.groupBy(*by).agg(((at(low) + at(high)) / 2).alias(out))

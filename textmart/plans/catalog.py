@@ -8,7 +8,6 @@ dictionaries as the Spark side, so both use identical literals.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import freq
-from textmart.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,31 +35,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# Row keys of the text-heavy test tables.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
-# Spread copies of single-file text tables, per Spark application.
-_SPREAD: dict[tuple[str, str], str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = True) -> DataFrame:
-    """A test table. A text table stored as one single-row-group file can only be
-    read by one task; it is rewritten once per application (hash-spread by its
-    key into several files in the checkpoint folder) and every query reads that
-    copy in parallel. Tables made of many files (the normal case on a cluster)
-    are used as read."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    key = TEXT_TABLE_KEYS.get(name)
-    if spread and key and len(df.inputFiles()) == 1:
-        memo = (spark.sparkContext.applicationId, path)
-        if memo not in _SPREAD:
-            out = f"{checkpoint_dir(spark).rstrip('/')}/spread-{name}-{uuid.uuid4().hex}"
-            df.repartition(2 * spark.sparkContext.defaultParallelism, key).write.parquet(out)
-            _SPREAD[memo] = out
-        df = spark.read.parquet(_SPREAD[memo])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sql_list(values) -> str:
@@ -210,20 +186,20 @@ def source_tfidf_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("source", "term", F.round("tfidf", 6).alias("tfidf"), F.col("rank").cast("long").alias("rank"))
 
 
-@register("source_similarity", f"""
-WITH {SQL_SOURCE_TFIDF},
-  u AS (SELECT DISTINCT source FROM nw),
-  pr AS (SELECT a.source AS source_a, b.source AS source_b FROM u a JOIN u b ON a.source < b.source),
+# Pairs of sources below this cosine are not reported.
+MIN_SIMILARITY = 0.1
+SQL_SIMILARITY = f"""
   dot AS (SELECT a.source AS source_a, b.source AS source_b, sum(a.tfidf * b.tfidf) AS s
-          FROM nw a JOIN nw b ON a.term = b.term AND a.source < b.source GROUP BY ALL)
-SELECT pr.source_a, pr.source_b, round(coalesce(dot.s, 0), 6) AS cosine_similarity
-FROM pr LEFT JOIN dot USING (source_a, source_b)
+          FROM nw a JOIN nw b ON a.term = b.term AND a.source < b.source GROUP BY ALL HAVING sum(a.tfidf * b.tfidf) >= {MIN_SIMILARITY})"""
+
+
+@register("source_similarity", f"""
+WITH {SQL_SOURCE_TFIDF}, {SQL_SIMILARITY}
+SELECT source_a, source_b, round(s, 6) AS cosine_similarity FROM dot
 """)
 def source_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = source_vectors(spark, sf_dir)
-    units = [r[0] for r in table(spark, sf_dir, "documents").select("source").distinct().collect()]
-    sim = tfidf.pairwise_cosine(v, unit="source", term="term", weight="tfidf", units=units)
-    return sim.select("source_a", "source_b", F.round("cosine_similarity", 6).alias("cosine_similarity"))
+    sim = tfidf.pairwise_cosine(source_vectors(spark, sf_dir), unit="source", min_similarity=MIN_SIMILARITY)
+    return sim.withColumn("cosine_similarity", F.round("cosine_similarity", 6))
 
 
 SQL_STREAM = f"""
@@ -340,7 +316,7 @@ def _sql_any(expr: str, needles) -> str:
 
 
 SQL_P1 = (f"({_sql_any('lower(title)', JOB_TITLE_KEYWORDS)} OR "
-          f"contains(lower(left(coalesce(content, ''), 500)), '{JOB_CONTENT_PHRASE}'))")
+          f"contains(lower(coalesce(content, '')), '{JOB_CONTENT_PHRASE}'))")
 SQL_P2 = f"({_sql_any('lower(title)', JOB_FILTER_KEYWORDS)} OR {_sql_any('lower(content)', JOB_FILTER_KEYWORDS)})"
 _EMOJI_SQL = ("[\\x{1F600}-\\x{1F64F}\\x{1F300}-\\x{1F5FF}\\x{1F680}-\\x{1F6FF}\\x{1F900}-\\x{1F9FF}"
               "\\x{2702}-\\x{27B0}\\x{1FA00}-\\x{1FA6F}\\x{1FA70}-\\x{1FAFF}\\x{2600}-\\x{26FF}\\x{FE0F}]+")
@@ -475,9 +451,7 @@ SQL_ENRICHED = f"""{SQL_JOBS},
   f2 AS (SELECT *, lower(coalesce(content, '')) AS lc, lower(title || ' ' || coalesce(content, '')) AS lt FROM jobs WHERE {SQL_P2}),
   ex AS (SELECT *, regexp_extract(lc, '{JOB_EXPERIENCE}', 1) AS m FROM f2),
   en AS (SELECT job_id, title,
-                CASE WHEN m = '' THEN 0
-                     WHEN length(regexp_replace(m, '^0+([0-9])', '\\1')) > 2 THEN 10
-                     ELSE least(CAST(m AS INTEGER), 10) END AS experience_years,
+                coalesce(try_cast(m AS BIGINT), 0) AS experience_years,
                 {_TECH_LIST} AS technologies, {_LEVEL_CASE} AS level,
                 CASE WHEN contains(coalesce(time, ''), ' ') THEN coalesce(string_split_regex(trim(time), '\\s+')[2], time)
                      ELSE coalesce(time, '') END AS date
@@ -741,10 +715,29 @@ SQL_ART = f"""
                  row_number() OVER (PARTITION BY source ORDER BY doc_id) AS article_index FROM a2)"""
 
 
-def article_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+# A dictionary (token, lemma, part of speech) for the test corpus, by a rule over the words of ``conversations``: words
+# whose length is a multiple of five are missing from it, a final s or n of longer words is not part of the lemma.
+DICT_POS = {1: "NOUN", 2: "VERB", 3: "ADJF", 4: "PROPN"}
+STEM_SUFFIXES = ["tion", "ment", "ing", "eau", "er", "en", "es"]
+SQL_DICT = f"""
+  dict AS (SELECT word AS token, CASE WHEN length(word) > 4 AND (suffix(word, 's') OR suffix(word, 'n')) THEN left(word, length(word) - 1) ELSE word END AS lemma,
+                  CASE length(word) % 5 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in DICT_POS.items())} END AS pos
+           FROM (SELECT DISTINCT unnest({SQL_TOKENS}) AS word FROM conversations) WHERE length(word) % 5 <> 0)"""
+
+
+def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "conversations").select(F.explode(T.clean_tokens("text", letters=LETTERS, stop_words=STOP)).alias("token"))
+    n = F.length("token")
+    short = F.when((n > 4) & (F.endswith("token", F.lit("s")) | F.endswith("token", F.lit("n"))), F.left("token", n - 1)).otherwise(F.col("token"))
+    pos = F.element_at(F.array(*[F.lit(DICT_POS[k]) for k in sorted(DICT_POS)]), n % 5)
+    return words.distinct().where(n % 5 != 0).select("token", short.alias("lemma"), pos.alias("pos"))
+
+
+def article_table(spark: SparkSession, sf_dir: str, *, lemmas: bool = False) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.lit("").alias("title"),
                                                    F.col("text").alias("content"))
-    return CC.article_tokens(docs, stop_words=STOP, letters=SRC_LETTERS)
+    return CC.article_tokens(docs, stop_words=STOP, letters=SRC_LETTERS, stem_suffixes=STEM_SUFFIXES,
+                             lemma_dict=word_dictionary(spark, sf_dir) if lemmas else None)
 
 
 @register("source_summary", f"""
@@ -777,38 +770,42 @@ def article_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "sentiment_label")
 
 
+SQL_TAGGED = f"""{SQL_DICT},
+  tagged AS (SELECT source, coalesce(lemma, w) AS lemma, coalesce(pos, 'UNKN') AS pos
+             FROM (SELECT source, unnest(lemmas) AS w FROM art) LEFT JOIN dict ON token = w)"""
+
+
 @register("source_top_lemmas", f"""
-WITH {SQL_ART}, c AS (SELECT source, l AS lemma, count(*) AS count FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY ALL)
+WITH {SQL_ART}, {SQL_TAGGED}, c AS (SELECT source, lemma, count(*) AS count FROM tagged GROUP BY ALL)
 SELECT source, lemma, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY count DESC, lemma) AS rank FROM c)
 WHERE rank <= 20
 """)
 def source_top_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = CC.top_by_source(article_table(spark, sf_dir), "lemmas", 20, name="lemma")
+    t = CC.top_by_source(article_table(spark, sf_dir, lemmas=True), "lemmas", 20, name="lemma")
     return t.select("source", "lemma", "count", F.col("rank").cast("long"))
 
 
-def _sql_stem(w: str) -> str:
+def _sql_stem(w: str, suffixes=STEM_SUFFIXES) -> str:
     cases = " ".join(f"WHEN suffix({w}, '{s}') AND length({w}) > {len(s) + 2} THEN left({w}, length({w}) - {len(s)})"
-                     for s in D.STEM_SUFFIXES)
+                     for s in suffixes)
     return f"CASE {cases} ELSE {w} END"
 
 
 @register("source_top_stems", f"""
-WITH {SQL_ART}, c AS (SELECT source, {_sql_stem('l')} AS stem, count(*) AS count
-                      FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY ALL)
+WITH {SQL_ART}, {SQL_TAGGED}, c AS (SELECT source, {_sql_stem('lemma')} AS stem, count(*) AS count FROM tagged GROUP BY ALL)
 SELECT source, stem, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY count DESC, stem) AS rank FROM c)
 WHERE rank <= 20
 """)
 def source_top_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = CC.top_stems_by_source(article_table(spark, sf_dir), 20)
+    t = CC.top_stems_by_source(article_table(spark, sf_dir, lemmas=True), 20, stem_suffixes=STEM_SUFFIXES)
     return t.select("source", "stem", "count", F.col("rank").cast("long"))
 
 
 @register("source_pos_distribution", f"""
-WITH {SQL_ART} SELECT source, 'UNKN' AS pos, count(*) AS count FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY source
+WITH {SQL_ART}, {SQL_TAGGED} SELECT source, pos, count(*) AS count FROM tagged GROUP BY ALL
 """)
 def source_pos_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CC.pos_distribution(article_table(spark, sf_dir))
+    return CC.pos_distribution(article_table(spark, sf_dir), word_dictionary(spark, sf_dir))
 
 
 @register("source_sentiment_breakdown", f"""
@@ -824,19 +821,59 @@ def source_sentiment_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("source", *[F.round(c, 6).alias(c) for c in ("pos_pct", "neu_pct", "neg_pct")])
 
 
+SQL_PROFILE = """
+  prof AS (SELECT source, count(*) FILTER (WHERE pos = 'NOUN') * 100.0 / count(*) AS noun_pct, count(*) FILTER (WHERE pos = 'VERB') * 100.0 / count(*) AS verb_pct,
+                  count(*) FILTER (WHERE pos = 'ADJF') * 100.0 / count(*) AS adj_pct FROM tagged GROUP BY source)"""
+
+
 @register("source_pos_profile", f"""
-WITH {SQL_ART} SELECT source, 0.0 AS noun_pct, 0.0 AS verb_pct, 0.0 AS adj_pct FROM art GROUP BY source
+WITH {SQL_ART}, {SQL_TAGGED}, {SQL_PROFILE}
+SELECT source, round(noun_pct, 6) AS noun_pct, round(verb_pct, 6) AS verb_pct, round(adj_pct, 6) AS adj_pct FROM prof
 """)
 def source_pos_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = CC.pos_profile(CC.pos_distribution(article_table(spark, sf_dir)))
+    p = CC.pos_profile(source_pos_distribution(spark, sf_dir))
     return p.select("source", *[F.round(c, 6).alias(c) for c in ("noun_pct", "verb_pct", "adj_pct")])
 
 
-@register("comparative_report", None)
+_FACT_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS ord, '{f}' AS fact, min({{'k': {sign}{col}, 's': {name}}}) AS m, {sign}1 AS sign FROM {src}"
+    for i, (f, sign, col, name, src) in enumerate([
+        ("largest_vocabulary", "-", "unique_lemmas::DOUBLE", "source", "sm"), ("highest_ttr", "-", "ttr_lemma", "source", "sm"),
+        ("lowest_ttr", "", "ttr_lemma", "source", "sm"), ("most_positive", "-", "sent_mean", "source", "sm"), ("most_negative", "", "sent_mean", "source", "sm"),
+        ("most_similar", "-", "cs", "source_a || ' / ' || source_b", "sim"), ("least_similar", "", "cs", "source_a || ' / ' || source_b", "sim")], start=1))
+
+
+@register("comparative_report", f"""
+WITH {SQL_ART}, {SQL_TAGGED}, {SQL_PROFILE},
+  sv AS (WITH {SQL_SOURCE_TFIDF} SELECT * FROM nw),
+  sm AS (SELECT b.source, articles, tokens_no_stop, coalesce(unique_lemmas, 0) AS unique_lemmas,
+                round(coalesce(unique_lemmas, 0) / greatest(tokens_no_stop, 1), 6) AS ttr_lemma, sent_mean
+         FROM (SELECT source, count(*) AS articles, sum(tokens_no_stop) AS tokens_no_stop, round(avg(sentiment_score), 6) AS sent_mean FROM art GROUP BY source) b
+         LEFT JOIN (SELECT source, count(DISTINCT l) AS unique_lemmas FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY source) u USING (source)),
+  bd AS (SELECT source, count(*) FILTER (WHERE sentiment_score > 0) * 100.0 / count(*) AS pos_pct, count(*) FILTER (WHERE sentiment_score = 0) * 100.0 / count(*) AS neu_pct,
+                count(*) FILTER (WHERE sentiment_score < 0) * 100.0 / count(*) AS neg_pct FROM art GROUP BY source),
+  sim AS (SELECT source_a, source_b, round(s, 6) AS cs FROM (SELECT a.source AS source_a, b.source AS source_b, sum(a.tfidf * b.tfidf) AS s
+          FROM sv a JOIN sv b ON a.term = b.term AND a.source < b.source GROUP BY ALL) WHERE s >= {MIN_SIMILARITY}),
+  mk AS (SELECT source, string_agg(term, ', ' ORDER BY rank) AS words FROM (
+           SELECT source, term, row_number() OVER (PARTITION BY source ORDER BY round(tfidf, 9) DESC, term) AS rank FROM sv) WHERE rank <= 3 GROUP BY source),
+  fc AS ({_FACT_SQL})
+SELECT 'facts' AS section, ord, m.s AS source, printf('- %s: **%s** (%.6f)', fact, m.s, sign * m.k) AS line FROM fc WHERE m IS NOT NULL
+UNION ALL SELECT 'source', 1, source, printf('%s: %d articles, %d tokens, %d lemmas, TTR %.6f', source, articles, tokens_no_stop::BIGINT, unique_lemmas, ttr_lemma) FROM sm
+UNION ALL SELECT 'source', 2, source, printf('%s: positive %.4f%%, neutral %.4f%%, negative %.4f%%', source, round(pos_pct, 4), round(neu_pct, 4), round(neg_pct, 4)) FROM bd
+UNION ALL SELECT 'source', 3, source, printf('%s: nouns %.4f%%, verbs %.4f%%, adjectives %.4f%%', source, round(noun_pct, 4), round(verb_pct, 4), round(adj_pct, 4)) FROM prof
+UNION ALL SELECT 'source', 4, source, source || ': ' || coalesce(words, '') FROM sm LEFT JOIN mk USING (source)
+""")
 def comparative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = CC.source_summary(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
-    sim = source_similarity(spark, sf_dir)
-    return CC.report_lines(CC.report_facts(summary, sim))
+    """Facts over all sources, then size, sentiment, parts of speech and marker terms of each source."""
+    arts = article_table(spark, sf_dir)
+    summary = CC.source_summary(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    sentiment = CC.article_sentiment(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    vec = source_vectors(spark, sf_dir)
+    sim = tfidf.pairwise_cosine(vec, unit="source", min_similarity=MIN_SIMILARITY).withColumn("cosine_similarity", F.round("cosine_similarity", 6))
+    top = tfidf.top_weights(vec.withColumn("_r", F.round("tfidf", 9)), 3, unit="source", term="term", weight="_r")
+    per = CC.source_lines(summary, CC.sentiment_breakdown(sentiment), CC.pos_profile(CC.pos_distribution(arts, word_dictionary(spark, sf_dir))),
+                          top.select("source", "rank", "term"))
+    return CC.report_lines(CC.report_facts(summary, sim), per)
 
 
 # ---------------------------------------------------------------------------
@@ -978,7 +1015,8 @@ def product_extreme_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 from textmart.operators import classify as C  # noqa: E402
-from textmart.operators.joins import bounded, map_category  # noqa: E402
+from textmart.operators.joins import map_category  # noqa: E402
+from textmart.plans import topics as TP  # noqa: E402
 from textmart.sources import pages as PG  # noqa: E402
 
 WORD = r"(?U)\w"          # Spark side (Unicode word characters)
@@ -988,12 +1026,9 @@ WORD_SQL = "0-9a-z_ß-öø-ÿ"  # the same set on the lower-cased test corpus, f
 def topic_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     bench = table(spark, sf_dir, "benchmark")
     prof = bench.select(F.concat(F.lit("topic_"), (F.col("item_id") % 3).cast("string")).alias("topic_id"),
-                        (F.col("item_id") % 3).cast("int").alias("topic_ord"), F.lit("en").alias("lang"),
+                        (F.col("item_id") % 3).cast("int").alias("topic_ord"), T.detect_language("text").alias("lang"),
                         F.explode(T.vectorizer_tokens("text", word=WORD)).alias("term"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
-    texts = docs.select("text_id", T.detect_language("text").alias("lang"),
-                        T.topic_text_tokens("text", word=WORD, stop_words=STOP).alias("tokens"))
-    return texts, prof
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text"), prof
 
 
 SQL_TOPICS = f"""
@@ -1018,30 +1053,46 @@ SQL_TOPICS = f"""
          FROM tn LEFT JOIN xn USING (doc_id) LEFT JOIN dot USING (doc_id, topic_id))"""
 
 
+# The same with lemmas of the dictionary, of which only some parts of speech stay.
+SQL_LEMMA_TOPICS = SQL_TOPICS.replace("FROM documents) GROUP BY ALL)", f"""FROM documents) t JOIN dict ON token = t.term
+        WHERE pos IN {sql_list(D.TOPIC_POS)} AND length(lemma) >= 3 GROUP BY ALL)""").replace("SELECT doc_id, term, count(*) AS x FROM", "SELECT doc_id, lemma AS term, count(*) AS x FROM")
+
+
+def _sql_ranked(topics: str) -> str:
+    return f"""{topics},
+  r AS (SELECT doc_id AS text_id, topic_id, score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, topic_ord) AS rank
+        FROM sc JOIN (SELECT DISTINCT topic_id, topic_ord FROM prof) USING (topic_id) WHERE score > 0)"""
+
+
 @register("topic_scores", f"""
-WITH {SQL_TOPICS} SELECT doc_id AS text_id, topic_id, round(score, 6) AS score FROM sc
+WITH {_sql_ranked(SQL_TOPICS)} SELECT text_id, topic_id, round(score, 6) AS score, rank FROM r
 """)
 def topic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked scores of the topics that share a term with a text (the others score zero)."""
+    texts, prof = topic_inputs(spark, sf_dir)
+    ranked, _ = TP.classify(texts, prof, stop_words=STOP, word=WORD, digits=9)
+    return ranked.select("text_id", "topic_id", F.round("score", 6).alias("score"), F.col("rank").cast("long"))
+
+
+@register("topic_lemma_scores", f"""
+WITH {SQL_DICT}, {_sql_ranked(SQL_LEMMA_TOPICS)} SELECT text_id, topic_id, round(score, 6) AS score, rank FROM r
+""")
+def topic_lemma_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the same on lemmas of the kept parts of speech."""
     texts, prof = topic_inputs(spark, sf_dir)
-    s = tfidf.topic_scores(texts, bounded(prof), text_id="text_id", topic="topic_id")
-    return s.select("text_id", "topic_id", F.round("score", 6).alias("score"))
+    ranked, _ = TP.classify(texts, prof, stop_words=STOP, word=WORD, digits=9, lemma_dict=word_dictionary(spark, sf_dir))
+    return ranked.select("text_id", "topic_id", F.round("score", 6).alias("score"), F.col("rank").cast("long"))
 
 
 @register("topic_classification", f"""
-WITH {SQL_TOPICS},
-  r AS (SELECT sc.*, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, topic_ord) AS rn
-        FROM sc JOIN (SELECT DISTINCT topic_id, topic_ord FROM prof) USING (topic_id))
-SELECT doc_id AS text_id, CASE WHEN round(score, 9) < {D.TOPIC_THRESHOLD} THEN 'unknown' ELSE topic_id END AS topic,
-       round(score, 6) AS best_score FROM r WHERE rn = 1
+WITH {_sql_ranked(SQL_TOPICS)}
+SELECT doc_id AS text_id, CASE WHEN round(score, 9) >= {D.TOPIC_THRESHOLD} THEN topic_id ELSE 'unknown' END AS topic,
+       coalesce(round(score, 6), 0) AS best_score FROM documents LEFT JOIN r ON text_id = doc_id AND rank = 1
 """)
 def topic_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, prof = topic_inputs(spark, sf_dir)
-    prof = bounded(prof)
-    s = tfidf.topic_scores(texts, prof, text_id="text_id", topic="topic_id").withColumn("score", F.round("score", 9))
-    s = s.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id")
-    b = tfidf.best_topic(s, text_id="text_id", topic="topic_id", topic_order="topic_ord",
-                         threshold=D.TOPIC_THRESHOLD, unknown=D.UNKNOWN_TOPIC)
-    return b.select("text_id", "topic", F.round("best_score", 6).alias("best_score"))
+    _, best = TP.classify(texts, prof, stop_words=STOP, word=WORD, digits=9, threshold=D.TOPIC_THRESHOLD)
+    return best.select("text_id", "topic", F.round("best_score", 6).alias("best_score"))
 
 
 CLS_MAP = {"q1": "high", "q0": "low"}
@@ -1055,7 +1106,7 @@ SQL_CLS = f"""
         FROM pre WHERE text <> '' AND length(text) > 10),
   li AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS DOUBLE) AS label_index FROM (SELECT DISTINCT label FROM m)),
   sp AS (SELECT m.*, li.label_index,
-                row_number() OVER (PARTITION BY m.label ORDER BY ((doc_id % 1000003) * 7919 + 42) % 1000003, doc_id) AS r,
+                row_number() OVER (PARTITION BY m.label ORDER BY substr(md5(doc_id || '-42'), 1, 15), doc_id) AS r,
                 count(*) OVER (PARTITION BY m.label) AS n FROM m JOIN li USING (label))"""
 
 
@@ -1084,13 +1135,13 @@ WITH {SQL_CLS},
   nn AS (SELECT count(*) AS n FROM m),
   st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
   v AS (SELECT term, ln((nn.n + 1) / (df + 1)) + 1 AS idf FROM st, nn WHERE df >= 2 AND df <= nn.n * 0.95
-        ORDER BY cf DESC, term LIMIT 5000),
+        ),
   w AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * v.idf AS w FROM tf JOIN v USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w
 """)
 def classifier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = classifier_data(spark, sf_dir)
-    feats, _ = C.tfidf_features(d, max_features=5000, word=WORD)
+    feats, _ = C.tfidf_features(d, word=WORD)
     return feats.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -1103,6 +1154,88 @@ def classifier_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "model", "accuracy", "f1_macro", "f1_weighted", F.col("_best").isNotNull().alias("best"))
 
 
+# Metrics of given predictions: ``quality`` as the true class, ``toxic`` as the predicted one, the document's source as
+# the model, so that the metrics, the report, the matrix and the choice of a model can be checked in SQL.
+SQL_PRED = """
+  p AS (SELECT source AS model, quality AS label, toxic AS prediction FROM labels JOIN documents USING (doc_id)),
+  cl AS (SELECT DISTINCT model, label AS class FROM p UNION SELECT DISTINCT model, prediction FROM p),
+  cr AS (SELECT cl.model, cl.class, count(*) FILTER (WHERE label = class) AS support, count(*) FILTER (WHERE prediction = class) AS predicted,
+                count(*) FILTER (WHERE label = class AND prediction = class) AS tp FROM cl JOIN p USING (model) GROUP BY ALL),
+  pr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision, CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM cr),
+  rp AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM pr),
+  mt AS (SELECT model, sum(tp) / sum(support) AS accuracy, avg(f1) AS f1_macro, sum(f1 * support) / sum(support) AS f1_weighted FROM rp GROUP BY model)"""
+
+
+def given_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "source"), on="doc_id")
+    return lab.select(F.col("source").alias("model"), F.col("quality").alias("label"), F.col("toxic").alias("prediction"))
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+@register("prediction_metrics", f"""
+WITH {SQL_PRED} SELECT model, round(accuracy, 6) AS accuracy, round(f1_macro, 6) AS f1_macro, round(f1_weighted, 6) AS f1_weighted FROM mt
+""")
+def prediction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 on given predictions."""
+    m = C.metrics(given_predictions(spark, sf_dir), label="label", prediction="prediction", by=["model"])
+    return _rounded(m, "accuracy", "f1_macro", "f1_weighted")
+
+
+@register("prediction_class_report", f"""
+WITH {SQL_PRED} SELECT model, class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rp
+""")
+def prediction_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall, F1 and support of every class."""
+    r = C.class_report(given_predictions(spark, sf_dir), label="label", prediction="prediction", by=["model"])
+    return _rounded(r, "precision", "recall", "f1").drop("tp")
+
+
+@register("prediction_confusion", f"""
+WITH {SQL_PRED}, c AS (SELECT label AS v FROM p UNION SELECT prediction FROM p)
+SELECT a.v AS label, b.v AS prediction, (SELECT count(*) FROM p WHERE label = a.v AND prediction = b.v) AS n FROM c a, c b
+""")
+def prediction_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 with zero cells."""
+    return C.confusion(given_predictions(spark, sf_dir), label="label", prediction="prediction")
+
+
+@register("prediction_model_choice", f"""
+WITH {SQL_PRED} SELECT model, round(accuracy, 6) AS accuracy FROM mt ORDER BY accuracy DESC, model LIMIT 1
+""")
+def prediction_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 on given predictions."""
+    m = C.metrics(given_predictions(spark, sf_dir), label="label", prediction="prediction", by=["model"])
+    return _rounded(C.pick_best(m), "accuracy").select("model", "accuracy")
+
+
+@register("naive_bayes_predictions", f"""
+WITH {SQL_CLS},
+  s AS (SELECT doc_id, label, r <= round(n * 0.2) AS test, regexp_extract_all(lower(text), '[{WORD_SQL}]{{2,}}') AS t FROM sp),
+  tf AS (SELECT doc_id, label, test, term, count(*) AS tf FROM (SELECT doc_id, label, test, unnest(t) AS term FROM s) GROUP BY ALL),
+  tr AS (SELECT * FROM tf WHERE NOT test),
+  vv AS (SELECT count(DISTINCT term) AS v FROM tr),
+  cl AS (SELECT label, sum(tf) AS n_c, count(DISTINCT doc_id) AS docs FROM tr GROUP BY label),
+  nd AS (SELECT count(DISTINCT doc_id) AS n FROM tr),
+  ct AS (SELECT label, term, sum(tf) AS n FROM tr GROUP BY ALL),
+  x AS (SELECT tf.doc_id, cl.label, sum(tf.tf * ln((coalesce(ct.n, 0) + 1) / (cl.n_c + vv.v))) AS s
+        FROM tf JOIN (SELECT DISTINCT term FROM tr) k USING (term) CROSS JOIN cl CROSS JOIN vv LEFT JOIN ct ON ct.label = cl.label AND ct.term = tf.term
+        WHERE tf.test GROUP BY ALL),
+  y AS (SELECT d.doc_id, cl.label, ln(cl.docs / nd.n) + coalesce(x.s, 0) AS score
+        FROM (SELECT DISTINCT doc_id FROM tf WHERE test) d CROSS JOIN cl CROSS JOIN nd LEFT JOIN x ON x.doc_id = d.doc_id AND x.label = cl.label)
+SELECT doc_id, arg_min(label, {{'a': -round(score, 9), 'b': label}}) AS prediction, round(max(score), 4) AS score FROM y GROUP BY doc_id
+""")
+def naive_bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: multinomial Naive Bayes in closed form, fitted on the training split, on the test split."""
+    d = C.stratified_split(C.label_index(classifier_data(spark, sf_dir)), id_col="doc_id", label="label")
+    toks = d.select("doc_id", "label", "split", F.explode(T.vectorizer_tokens("text", word=WORD)).alias("term"))
+    tf = toks.groupBy("doc_id", "label", "split", "term").agg(F.count(F.lit(1)).alias("tf"))
+    p = C.naive_bayes(tf.where("split = 'train'"), tf.where("split = 'test'"))
+    return p.select("doc_id", "prediction", F.round("score", 4).alias("score"))
+
+
 @register("category_mapping", f"""
 SELECT doc_id, lang, CASE lang WHEN 'en' THEN 'english' WHEN 'fr' THEN 'romance' WHEN 'es' THEN 'romance' ELSE 'other' END AS category
 FROM documents
@@ -1164,7 +1297,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("classifier_cross_validation", None)
 def classifier_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
-    return CL.cross_validate(classifier_data(spark, sf_dir), C.MODEL_NAMES[0], k=5)
+    return CL.cross_validate(classifier_data(spark, sf_dir), k=5)
 
 
 @register("classifier_confusion", None)
@@ -1232,21 +1365,22 @@ from textmart.operators import lexicon  # noqa: E402
 
 
 @register("token_listing", f"""
-WITH d AS ({SQL_DOC_TOKENS}),
+WITH d AS ({SQL_DOC_TOKENS}), {SQL_DICT},
   u AS (SELECT doc_id, generate_subscripts(toks, 1) - 1 AS position, unnest(toks) AS token FROM d)
-SELECT doc_id, position, token, 'UNKN' AS pos, token AS lemma FROM u
+SELECT doc_id, position, u.token, coalesce(pos, 'UNKN') AS pos, coalesce(lemma, u.token) AS lemma FROM u LEFT JOIN dict USING (token)
 """)
 def token_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(token, part of speech, lemma) rows in text order (no dictionary: POS UNKN, lemma = token)."""
-    t = lexicon.token_listing(doc_tokens(spark, sf_dir, "doc_id"))
+    """(token, part of speech, lemma) rows in text order."""
+    t = lexicon.token_listing(doc_tokens(spark, sf_dir, "doc_id"), word_dictionary(spark, sf_dir))
     return t.select("doc_id", F.col("position").cast("long"), "token", "pos", "lemma")
 
 
 @register("vocabulary_normalisation", f"""
-WITH t AS (SELECT DISTINCT unnest({SQL_TOKENS}) AS word FROM documents)
-SELECT word, word AS lemma, {_sql_stem('word')} AS stem FROM t
+WITH t AS (SELECT DISTINCT unnest({SQL_TOKENS}) AS word FROM documents), {SQL_DICT}
+SELECT word, coalesce(lemma, word) AS lemma, {_sql_stem('word')} AS stem FROM t LEFT JOIN dict ON token = word
 """)
 def vocabulary_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each distinct word with its lemma and its stem."""
     words = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("word"))
-    return lexicon.normalisation_table(words)
+    t = lexicon.normalisation_table(words, word_dictionary(spark, sf_dir), stem_suffixes=STEM_SUFFIXES)
+    return t.select("word", "lemma", "stem")

@@ -22,10 +22,10 @@ DEFAULT_STOP_WORDS = sorted(set(D.ENGLISH_STOP_WORDS) | set(D.CUSTOM_STOP_WORDS)
 
 
 def filter_analyst_jobs(jobs: DataFrame, *, title_keywords: Sequence[str] = D.ANALYST_KEYWORDS,
-                        content_phrase: str = "data analyst") -> DataFrame:
-    """Keep ads whose title has a keyword or whose first 500 characters mention the phrase."""
+                        content_phrase: str = "data analyst", prefix_chars: int | None = None) -> DataFrame:
+    """Keep ads whose title has a keyword or whose content mentions the phrase (see ``rules.analyst_job``)."""
     return jobs.where(R.analyst_job("title", "content", title_keywords=title_keywords,
-                                    content_phrase=content_phrase))
+                                    content_phrase=content_phrase, prefix_chars=prefix_chars))
 
 
 def filter_keyword_jobs(jobs: DataFrame, *, keywords: Sequence[str] = D.ANALYST_FILTER_KEYWORDS) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import tfidf
-from textmart.operators.joins import bounded
+from textmart.operators.lexicon import lemmatize_arrays
 
 
 def read_topic_profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -46,26 +46,34 @@ def profile_tokens(profiles: DataFrame, *, word: str = r"(?U)\w") -> DataFrame:
 
 def text_tokens(texts: DataFrame, *, stop_words: Sequence[str] = (), word: str = r"(?U)\w",
                 lemma_dict: DataFrame | None = None) -> DataFrame:
-    """F6 + F5: language by script majority, then the preprocessing tokens (lemmas when a dictionary is given)."""
+    """F6 + F5: language by script majority, then the preprocessing tokens.
+
+    With a dictionary ``(token, lemma, pos)`` tokens become lemmas, of which
+    nouns, verbs, adjectives and proper nouns longer than two letters stay.
+    """
     out = texts.select("text_id", T.detect_language("text").alias("lang"),
                        T.topic_text_tokens("text", word=word, stop_words=stop_words).alias("tokens"))
     if lemma_dict is not None:
-        from textmart.operators.lexicon import lemmatize_arrays
-        out = lemmatize_arrays(out, lemma_dict, tokens="tokens", key="text_id")
+        out = lemmatize_arrays(out, lemma_dict, tokens="tokens", key="text_id", keep_pos=D.TOPIC_POS, min_len=3)
     return out
 
 
 def classify(texts: DataFrame, profiles: DataFrame, *, stop_words: Sequence[str] = (), word: str = r"(?U)\w",
-             threshold: float = D.TOPIC_THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """M5 + T10: (scores per text and topic, best topic per text with ``unknown`` below threshold)."""
-    prof = bounded(profile_tokens(profiles, word=word))
-    tx = text_tokens(texts, stop_words=stop_words, word=word)
-    scores = tfidf.topic_scores(tx, prof, text_id="text_id", topic="topic_id")
-    ordered = scores.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id")
-    best = tfidf.best_topic(ordered, text_id="text_id", topic="topic_id", topic_order="topic_ord",
-                            threshold=threshold, unknown=D.UNKNOWN_TOPIC)
-    # texts whose language has no profile are "unknown" too
+             threshold: float = D.TOPIC_THRESHOLD, lemma_dict: DataFrame | None = None,
+             digits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """M5 + T10: (ranked scores per text and topic that shares a term, best topic per text).
+
+    ``profiles`` has ``keywords`` (an array) or ``term`` rows. Texts without a
+    score of at least ``threshold``, or whose language has no profile, are
+    ``unknown``; their best score is 0 where no topic shares a term.
+    """
+    prof = profiles if "term" in profiles.columns else profile_tokens(profiles, word=word)
+    scores = tfidf.topic_scores(text_tokens(texts, stop_words=stop_words, word=word, lemma_dict=lemma_dict), prof)
+    if digits is not None:
+        scores = scores.withColumn("score", F.round("score", digits))
+    ranked = tfidf.ranked_topics(scores.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id"))
+    best = ranked.where("rank = 1").select("text_id", F.when(F.col("score") >= threshold, F.col("topic_id")).alias("topic"), F.col("score").alias("best_score"))
     best = texts.select("text_id").join(best, on="text_id", how="left").select(
         "text_id", F.coalesce("topic", F.lit(D.UNKNOWN_TOPIC)).alias("topic"),
         F.coalesce("best_score", F.lit(0.0)).alias("best_score"))
-    return scores, best
+    return ranked, best

@@ -8,10 +8,10 @@ no UI, UTC session clock, Arrow for the few Python-worker stages).
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -59,23 +59,25 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created.
+    Where the setting is absent, a folder of the warehouse is used (shared
+    like the tables in it), never a machine-local temporary folder.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        path = tempfile.mkdtemp(prefix="textmart-ckpt-")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/textmart-checkpoints"
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame, *, fmt: str = "parquet") -> DataFrame:
+def cut_lineage(df: DataFrame, *, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """Materialise ``df`` once as a table in the shared checkpoint folder and read it back.
 
     Used for intermediates that several branches of a job consume: they are
     computed once, survive executor loss (the files are on shared storage) and
-    are read back as a columnar table (column pruning, codegen). ``fmt=None``
-    uses ``DataFrame.checkpoint`` instead.
+    are read back as a columnar table (column pruning, codegen), with
+    ``schema`` where the reader has to know more than the files say.
+    ``fmt=None`` uses ``DataFrame.checkpoint`` instead.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
@@ -83,4 +85,5 @@ def cut_lineage(df: DataFrame, *, fmt: str = "parquet") -> DataFrame:
         return df.checkpoint(eager=True)
     path = f"{base.rstrip('/')}/textmart-{uuid.uuid4().hex}"
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
