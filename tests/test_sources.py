@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from textmart.operators import reviews as RV
@@ -110,6 +111,47 @@ def test_review_cap_order_and_share(spark):
     capped = RV.cap_per_product(reviews, 3)
     assert sorted((r.product, r.ord) for r in capped.collect()) == [("p1", 0), ("p1", 1), ("p1", 2), ("p2", 20)]
     summary = spark.createDataFrame([("a", None), ("b", 4.5), ("c", 3.0)], "product string, avg_stars double")
-    assert [r.product for r in RV.order_products(summary).collect()] == ["b", "c", "a"]
+    assert {r.product: r.position for r in RV.order_products(summary).collect()} == {"b": 1, "c": 2, "a": 3}
     shares = freq.share_of_total(spark.createDataFrame([("x", 1), ("y", 3)], "k string, n long"), "n")
     assert {r.k: r.pct for r in shares.collect()} == {"x": 25.0, "y": 75.0}
+
+
+def test_json_arrays_are_numbered_and_malformed_files_fail(spark):
+    d = scratch()
+    good, bad = os.path.join(d, "a b+c_news.json"), os.path.join(d, "bad_news.json")
+    with open(good, "w", encoding="utf-8") as f:
+        json.dump([{"title": f"t{k}", "content": "c", "link": None} for k in range(5)], f)
+    with open(os.path.join(d, "z_news.json"), "w", encoding="utf-8") as f:
+        json.dump([{"title": "last"}], f)
+    rows = files.read_articles(spark, [good, os.path.join(d, "z_news.json"), os.path.join(d, "none.json")], skip_missing=True).collect()
+    assert [(r.title, r.ord, r.doc_id) for r in sorted(rows, key=lambda r: r.doc_id)] == [*((f"t{k}", k, k) for k in range(5)), ("last", 0, 5)]
+    with open(bad, "w", encoding="utf-8") as f:
+        f.write('[{"title": "x"}, {"title": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+        files.read_articles(spark, bad).collect()
+    assert files.missing_paths(spark, [good, os.path.join(d, "none.json")]) == [os.path.join(d, "none.json")]
+    assert files.read_articles(spark, [os.path.join(d, "none.json")], skip_missing=True).count() == 0
+    assert files.read_word_list(spark, [os.path.join(d, "none.txt")]).count() == 0
+
+
+def test_blank_reviews_take_no_place(spark):
+    rows = spark.createDataFrame([("p", 1, "\n\t ", 0.9, 0.9), ("p", 2, "fine", 0.5, 0.9), ("p", 3, "poor", -0.5, 0.2)],
+                                 "product string, ord long, review string, tonal_score double, confidence double")
+    got = [(r.kind, r["rank"], r.ord) for r in RV.extreme_reviews(rows, n=2).collect()]
+    assert sorted(got) == [("negative", 1, 3), ("negative", 2, 2), ("positive", 1, 2), ("positive", 2, 3)]
+    assert [r.ord for r in RV.extreme_reviews(rows, n=2, min_confidence=0.5).collect()] == [2, 2]
+
+
+def test_files_round_trip_a_given_table(spark):
+    """Documents written as one JSON array per source and read back."""
+    from tests.conftest import SMALL
+
+    d = scratch()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "source", "text").collect()
+    for s in {r.source for r in docs}:
+        with open(os.path.join(d, f"{s}_news.json"), "w", encoding="utf-8") as f:
+            json.dump([{"title": str(r.doc_id), "content": r.text} for r in docs if r.source == s], f, ensure_ascii=False)
+    back = files.read_articles(spark, f"{d}/*_news.json").collect()
+    assert sorted((int(r.title), r.content) for r in back) == sorted((r.doc_id, r.text) for r in docs)
+    assert {r.source.lower() for r in back} == {r.source for r in docs}
+    assert sorted(r.doc_id for r in back) == list(range(len(docs)))

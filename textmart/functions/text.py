@@ -29,6 +29,11 @@ def word_runs(text: str | Column, letters: str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), _lit_pattern(f"[{letters}]+"), 0)
 
 
+def strip_blank(text: str | Column) -> Column:
+    """Text without white space (blanks, tabs, line ends) at its ends."""
+    return F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+
+
 def drop_stop_words(tokens: Column, stop_words: Iterable[str] = (), *, min_len: int = 3,
                     drop_digits: bool = False) -> Column:
     """Keep tokens of at least ``min_len`` characters that are not stop words.

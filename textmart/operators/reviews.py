@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import scores as S
 from textmart.functions import text as T
+from textmart.operators.tokens import row_numbers
 
 
 def cap_per_product(reviews: DataFrame, n: int | None, *, product: str = "product", order: str = "ord") -> DataFrame:
@@ -61,15 +62,20 @@ def tonality(scored: DataFrame, *, labels: Sequence[str] = D.EMOTION_LABELS,
     return out.withColumn("emotions", S.emotions_from_columns(labels, thresholds))
 
 
-def product_summary(reviews: DataFrame, scored: DataFrame, *, product: str = "product", key: str = "ord",
-                    stars: str = "stars", top_emotions: int = 3) -> DataFrame:
+def with_text_only(scored: DataFrame, *, text: str = "text") -> DataFrame:
+    """Every review keeps its row; tonal fields of those whose text is blank (white space of any kind) are null."""
+    blank = T.strip_blank(F.coalesce(F.col(text), F.lit(""))) == ""
+    fields = [c for c in ("tonal_label", "tonal_score", "tonal_stars", "confidence", "emotions") if c in scored.columns]
+    return scored.withColumns({c: F.when(~blank, F.col(c)) for c in fields})
+
+
+def product_summary(j: DataFrame, *, product: str = "product", stars: str = "stars", top_emotions: int = 3) -> DataFrame:
     """A15 + P7 + T6: per product totals, rated average, tonal averages, gap and top emotion shares.
 
-    ``reviews`` holds every (capped) review, ``scored`` only those with text.
-    Shares are emotion counts / reviews with text; ties by label name.
+    ``j`` holds every (capped) review with its tonal fields, null without text
+    (``with_text_only``), so nothing is joined back. Shares are emotion counts
+    / reviews with text; ties by label name.
     """
-    s = scored.select(key, "tonal_score", "tonal_stars", "emotions")
-    j = reviews.join(s, on=key, how="left")
     rated = F.when(F.col(stars).cast("double") > 0, F.col(stars).cast("double"))
     base = j.groupBy(product).agg(
         F.count(F.lit(1)).alias("total_reviews"),
@@ -90,9 +96,10 @@ def product_summary(reviews: DataFrame, scored: DataFrame, *, product: str = "pr
         x["emotion"].alias("emotion"), x["share"].alias("share")))).drop("_top")
 
 
-def order_products(summary: DataFrame) -> DataFrame:
-    """T5: average stars descending, products without ratings last."""
-    return summary.orderBy(F.col("avg_stars").desc_nulls_last(), F.col("product"))
+def order_products(summary: DataFrame, *, out: str = "position") -> DataFrame:
+    """T5: position by average stars descending, products without ratings last, ties by name."""
+    key = F.coalesce(-F.col("avg_stars"), F.lit(float("inf")))
+    return row_numbers(summary.withColumn("_key", key), by=[], order="_key", tiebreak=["product"], out=out).drop("_key")
 
 
 def extreme_reviews(rows: DataFrame, *, product: str = "product", n: int = 3, min_confidence: float = 0.0,
@@ -106,7 +113,7 @@ def extreme_reviews(rows: DataFrame, *, product: str = "product", n: int = 3, mi
     window, so invalid rows never take a top slot and the check is not pushed
     down into (and duplicated inside) the scoring expressions.
     """
-    valid = ((F.trim(F.coalesce(F.col(text), F.lit(""))) != "") & F.col("tonal_score").isNotNull()
+    valid = ((T.strip_blank(F.coalesce(F.col(text), F.lit(""))) != "") & F.col("tonal_score").isNotNull()
              & F.col("confidence").isNotNull() & (F.col("confidence") >= F.lit(min_confidence)))
     ok = rows.withColumn("_valid", F.coalesce(valid, F.lit(False)))
     wp = Window.partitionBy(product).orderBy(F.col("_valid").desc(), F.col("tonal_score").desc(),
@@ -120,10 +127,9 @@ def extreme_reviews(rows: DataFrame, *, product: str = "product", n: int = 3, mi
     return pos.unionByName(neg).drop("_valid").withColumn("text_short", T.compact_text(F.col(text), max_chars))
 
 
-def product_rows(reviews_with_text: DataFrame, scored: DataFrame, *, key: str = "ord", digits: int = 4) -> DataFrame:
-    """S7 payload: review, stars and the tonal fields rounded to ``digits``."""
-    j = reviews_with_text.join(scored, on=key)
-    return j.select(key, "product", F.col("text").alias("review"), "stars", "tonal_label",
+def product_rows(scored: DataFrame, *, key: str = "ord", digits: int = 4) -> DataFrame:
+    """S7 payload: review, stars and the tonal fields rounded to ``digits``, of the reviews with text."""
+    return scored.where(F.col("tonal_label").isNotNull()).select(key, "product", F.col("text").alias("review"), "stars", "tonal_label",
                     *[F.round(c, digits).alias(c) for c in ("tonal_score", "tonal_stars", "confidence")])
 
 

@@ -22,12 +22,21 @@ def with_day_period(tokens: DataFrame, *, ts: str = "ts") -> DataFrame:
     }).withColumn("period_ord", R.period_order("period"))
 
 
+def period_counts(tokens: DataFrame, *, word: str = "word") -> DataFrame:
+    """Occurrences of each word per date and part of day."""
+    return tokens.groupBy("date", "day", "period", "period_ord", word).agg(F.count(F.lit(1)).alias("freq"))
+
+
 def top_per_period(tokens: DataFrame, k: int = 5, *, word: str = "word") -> DataFrame:
     """W1 + W2 + W3: top-k words per (date, period) with group sum and day ordinal.
 
     Groups with fewer than k distinct words return what they have.
     """
-    counts = tokens.groupBy("date", "day", "period", "period_ord", word).agg(F.count(F.lit(1)).alias("freq"))
+    return top_of_counts(period_counts(tokens, word=word), k, word=word)
+
+
+def top_of_counts(counts: DataFrame, k: int = 5, *, word: str = "word") -> DataFrame:
+    """W2 + W3 on counted words."""
     w = Window.partitionBy("date", "period").orderBy(F.col("freq").desc(), F.col(word))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     top = top.withColumn("sum_freq", F.sum("freq").over(Window.partitionBy("date", "period")))
@@ -64,16 +73,21 @@ def period_sums(top: DataFrame) -> DataFrame:
     return top.select("date", "day", "period", "period_ord", "sum_freq").distinct()
 
 
-def daily_series(tokens: DataFrame, terms: DataFrame, *, word: str = "word", term: str = "term") -> DataFrame:
-    """``(date, term, n)`` for every date present in ``tokens`` and every term (0 when absent).
+def daily_series(tokens: DataFrame, terms: DataFrame, *, word: str = "word", term: str = "term",
+                 days: DataFrame | None = None, count: str | None = None) -> DataFrame:
+    """``(date, term, n)`` for every date of ``days`` and every term (0 when absent).
 
-    ``terms`` is a bounded list (a top-k result). Its values enter as one
-    scalar array, so the date x term grid needs no join of two tables.
+    ``days`` are the dates of the articles (default: those of ``tokens``, where
+    a day whose articles have no words is missing). ``tokens`` holds one row per
+    word, or counts in the column ``count``. ``terms`` is a bounded list (a
+    top-k result). Its values enter as one scalar array, so the date x term
+    grid needs no join of two tables.
     """
     term_list = terms.select(F.sort_array(F.collect_list(term))).scalar()
-    counts = (tokens.join(F.broadcast(terms.select(F.col(term).alias(word))), on=word, how="left_semi")
-              .groupBy("date", word).agg(F.count(F.lit(1)).alias("n")))
+    n = F.count(F.lit(1)) if count is None else F.sum(count)
+    counts = (tokens.join(terms.select(F.col(term).alias(word)), on=word, how="left_semi")
+              .groupBy("date", word).agg(n.alias("n")))
     per_day = counts.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct(word, "n"))).alias("_m"))
-    days = tokens.select("date").distinct()
+    days = (tokens if days is None else days).select("date").distinct()
     grid = days.join(per_day, on="date", how="left").select("date", "_m", F.explode(term_list).alias(term))
     return grid.select("date", term, F.coalesce(F.try_element_at("_m", F.col(term)), F.lit(0)).cast("long").alias("n"))

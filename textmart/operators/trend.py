@@ -80,13 +80,22 @@ def forecast(coeffs: DataFrame, last_date: Column, *, series: str = "series", ho
 
 
 def forecast_table(points: DataFrame, coeffs: DataFrame, *, series: str = "series", date: str = "date",
-                   horizon: int = 7, digits: int = 2) -> DataFrame:
-    """Observed rows (fact, trend) followed by future rows (forecast), rounded to ``digits``."""
+                   horizon: int = 7, digits: int = 2, band: bool = False) -> DataFrame:
+    """Observed rows (fact, trend) followed by future rows (forecast), rounded to ``digits``.
+
+    M18: with ``band`` the future rows carry ``low`` and ``high``, the forecast
+    minus and plus twice the residual deviation.
+    """
     last = points.select(F.max(date)).scalar()
     obs = points.join(coeffs, on=series).select(
         series, date, "x", F.col("y").alias("fact"), F.round(_trend(F.col("x")), digits).alias("trend"),
         F.lit(None).cast("double").alias("forecast"))
     fut = forecast(coeffs, last, series=series, horizon=horizon).select(
         series, date, "x", F.lit(None).cast("double").alias("fact"), F.lit(None).cast("double").alias("trend"),
-        F.round("forecast", digits).alias("forecast"))
-    return obs.unionByName(fut)
+        F.round("forecast", digits).alias("forecast"), F.col("forecast").alias("_f"))
+    if not band:
+        return obs.unionByName(fut.drop("_f"))
+    width = quality(points, coeffs, series=series).select(series, "band")
+    fut = fut.join(width, on=series).withColumns({"low": F.round(F.col("_f") - F.col("band"), digits),
+                                                  "high": F.round(F.col("_f") + F.col("band"), digits)}).drop("_f", "band")
+    return obs.unionByName(fut, allowMissingColumns=True)

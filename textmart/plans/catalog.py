@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import freq
+from textmart.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -591,16 +592,19 @@ def term_period_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_SERIES = f"""{SQL_DATED},
   t3 AS (SELECT lower(trim(word)) AS term, count(*) AS appearances FROM top GROUP BY 1 ORDER BY appearances DESC, term LIMIT 3),
-  days AS (SELECT DISTINCT date, day FROM dp),
+  days AS (SELECT DISTINCT CAST(ts AS DATE) AS date, strftime(ts, '%d.%m.%Y') AS day FROM documents JOIN events ON event_id = doc_id),
   hits AS (SELECT date, word AS term, count(*) AS n FROM dp WHERE word IN (SELECT term FROM t3) GROUP BY ALL),
   ser AS (SELECT days.date, days.day, t3.term, coalesce(hits.n, 0) AS n
           FROM days CROSS JOIN t3 LEFT JOIN hits ON hits.date = days.date AND hits.term = t3.term)"""
 
 
 def term_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    toks = dated_tokens(spark, sf_dir)
-    top = timeline.top_per_period(toks, 5)
-    return timeline.daily_series(toks, timeline.top_terms_of_table(top, 3))
+    # counted once; the days are those of the articles, with or without words
+    counts = cut_lineage(timeline.period_counts(dated_tokens(spark, sf_dir)))
+    top = timeline.top_of_counts(counts, 5)
+    days = table(spark, sf_dir, "documents").select("doc_id").join(
+        table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts"), on="doc_id").select(F.to_date("ts").alias("date")).distinct()
+    return timeline.daily_series(counts, timeline.top_terms_of_table(top, 3), days=days, count="freq")
 
 
 @register("term_daily_series", f"""
@@ -622,17 +626,20 @@ def _sql_forecast_table(series_col: str) -> str:
     return f"""
   obs AS (SELECT p.series, p.date, p.x, p.y AS fact, round(c0 + c1 * p.x, 2) AS trend, CAST(NULL AS DOUBLE) AS forecast
           FROM pts p JOIN cf USING (series)),
+  sd AS (SELECT p.series, stddev_pop(p.y - (c0 + c1 * p.x)) AS sd FROM pts p JOIN cf USING (series) GROUP BY p.series),
   fut AS (SELECT series, CAST((SELECT max(date) FROM pts) + INTERVAL (h) DAY AS DATE) AS date, x_last + h AS x,
-                 CAST(NULL AS DOUBLE) AS fact, CAST(NULL AS DOUBLE) AS trend, round(c0 + c1 * (x_last + h), 2) AS forecast
-          FROM cf, range(1, 8) r(h))
-SELECT series AS {series_col}, strftime(date, '%d.%m.%Y') AS day, x, fact, trend, forecast FROM (SELECT * FROM obs UNION ALL SELECT * FROM fut)"""
+                 CAST(NULL AS DOUBLE) AS fact, CAST(NULL AS DOUBLE) AS trend, round(c0 + c1 * (x_last + h), 2) AS forecast,
+                 round(c0 + c1 * (x_last + h) - 2 * sd, 2) AS low, round(c0 + c1 * (x_last + h) + 2 * sd, 2) AS high
+          FROM cf JOIN sd USING (series), range(1, 8) r(h))
+SELECT series AS {series_col}, strftime(date, '%d.%m.%Y') AS day, x, fact, trend, forecast, low, high
+FROM (SELECT *, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high FROM obs UNION ALL SELECT * FROM fut)"""
 
 
 def _forecast_rows(points: DataFrame, series_col: str) -> DataFrame:
     cf = trend.fit(points, series="series", degree=1)
-    t = trend.forecast_table(points, cf, series="series", date="date", horizon=7)
+    t = trend.forecast_table(points, cf, series="series", date="date", horizon=7, band=True)
     return t.select(F.col("series").alias(series_col), F.date_format("date", D.DAY_FORMAT).alias("day"),
-                    "x", "fact", "trend", "forecast")
+                    "x", "fact", "trend", "forecast", "low", "high")
 
 
 @register("term_trend_forecast", f"""
@@ -890,22 +897,21 @@ def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = emb.join(docs, on="vec_id", how="left")
     return j.select(F.col("vec_id").alias("ord"), F.concat(F.lit("product_"), F.col("label")).alias("product"),
                     (F.col("vec_id") % 6).cast("int").alias("stars"),
-                    F.trim(F.coalesce("text", F.lit(""))).alias("text"), F.col("embedding").alias("logits"))
+                    T.strip_blank(F.coalesce("text", F.lit(""))).alias("text"), F.col("embedding").alias("logits"))
 
 
-def scored_reviews(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    r = review_table(spark, sf_dir)
-    with_text = r.where(F.col("text") != "")
+def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every review with its tonal fields (null without text)."""
     probs = [c.alias(k) for k, c in S.probability_columns("logits").items()]
-    scored = RV.tonality(with_text.select("ord", "product", *probs))
-    return r, scored
+    scored = RV.tonality(review_table(spark, sf_dir).select("ord", "product", "stars", "text", *probs))
+    return RV.with_text_only(scored)
 
 
 _E = D.EMOTION_LABELS
 _THR = D.EMOTION_THRESHOLDS
 SQL_REVIEWS = f"""
   r AS (SELECT e.vec_id AS ord, 'product_' || e.label AS product, CAST(e.vec_id % 6 AS INTEGER) AS stars,
-               trim(coalesce(d.text, '')) AS text, e.embedding AS emb FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
+               regexp_replace(coalesce(d.text, ''), '^\\s+|\\s+$', '', 'g') AS text, e.embedding AS emb FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
   p AS (SELECT ord, product, stars, text, {", ".join(f'1 / (1 + exp(-CAST(emb[{i + 1}] AS DOUBLE))) AS "p_{x}"' for i, x in enumerate(_E))}
         FROM r WHERE text <> ''),
   b AS (SELECT *, "p_Joy" + "p_Surprise" AS pos, "p_Fear" + "p_Anger" + "p_Sadness" + "p_Disgust" AS neg, "p_None" AS neu FROM p),
@@ -925,9 +931,8 @@ SELECT ord, product, stars, tonal_label, round(tonal_score, 6) AS tonal_score, r
        round(confidence, 6) AS confidence, emotions FROM sc2
 """)
 def review_tonality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, scored = scored_reviews(spark, sf_dir)
-    j = scored.join(r.select("ord", "stars"), on="ord")
-    return j.select("ord", "product", "stars", "tonal_label",
+    scored = scored_reviews(spark, sf_dir).where(F.col("tonal_label").isNotNull())
+    return scored.select("ord", "product", "stars", "tonal_label",
                     *[F.round(c, 6).alias(c) for c in ("tonal_score", "tonal_stars", "confidence")],
                     F.array_join("emotions", ",").alias("emotions"))
 
@@ -965,15 +970,14 @@ WITH {SQL_REVIEWS},
   sh AS (SELECT em.product, emotion, n / reviews_with_text AS share FROM em JOIN base USING (product)),
   tp AS (SELECT product, string_agg(emotion, ',' ORDER BY r) AS top_emotions FROM (
            SELECT *, row_number() OVER (PARTITION BY product ORDER BY share DESC, emotion) AS r FROM sh) WHERE r <= 3 GROUP BY product)
-SELECT base.product, total_reviews, reviews_with_text, round(avg_stars, 6) AS avg_stars, round(avg_tonal_stars, 6) AS avg_tonal_stars,
+SELECT row_number() OVER (ORDER BY avg_stars DESC NULLS LAST, base.product) AS position, base.product, total_reviews, reviews_with_text, round(avg_stars, 6) AS avg_stars, round(avg_tonal_stars, 6) AS avg_tonal_stars,
        round(avg_tonal_score, 6) AS avg_tonal_score, round(avg_tonal_stars - avg_stars, 6) AS stars_gap,
        coalesce(top_emotions, '') AS top_emotions
 FROM base LEFT JOIN tp USING (product)
 """)
 def product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, scored = scored_reviews(spark, sf_dir)
-    s = RV.product_summary(r, scored)
-    return s.select("product", "total_reviews", "reviews_with_text",
+    s = RV.order_products(RV.product_summary(scored_reviews(spark, sf_dir)))
+    return s.select("position", "product", "total_reviews", "reviews_with_text",
                     *[F.round(c, 6).alias(c) for c in ("avg_stars", "avg_tonal_stars", "avg_tonal_score", "stars_gap")],
                     F.array_join(F.transform("top_emotions", lambda x: x["emotion"]), ",").alias("top_emotions"))
 
@@ -985,7 +989,7 @@ WITH {SQL_REVIEWS},
 SELECT product, emotion, em.n AS count, round(em.n / reviews_with_text, 6) AS share FROM em JOIN n USING (product)
 """)
 def product_emotion_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scored = scored_reviews(spark, sf_dir)
+    scored = scored_reviews(spark, sf_dir).where(F.col("tonal_label").isNotNull())
     e = scored.select("product", F.explode("emotions").alias("emotion")).groupBy("product", "emotion").agg(
         F.count(F.lit(1)).alias("count"))
     n = scored.groupBy("product").agg(F.count(F.lit(1)).alias("reviews_with_text"))
@@ -993,9 +997,13 @@ def product_emotion_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.round(F.col("count") / F.col("reviews_with_text"), 6).alias("share"))
 
 
+# Reviews whose label is less certain than this take no place among the extremes.
+MIN_CONFIDENCE = 0.45
+
+
 @register("product_extreme_reviews", f"""
 WITH {SQL_REVIEWS},
-  rows AS (SELECT ord, product, text AS review, round(tonal_score, 4) AS tonal_score, round(confidence, 4) AS confidence FROM sc2),
+  rows AS (SELECT ord, product, text AS review, round(tonal_score, 4) AS tonal_score, round(confidence, 4) AS confidence FROM sc2 WHERE round(confidence, 4) >= {MIN_CONFIDENCE}),
   pos AS (SELECT *, 'positive' AS kind, row_number() OVER (PARTITION BY product ORDER BY tonal_score DESC, confidence DESC, ord) AS rank FROM rows),
   neg AS (SELECT *, 'negative' AS kind, row_number() OVER (PARTITION BY product ORDER BY tonal_score ASC, confidence DESC, ord) AS rank FROM rows),
   u AS (SELECT * FROM pos WHERE rank <= 3 UNION ALL SELECT * FROM neg WHERE rank <= 3),
@@ -1004,9 +1012,8 @@ SELECT product, kind, rank, ord, tonal_score, confidence,
        CASE WHEN length(one) <= 180 THEN one ELSE left(one, 179) || '…' END AS text_short FROM cp
 """)
 def product_extreme_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, scored = scored_reviews(spark, sf_dir)
-    rows = RV.product_rows(r.where(F.col("text") != ""), scored.drop("product"), key="ord", digits=4)
-    x = RV.extreme_reviews(rows, n=3, max_chars=180, text="review", order="ord")
+    rows = RV.product_rows(scored_reviews(spark, sf_dir), key="ord", digits=4)
+    x = RV.extreme_reviews(rows, n=3, min_confidence=MIN_CONFIDENCE, max_chars=180, text="review", order="ord")
     return x.select("product", "kind", F.col("rank").cast("long"), "ord", "tonal_score", "confidence", "text_short")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmart.functions.scores import product_from_file, source_from_file
@@ -21,41 +21,72 @@ SCORED_REVIEW_SCHEMA = ("review string, stars int, tonal_label string, tonal_sco
                         "tonal_stars double, confidence double")
 
 
-def read_json_array(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
+def read_json_array(spark: SparkSession, paths: str | Sequence[str], schema: str, *, skip_missing: bool = False) -> DataFrame:
     """Files holding one JSON array of objects each; ``ord`` keeps the order inside a file.
 
-    ``file`` is the source path (for S2 labels). Order inside a file comes
-    from exploding the array, so it survives any re-partitioning. A JSON
-    array cannot be split, so each file is parsed by one task; many files
-    scan in parallel (JSON Lines is the splittable alternative).
+    ``file`` is the source path (for S2 labels), ``doc_id`` numbers all rows
+    by (file, ord). The file is read as a stream of its objects, never as one
+    value; a JSON array cannot be split, so one task reads a file and many
+    files scan in parallel (JSON Lines is the splittable alternative). A
+    malformed file raises an error when the rows are read (``mode="FAILFAST"``).
+    A file whose root is one object counts as a list of one. Missing files
+    are skipped with ``skip_missing``.
     """
+    if skip_missing:
+        paths = existing_paths(spark, paths)
+        if not paths:
+            return spark.createDataFrame([], f"file string, ord int, doc_id long, {schema}")
     # file paths arrive URI-encoded ('%20'); '+' is kept literal before decoding
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    raw = spark.read.option("wholetext", True).text(paths).select(F.col("value"), path.alias("file"))
-    arr = F.from_json("value", f"array<struct<{_struct_fields(schema)}>>")
-    return raw.select("file", F.posexplode(arr).alias("ord", "r")).select("file", "ord", "r.*")
-
-
-def _struct_fields(schema: str) -> str:
-    return ", ".join(f"{name}: {typ}" for name, typ in (f.strip().split(None, 1) for f in schema.split(",")))
-
-
-def read_articles(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(paths)
+    names = raw.columns
+    # rows of a file come in its order and from one task: the running id orders them
+    rows = raw.select(path.alias("file"), F.monotonically_increasing_id().alias("_at"), *names)
+    rows = rows.withColumn("ord", (F.row_number().over(Window.partitionBy("file").orderBy("_at")) - 1).cast("int"))
+    base = rows.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    base = base.select("file", F.coalesce(before, F.lit(0)).alias("_before"))  # one row per file
+    out = rows.join(base, on="file")
+    return out.select("file", "ord", (F.col("_before") + F.col("ord")).cast("long").alias("doc_id"), *names)
+
+
+def existing_paths(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The paths (or globs) that match something, through the file system of each path."""
+    found = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(p)
+        status = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+        if status is not None and len(status):
+            found.append(p)
+    return found
+
+
+def missing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """All inputs that do not exist, to be reported together."""
+    there = set(existing_paths(spark, paths))
+    return [p for p in paths if p not in there]
+
+
+def read_articles(spark: SparkSession, paths: str | Sequence[str], *, skip_missing: bool = False) -> DataFrame:
     """S1 + S2 + U1: news files ``<name>_news.json``; source label from the file name, missing category null."""
-    df = read_json_array(spark, paths, ARTICLE_SCHEMA)
+    df = read_json_array(spark, paths, ARTICLE_SCHEMA, skip_missing=skip_missing)
     return df.withColumn("source", source_from_file("file"))
 
 
 def read_reviews(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """S1 + S2: review files; product from ``makeup_reviews(<name>).json``; text stripped, null -> ''."""
     df = read_json_array(spark, paths, REVIEW_SCHEMA)
-    return df.select("file", "ord", F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", "").alias("text"),
+    return df.select("file", "ord", "doc_id", F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", "").alias("text"),
                      "stars", product_from_file("file").alias("product"))
 
 
 def read_word_list(spark: SparkSession, paths: str | Sequence[str], *, comments: bool = True,
-                   lower: bool = False) -> DataFrame:
-    """S3 + U2: one entry per line, stripped, blanks dropped (``#`` lines too), de-duplicated."""
+                   lower: bool = False, skip_missing: bool = True) -> DataFrame:
+    """S3 + U2: one entry per line, stripped, blanks dropped (``#`` lines too), de-duplicated; missing files are skipped."""
+    if skip_missing:
+        paths = existing_paths(spark, paths)
+        if not paths:
+            return spark.createDataFrame([], "word string")
     lines = spark.read.text(paths)
     if comments:
         lines = lines.where(~F.col("value").startswith("#"))
