@@ -85,7 +85,7 @@ def test_streaming_counts_match_batch(spark):
     spark.createDataFrame(rows, daily_terms.ARTICLE_STREAM_SCHEMA).write.parquet(src)
     stream = daily_terms.read_article_stream(spark, src)
     q = daily_terms.start(daily_terms.daily_term_counts(stream), checkpoint=os.path.join(d, "ckpt"),
-                          name="tm_daily_terms")
+                          name="tm_daily_terms", sink="memory", output_mode="update")
     q.processAllAvailable()
     got = {(str(r.day.start.date()), r.period, r.word): r.freq for r in spark.sql("SELECT * FROM tm_daily_terms").collect()}
     q.stop()

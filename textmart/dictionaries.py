@@ -20,16 +20,18 @@ CLEAN_LETTERS = "а-яяіїєґa-z"
 TOKEN_LETTERS = "a-zа-щьюяєіїґ'"
 
 # English stop words (127 entries).
-ENGLISH_STOP_WORDS = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves he him his "
-    "himself she her hers herself it its itself they them their theirs themselves what "
-    "which who whom this that these those am is are was were be been being have has had "
-    "having do does did doing a an the and but if or because as until while of at by for "
-    "with about against between into through during before after above below to from up "
-    "down in out on off over under again further then once here there when where why how "
-    "all any both each few more most other some such no nor not only own same so than too "
-    "very s t can will just don should now"
-).split()
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself",
+    "they", "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these",
+    "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "having", "do",
+    "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while",
+    "of", "at", "by", "for", "with", "about", "against", "between", "into", "through", "during", "before",
+    "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
+    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each",
+    "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than",
+    "too", "very", "s", "t", "can", "will", "just", "don", "should", "now",
+]
 
 # Suffixes of the Ukrainian stemmer, tried in this order.
 STEM_SUFFIXES = [
@@ -135,21 +137,22 @@ ANALYST_KEYWORDS = [
     "business intelligence", "analytics", "marketing analyst", "senior data analyst",
     "middle data analyst", "junior data analyst",
 ]
-CUSTOM_STOP_WORDS = (
-    "experience work team company role looking join ability strong working etc e.g eg "
-    "year years also least including well new us one use using used day would need "
-    "ensure make like good plus based across level high key must related knowledge "
-    "understanding skill skills candidate ideal offer offers responsibilities requirement "
-    "requirements required nice hiring description job position opportunity "
-    "opportunities want help look seek seeking right create full best real world global "
-    "part first within time support people professional environment take develop provide "
-    "different major apply available following willingness"
-).split()
-MEANINGFUL_TERMS = (
-    "datum data analysis report dashboard metric insight business product query "
-    "visualization test performance funnel retention segment monitor model automation "
-    "pipeline decision stakeholder conversion kpi"
-).split()
+CUSTOM_STOP_WORDS = [
+    "experience", "work", "team", "company", "role", "looking", "join", "ability", "strong", "working", "etc",
+    "e.g", "eg", "year", "years", "also", "least", "including", "well", "new", "us", "one", "use", "using",
+    "used", "day", "would", "need", "ensure", "make", "like", "good", "plus", "based", "across", "level",
+    "high", "key", "must", "related", "knowledge", "understanding", "skill", "skills", "candidate", "ideal",
+    "offer", "offers", "responsibilities", "requirement", "requirements", "required", "nice", "hiring",
+    "description", "job", "position", "opportunity", "opportunities", "want", "help", "look", "seek",
+    "seeking", "right", "create", "full", "best", "real", "world", "global", "part", "first", "within",
+    "time", "support", "people", "professional", "environment", "take", "develop", "provide", "different",
+    "major", "apply", "available", "following", "willingness",
+]
+MEANINGFUL_TERMS = [
+    "datum", "data", "analysis", "report", "dashboard", "metric", "insight", "business", "product", "query",
+    "visualization", "test", "performance", "funnel", "retention", "segment", "monitor", "model",
+    "automation", "pipeline", "decision", "stakeholder", "conversion", "kpi",
+]
 TECH_PATTERNS = [
     "sql", "python", "tableau", "power bi", "powerbi", "excel", "bigquery", "big query",
     "clickhouse", "postgresql", "postgres", "mysql", "snowflake", "redshift", "looker",

@@ -39,9 +39,13 @@ def daily_term_counts(articles: DataFrame, *, letters: str = D.CLEAN_LETTERS, st
             .agg(F.count(F.lit(1)).alias("freq")))
 
 
-def start(counts: DataFrame, *, checkpoint: str, sink: str = "memory", name: str = "daily_term_counts",
-          path: str | None = None, output_mode: str = "update", trigger_seconds: int | None = None):
-    """Start the query; the checkpoint must be a shared, reliable folder on a cluster."""
+def start(counts: DataFrame, *, checkpoint: str, sink: str = "parquet", name: str = "daily_term_counts",
+          path: str | None = None, output_mode: str = "append", trigger_seconds: int | None = None):
+    """Start the query; the checkpoint must be a shared, reliable folder on a cluster.
+
+    A closed day is appended to ``path`` once its watermark has passed. The
+    ``memory`` sink (for tests) holds the whole result on the driver.
+    """
     w = counts.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
