@@ -155,3 +155,28 @@ def test_files_round_trip_a_given_table(spark):
     assert sorted((int(r.title), r.content) for r in back) == sorted((r.doc_id, r.text) for r in docs)
     assert {r.source.lower() for r in back} == {r.source for r in docs}
     assert sorted(r.doc_id for r in back) == list(range(len(docs)))
+
+
+def test_topic_profiles_from_files(spark):
+    from textmart.plans import topics
+
+    d = scratch()
+    for k in range(2):
+        with open(os.path.join(d, f"t{k}.json"), "w", encoding="utf-8") as f:
+            json.dump({"topic_id": f"t{k}", "topic_name": {"en": f"Topic {k}"}, "keywords": {"en": ["alpha", ("zero", "one")[k]], "uk": ["слово"]}}, f, ensure_ascii=False)
+    prof = topics.read_topic_profiles(spark, [os.path.join(d, x) for x in ("t0.json", "none.json", "t1.json")])
+    got = sorted((r.topic_id, r.topic_ord, r.lang, r.topic_name, r.keywords) for r in prof.collect())
+    assert got == [("t0", 0, "en", "Topic 0", ["alpha", "zero"]), ("t0", 0, "uk", None, ["слово"]),
+                   ("t1", 1, "en", "Topic 1", ["alpha", "one"]), ("t1", 1, "uk", None, ["слово"])]
+    texts = spark.createDataFrame([(1, "one and alpha"), (2, "інше слово тут")], "text_id long, text string")
+    _, best = topics.classify(texts, prof)
+    assert {r.text_id: r.topic for r in best.collect()} == {1: "t1", 2: "t0"}
+    assert topics.read_topic_profiles(spark, [os.path.join(d, "none.json")]).count() == 0
+
+
+def test_listing_date_and_clock(spark):
+    from textmart.functions import rules, text
+
+    df = spark.createDataFrame([(dt.date(2026, 4, 13), " 17:56 ", "a  very\nlong title of a record")], "d date, t string, title string")
+    r = df.select(rules.iso_from_date_and_clock("d", "t").alias("iso"), text.short_title("title", 12).alias("short")).first()
+    assert r.iso == "2026-04-13T17:56+02:00" and r.short == "a  very\nlong..."

@@ -23,52 +23,6 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def probs_from_logits(logits: str | Column, labels: Sequence[str] = D.EMOTION_LABELS) -> Column:
-    """``MAP(label -> sigmoid(logit))`` from the first len(labels) entries of a logit array."""
-    arr = _col(logits)
-    return F.map_from_arrays(F.array(*[F.lit(x) for x in labels]),
-                             F.array(*[sigmoid(arr.getItem(i).cast("double")) for i in range(len(labels))]))
-
-
-def emotions_over_threshold(probs: str | Column, thresholds: Mapping[str, float] = D.EMOTION_THRESHOLDS,
-                            default: float = 0.5) -> Column:
-    """F16: labels whose probability is above the label's threshold (``default`` for other labels)."""
-    thr = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
-    kept = F.map_filter(_col(probs), lambda k, v: v > F.coalesce(F.try_element_at(thr, k), F.lit(default)))
-    return F.map_keys(kept)
-
-
-def _get(probs: Column, label: str) -> Column:
-    return F.coalesce(F.try_element_at(probs, F.lit(label)), F.lit(0.0))
-
-
-def tonal_metrics(probs: str | Column, *, positive: Sequence[str] = D.POSITIVE_EMOTIONS,
-                  negative: Sequence[str] = D.NEGATIVE_EMOTIONS, neutral: str = D.NEUTRAL_EMOTION) -> Column:
-    """struct(tonal_label, tonal_score, tonal_stars, confidence) from emotion probabilities.
-
-    pos/neg/neu bucket sums; label is the largest bucket share (ties: Positive,
-    Negative, Neutral); score = (pos - neg) / total; stars = clamp(3 + 2 score, 1, 5);
-    a total <= 0 gives Neutral / 0 / 3.0 / 0.
-    """
-    p = _col(probs)
-    pos = sum((_get(p, x) for x in positive), F.lit(0.0))
-    neg = sum((_get(p, x) for x in negative), F.lit(0.0))
-    neu = _get(p, neutral)
-    total = pos + neg + neu
-    bp, bn, bu = F.try_divide(pos, total), F.try_divide(neg, total), F.try_divide(neu, total)
-    label = F.when((bp >= bn) & (bp >= bu), "Positive").when(bn >= bu, "Negative").otherwise("Neutral")
-    conf = F.when(label == "Positive", bp).when(label == "Negative", bn).otherwise(bu)
-    score = F.try_divide(pos - neg, total)
-    stars = F.greatest(F.lit(1.0), F.least(F.lit(5.0), 3.0 + 2.0 * score))
-    ok = total > 0
-    return F.struct(
-        F.when(ok, label).otherwise(F.lit("Neutral")).alias("tonal_label"),
-        F.when(ok, score).otherwise(F.lit(0.0)).alias("tonal_score"),
-        F.when(ok, stars).otherwise(F.lit(3.0)).alias("tonal_stars"),
-        F.when(ok, conf).otherwise(F.lit(0.0)).alias("confidence"),
-    )
-
-
 def probability_columns(logits: str | Column, labels: Sequence[str] = D.EMOTION_LABELS,
                         prefix: str = "p_") -> dict[str, Column]:
     """F17 as one plain column per label (``p_<label>``), cheap to reference many times."""
@@ -76,13 +30,6 @@ def probability_columns(logits: str | Column, labels: Sequence[str] = D.EMOTION_
     return {f"{prefix}{x}": sigmoid(arr.getItem(i).cast("double")) for i, x in enumerate(labels)}
 
 
-def map_to_columns(probs: str | Column, labels: Sequence[str] = D.EMOTION_LABELS,
-                   prefix: str = "p_") -> dict[str, Column]:
-    """Per-label columns from a probability map (missing label -> 0)."""
-    p = _col(probs)
-    return {f"{prefix}{x}": _get(p, x) for x in labels}
-
-
 def emotions_from_columns(labels: Sequence[str] = D.EMOTION_LABELS,
                           thresholds: Mapping[str, float] = D.EMOTION_THRESHOLDS,
                           default: float = 0.5, prefix: str = "p_") -> Column:

@@ -13,10 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def lookup(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
-    """Join a dictionary onto ``big``; AQE measures the dictionary and broadcasts it below its byte threshold."""
-    return big.join(small, on=on, how=how)
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on equal ``keys`` where null equals null; the keys of ``left`` are kept."""

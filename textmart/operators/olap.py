@@ -89,11 +89,6 @@ def experience_tech_matrix(enriched: DataFrame, k: int = 9, bands: Sequence[str]
     return out.select("row_ord", "band", "tech_rank", "tech", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def as_wide(matrix: DataFrame, row: str, tags: Sequence[str]) -> DataFrame:
-    """Pivot a long matrix to the displayed shape (one column per tag)."""
-    return matrix.groupBy("row_ord", row).pivot("tech", list(tags)).agg(F.first("n")).orderBy("row_ord")
-
-
 def level_tech_cube(enriched: DataFrame, *, job_id: str = "job_id") -> DataFrame:
     """``cube(level, tech)`` of distinct jobs; margins count jobs, not job-tag rows."""
     rows = enriched.select(job_id, "level", F.explode_outer("technologies").alias("tech"))

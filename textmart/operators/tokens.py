@@ -22,12 +22,6 @@ from textmart.operators.joins import join_null_safe
 RANGES = 512
 
 
-def explode_tokens(df: DataFrame, tokens: str = "tokens", *, keep: Sequence[str] = (),
-                   pos: str = "pos", word: str = "word") -> DataFrame:
-    """One row per token with its 0-based position inside the array."""
-    return df.select(*keep, F.posexplode(tokens).alias(pos, word))
-
-
 def with_offsets(docs: DataFrame, *, order: str, count: str, groups: Sequence[str] = (),
                  offset: str = "offset", ranges: int = RANGES, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add the number of tokens of all earlier documents (per group) as ``offset``.

@@ -17,25 +17,22 @@ from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import tfidf
 from textmart.operators.lexicon import lemmatize_arrays
+from textmart.sources.files import existing_paths
 
 
 def read_topic_profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One JSON object per file ``{topic_id, topic_name{uk,en}, keywords{uk[],en[]}}``.
+    """One JSON object per file ``{topic_id, topic_name{uk,en}, keywords{uk[],en[]}}``; missing files are skipped.
 
     File order gives ``topic_ord`` (the tie order). Returns one row per
-    (topic, language) with the keyword list.
+    (topic, language) with the topic's name in that language and the keywords.
     """
     schema = "topic_id string, topic_name map<string,string>, keywords map<string,array<string>>"
-    frames = []
-    for i, p in enumerate(paths):
-        df = spark.read.schema(schema).option("multiLine", True).json(p)
-        frames.append(df.withColumn("topic_ord", F.lit(i)))
-    if not frames:
-        return spark.createDataFrame([], "topic_id string, topic_ord int, lang string, keywords array<string>")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("topic_id", "topic_ord", F.explode("keywords").alias("lang", "keywords"))
+    out = spark.createDataFrame([], f"{schema}, topic_ord int")
+    for i, p in enumerate(existing_paths(spark, paths)):
+        df = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(p)
+        out = out.unionByName(df.withColumn("topic_ord", F.lit(i)))
+    out = out.select("topic_id", "topic_ord", "topic_name", F.explode("keywords").alias("lang", "keywords"))
+    return out.select("topic_id", "topic_ord", "lang", F.try_element_at("topic_name", F.col("lang")).alias("topic_name"), "keywords")
 
 
 def profile_tokens(profiles: DataFrame, *, word: str = r"(?U)\w") -> DataFrame:

@@ -119,8 +119,3 @@ def write_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
-
-def file_label(col: str | Column = "file") -> Column:
-    """Base name of a path column."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract(c, r"([^/]+)$", 1)
