@@ -38,16 +38,6 @@ def steps(batches: Iterable[pa.RecordBatch], key: int = 0, text: int = 1,
         pa.default_memory_pool().release_unused()  # workers are reused: what a batch took is given back
 
 
-def arrow_map(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *, arrow: pa.Schema) -> DataFrame:
-    """Apply ``fn(ids, texts) -> columns`` to the (id, text) rows of ``df`` in bounded steps."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in steps(batches):
-            yield pa.RecordBatch.from_pydict(fn(ids, texts), schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def pair_units(rows: DataFrame, key: str, value: str, block: int) -> DataFrame:
     """Deal the rows of each key to units of at most about ``2 * block`` rows such that every two rows of a key meet.
 
