@@ -24,8 +24,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHARE = 20
 #: Weight of the parent's purity, in pages; squared z value below which branches are merged; purity asked for.
 WEIGHT, SIMILAR, MIN_PURITY = 4.0, 3.841459, 0.5
-#: Places that the pages of one template are dealt to when its verdict is joined to them.
-SALTS = 64
 
 
 def host_of(url: Column) -> Column:
@@ -101,9 +99,8 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", la
 
     host, path = F.col("host"), F.col("path")
     verdict = F.coalesce(rule_of(host, path, rules, 0), F.when(F.col("purity") < min_purity, "block").otherwise("allow"))
-    # a template may hold a third of all pages: its rows are dealt to SALTS places
-    judged = judged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (paged.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int")).join(judged, ["host", "template", "salt"])
+    # a template may hold a third of all pages: both sides are shuffled for this join alone, so AQE can split it
+    return (paged.join(judged, ["host", "template"])
             .select(F.col("id").alias(id_col), "host", "path", rule_of(host, path, rules, None).alias("rule"), verdict.alias("verdict"),
                     "template", "purity"))
 
