@@ -180,3 +180,31 @@ def test_listing_date_and_clock(spark):
     df = spark.createDataFrame([(dt.date(2026, 4, 13), " 17:56 ", "a  very\nlong title of a record")], "d date, t string, title string")
     r = df.select(rules.iso_from_date_and_clock("d", "t").alias("iso"), text.short_title("title", 12).alias("short")).first()
     assert r.iso == "2026-04-13T17:56+02:00" and r.short == "a  very\nlong..."
+
+
+def test_page_rules_by_class_and_nesting(spark):
+    from textmart.sources import page_rules
+
+    html = """<div class="list"><div class="review big"><p class="text">Nice &amp; soft</p><span class="Star filled"></span><span class="Star filled"></span>
+      <a class="who" href="/u/1">Ann</a><time datetime="2026-04-13">13.04</time></div><div class="review"><a class="who" href="/u/2">Bob</a></div>
+      <div class="review"><p class="text">No stars<a class="who">Eve</a></div></div>"""
+    pages = spark.createDataFrame([(1, html), (2, None), (None, "")], "page_id long, html string")
+    fields = {"text": ("p.text", "text"), "stars": (".filled", "count"), "who": ("a.who", "text"), "link": ("a", "@href"), "time": ("time", "@datetime")}
+    got = [tuple(r) for r in page_rules.listing(pages, "div.review", fields, required=["text"]).collect()]
+    assert got == [(1, 0, "Nice & soft", 2, "Ann", "/u/1", "2026-04-13"), (1, 2, "No starsEve", 0, "Eve", None, None)]
+    nested = '<article class="a"><p>one</p><article><p>two<script>x</script></p></article><p> </p><ul><li>three</ul><p>after</article><p>outside</p>'
+    pages = spark.createDataFrame([(1, nested), (2, "<p>none</p>"), (3, None)], "page_id long, html string")
+    got = {r.page_id: r.content for r in page_rules.body_text(pages, "article.a", paragraphs=("p", "li")).collect()}
+    assert got == {1: "one\n\ntwo\n\nthree\n\nafter", 2: "[Content structure not found]", 3: "[Content structure not found]"}
+
+
+def test_page_rules_agree_with_the_page_records(spark):
+    """S9 on a given table: both extractions of the stored pages."""
+    from tests.conftest import SMALL
+    from textmart.sources import page_rules
+
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    squeeze = lambda t: " ".join(t.split())
+    one = {r.page_id: squeeze(r.content) for r in PG.extract_pages(pages).collect()}
+    two = {r.page_id: squeeze(r.content) for r in page_rules.body_text(pages, "article").collect()}
+    assert one == two
