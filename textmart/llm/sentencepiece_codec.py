@@ -33,7 +33,7 @@ def default_model() -> str:
 
 
 class ChunkCodec:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder of one task. The table's keys are chunks without their first marker, which every chunk has."""
 
     def __init__(self, model: str, table_chunks: int = TABLE_CHUNKS):
         import sentencepiece
@@ -43,36 +43,36 @@ class ChunkCodec:
             raise ValueError("a piece of this model crosses a whitespace marker: chunks are not independent")
         if self.sp.encode("  a", out_type=str) != [MARK * 2, f"{MARK}a"]:
             raise ValueError("this model's normaliser changes white space: chunks can't be told apart")
-        self.table: dict[str, tuple[int, ...]] = {}
-        self.joined: dict[str, str] = {}
+        self.table: dict[str, tuple[list[int], str]] = {}
         self.table_chunks = table_chunks
 
     def chunks(self, text: str) -> list[str]:
         """The marked text (one marker in front, as the library adds) cut before each run of markers."""
-        return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
-
-    def fill(self, chunks: list[str]) -> None:
-        new = [c for c in dict.fromkeys(chunks) if c not in self.table]
-        if len(self.table) + len(new) > self.table_chunks:
-            self.table.clear()
-            self.joined.clear()
-            new = list(dict.fromkeys(chunks))
-        # the library puts a marker before what it is given: each chunk starts with one, which is taken off first
-        for c, ids in zip(new, self.sp.encode([c[1:] for c in new], num_threads=1), strict=True):
-            ids = ids or [self.sp.piece_to_id(MARK)]  # a lone marker, for which the library would be given an empty text
-            self.table[c] = tuple(ids)
-            self.joined[c] = ",".join(map(str, ids))
+        if not text:
+            return []
+        words = text.split(" ")
+        if MARK in text or "" in words:  # runs of markers belong to the chunk that follows them
+            return [c[1:] for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        return words
+
+    def segmented(self, chunks: list[str]) -> list[tuple[list[int], str]]:
+        """Ids of each chunk, and the same as joined numbers; chunks that the table lacks are segmented once."""
+        rows = list(map(self.table.get, chunks))
+        if None in rows:
+            new = list(dict.fromkeys(c for c, r in zip(chunks, rows, strict=True) if r is None))
+            # the library puts a marker before what it is given; for a lone marker it would be given an empty text
+            found = {c: ids or [self.sp.piece_to_id(MARK)] for c, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True)}
+            fresh = {c: (ids, ",".join(map(str, ids))) for c, ids in found.items()}
+            rows = [fresh[c] if r is None else r for c, r in zip(chunks, rows, strict=True)]
+            if len(self.table) + len(fresh) > self.table_chunks:
+                self.table.clear()
+            self.table.update((c, r) for c, r in fresh.items() if len(c) <= LONG)
+        return rows
 
     def encode(self, text: str | None) -> tuple[list[int], str]:
         """Ids, and the same as decimal numbers joined by commas."""
-        chunks = self.chunks(text or "")
-        self.fill(chunks)
-        out = list(chain.from_iterable(map(self.table.__getitem__, chunks)))
-        joined = ",".join(map(self.joined.__getitem__, chunks))
-        for c in chunks:
-            if len(c) > LONG and c in self.table:
-                del self.table[c], self.joined[c]
-        return out, joined
+        rows = self.segmented(self.chunks(text or ""))
+        return list(chain.from_iterable([ids for ids, _ in rows])), ",".join([joined for _, joined in rows])
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids) if ids else ""
