@@ -198,44 +198,32 @@ def unpack_place(place):
     return place >> 17, place >> 9 & 255, place >> 1 & 255, place & 1
 
 
-def unit_repeats(units: list[list[tuple[bytes, int, int, int, int]]]) -> list[tuple[int, int, int]]:
+def ranges_of(text: bytes, start: int, windows: int, offset: int) -> Iterator[tuple[int, bytes, bytes, bytes, int, int, int]]:
+    """Cut a segment's windows by their offset from the minimizer: (range, bytes that all windows of the range share, bytes
+    before and after them, first window start, windows, letters of a window)."""
+    for q in range((offset - windows + 1) // OFFSETS, offset // OFFSETS + 1):
+        o1, o2 = q * OFFSETS, min(q * OFFSETS + OFFSETS, SPAN) - 1
+        lo, hi = max(0, offset - o2), min(windows - 1, offset - o1)
+        a, b = offset - o1, offset - o2 + LENGTH
+        yield q, text[a:b], text[lo:a], text[b:hi + LENGTH], start + lo, hi - lo + 1, o2 - o1 + 1
+
+
+def string_repeats(groups: list[tuple[int, list[tuple[bytes, bytes, int, int, int]]]]) -> list[tuple[int, int, int]]:
     """Windows that stand earlier, as (id, start, end) byte spans.
 
-    units: of each minimizer its different segments, as (text, id, first window start, windows, minimizer offset).
+    groups: of each shared core (letters of a window, different strings (before, after, id, first window start, windows)).
     """
-    found: list[tuple[int, int, int]] = []
     letters: list[int] = []
     strings: list[tuple[int, int, int, int, int]] = []  # start in letters, windows, id, first window start, width
-    core = 258
-    for rows in units:
-        met: dict[tuple[int, bytes], dict[tuple[bytes, bytes], tuple[int, int, int]]] = {}
-        for text, who, start, windows, offset in rows:
-            for q in range((offset - windows + 1) // OFFSETS, offset // OFFSETS + 1):
-                o1, o2 = q * OFFSETS, min(q * OFFSETS + OFFSETS, SPAN) - 1
-                lo, hi = max(0, offset - o2), min(windows - 1, offset - o1)
-                a, b = offset - o1, offset - o2 + LENGTH
-                same = met.setdefault((q, text[a:b]), {})
-                sides = (text[lo:a], text[b:hi + LENGTH])
-                old = same.get(sides)
-                now = (who, start + lo, hi - lo + 1)
-                if old is None:
-                    same[sides] = now
-                elif old != now:
-                    first, later = (old, now) if old < now else (now, old)
-                    same[sides] = first
-                    found.append((later[0], later[1], later[1] + later[2] - 1 + LENGTH))
-        for (q, _), same in met.items():
-            if len(same) > 1:
-                width = min(q * OFFSETS + OFFSETS, SPAN) - q * OFFSETS
-                for (left, right), (who, start, windows) in same.items():
-                    strings.append((len(letters), windows, who, start, width))
-                    letters += [x + 2 for x in left]
-                    letters.append(core)
-                    letters += [x + 2 for x in right]
-                    letters.append(1)
-                core += 1
+    for core, (width, rows) in enumerate(groups, 258):
+        for left, right, who, start, windows in rows:
+            strings.append((len(letters), windows, who, start, width))
+            letters += [x + 2 for x in left]
+            letters.append(core)
+            letters += [x + 2 for x in right]
+            letters.append(1)
     if not strings:
-        return found
+        return []
     letters.append(0)
     owner = [-1] * len(letters)
     for k, (at, windows, *_) in enumerate(strings):
@@ -256,6 +244,7 @@ def unit_repeats(units: list[list[tuple[bytes, int, int, int, int]]]) -> list[tu
             first = now
         elif now > first:
             later.append(now)
+    found: list[tuple[int, int, int]] = []
     at = -2
     for who, start in sorted(later):
         if found and at == start - 1 and found[-1][0] == who:
@@ -266,6 +255,28 @@ def unit_repeats(units: list[list[tuple[bytes, int, int, int, int]]]) -> list[tu
     return found
 
 
+def unit_repeats(units: list[list[tuple[bytes, int, int, int, int]]]) -> list[tuple[int, int, int]]:
+    """Windows that stand earlier, as (id, start, end) byte spans.
+
+    units: of each minimizer its different segments, as (text, id, first window start, windows, minimizer offset).
+    """
+    found: list[tuple[int, int, int]] = []
+    groups = []
+    for rows in units:
+        met: dict[tuple[int, bytes], dict[tuple[bytes, bytes], tuple[int, int, int]]] = {}
+        for text, who, start, windows, offset in rows:
+            for q, core, left, right, at, n, width in ranges_of(text, start, windows, offset):
+                same = met.setdefault((width, q, core), {})
+                now = (who, at, n)
+                old = same.setdefault((left, right), now)
+                if old != now:
+                    first, later = (old, now) if old < now else (now, old)
+                    same[left, right] = first
+                    found.append((later[0], later[1], later[1] + later[2] - 1 + LENGTH))
+        groups += [(width, [(*sides, *now) for sides, now in same.items()]) for (width, _, _), same in met.items() if len(same) > 1]
+    return found + string_repeats(groups)
+
+
 def spans_of(parts: list[dict]) -> list[tuple[int, int]]:
     """Maximal runs covered by the spans."""
     out: list[list[int]] = []
@@ -288,7 +299,9 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     texts are read, whatever their length; other columns are not read. An empty table gives no rows.
 
     No group is held by one task: repeated segments are counted with partial aggregates and joined back, at most
-    ``unit_segments`` different segments of a minimizer meet in a task, and minimizers with more are dealt by single windows.
+    ``unit_segments`` different segments of a minimizer meet in a task. Segments of minimizers with more are cut in ranges
+    of eight offsets and dealt by what the range's windows share; cores with more than that many different sides are dealt
+    by single windows, of which only the earliest place is kept.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
@@ -305,8 +318,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([squeeze.compress((t or "").encode("utf-8")) for t in texts], pa.binary())],
                                              names=["id", "packed"])
 
-    # texts go through their two shuffles compressed
-    packed = narrow.mapInArrow(pack, "id long, packed binary")
+    # texts are shuffled compressed, and once: both joins on the id read the same exchange
+    packed = narrow.mapInArrow(pack, "id long, packed binary").filter("id is not null")
     rows = narrow.filter("id is not null").mapInArrow(cut, "gram long, digest long, id long, place long")
     often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     rows = cut_lineage(rows.join(often, "gram"))
@@ -317,35 +330,41 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     whole = rows.join(first, ["gram", "digest"]).filter("place & 1 = 1 or id > first").select("id", start.alias("start"), (start + windows + (LENGTH - 1)).alias("end"))
 
     kept = once.join(first.withColumnRenamed("first", "id"), ["gram", "digest", "id"]).join(variants, "gram")
-    wanted = kept.groupBy("id").agg(F.collect_list(F.struct("gram", "place", "variants")).alias("wanted"))
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Texts of segments; of minimizers with many different segments, digests of their windows (place: start, again)."""
+    def wanted(some: DataFrame) -> DataFrame:
+        """Compressed texts with the places of their segments that are to be compared."""
+        places = some.groupBy("id").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
+        return packed.join(places, "id").select("id", "packed", "wanted")
+
+    def sliced(batches: Iterator[pa.RecordBatch], rows_of, names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                out: list[tuple] = []
+                part, out = batch.slice(at, 64), []
                 for who, data, some in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
                     data = unpack.decompress(data)
-                    seen: set[tuple[int, int]] = set()
-                    for x in sorted(some, key=lambda x: x["place"]):
-                        a, n, _, _ = unpack_place(x["place"])
-                        if x["variants"] <= unit_segments:
-                            out.append((x["gram"], None, who, x["place"], data[a:a + n - 1 + LENGTH]))
-                            continue
-                        for s in range(a, a + n):
-                            h = xxhash.xxh3_128_intdigest(data[s:s + LENGTH])
-                            key = ((h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63))
-                            out.append((*key, who, s << 1 | (key in seen), None))
-                            seen.add(key)
+                    for x in some:
+                        a, n, offset, _ = unpack_place(x["place"])
+                        out += rows_of(x, who, data[a:a + n - 1 + LENGTH], a, n, offset)
                 if out:
-                    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                     names=["unit", "more", "id", "place", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    def segment_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return sliced(batches, lambda x, who, text, *_: [(x["gram"], who, x["place"], text)], ["unit", "id", "place", "text"],
+                      [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
+
+    def range_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ranges of segments whose minimizer has many others: digest of the core, bytes around it."""
 
-    sliced = cut_lineage(packed.join(wanted, "id").select("id", "packed", "wanted")
-                         .mapInArrow(slices, "unit long, more long, id long, place long, text binary"))
+        def rows_of(x, who, text, a, n, offset):
+            out = []
+            for q, core, left, right, at, k, width in ranges_of(text, a, n, offset):
+                h = xxhash.xxh3_128_intdigest(core, seed=q)
+                out.append(((h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), width, left, right, who, at, k))
+            return out
+
+        return sliced(batches, rows_of, ["unit", "more", "width", "left", "right", "id", "start", "n"],
+                      [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["unit"], 1024):
@@ -353,18 +372,42 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             for unit, who, place, text in zip(*(t.column(c).to_pylist() for c in ("unit", "id", "place", "text")), strict=True):
                 a, n, offset, _ = unpack_place(place)
                 units.setdefault(unit, []).append((text, who, a, n, offset))
-            found = unit_repeats(list(units.values()))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["id", "start", "end"])
+            yield from as_spans(unit_repeats(list(units.values())))
+
+    def ranges_compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["unit", "more"], 4096):
+            groups: dict[tuple[int, int], tuple[int, list]] = {}
+            for unit, more, width, *row in zip(*(t.column(c).to_pylist() for c in ("unit", "more", "width", "left", "right", "id", "start", "n")), strict=True):
+                groups.setdefault((unit, more), (width, []))[1].append(tuple(row))
+            yield from as_spans(string_repeats(list(groups.values())))
+
+    def as_spans(found: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["id", "start", "end"])
 
+    spans = "id long, start long, end long"
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = sliced.filter("text is not null").select("unit", "id", "place", "text").repartition(count, "unit").sortWithinPartitions("unit")
-    partly = units.mapInArrow(compared, "id long, start long, end long")
-    single = sliced.filter("text is null").select("unit", "more", "id", "place")
-    earliest = single.groupBy("unit", "more").agg(F.min("id").alias("first"))
-    at = F.shiftright("place", 1)
-    lone = single.join(earliest, ["unit", "more"]).filter("place & 1 = 1 or id > first").select("id", at.alias("start"), (at + LENGTH).alias("end"))
-    spans = whole.union(partly).union(lone).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("parts"))
+    units = wanted(kept.filter(F.col("variants") <= unit_segments)).mapInArrow(segment_texts, "unit long, id long, place long, text binary")
+    partly = units.repartition(count, "unit").sortWithinPartitions("unit").mapInArrow(compared, spans)
+
+    # minimizers with many different segments: their ranges of windows, then, where a core has many sides, single windows
+    parts = wanted(kept.filter(F.col("variants") > unit_segments)).mapInArrow(
+        range_rows, "unit long, more long, width int, left binary, right binary, id long, start long, n int")
+    core, sides, spot = ["unit", "more"], ["unit", "more", "left", "right"], F.struct("id", "start")
+    earliest = parts.groupBy(*sides).agg(F.min(spot).alias("first"))
+    cores = earliest.groupBy(*core).agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
+    again = parts.join(earliest, sides).filter(spot > F.col("first")).select("id", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    odd = parts.join(earliest, sides).filter(spot == F.col("first")).join(cores, core).select(*parts.columns, "variants")
+    some = odd.filter(F.col("variants") <= unit_segments).drop("variants")
+    ranged = some.repartition(count, *core).sortWithinPartitions(*core).mapInArrow(ranges_compared, spans)
+    many = odd.filter(F.col("variants") > unit_segments).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    before = F.expr("substring(left, k + 1)")
+    after = F.expr("substring(right, 1, width - 1 - greatest(octet_length(left) - k, 0))")
+    single = many.select(*core, before.alias("left"), after.alias("right"), "id", (F.col("start") + F.col("k")).alias("start"))
+    lone = single.join(single.groupBy(*sides).agg(F.min(spot).alias("first")), sides).filter(spot > F.col("first")).select(
+        "id", "start", (F.col("start") + LENGTH).alias("end"))
+    spans = (whole.union(partly).union(again).union(ranged).union(lone).groupBy("id")
+             .agg(F.collect_list(F.struct("start", "end")).alias("parts")))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -380,5 +423,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                                                  names=["id", "n_bytes", "n_removed", "spans", "kept"])
 
-    found = packed.join(spans, "id", "left").select("id", "packed", "parts").mapInArrow(remove, f"id long, n_bytes long, n_removed long, spans {PLACES}, kept binary")
+    lost = packed.join(spans, "id", "left").select("id", "packed", "parts")
+    no_id = narrow.filter("id is null").mapInArrow(pack, "id long, packed binary").withColumn("parts", F.lit(None).cast(PLACES))
+    found = lost.union(no_id).mapInArrow(remove, f"id long, n_bytes long, n_removed long, spans {PLACES}, kept binary")
     return found.withColumnRenamed("id", id_col)
