@@ -131,10 +131,11 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def segments(texts: list[bytes], digests: bool = True) -> tuple[np.ndarray, ...]:
     """Of all texts: (text number, minimizer hash, content digest, first window start, windows, minimizer offset, again).
 
-    ``again`` marks a segment that stands earlier in the same text. Texts are hashed in blocks of bounded size.
+    ``again`` marks a segment that stands earlier in the same text. Texts are hashed in blocks of bounded size. Without
+    ``digests`` the digests are 0 and nothing is marked.
     """
     parts: list[tuple[np.ndarray, ...]] = []
     block: list[tuple[int, int, bytes]] = []
@@ -143,7 +144,7 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     def flush() -> None:
         nonlocal size
         if block:
-            parts.append(block_segments(block))
+            parts.append(block_segments(block, digests))
         block.clear()
         size = 0
 
@@ -159,11 +160,13 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         none = np.empty(0, np.int64)
         return none, none.view(np.uint64), none.view(np.uint64), none, none, none, none.astype(bool)
     cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    if not digests:
+        return (*cols, np.zeros(len(cols[0]), bool))
     again = pd.DataFrame({"t": cols[0], "k": cols[1], "d": cols[2]}).duplicated(keep="first").to_numpy()  # starts ascend
     return (*cols, again)
 
 
-def block_segments(block: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+def block_segments(block: list[tuple[int, int, bytes]], digests: bool) -> tuple[np.ndarray, ...]:
     data = b"".join(p for _, _, p in block)
     ends = np.cumsum([len(p) for _, _, p in block])
     starts = ends - np.array([len(p) for _, _, p in block])
@@ -184,7 +187,7 @@ def block_segments(block: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...
     new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]] | np.r_[True, piece[1:] != piece[:-1]])
     first, last = window[new], window[np.r_[new[1:] - 1, len(window) - 1]]
     at, piece = at[new], piece[new]
-    digest = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)), np.uint64, len(first))
+    digest = np.zeros(len(first), np.uint64) if not digests else np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)), np.uint64, len(first))
     digest ^= (at - first + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     owner, base = np.array([k for k, _, _ in block]), np.array([a for _, a, _ in block])
     return owner[piece], h[at], digest, first - starts[piece] + base[piece], last - first + 1, at - first
@@ -312,6 +315,11 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(np.array(ids, np.int64)[k]), pa.array(place)],
                                              names=["gram", "digest", "id", "place"])
 
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in steps(batches):
+            gram = segments([(t or "").encode("utf-8") for t in texts], digests=False)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], names=["gram"])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for ids, texts in steps(batches):
@@ -320,9 +328,9 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     # texts are shuffled compressed, and once: both joins on the id read the same exchange
     packed = narrow.mapInArrow(pack, "id long, packed binary").filter("id is not null")
-    rows = narrow.filter("id is not null").mapInArrow(cut, "gram long, digest long, id long, place long")
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    rows = cut_lineage(rows.join(often, "gram"))
+    known = narrow.filter("id is not null")
+    often = known.mapInArrow(grams, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    rows = cut_lineage(known.mapInArrow(cut, "gram long, digest long, id long, place long").join(often, "gram"))
     once = rows.filter("place & 1 = 0")
     first = cut_lineage(once.groupBy("gram", "digest").agg(F.min("id").alias("first")))
     variants = first.groupBy("gram").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
@@ -393,18 +401,20 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # minimizers with many different segments: their ranges of windows, then, where a core has many sides, single windows
     parts = wanted(kept.filter(F.col("variants") > unit_segments)).mapInArrow(
         range_rows, "unit long, more long, width int, left binary, right binary, id long, start long, n int")
-    core, sides, spot = ["unit", "more"], ["unit", "more", "left", "right"], F.struct("id", "start")
+    core, sides, spot = ["unit", "more"], ["unit", "more", "width", "left", "right"], F.struct("id", "start")
     earliest = parts.groupBy(*sides).agg(F.min(spot).alias("first"))
     cores = earliest.groupBy(*core).agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
     again = parts.join(earliest, sides).filter(spot > F.col("first")).select("id", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
-    odd = parts.join(earliest, sides).filter(spot == F.col("first")).join(cores, core).select(*parts.columns, "variants")
+    letters = F.octet_length("left") + 1 + F.octet_length("right")
+    odd = earliest.join(cores, core).select(*sides, "first.id", "first.start", (letters - F.col("width") + 1).alias("n"), "variants")
     some = odd.filter(F.col("variants") <= unit_segments).drop("variants")
     ranged = some.repartition(count, *core).sortWithinPartitions(*core).mapInArrow(ranges_compared, spans)
     many = odd.filter(F.col("variants") > unit_segments).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     before = F.expr("substring(left, k + 1)")
     after = F.expr("substring(right, 1, width - 1 - greatest(octet_length(left) - k, 0))")
     single = many.select(*core, before.alias("left"), after.alias("right"), "id", (F.col("start") + F.col("k")).alias("start"))
-    lone = single.join(single.groupBy(*sides).agg(F.min(spot).alias("first")), sides).filter(spot > F.col("first")).select(
+    same = [*core, "left", "right"]
+    lone = single.join(single.groupBy(*same).agg(F.min(spot).alias("first")), same).filter(spot > F.col("first")).select(
         "id", "start", (F.col("start") + LENGTH).alias("end"))
     spans = (whole.union(partly).union(again).union(ranged).union(lone).groupBy("id")
              .agg(F.collect_list(F.struct("start", "end")).alias("parts")))
