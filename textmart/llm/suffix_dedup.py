@@ -4,8 +4,8 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts earlier in th
 dealt to groups by their minimizer (the smallest hash among their k-grams), so equal windows always meet, at the same
 offset from the minimizer. Consecutive windows with one minimizer form a segment. Segments that repeat as a whole are
 settled by their 128-bit content digest; where different segments share a minimizer, their windows are compared by
-suffix arrays. The strings sorted there are short: within eight neighbouring offsets the bytes that all windows share are
-one letter (equal letters for equal bytes), so a window is a prefix of eight letters.
+suffix arrays. The strings sorted there are short: within OFFSETS neighbouring offsets the bytes that all windows share are
+one letter (equal letters for equal bytes), so a window is a prefix of as many letters.
 
 The suffix arrays are built by linear grouping: suffixes start grouped by first letter; groups are processed in descending
 order, and the previous smaller suffix of each member, found over pointers that jump processed suffixes, is moved to a new
@@ -31,9 +31,9 @@ from textmart.session import cut_lineage
 LENGTH, GRAM = 100, 24
 SPAN = LENGTH - GRAM + 1
 #: Offsets from the minimizer that are compared together.
-OFFSETS = 8
+OFFSETS = 16
 #: A minimizer with more different segments than this is dealt again, by single windows.
-UNIT_SEGMENTS = 512
+UNIT_SEGMENTS = 1024
 #: Window starts hashed at once.
 BLOCK = 1 << 20
 
@@ -303,7 +303,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     No group is held by one task: repeated segments are counted with partial aggregates and joined back, at most
     ``unit_segments`` different segments of a minimizer meet in a task. Segments of minimizers with more are cut in ranges
-    of eight offsets and dealt by what the range's windows share; cores with more than that many different sides are dealt
+    of OFFSETS offsets and dealt by what the range's windows share; cores with more than that many different sides are dealt
     by single windows, of which only the earliest place is kept.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
