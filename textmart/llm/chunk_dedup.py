@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmart.llm.common import steps
+from textmart.llm.common import join_split, steps
 
 #: 2 ** CUT_BITS bytes lie between cuts on average, beyond the smallest chunk.
 CUT_BITS, SMALLEST, LARGEST = 4, 16, 512
@@ -94,7 +94,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     rows = narrow.filter("id is not null").mapInArrow(chunks, f"id {id_kind}, digest binary")
     first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("digest", "first")
-    later = rows.join(first, "digest").filter("id > first").groupBy("id").agg(F.collect_set("digest").alias("later"))
+    later = join_split(rows, first, "digest").filter("id > first").groupBy("id").agg(F.collect_set("digest").alias("later"))
     keyed = narrow.join(later, "id", "left").select(F.struct("id", "later").alias("key"), "text")
 
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

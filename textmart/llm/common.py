@@ -38,6 +38,18 @@ def steps(batches: Iterable[pa.RecordBatch], key: int = 0, text: int = 1,
         pa.default_memory_pool().release_unused()  # workers are reused: what a batch took is given back
 
 
+def join_split(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "inner") -> DataFrame:
+    """Equi-join that AQE can split at a hot key even where ``right`` is an aggregate by the same keys.
+
+    An aggregate's result is already partitioned by its keys, and a join that reuses this partitioning can't be split.
+    With a key that is derived from the others both sides are shuffled for the join alone; ``right``, which has a row per
+    key, is the smaller one.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    half = F.pmod(F.xxhash64(F.lit(3), *names), F.lit(2)).alias("half_key")
+    return left.select("*", half).join(right.select("*", half), [*names, "half_key"], how).drop("half_key")
+
+
 def pair_units(rows: DataFrame, key: str, value: str, block: int) -> DataFrame:
     """Deal the rows of each key to units of at most about ``2 * block`` rows such that every two rows of a key meet.
 
@@ -47,7 +59,7 @@ def pair_units(rows: DataFrame, key: str, value: str, block: int) -> DataFrame:
     """
     n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).filter("key_rows > 1")
     parts = F.ceil(F.col("key_rows") / F.lit(block)).cast("int")
-    dealt = rows.join(n, key).withColumn("parts", parts)
+    dealt = join_split(rows, n, key).withColumn("parts", parts)
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64(F.lit(7), F.col(value)), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = dealt.withColumn("other", other)
@@ -126,11 +138,11 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
         # large-star: every neighbour above a node is linked to the node's smallest neighbour
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        up = now.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        up = join_split(now.select(F.col("b").alias("a"), F.col("a").alias("v")), low, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = cut_lineage(up.filter("a <> b").distinct())
         # small-star: the smaller neighbours of a node, and the node, are linked to the smallest of them
         low = now.groupBy("a").agg(F.min("b").alias("m"))
-        down = now.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = join_split(now, low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut_lineage(down.union(low.select("a", F.col("m").alias("b"))).distinct())
         stats = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(stats) == seen:

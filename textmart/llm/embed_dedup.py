@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmart.llm.common import components, roots, whole_groups
+from textmart.llm.common import components, join_split, roots, whole_groups
 from textmart.session import cut_lineage
 
 #: Rows of the sample that the codebooks and the traversal level are fitted on; entries of each codebook.
@@ -165,7 +165,7 @@ def near_duplicates(vectors: DataFrame, index: MultiIndex | None, *, id_col: str
     sizes = spots.groupBy("label", "cell").agg(F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("members"), F.sum("role").alias("visitors"))
     sizes = sizes.filter("members > 0 and visitors > 0").select(
         "label", "cell", *(F.greatest(F.lit(1), F.ceil(F.col(c) / F.lit(BLOCK_ROWS))).cast("int").alias(c) for c in ("members", "visitors")))
-    dealt = spots.join(sizes, ["label", "cell"])
+    dealt = join_split(spots, sizes, ["label", "cell"])
     part = lambda n: F.pmod(F.xxhash64(F.lit(19), "id"), n).cast("int")
     every = lambda n: F.sequence(F.lit(0), n - 1)
     member = F.col("role") == 0

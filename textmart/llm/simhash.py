@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmart.llm.common import components, pair_units, pairs_within, roots, steps, whole_groups
+from textmart.llm.common import components, join_split, pair_units, pairs_within, roots, steps, whole_groups
 from textmart.session import cut_lineage
 
 BLOCKS = 32
@@ -139,5 +139,5 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rooted = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     # only fingerprints that have links need the second look; the others keep their own first id
-    own = rooted.join(least, "root").select("fp", "component_id")
+    own = join_split(rooted, least, "root").select("fp", "component_id")
     return rows.join(own, "fp").select(F.col("id").alias(id_col), "fp", "component_id")

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmart.llm.common import steps, whole_groups
+from textmart.llm.common import join_split, steps, whole_groups
 from textmart.session import cut_lineage
 
 LENGTH, GRAM = 100, 24
@@ -330,14 +330,15 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     packed = narrow.mapInArrow(pack, "id long, packed binary").filter("id is not null")
     known = narrow.filter("id is not null")
     often = known.mapInArrow(grams, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    rows = cut_lineage(known.mapInArrow(cut, "gram long, digest long, id long, place long").join(often, "gram"))
+    rows = known.mapInArrow(cut, "gram long, digest long, id long, place long")
+    rows = cut_lineage(join_split(rows, often, "gram"))
     once = rows.filter("place & 1 = 0")
     first = cut_lineage(once.groupBy("gram", "digest").agg(F.min("id").alias("first")))
     variants = first.groupBy("gram").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
     start, windows = F.shiftright("place", 17), F.shiftright("place", 9).bitwiseAND(F.lit(255))
     whole = rows.join(first, ["gram", "digest"]).filter("place & 1 = 1 or id > first").select("id", start.alias("start"), (start + windows + (LENGTH - 1)).alias("end"))
 
-    kept = once.join(first.withColumnRenamed("first", "id"), ["gram", "digest", "id"]).join(variants, "gram")
+    kept = join_split(once.join(first.withColumnRenamed("first", "id"), ["gram", "digest", "id"]), variants, "gram")
 
     def wanted(some: DataFrame) -> DataFrame:
         """Compressed texts with the places of their segments that are to be compared."""
@@ -404,9 +405,9 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     core, sides, spot = ["unit", "more"], ["unit", "more", "width", "left", "right"], F.struct("id", "start")
     earliest = parts.groupBy(*sides).agg(F.min(spot).alias("first"))
     cores = earliest.groupBy(*core).agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
-    again = parts.join(earliest, sides).filter(spot > F.col("first")).select("id", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    again = join_split(parts, earliest, sides).filter(spot > F.col("first")).select("id", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
     letters = F.octet_length("left") + 1 + F.octet_length("right")
-    odd = earliest.join(cores, core).select(*sides, "first.id", "first.start", (letters - F.col("width") + 1).alias("n"), "variants")
+    odd = join_split(earliest, cores, core).select(*sides, "first.id", "first.start", (letters - F.col("width") + 1).alias("n"), "variants")
     some = odd.filter(F.col("variants") <= unit_segments).drop("variants")
     ranged = some.repartition(count, *core).sortWithinPartitions(*core).mapInArrow(ranges_compared, spans)
     many = odd.filter(F.col("variants") > unit_segments).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
@@ -414,7 +415,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     after = F.expr("substring(right, 1, width - 1 - greatest(octet_length(left) - k, 0))")
     single = many.select(*core, before.alias("left"), after.alias("right"), "id", (F.col("start") + F.col("k")).alias("start"))
     same = [*core, "left", "right"]
-    lone = single.join(single.groupBy(*same).agg(F.min(spot).alias("first")), same).filter(spot > F.col("first")).select(
+    lone = join_split(single, single.groupBy(*same).agg(F.min(spot).alias("first")), same).filter(spot > F.col("first")).select(
         "id", "start", (F.col("start") + LENGTH).alias("end"))
     spans = (whole.union(partly).union(again).union(ranged).union(lone).groupBy("id")
              .agg(F.collect_list(F.struct("start", "end")).alias("parts")))

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmart.llm.common import join_split
 from textmart.session import cut_lineage
 
 #: (verdict, host, path prefix); the contract's rules.
@@ -64,11 +65,11 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", la
     at = rows.select("host", F.posexplode("segs").alias("k", "seg"))
     n = at.groupBy("host", "k", "seg").agg(F.count(F.lit(1)).alias("n"))
     depth = at.groupBy("host", "k").agg(F.count(F.lit(1)).alias("of"))
-    literal = n.join(depth, ["host", "k"]).filter(F.col("n") * SHARE >= F.col("of") + SHARE)
+    literal = join_split(n, depth, ["host", "k"]).filter(F.col("n") * SHARE >= F.col("of") + SHARE)
     literal = literal.groupBy("host").agg(F.collect_list(F.concat_ws(":", F.col("k").cast("string"), "seg")).alias("literal"))
     is_literal = lambda s, k: F.array_contains("literal", F.concat_ws(":", k.cast("string"), s))
     tokens = F.transform("segs", lambda s, k: F.when(is_literal(s, k), s).otherwise(F.lit("*")))
-    paged = cut_lineage(rows.join(literal, "host", "left").select("id", "host", "path", "good", F.array_join(tokens, "/").alias("template")))
+    paged = cut_lineage(join_split(rows, literal, "host", "left").select("id", "host", "path", "good", F.array_join(tokens, "/").alias("template")))
 
     count = (F.count("good").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("g"))
     templates = cut_lineage(paged.groupBy("host", "template").agg(*count))
@@ -100,7 +101,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", la
     host, path = F.col("host"), F.col("path")
     verdict = F.coalesce(rule_of(host, path, rules, 0), F.when(F.col("purity") < min_purity, "block").otherwise("allow"))
     # a template may hold a third of all pages: both sides are shuffled for this join alone, so AQE can split it
-    return (paged.join(judged, ["host", "template"])
+    return (join_split(paged, judged, ["host", "template"])
             .select(F.col("id").alias(id_col), "host", "path", rule_of(host, path, rules, None).alias("rule"), verdict.alias("verdict"),
                     "template", "purity"))
 
