@@ -378,3 +378,41 @@ def test_vectors_are_packed_without_python_and_can_be_fitted(spark):
     assert "Python" not in vec._jdf.queryExecution().executedPlan().toString()
     model = NaiveBayes(labelCol="label_index").fit(vec)
     assert model.transform(vec).filter("prediction = label_index").count() >= 19
+
+
+def test_report_names_the_least_similar_of_all_pairs(spark):
+    from textmart.plans import corpus_comparison as CC
+
+    summary = spark.createDataFrame([(s, 1, 1.0, 0.5) for s in "abcd"], "source string, unique_lemmas int, ttr_lemma double, sent_mean double")
+    facts = lambda sim: {r.fact: (r.source, r.value) for r in CC.report_facts(summary, sim).collect()}
+    rows = [("a", "x", 0.8), ("a", "y", 0.6), ("b", "x", 0.6), ("b", "z", 0.8), ("c", "z", 0.05), ("c", "w", 0.99875), (None, "x", 1.0)]
+    vec = spark.createDataFrame(rows, "source string, term string, tfidf double")
+    units = spark.createDataFrame([(s,) for s in ("a", "b", "c", None, "a")], "source string")
+    got = facts(tfidf.all_pairs_cosine(vec, units, unit="source"))
+    assert got["least_similar"] == ("a / c", 0.0) and got["most_similar"] == ("a / b", pytest.approx(0.48))
+    low = spark.createDataFrame([("a", "x", 0.05), ("b", "x", 0.05), ("c", "y", 1.0), ("a", "y", 0.02), ("b", "y", 0.01)], vec.schema)
+    got = facts(tfidf.all_pairs_cosine(low, units, unit="source"))
+    assert got["least_similar"] == ("a / b", pytest.approx(0.0027)) and got["most_similar"] == ("a / c", pytest.approx(0.02))
+
+
+def test_all_pairs_in_blocks_and_parts(spark):
+    rng = random.Random(4)
+    by = {f"s{k}": {f"t{rng.randrange(40)}": rng.random() for _ in range(6)} for k in range(23)} | {"empty": {}, "it's": {"t1": 0.5}}
+    vec = spark.createDataFrame([(s, t, w) for s, v in by.items() for t, w in v.items()], "source string, term string, tfidf double")
+    units = spark.createDataFrame([(s,) for s in by], "source string")
+    got = {(r.source_a, r.source_b): r.cosine_similarity for r in tfidf.all_pairs_cosine(vec, units, unit="source", block=5, rows=30).collect()}
+    names = sorted(by)
+    assert got == {(a, b): pytest.approx(sum(w * by[b].get(t, 0.0) for t, w in by[a].items())) for i, a in enumerate(names) for b in names[i + 1:]}
+
+
+def test_comparative_report_decides_facts_over_all_pairs(spark, tmp_path):
+    from textmart.plans import catalog
+
+    for name in ("documents", "conversations"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    texts = [("a", "river stone river stone garden"), ("b", "river stone mountain window"), ("c", "engine piston copper")]
+    schema = spark.read.parquet(str(tmp_path / "documents.parquet")).schema
+    rows = [tuple({"doc_id": k, "text": t, "lang": "en", "source": s, "n_chars": len(t)}[c] for c in schema.names) for k, (s, t) in enumerate(texts)]
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    lines = [r.line for r in catalog.comparative_report(spark, str(tmp_path)).collect() if r.section == "facts"]
+    assert any("least_similar: **a / c** (0.000000)" in x for x in lines) and any("most_similar: **a / b**" in x for x in lines), lines

@@ -875,8 +875,9 @@ def comparative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = article_table(spark, sf_dir)
     summary = CC.source_summary(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
     sentiment = CC.article_sentiment(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
-    vec = source_vectors(spark, sf_dir)
-    sim = tfidf.pairwise_cosine(vec, unit="source", min_similarity=MIN_SIMILARITY).withColumn("cosine_similarity", F.round("cosine_similarity", 6))
+    vec = cut_lineage(source_vectors(spark, sf_dir))
+    # the facts are decided over all pairs of sources, also those below MIN_SIMILARITY
+    sim = tfidf.all_pairs_cosine(vec, table(spark, sf_dir, "documents"), unit="source").withColumn("cosine_similarity", F.round("cosine_similarity", 6))
     top = tfidf.top_weights(vec.withColumn("_r", F.round("tfidf", 9)), 3, unit="source", term="term", weight="_r")
     per = CC.source_lines(summary, CC.sentiment_breakdown(sentiment), CC.pos_profile(CC.pos_distribution(arts, word_dictionary(spark, sf_dir))),
                           top.select("source", "rank", "term"))
