@@ -16,6 +16,13 @@ def test_reparameterised_question_is_caught_if_its_slots_agree(spark):
     assert (0, 1) in got and (3, 1) in got and (1, 1) not in got and (4, 1) not in got
 
 
+def test_a_copy_beside_a_variant_is_found_whole(spark):
+    variant = ITEM.replace("Anna", "Aaron").replace("12", "99").replace("Bob", "Carl").replace("5 kg", "2 t")
+    third = ITEM.replace("Anna", "Zoe").replace("12", "10").replace("Bob", "Abe").replace("5 kg", "90 mg")
+    got = found(spark, [f"{ITEM}. And {variant}.", f"{variant}. {ITEM}. {third}.", f"{variant}. {third}."])
+    assert got[(0, 1)] == got[(1, 1)] == got[(2, 1)] == 1.0
+
+
 def test_clean_texts_and_short_items(spark):
     assert found(spark, ["one two three four five six seven eight", ITEM[:40], "# % @ # % @ # % @"], [(1, ITEM), (2, "one two"), (3, None), (4, "1 2 3 4 5 6 7 8")]) == {}
 

@@ -2,8 +2,9 @@
 
 Words are canonicalised: numbers, units after a number and names become typed placeholders. Windows of five canonical
 words of the documents are hash-joined with those of the benchmark items. The placeholders that a matched window covers
-must fill consistently: within a document, an item's value stands for one value of the document. A document leaks an item
-if at least ``min_share`` of the item's windows match.
+must fill consistently: within an occurrence of an item, an item's value stands for one value of the document. Occurrences
+are the matched windows on one diagonal (document position less item position), those on neighbouring diagonals, and all of
+the document together; the best one counts. A document leaks an item if at least ``min_share`` of the item's windows match.
 
 A bitmap of fixed size over the items' window hashes is tested before the shuffle, so that only windows which may match
 leave their task; its size does not depend on the number of items or documents, and the join that follows is exact.
@@ -11,15 +12,18 @@ leave their task; its size does not depend on the number of items or documents,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmart.llm.common import join_split
 from textmart.session import cut_lineage
 
 WINDOW = 5
 #: Windows with fewer literal words than this say too little and are not used.
 LITERALS = 3
 MIN_SHARE = 0.8
+#: Diagonals that are at most so many words apart are neighbours: words put into a copy or left out of it.
+SHIFT = 4
 BITMAP_BITS = 1 << 21
 BLANKS = "\n\r\t\x0b\x0c "
 PUNCTUATION = ",;:\"'()[]{}<>*#$%&@|_~^=+/\\`-“”„«»¿¡"
@@ -106,20 +110,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     place = F.col("hash").bitwiseAND(F.lit(BITMAP_BITS - 1))
     word = F.get(bitmap(wanted), F.shiftright(place, 6).cast("int"))
     found = found.filter(F.getbit(word, F.expr(f"cast((hash & {BITMAP_BITS - 1}) & 63 as int)")) == 1)
-    found = found.select("id", "hash", words_at("canon").alias("canon"), words_at("raw").alias("raw"))
+    found = found.select("id", "hash", F.col("at").alias("place"), words_at("canon").alias("canon"), words_at("raw").alias("raw"))
     met = found.join(wanted, "hash").filter("canon = item_canon")
     # the slots of a window: value of the item and value of the document under each placeholder
     slots = F.expr("filter(transform(sequence(0, size(canon) - 1), k -> struct(get(canon, k) as kind, get(item_words, k) as mine, "
                    "lower(rtrim('.!?', get(raw, k))) as theirs)), x -> x.kind in ('#', '%', '@'))")
     # both the votes and the windows they decide on read this: the corpus is scanned once
-    met = cut_lineage(met.select("id", "item", "at", slots.alias("slots")).distinct())
-    filled = met.select("id", "item", "at", F.explode("slots").alias("s")).select("id", "item", "at", "s.kind", "s.mine", "s.theirs")
-    votes = filled.groupBy("id", "item", "kind", "mine", "theirs").agg(F.countDistinct("at").alias("n"))
-    chosen = votes.groupBy("id", "item", "kind", "mine").agg(F.max_by("theirs", F.struct("n", "theirs")).alias("chosen"))
-    odd = votes.join(chosen, ["id", "item", "kind", "mine"]).filter("theirs <> chosen").groupBy("id", "item").agg(
+    met = cut_lineage(met.select("id", "item", "at", (F.col("place") - F.col("at")).alias("diagonal"), slots.alias("slots")).distinct())
+    by_diagonal = Window.partitionBy("id", "item").orderBy("diagonal")
+    starts = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > SHIFT, F.lit(False)).cast("int")
+    bands = met.select("id", "item", "diagonal").distinct().withColumn("far", starts).withColumn("band", F.sum("far").over(by_diagonal))
+    scope = lambda name, nr: F.struct(F.lit(name).alias("scope"), nr.cast("long").alias("nr"))
+    scopes = F.array(scope("all", F.lit(0)), scope("band", F.col("band")), scope("diagonal", F.col("diagonal")))
+    met = join_split(met, bands.select("id", "item", "diagonal", "band"), ["id", "item", "diagonal"])
+    met = met.select("id", "item", F.explode(scopes).alias("part"), "at", "slots").distinct()
+    place = ["id", "item", "part"]
+    filled = met.select(*place, "at", F.explode("slots").alias("s")).select(*place, "at", "s.kind", "s.mine", "s.theirs")
+    votes = filled.groupBy(*place, "kind", "mine", "theirs").agg(F.countDistinct("at").alias("n"))
+    chosen = votes.groupBy(*place, "kind", "mine").agg(F.max_by("theirs", F.struct("n", "theirs")).alias("chosen"))
+    odd = votes.join(chosen, [*place, "kind", "mine"]).filter("theirs <> chosen").groupBy(*place).agg(
         F.collect_set(F.struct("kind", "mine", "theirs")).alias("odd"))
-    kept = met.join(odd, ["id", "item"], "left").filter(F.col("odd").isNull() | ~F.arrays_overlap("slots", "odd"))
-    counted = kept.groupBy("id", "item").agg(F.countDistinct("at").alias("n_matched")).join(sizes, "item")
+    kept = met.join(odd, place, "left").filter(F.col("odd").isNull() | ~F.arrays_overlap("slots", "odd"))
+    best = kept.groupBy(*place).agg(F.countDistinct("at").alias("n")).groupBy("id", "item").agg(F.max("n").alias("n_matched"))
+    counted = best.join(sizes, "item")
     return (counted.withColumn("share", F.col("n_matched") / F.col("n_windows")).filter(F.col("share") >= min_share)
             .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_matched", "share"))
 
