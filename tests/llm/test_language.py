@@ -53,6 +53,17 @@ def test_rejection(spark):
     assert all(r.rejected for r in got.values()) and got[3].lang_pred == "und"
 
 
+def test_noise_in_the_training_table_does_not_lift_the_limit(spark):
+    rng = np.random.default_rng(3)
+    dump = lambda k: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"), k))
+    clean = table(spark, "documents", "sf0.01").select("doc_id", "text", "lang")
+    noise = [(10_000_000 + k, dump(3000), "en") for k in range(12)] + [(11_000_000 + k, "Привет, это другой язык и письмо " * 20, "fr") for k in range(4)]
+    model = train(clean.unionByName(spark.createDataFrame(noise, "doc_id long, text string, lang string")))
+    texts = [(1, dump(400)), (2, "qwxzkj vbnqz xkcdq zzqxw pqrst vvbbn xzq wqk jjkx qqzzx vvkkq"), (3, "Ελληνικα γραμματα εδω"), (4, "これは日本語の短い文章であり、二十文字です")]
+    assert [r.doc_id for r in identify(documents(spark, texts), model).collect() if not r.rejected] == []
+    assert identify(clean, model).filter("rejected").count() == 0
+
+
 def test_awkward_rows(spark):
     docs = documents(spark)
     for model in (train(docs), train(docs.limit(0)), train(table(spark, "documents"))):

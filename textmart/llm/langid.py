@@ -3,7 +3,7 @@
 One model of order four per language over lower-case letters (everything else is one blank). N-grams are packed exactly
 into 64-bit keys held in sorted arrays, with the finished log-probabilities of all languages beside each key, so a look-up
 is one binary search. The language with the lowest length-normalised cross-entropy is chosen; a text whose cross-entropy
-lies beyond what held-out labelled texts show (wider for short texts) is rejected.
+lies beyond nearly all held-out texts of its language (wider for short texts) is rejected.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ DISCOUNT = 0.75
 #: Bound of the labelled sample: rows of each language, chosen by a hash of the id.
 SAMPLE_ROWS = 800
 #: Slack of the rejection limit, nats a character, and the number of standard errors that a short text may be off.
-SLACK, ERRORS = 0.5, 6.0
+SLACK, ERRORS = 0.5, 3.0
+#: Quantile of the calibration texts at the limit, absolute deviations beyond which a text is noise, fewest texts to calibrate with.
+QUANTILE, FAR, CALIBRATION = 0.995, 6.0, 20
 #: Characters scored at once.
 CHUNK = 1 << 16
 
@@ -69,8 +71,8 @@ class KneserNey:
     contexts: dict[int, np.ndarray] = field(default_factory=dict)
     backoff: dict[int, np.ndarray] = field(default_factory=dict)
     floor: float = 0.0
-    #: Rejection limit a + b / sqrt(letters), nats a character.
-    limit: tuple[float, float] = (np.inf, 0.0)
+    #: Rejection limit a + b / sqrt(letters), nats a character; a for each language.
+    limit: tuple[float | np.ndarray, float] = (np.inf, 0.0)
 
     @classmethod
     def fit(cls, langs: list[str], lang: np.ndarray, key: np.ndarray, count: np.ndarray) -> KneserNey:
@@ -139,13 +141,26 @@ class KneserNey:
         return -total / np.maximum(n, 1)[:, None], n, total
 
     def calibrate(self, texts: list[str]) -> None:
-        """Set the rejection limit so that no held-out labelled text lies beyond it, with slack."""
+        """Set the rejection limit of each language from held-out labelled texts, of which a part may be noise or mislabelled.
+
+        Texts far beyond the median (in absolute deviations) are set aside; the limit is a high quantile of the others,
+        with slack. A language that few of the texts are in gets the limit of all languages together.
+        """
         h, n, _ = self.entropies(texts)
-        best, n = h[n > 0].min(axis=1), n[n > 0]
-        if len(best) >= 20:
-            spread = ERRORS * 2.0  # a symbol's surprise has a deviation of about two nats
-            self.limit = (float((best - spread / np.sqrt(n)).max()) + SLACK, spread)
-            self.limit = (max(self.limit[0], float(np.median(best)) + SLACK), spread)
+        h, n = h[n > 0], n[n > 0]
+        if len(h) < CALIBRATION:
+            return
+        best, lang, wide = h.min(axis=1), h.argmin(axis=1), ERRORS * 2.0  # a symbol's surprise has a deviation of about two nats
+
+        def limit(own: np.ndarray) -> float:
+            low, middle = best[own] - wide / np.sqrt(n[own]), float(np.median(best[own]))
+            off = 1.4826 * float(np.median(np.abs(best[own] - middle)))
+            near = low[low <= middle + max(SLACK, FAR * off)]
+            return max(float(np.quantile(near, QUANTILE)) if len(near) else middle, middle) + SLACK
+
+        every = np.ones(len(best), bool)
+        counts = np.bincount(lang, minlength=len(self.langs))
+        self.limit = (np.array([limit(lang == x if c >= CALIBRATION else every) for x, c in enumerate(counts)]), wide)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Language or und, score, cross-entropy, symbols, rejected."""
@@ -156,7 +171,7 @@ class KneserNey:
         low = h[np.arange(len(h)), best]
         score = 1 / np.exp((low[:, None] - h) * np.minimum(n, 30)[:, None]).sum(axis=1)
         a, b = self.limit
-        rejected = (n == 0) | (low > a + b / np.sqrt(np.maximum(n, 1)))
+        rejected = (n == 0) | (low > np.broadcast_to(a, len(self.langs))[best] + b / np.sqrt(np.maximum(n, 1)))
         lang = [self.langs[x] if k else "und" for x, k in zip(best, n, strict=True)]
         return lang, np.where(n > 0, score, 0.0), np.where(n > 0, low, 0.0), n, rejected
 
