@@ -16,6 +16,13 @@ def test_reparameterised_question_is_caught_if_its_slots_agree(spark):
     assert (0, 1) in got and (3, 1) in got and (1, 1) not in got and (4, 1) not in got
 
 
+def test_other_case_and_names_at_sentence_starts(spark):
+    item = "Tom has 5 apples. Tom gives 2 apples to Anna. How many does Tom have left?"
+    new = item.replace("Tom", "Eva").replace("Anna", "Carl").replace("5", "7")
+    got = found(spark, [ITEM.lower(), ITEM.upper(), ITEM.title(), new, item.lower()], [(1, ITEM), (2, item)])
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2)}
+
+
 def test_a_copy_beside_a_variant_is_found_whole(spark):
     variant = ITEM.replace("Anna", "Aaron").replace("12", "99").replace("Bob", "Carl").replace("5 kg", "2 t")
     third = ITEM.replace("Anna", "Zoe").replace("12", "10").replace("Bob", "Abe").replace("5 kg", "90 mg")

@@ -1,6 +1,7 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
-Words are canonicalised: numbers, units after a number and names become typed placeholders. Windows of five canonical
+Words are canonicalised: numbers, units after a number and names become typed placeholders. Names do so in three forms:
+those inside sentences, none (which finds copies in other case), and also words that start a sentence. Windows of five canonical
 words of the documents are hash-joined with those of the benchmark items. The placeholders that a matched window covers
 must fill consistently: within an occurrence of an item, an item's value stands for one value of the document. Occurrences
 are the matched windows on one diagonal (document position less item position), those on neighbouring diagonals, and all of
@@ -29,6 +30,8 @@ BLANKS = "\n\r\t\x0b\x0c "
 PUNCTUATION = ",;:\"'()[]{}<>*#$%&@|_~^=+/\\`-“”„«»¿¡"
 ENDS = ".!?"
 NUMBER, UNIT, NAME = "#", "%", "@"
+#: Before a word that may be a name because it starts a sentence.
+START = "^"
 PLACEHOLDERS = (NUMBER, UNIT, NAME)
 UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "ms", "min", "h", "hours", "hour", "minutes", "minute",
          "seconds", "days", "day", "years", "year", "months", "weeks", "euro", "euros", "dollars", "dollar", "eur", "usd",
@@ -45,25 +48,38 @@ def plain(word: Column) -> Column:
     return F.lower(F.rtrim(word, F.lit(ENDS)))
 
 
-def canonical(raw: Column) -> Column:
-    """Placeholders for numbers, for units after a number, and for names inside a sentence; else the lower-case word."""
+def tagged(raw: Column) -> Column:
+    """NUMBER, UNIT after a number, the lower-case word after NAME inside a sentence or START at its start, if it may be a name."""
 
     def one(w: Column, i: Column) -> Column:
         s, before = F.rtrim(w, F.lit(ENDS)), F.get(raw, i - 1)
         low = F.lower(s)
         number = lambda x: (x >= "0") & (x < ":")  # noqa: E731  starts with a digit
-        name = ((low != s) & before.isNotNull() & (F.length(s) > 1) & (F.substring(s, 2, 1 << 30) == F.lower(F.substring(s, 2, 1 << 30)))
-                & ~F.right(before, F.lit(1)).isin(*ENDS))
-        return F.when(number(s), NUMBER).when(low.isin(*UNITS) & number(before), UNIT).when(name, NAME).otherwise(low)
+        name = (low != s) & (F.length(s) > 1) & (F.substring(s, 2, 1 << 30) == F.lower(F.substring(s, 2, 1 << 30)))
+        inside = before.isNotNull() & ~F.right(before, F.lit(1)).isin(*ENDS)
+        return (F.when(number(s), NUMBER).when(low.isin(*UNITS) & number(before), UNIT)
+                .when(name, F.concat(F.when(inside, NAME).otherwise(START), low)).otherwise(low))
 
     return F.transform(raw, one)
 
 
+def forms(tags: Column) -> list[Column]:
+    """The words with names inside sentences as placeholders, with every name literal, and with sentence starts as names too."""
+    inside, start = lambda x: F.startswith(x, F.lit(NAME)), lambda x: F.startswith(x, F.lit(START))
+    rest = lambda x: F.substring(x, 2, 1 << 30)
+    return [F.transform(tags, lambda x: F.when(inside(x), NAME).when(start(x), rest(x)).otherwise(x)),
+            F.transform(tags, lambda x: F.when(inside(x) | start(x), rest(x)).otherwise(x)),
+            F.transform(tags, lambda x: F.when(inside(x) | start(x), NAME).otherwise(x))]
+
+
 def window_rows(rows: DataFrame) -> DataFrame:
-    """One row per window start ``at`` of the arrays ``canon`` and ``raw``, with the hash of its canonical words."""
-    starts = F.when(F.size("canon") >= WINDOW, F.sequence(F.lit(0), F.size("canon") - WINDOW))
-    out = rows.withColumn("at", F.explode(starts))
-    return out.withColumn("hash", F.xxhash64(*(F.get("canon", F.col("at") + k) for k in range(WINDOW))))
+    """One row per window start ``at`` of the array ``tags``, with the tags of its words."""
+    starts = F.when(F.size("tags") >= WINDOW, F.sequence(F.lit(0), F.size("tags") - WINDOW))
+    return rows.withColumn("at", F.explode(starts)).withColumn("tags", words_at("tags"))
+
+
+def hash_of(canon: Column) -> Column:
+    return F.xxhash64(*(F.get(canon, F.lit(k)) for k in range(WINDOW)))
 
 
 def words_at(array: str) -> Column:
@@ -71,17 +87,16 @@ def words_at(array: str) -> Column:
 
 
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Windows of the items; one that starts with the item's first word also stands with that word as a name."""
+    """Windows of the items in every form; one that starts with the item's first word also stands with that word as a name."""
     items = benchmark.select(F.col(item_col).alias("item"), raw_words(F.col(text_col)).alias("raw"))
-    items = items.withColumn("canon", canonical(F.col("raw")))
-    first = F.get("raw", F.lit(0))
-    bare = F.rtrim(first, F.lit(ENDS))
-    as_name = (bare != F.lower(bare)) & (F.length(bare) > 1) & (F.substring(bare, 2, 1 << 30) == F.lower(F.substring(bare, 2, 1 << 30)))
-    other = items.filter(as_name).withColumn("canon", F.concat(F.array(F.lit(NAME)), F.slice("canon", 2, 1 << 30)))
-    literal = lambda x: ~x.isin(*PLACEHOLDERS)
-    out = window_rows(items).unionByName(window_rows(other).filter("at = 0"))
-    return (out.select("item", "at", "hash", words_at("canon").alias("item_canon"), F.transform(words_at("raw"), plain).alias("item_words"))
-            .filter(F.size(F.filter("item_canon", literal)) >= LITERALS))
+    rows = window_rows(items.withColumn("tags", tagged(F.col("raw"))))
+    inside, literal, starts = forms(F.col("tags"))
+    first = F.when((F.col("at") == 0) & F.startswith(F.get("tags", F.lit(0)), F.lit(START)),
+                   F.concat(F.array(F.lit(NAME)), F.slice(inside, 2, WINDOW)))
+    enough = lambda c: F.size(F.filter(c, lambda x: ~x.isin(*PLACEHOLDERS))) >= LITERALS
+    every = F.array_distinct(F.filter(F.array(inside, literal, starts, first), lambda c: c.isNotNull() & enough(c)))
+    rows = rows.filter(enough(inside)).select("item", "at", F.transform(words_at("raw"), plain).alias("item_words"), F.explode(every).alias("item_canon"))
+    return rows.withColumn("hash", hash_of(F.col("item_canon")))
 
 
 def bitmap(windows: DataFrame) -> Column:
@@ -106,11 +121,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     wanted = item_windows(benchmark.filter(F.col(item_col).isNotNull()), item_col, item_text_col)
     sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
     found = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), raw_words(F.col(text_col)).alias("raw"))
-    found = window_rows(found.withColumn("canon", canonical(F.col("raw"))))
-    place = F.col("hash").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    word = F.get(bitmap(wanted), F.shiftright(place, 6).cast("int"))
-    found = found.filter(F.getbit(word, F.expr(f"cast((hash & {BITMAP_BITS - 1}) & 63 as int)")) == 1)
-    found = found.select("id", "hash", F.col("at").alias("place"), words_at("canon").alias("canon"), words_at("raw").alias("raw"))
+    found = found.withColumn("tags", tagged(F.col("raw")))
+    found = found.select("id", "raw", *(f.alias(f"form{k}") for k, f in enumerate(forms(F.col("tags")))))
+    found = found.withColumn("at", F.explode(F.when(F.size("raw") >= WINDOW, F.sequence(F.lit(0), F.size("raw") - WINDOW))))
+    bits = bitmap(wanted)
+
+    def may_match(h: Column) -> Column:
+        word = F.get(bits, F.shiftright(h.bitwiseAND(F.lit(BITMAP_BITS - 1)), 6).cast("int"))
+        return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    found = found.withColumns({f"hash{k}": F.xxhash64(*(F.get(f"form{k}", F.col("at") + j) for j in range(WINDOW))) for k in range(3)})
+    found = found.filter(may_match(F.col("hash0")) | may_match(F.col("hash1")) | may_match(F.col("hash2")))
+    # the forms of a window are the same unless a word in it may be a name
+    every = F.array_distinct(F.array(*(F.struct(F.col(f"hash{k}").alias("hash"), words_at(f"form{k}").alias("canon")) for k in range(3))))
+    found = found.select("id", F.col("at").alias("place"), words_at("raw").alias("raw"), F.inline(every))
     met = found.join(wanted, "hash").filter("canon = item_canon")
     # the slots of a window: value of the item and value of the document under each placeholder
     slots = F.expr("filter(transform(sequence(0, size(canon) - 1), k -> struct(get(canon, k) as kind, get(item_words, k) as mine, "
