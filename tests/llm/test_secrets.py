@@ -48,6 +48,15 @@ def test_network_finds_bare_keys_and_leaves_words():
     assert high >= cnn.threshold > low
 
 
+def test_rare_secrets_of_a_large_table_train_the_network(spark):
+    rng = np.random.default_rng(5)
+    key = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 32))
+    word = lambda: "".join(rng.choice(list("etaoinshrdlu"), 10))
+    rows = [(k, " ".join(word() for _ in range(12)) + " " + (f"token={key()}" if k % 60 == 0 else "")) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert train(docs, sample_rows=100).weights
+
+
 def test_candidates_and_redaction():
     text = "see ABCdef123456789012 and plainlowercasewordthatislong x"
     assert [text[a:b] for a, b in candidates(text, [])] == ["ABCdef123456789012"]

@@ -167,21 +167,23 @@ def sample(docs: DataFrame, id_col: str, rows: int) -> DataFrame:
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
           findings: int = SAMPLE_FINDINGS, recall: float = 0.98) -> CharCnn:
-    """Fit the network on at most ``findings`` positive and ``2 * findings`` negative findings of about ``sample_rows`` rows.
+    """Fit the network on at most ``findings`` positive findings of all rows and ``2 * findings`` negative ones of about ``sample_rows`` rows.
 
-    Without at least 20 positives the network has no weights and adds nothing.
+    Without at least 20 positives in the whole table the network has no weights and adds nothing.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], wanted: int) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^\s]{8,}")
         for _, texts in steps(batches):
             label, codes, order = [], [], []
             for t in texts:
                 base = base_spans(t or "")
-                spans = [(s, e, 1) for s, _, e in base] + [(s, e, 0) for s, e in candidates(t or "", base)]
-                covered = [(s, e) for s, _, e in base]
-                plain = [m.span() for k, m in enumerate(word.finditer(t or "")) if k % 16 == 0]
-                spans += [(s, e, 0) for s, e in plain if not any(s < f and b < e for b, f in covered)]
+                spans = [(s, e, 1) for s, _, e in base]
+                if not wanted:
+                    covered = [(s, e) for s, _, e in base]
+                    plain = [m.span() for k, m in enumerate(word.finditer(t or "")) if k % 16 == 0]
+                    spans = [(s, e, 0) for s, e in candidates(t or "", base)]
+                    spans += [(s, e, 0) for s, e in plain if not any(s < f and b < e for b, f in covered)]
                 for s, e, y in spans:
                     if y and t[s:s + 4] != "AKIA" and not HEX.fullmatch(t[s:e]):
                         s += ASSIGN.match(t, s).start(2) - s
@@ -193,9 +195,13 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
             yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(codes, pa.binary()), pa.array(order, pa.int64())],
                                              names=["label", "codes", "ord"])
 
-    found = sample(docs.select(F.col(id_col), F.col(text_col)), id_col, sample_rows).mapInArrow(run, "label int, codes binary, ord long")
-    got = [r for y, n in ((1, findings), (0, 2 * findings))
-           for r in found.filter(F.col("label") == y).distinct().orderBy("ord", "codes").limit(n).collect()]
+    rows = docs.select(F.col(id_col), F.col(text_col))
+    # secrets are rare: all rows are searched for positives, ordinary words are in every row
+    found = {1: rows, 0: sample(rows, id_col, sample_rows)}
+    got = []
+    for y, n in ((1, findings), (0, 2 * findings)):
+        labelled = found[y].mapInArrow(lambda batches, y=y: run(batches, y), "label int, codes binary, ord long")
+        got += labelled.distinct().orderBy("ord", "codes").limit(n).collect()
     y = np.array([r.label for r in got], float)
     cnn = CharCnn()
     if y.sum() < 20 or (1 - y).sum() < 20:
