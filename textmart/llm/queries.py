@@ -124,3 +124,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_merkle_manifest", merkle.duck_sql())
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_proof_report(table(spark, sf_dir, "documents"))
+
+
+@register("op12_token_records")
+def op12_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textmart.llm.token_records import written_and_read
+
+    return written_and_read(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
