@@ -131,3 +131,12 @@ def op12_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.llm.token_records import written_and_read
 
     return written_and_read(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null beyond the range of a long (``whiten`` returns it as decimal)."""
+    from textmart.llm.whitening import fit, whiten
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit(vectors)).withColumn("deviation", F.col("deviation").try_cast("long"))
