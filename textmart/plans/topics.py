@@ -62,15 +62,16 @@ def classify(texts: DataFrame, profiles: DataFrame, *, stop_words: Sequence[str]
 
     ``profiles`` has ``keywords`` (an array) or ``term`` rows. Texts without a
     score of at least ``threshold``, or whose language has no profile, are
-    ``unknown``; their best score is 0 where no topic shares a term.
+    ``unknown``; their best score is 0 where no topic shares a term. With
+    ``digits`` scores are compared (ranks, threshold) by so many places, and
+    returned as they are.
     """
     prof = profiles if "term" in profiles.columns else profile_tokens(profiles, word=word)
     scores = tfidf.topic_scores(text_tokens(texts, stop_words=stop_words, word=word, lemma_dict=lemma_dict), prof)
-    if digits is not None:
-        scores = scores.withColumn("score", F.round("score", digits))
-    ranked = tfidf.ranked_topics(scores.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id"))
-    best = ranked.where("rank = 1").select("text_id", F.when(F.col("score") >= threshold, F.col("topic_id")).alias("topic"), F.col("score").alias("best_score"))
+    scores = scores.withColumn("_by", F.col("score") if digits is None else F.round("score", digits))
+    ranked = tfidf.ranked_topics(scores.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id"), score="_by")
+    best = ranked.where("rank = 1").select("text_id", F.when(F.col("_by") >= threshold, F.col("topic_id")).alias("topic"), F.col("score").alias("best_score"))
     best = texts.select("text_id").join(best, on="text_id", how="left").select(
         "text_id", F.coalesce("topic", F.lit(D.UNKNOWN_TOPIC)).alias("topic"),
         F.coalesce("best_score", F.lit(0.0)).alias("best_score"))
-    return ranked, best
+    return ranked.drop("_by"), best
