@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textmart.operators import classify, colloc, freq, lexicon, olap, tfidf, timeline, trend
+from textmart.operators import classify, colloc, freq, lexicon, olap, similarity, tfidf, timeline, trend
 from textmart.operators.joins import prefix_join
 from textmart.operators.tokens import exact_median, ngram_table, positions, row_numbers, with_offsets
 from textmart.plans import topics
@@ -388,10 +388,10 @@ def test_report_names_the_least_similar_of_all_pairs(spark):
     rows = [("a", "x", 0.8), ("a", "y", 0.6), ("b", "x", 0.6), ("b", "z", 0.8), ("c", "z", 0.05), ("c", "w", 0.99875), (None, "x", 1.0)]
     vec = spark.createDataFrame(rows, "source string, term string, tfidf double")
     units = spark.createDataFrame([(s,) for s in ("a", "b", "c", None, "a")], "source string")
-    got = facts(tfidf.all_pairs_cosine(vec, units, unit="source"))
+    got = facts(similarity.all_pairs_cosine(vec, units, unit="source"))
     assert got["least_similar"] == ("a / c", 0.0) and got["most_similar"] == ("a / b", pytest.approx(0.48))
     low = spark.createDataFrame([("a", "x", 0.05), ("b", "x", 0.05), ("c", "y", 1.0), ("a", "y", 0.02), ("b", "y", 0.01)], vec.schema)
-    got = facts(tfidf.all_pairs_cosine(low, units, unit="source"))
+    got = facts(similarity.all_pairs_cosine(low, units, unit="source"))
     assert got["least_similar"] == ("a / b", pytest.approx(0.0027)) and got["most_similar"] == ("a / c", pytest.approx(0.02))
 
 
@@ -400,7 +400,7 @@ def test_all_pairs_in_blocks_and_parts(spark):
     by = {f"s{k}": {f"t{rng.randrange(40)}": rng.random() for _ in range(6)} for k in range(23)} | {"empty": {}, "it's": {"t1": 0.5}}
     vec = spark.createDataFrame([(s, t, w) for s, v in by.items() for t, w in v.items()], "source string, term string, tfidf double")
     units = spark.createDataFrame([(s,) for s in by], "source string")
-    got = {(r.source_a, r.source_b): r.cosine_similarity for r in tfidf.all_pairs_cosine(vec, units, unit="source", block=5, rows=30).collect()}
+    got = {(r.source_a, r.source_b): r.cosine_similarity for r in similarity.all_pairs_cosine(vec, units, unit="source", block=5, rows=30).collect()}
     names = sorted(by)
     assert got == {(a, b): pytest.approx(sum(w * by[b].get(t, 0.0) for t, w in by[a].items())) for i, a in enumerate(names) for b in names[i + 1:]}
 

@@ -126,7 +126,7 @@ def vocabulary_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 2. TF-IDF, similarity, collocations, dispersion
 # ---------------------------------------------------------------------------
 
-from textmart.operators import colloc, tfidf  # noqa: E402
+from textmart.operators import colloc, similarity, tfidf  # noqa: E402
 from textmart.operators.tokens import positions  # noqa: E402
 
 SQL_DOC_TOKENS = f"SELECT doc_id, source, {SQL_TOKENS} AS toks FROM documents"
@@ -843,11 +843,14 @@ def source_pos_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FACT_SQL = " UNION ALL ".join(
-    f"SELECT {i} AS ord, '{f}' AS fact, min({{'k': {sign}{col}, 's': {name}}}) AS m, {sign}1 AS sign FROM {src}"
-    for i, (f, sign, col, name, src) in enumerate([
-        ("largest_vocabulary", "-", "unique_lemmas::DOUBLE", "source", "sm"), ("highest_ttr", "-", "ttr_lemma", "source", "sm"),
-        ("lowest_ttr", "", "ttr_lemma", "source", "sm"), ("most_positive", "-", "sent_mean", "source", "sm"), ("most_negative", "", "sent_mean", "source", "sm"),
-        ("most_similar", "-", "cs", "source_a || ' / ' || source_b", "sim"), ("least_similar", "", "cs", "source_a || ' / ' || source_b", "sim")], start=1))
+    f"SELECT {i} AS ord, '{f}' AS fact, min({{'k': {key}, 's': {name}, 'v': {value}}}) AS m FROM {src}"
+    for i, (f, key, value, name, src) in enumerate([
+        ("largest_vocabulary", "-unique_lemmas::DOUBLE", "unique_lemmas::DOUBLE", "source", "sm"), ("highest_ttr", "-ttr_lemma", "ttr_lemma", "source", "sm"),
+        ("lowest_ttr", "ttr_lemma", "ttr_lemma", "source", "sm"), ("most_positive", "-sent_mean", "sent_mean", "source", "sm"),
+        ("most_negative", "sent_mean", "sent_mean", "source", "sm"),
+        # every pair of sources counts; one without a common term is less similar than any other
+        ("most_similar", "-coalesce(round(s, 9), 0)", "coalesce(round(s, 6), 0)", "source_a || ' / ' || source_b", "sim"),
+        ("least_similar", "coalesce(round(s, 9), -1)", "coalesce(round(s, 6), 0)", "source_a || ' / ' || source_b", "sim")], start=1))
 
 
 @register("comparative_report", f"""
@@ -859,12 +862,14 @@ WITH {SQL_ART}, {SQL_TAGGED}, {SQL_PROFILE},
          LEFT JOIN (SELECT source, count(DISTINCT l) AS unique_lemmas FROM (SELECT source, unnest(lemmas) AS l FROM art) GROUP BY source) u USING (source)),
   bd AS (SELECT source, count(*) FILTER (WHERE sentiment_score > 0) * 100.0 / count(*) AS pos_pct, count(*) FILTER (WHERE sentiment_score = 0) * 100.0 / count(*) AS neu_pct,
                 count(*) FILTER (WHERE sentiment_score < 0) * 100.0 / count(*) AS neg_pct FROM art GROUP BY source),
-  sim AS (SELECT source_a, source_b, round(s, 6) AS cs FROM (SELECT a.source AS source_a, b.source AS source_b, sum(a.tfidf * b.tfidf) AS s
-          FROM sv a JOIN sv b ON a.term = b.term AND a.source < b.source GROUP BY ALL) WHERE s >= {MIN_SIMILARITY}),
+  un AS (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL),
+  dp AS (SELECT a.source AS source_a, b.source AS source_b, sum(a.tfidf * b.tfidf) AS s FROM sv a JOIN sv b ON a.term = b.term AND a.source < b.source GROUP BY ALL),
+  sim AS (SELECT a.source AS source_a, b.source AS source_b, s FROM un a JOIN un b ON a.source < b.source
+          LEFT JOIN dp ON dp.source_a = a.source AND dp.source_b = b.source),
   mk AS (SELECT source, string_agg(term, ', ' ORDER BY rank) AS words FROM (
            SELECT source, term, row_number() OVER (PARTITION BY source ORDER BY round(tfidf, 9) DESC, term) AS rank FROM sv) WHERE rank <= 3 GROUP BY source),
   fc AS ({_FACT_SQL})
-SELECT 'facts' AS section, ord, m.s AS source, printf('- %s: **%s** (%.6f)', fact, m.s, sign * m.k) AS line FROM fc WHERE m IS NOT NULL
+SELECT 'facts' AS section, ord, m.s AS source, printf('- %s: **%s** (%.6f)', fact, m.s, m.v) AS line FROM fc WHERE m IS NOT NULL
 UNION ALL SELECT 'source', 1, source, printf('%s: %d articles, %d tokens, %d lemmas, TTR %.6f', source, articles, tokens_no_stop::BIGINT, unique_lemmas, ttr_lemma) FROM sm
 UNION ALL SELECT 'source', 2, source, printf('%s: positive %.4f%%, neutral %.4f%%, negative %.4f%%', source, round(pos_pct, 4), round(neu_pct, 4), round(neg_pct, 4)) FROM bd
 UNION ALL SELECT 'source', 3, source, printf('%s: nouns %.4f%%, verbs %.4f%%, adjectives %.4f%%', source, round(noun_pct, 4), round(verb_pct, 4), round(adj_pct, 4)) FROM prof
@@ -877,7 +882,7 @@ def comparative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentiment = CC.article_sentiment(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
     vec = cut_lineage(source_vectors(spark, sf_dir))
     # the facts are decided over all pairs of sources, also those below MIN_SIMILARITY
-    sim = tfidf.all_pairs_cosine(vec, table(spark, sf_dir, "documents"), unit="source").withColumn("cosine_similarity", F.round("cosine_similarity", 6))
+    sim = similarity.similarity_extremes(vec, table(spark, sf_dir, "documents"), unit="source").withColumn("cosine_similarity", F.round("cosine_similarity", 6))
     top = tfidf.top_weights(vec.withColumn("_r", F.round("tfidf", 9)), 3, unit="source", term="term", weight="_r")
     per = CC.source_lines(summary, CC.sentiment_breakdown(sentiment), CC.pos_profile(CC.pos_distribution(arts, word_dictionary(spark, sf_dir))),
                           top.select("source", "rank", "term"))
