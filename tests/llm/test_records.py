@@ -56,11 +56,16 @@ def test_checksums():
 
 def test_words_give_the_librarys_ids():
     encoder, rng = R.WordEncoder(FILE, table_words=40), random.Random(5)
-    assert encoder.by_word and encoder.width == 2
-    parts = ["a", "B", " ", "  ", "'s", "ΣΑΣ", "\n", "é", "é", "́", " ", " ", "\t", "日", "😀", "<|endoftext|>", "<|end", "12", "İ", "."]
+    assert encoder.by_word and encoder.width == 2 and encoder.cuts
+    parts = ["a", "B", " ", "  ", "'s", "ΣΑΣ", "\n", "é", "é", "́", " ", " ", "\t", "日", "😀", "<|endoftext|>", "<|end", "12", "İ", ".", "\x01", "\x02", "²", "ª", "_", "\x85", "\xad", "'", "ll", "e\u0301", "É", "ŉ", "ǅ", "!?"]
     for _ in range(4000):
         t = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
-        assert array("H", encoder.encode(t)).tolist() == TOKENIZER.encode(t, add_special_tokens=False).ids, t
+        assert array("H", encoder.encode([t])[0]).tolist() == TOKENIZER.encode(t, add_special_tokens=False).ids, t
+    some = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(300)]
+    assert [array("H", r).tolist() for r in encoder.encode(some)] == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in some]
+    words = ["".join(rng.choice(parts[:4] + parts[8:]).strip() or "x" for _ in range(rng.randrange(1, 9))) for _ in range(9000)]
+    text = " ".join(w for w in words if "\x01" not in w)
+    assert array("H", encoder.encode([text])[0]).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def test_awkward_rows_round_trip_and_shuffled_read(spark):

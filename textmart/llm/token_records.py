@@ -17,6 +17,8 @@ read. Ids of documents are integers.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,15 +38,25 @@ from textmart.session import checkpoint_dir
 FORMAT = "token_records"
 MANIFEST = "_manifest.json"
 END_ID = 1
-#: Distinct words that a task's table holds before it starts anew; longer words than LONG characters are not kept.
-TABLE_WORDS = 100_000
+#: Distinct words, and as many pieces of words, that a worker's tables hold before they start anew (about 200 bytes each);
+#: longer ones than LONG characters are not kept.
+TABLE_WORDS = 600_000
 LONG = 64
+#: Character that stands between new words when many are encoded in one call, and words of a call.
+BETWEEN, CALL_WORDS = "\x01", 4096
 #: A read partition takes about so many bytes, a step of a reader or writer about so many ids.
 PART_BYTES = 64 << 20
 STEP_IDS = 1 << 20
 HEAD, INDEX = np.dtype([("width", "<u2"), ("flags", "<u2"), ("doc_id", "<i8")]), np.dtype([("offset", "<u8"), ("n", "<u8")])
 FRAME = 16  # bytes of a frame beside its payload
 
+# fixed value: the pattern by which the given tokenizer cuts words into pieces (after lower-casing)
+PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Words of these characters are cut here: no white space or control, no numbers but digits, and no letters on which Unicode
+#: versions differ. For them the pattern below cuts like PIECES; a line end stands between two words.
+LATIN = re.compile("[\x21-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]+")
+LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+|\n")
+
 # fixed values of the checksum: reversed polynomial of CRC-32C, mask constant of the record format
 POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
@@ -329,7 +341,8 @@ def cuts_at_blanks(spec: dict) -> bool:
 
 
 class WordEncoder:
-    """Ids of whole texts as bytes; where the tokenizer lets words be told apart, each word is encoded once per table."""
+    """Ids of whole texts as bytes. Where the tokenizer lets words be told apart, a word is looked up in a table; a word that
+    is not there is cut into its pieces where the pattern is the known one, and new pieces are encoded together."""
 
     def __init__(self, file: str, table_words: int = TABLE_WORDS):
         import os
@@ -339,28 +352,91 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         with open(file, encoding="utf-8") as f:
-            self.by_word = cuts_at_blanks(json.load(f))
+            spec = json.load(f)
+        self.by_word = cuts_at_blanks(spec)
+        known = self.by_word and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": PIECES} and \
+            [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+        self.added = re.compile("|".join(re.escape(a["content"]) for a in spec["added_tokens"]) or "(?!)")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.table: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        self.cuts = False
         self.table_words = table_words
+        mark = self.ids(f" {BETWEEN} ")
+        self.mark = mark[0] if len(mark) == 1 else None
+        if known and self.mark is not None:
+            self.cuts, self.parts = True, {"\n": self.mark.tobytes()}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
+
+    def between_marks(self, ids: np.ndarray) -> list[bytes]:
+        raw, step = ids.tobytes(), self.width
+        ends = [-step, *(np.flatnonzero(ids == self.mark) * step).tolist(), len(raw)]
+        return [raw[a + step:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def called(self, words: list[str]) -> list[bytes]:
+        """Ids of each word from one call a few thousand words: a character of its own token stands between two words."""
+        found: list[bytes] = []
+        for at in range(0, len(words), CALL_WORDS):
+            some = words[at:at + CALL_WORDS]
+            if self.mark is not None and not any(BETWEEN in w for w in some):
+                rows = self.between_marks(self.ids(f" {BETWEEN} ".join(some)))
+                if len(rows) == len(some):
+                    found += rows
+                    continue
+            found += [self.ids(w).tobytes() for w in some]
+        return found
+
+    def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes], asked: int, empty: dict[str, bytes]) -> None:
+        """A full table keeps what it has (frequent words come early), unless a quarter of what is asked is not in it."""
+        if len(table) > self.table_words:
+            if 4 * len(fresh) > asked:
+                table.clear()
+                table.update(empty)
+                return
+            drop = fresh
+        else:
+            drop = [w for w in fresh if len(w) > LONG]
+        for w in drop:
+            del table[w]
+
+    def encoded_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that the table lacks."""
+        if not self.cuts:
+            return dict(zip(words, self.called(words), strict=True))
+        fits, added, normal, parts = LATIN.fullmatch, self.added.search, unicodedata.is_normalized, self.parts
+        latin = [w for w in words if fits(w) and (w.isascii() or normal("NFC", w)) and not added(w)]
+        rest = list(set(words).difference(latin)) if len(latin) < len(words) else []
+        pieces = LATIN_PIECES.findall("\n".join(latin).lower())
+        new = list(set(pieces).difference(parts))
+        found = self.called(rest + new)
+        fresh = dict(zip(new, found[len(rest):], strict=True))
+        parts.update(fresh)
+        rows = self.between_marks(np.frombuffer(b"".join(map(parts.__getitem__, pieces)), f"<u{self.width}")) if latin else []
+        self.trimmed(parts, fresh, len(pieces), {"\n": self.mark.tobytes()})
+        return dict(zip(latin, rows, strict=True)) | dict(zip(rest, found, strict=False))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [self.ids(t).tobytes() for t in texts]
+        cut, table = [(t.replace("\n", " ") if "\n" in t else t).split(" ") for t in texts], self.words
+        new = set().union(*cut).difference(table)
+        fresh = self.encoded_words(list(new)) if new else {}
+        table.update(fresh)
+        rows = [b"".join(map(table.__getitem__, words)) for words in cut]
+        self.trimmed(table, fresh, sum(map(len, cut)), {"": b""})
+        return rows
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        if not self.by_word:
-            return self.encoded([text])[0]
-        words = (text.replace("\n", " ") if "\n" in text else text).split(" ")
-        rows = list(map(self.table.get, words))
-        if None in rows:
-            new = list(dict.fromkeys(w for w, r in zip(words, rows, strict=True) if r is None))
-            fresh = dict(zip(new, self.encoded(new), strict=True))
-            rows = [fresh[w] if r is None else r for w, r in zip(words, rows, strict=True)]
-            if len(self.table) + len(fresh) > self.table_words:
-                self.table = {"": b""}
-            self.table.update((w, r) for w, r in fresh.items() if len(w) <= LONG)
-        return b"".join(rows)
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(file: str) -> WordEncoder:
+    """The encoder of this process: workers serve many tasks, and the tables go on."""
+    if file not in _ENCODERS:
+        _ENCODERS[file] = WordEncoder(file)
+    return _ENCODERS[file]
 
 
 def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
@@ -371,9 +447,9 @@ def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     end = b"" if end_id is None else end_id.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(file)
+        encoder = encoder_of(file)
         for ids, texts in steps(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([encoder.encode(t or "") + end for t in texts], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([row + end for row in encoder.encode([t or "" for t in texts])], pa.binary())],
                                              names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, ids binary"), width
