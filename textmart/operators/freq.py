@@ -13,6 +13,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmart.operators.keywords import mentions as automaton_mentions
+
+#: Keywords that are counted by native expressions, one scan of a text for each.
+FEW_KEYWORDS = 32
+
 
 def term_counts(tokens: DataFrame, *, by: Sequence[str] = (), word: str = "word",
                 count: str = "count") -> DataFrame:
@@ -51,8 +56,10 @@ def keyword_mentions(df: DataFrame, text: str | Column, keywords: Sequence[str]
                      *, lower: bool = True) -> DataFrame:
     """Total mentions per keyword (and category) over all rows, zero totals dropped.
 
-    The keyword list is a literal array evaluated per row inside codegen
-    (``inline(transform(...))``); the totals are a partial+final aggregate.
+    A short keyword list is a literal array evaluated per row inside codegen
+    (``inline(transform(...))``), one scan of the text per keyword; more than
+    ``FEW_KEYWORDS`` are found by one automaton in one scan. The totals are a
+    partial+final aggregate.
     """
     t = F.col(text) if isinstance(text, str) else text
     t = F.lower(F.coalesce(t, F.lit(""))) if lower else F.coalesce(t, F.lit(""))
@@ -60,6 +67,8 @@ def keyword_mentions(df: DataFrame, text: str | Column, keywords: Sequence[str]
         pairs = [(cat, kw) for cat, kws in keywords.items() for kw in kws]
     else:
         pairs = [(None, kw) for kw in keywords]
+    if len(pairs) > FEW_KEYWORDS:
+        return automaton_mentions(df, t, keywords, lower=False).drop("texts")
     arr = F.array(*[F.struct(F.lit(c).cast("string").alias("category"), F.lit(k).alias("keyword"))
                     for c, k in pairs])
     rows = df.select(F.inline(F.transform(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmart import dictionaries as D
 from textmart.functions import text as T
-from textmart.operators import freq
+from textmart.operators import freq, keywords
 from textmart.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1370,6 +1370,22 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("page_id", prev.alias("preview"))
 
 
+# ---------------------------------------------------------------------------
+# Keyword tables: every word of the benchmark looked for in every document
+# ---------------------------------------------------------------------------
+
+@register("lexicon_mentions", f"""
+WITH kw AS (SELECT DISTINCT word AS keyword FROM (SELECT unnest(regexp_extract_all(lower(text), '[{LETTERS}]+')) AS word FROM benchmark) WHERE length(word) >= 5),
+  t AS (SELECT lower(text) AS t FROM documents WHERE text IS NOT NULL),
+  m AS (SELECT keyword, (length(t) - length(replace(t, keyword, ''))) // length(keyword) AS n FROM kw, t WHERE contains(t, keyword))
+SELECT keyword, sum(n)::BIGINT AS mentions, count(*) AS texts FROM m GROUP BY keyword
+""")
+def lexicon_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, J5 with a table of keywords: each word of five letters or more of ``benchmark``, wherever it stands in a text."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(T.word_runs("text", LETTERS)).alias("keyword")).where("length(keyword) >= 5")
+    return keywords.mentions(table(spark, sf_dir, "documents"), "text", words)
+
+
 # ---------------------------------------------------------------------------
 # 9. Token listing and vocabulary normalisation
 # ---------------------------------------------------------------------------
