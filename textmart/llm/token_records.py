@@ -38,9 +38,9 @@ from textmart.session import checkpoint_dir
 FORMAT = "token_records"
 MANIFEST = "_manifest.json"
 END_ID = 1
-#: Distinct words, and as many pieces of words, that a worker's tables hold before they start anew (about 200 bytes each);
+#: Distinct words, and as many pieces of words, that a task's tables hold (about 200 bytes each);
 #: longer ones than LONG characters are not kept.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 300_000
 LONG = 64
 #: Character that stands between new words when many are encoded in one call, and words of a call.
 BETWEEN, CALL_WORDS = "\x01", 4096
@@ -358,14 +358,21 @@ class WordEncoder:
             [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
         self.added = re.compile("|".join(re.escape(a["content"]) for a in spec["added_tokens"]) or "(?!)")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.cuts = False
         self.table_words = table_words
         mark = self.ids(f" {BETWEEN} ")
         self.mark = mark[0] if len(mark) == 1 else None
-        if known and self.mark is not None:
-            self.cuts, self.parts = True, {"\n": self.mark.tobytes()}
+        self.cuts = bool(known and self.mark is not None)
+        self.emptied()
+
+    def emptied(self) -> None:
+        """Tables as at the start of a task: a process serves several tasks, its memory must not grow with them."""
+        self.words.clear()
+        self.parts.clear()
+        self.words[""] = b""
+        if self.cuts:
+            self.parts["\n"] = self.mark.tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
@@ -388,17 +395,9 @@ class WordEncoder:
             found += [self.ids(w).tobytes() for w in some]
         return found
 
-    def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes], asked: int, empty: dict[str, bytes]) -> None:
-        """A full table keeps what it has (frequent words come early), unless a quarter of what is asked is not in it."""
-        if len(table) > self.table_words:
-            if 4 * len(fresh) > asked:
-                table.clear()
-                table.update(empty)
-                return
-            drop = fresh
-        else:
-            drop = [w for w in fresh if len(w) > LONG]
-        for w in drop:
+    def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+        """Nothing is added to a full table: frequent words come early in a task."""
+        for w in fresh if len(table) > self.table_words else [w for w in fresh if len(w) > LONG]:
             del table[w]
 
     def encoded_words(self, words: list[str]) -> dict[str, bytes]:
@@ -414,7 +413,7 @@ class WordEncoder:
         fresh = dict(zip(new, found[len(rest):], strict=True))
         parts.update(fresh)
         rows = self.between_marks(np.frombuffer(b"".join(map(parts.__getitem__, pieces)), f"<u{self.width}")) if latin else []
-        self.trimmed(parts, fresh, len(pieces), {"\n": self.mark.tobytes()})
+        self.trimmed(parts, fresh)
         return dict(zip(latin, rows, strict=True)) | dict(zip(rest, found, strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -425,7 +424,7 @@ class WordEncoder:
         fresh = self.encoded_words(list(new)) if new else {}
         table.update(fresh)
         rows = [b"".join(map(table.__getitem__, words)) for words in cut]
-        self.trimmed(table, fresh, sum(map(len, cut)), {"": b""})
+        self.trimmed(table, fresh)
         return rows
 
 
@@ -433,7 +432,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder_of(file: str) -> WordEncoder:
-    """The encoder of this process: workers serve many tasks, and the tables go on."""
+    """The encoder of this process, its file read once."""
     if file not in _ENCODERS:
         _ENCODERS[file] = WordEncoder(file)
     return _ENCODERS[file]
@@ -448,9 +447,11 @@ def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(file)
+        encoder.emptied()
         for ids, texts in steps(batches):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([row + end for row in encoder.encode([t or "" for t in texts])], pa.binary())],
                                              names=["doc_id", "ids"])
+        encoder.emptied()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, ids binary"), width
 
