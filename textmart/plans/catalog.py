@@ -8,6 +8,7 @@ dictionaries as the Spark side, so both use identical literals.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import freq, keywords
-from textmart.session import cut_lineage
+from textmart.session import checkpoint_dir, cut_lineage
+from textmart.sources import json_arrays as JA
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -681,6 +683,38 @@ def event_trend_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "direction")
 
 
+TREND_DEGREE = 5
+_STEPS = ", ".join(f"""
+  k{k} AS (SELECT s, sum(w * p * p) AS n, sum(w * z * p * p) / sum(w * p * p) AS a, sum(w * y * p) / sum(w * p * p) AS c FROM z{k} GROUP BY s),
+  z{k + 1} AS (SELECT s, w, z, y, (z - k{k}.a) * p - {f"k{k}.n / k{k - 1}.n * q" if k else "0"} AS p, p AS q, {"f + " if k else ""}k{k}.c * p AS f
+      FROM z{k} JOIN k{k} USING (s) {f"JOIN k{k - 1} USING (s)" if k else ""})""" for k in range(TREND_DEGREE + 1))
+
+
+@register("event_trend_degrees", f"""
+WITH {SQL_EVENT_SERIES}, {_sql_fit("ev", "event_type")},
+  m AS (SELECT series AS s, (min(x) + max(x)) / 2 AS mid, (max(x) - min(x)) / 2 AS half, max(x) AS last FROM pts GROUP BY series),
+  z0 AS (SELECT s, 1 AS w, (x - mid) / half AS z, y, 1.0 AS p, 0.0 AS q FROM pts JOIN m ON s = series
+         UNION ALL SELECT s, 0, (last + 1 - mid) / half, 0.0, 1.0, 0.0 FROM m), {_STEPS},
+  fit AS ({" UNION ALL ".join(f"SELECT {d} AS degree, s, w, y, f FROM z{d + 1}" for d in range(3, TREND_DEGREE + 1))}),
+  mean AS (SELECT series AS s, avg(y) AS my FROM pts GROUP BY series)
+SELECT s AS event_type, degree, round(1 - sum(w * (y - f) * (y - f)) / sum(w * (y - my) * (y - my)), 6) AS r2,
+       round(sqrt(sum(w * (y - f) * (y - f)) / sum(w)), 6) AS rmse, round(sum(w * abs(y - f)) / sum(w), 6) AS mae,
+       round(max(CASE WHEN w = 0 THEN f END), 4) AS next_value
+FROM fit JOIN mean USING (s) GROUP BY s, degree
+""")
+def event_trend_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14-M16 for degrees 3 to 5: one fit of degree 5 holds the lower ones."""
+    pts = cut_lineage(event_points(spark, sf_dir))
+    full = trend.fit(pts, degree=TREND_DEGREE)
+    rows = []
+    for d in range(3, TREND_DEGREE + 1):
+        cf = trend.lower_degree(full, d)
+        ahead = trend.forecast(cf, F.current_date(), horizon=1).select("series", F.round("forecast", 4).alias("next_value"))
+        q = trend.quality(pts, cf).select("series", F.lit(d).alias("degree"), *[F.round(c, 6).alias(c) for c in ("r2", "rmse", "mae")])
+        rows.append(q.join(ahead, on="series"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).withColumnRenamed("series", "event_type")
+
+
 @register("event_trend_forecast", f"""
 WITH {SQL_EVENT_SERIES}, {_sql_fit("ev", "event_type")}, {_sql_forecast_table("event_type")}
 """)
@@ -1370,6 +1404,25 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("page_id", prev.alias("preview"))
 
 
+# ---------------------------------------------------------------------------
+# Sources and sinks: JSON arrays written by key and read by byte ranges
+# ---------------------------------------------------------------------------
+
+@register("json_array_round_trip", """
+SELECT doc_id, text, lang, source, n_chars,
+       coalesce(nullif(trim(regexp_replace(coalesce(source, ''), '[^a-zA-Z0-9_-]+', '_', 'g'), '_'), ''), 'product') AS label
+FROM documents
+""")
+def json_array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as array files per source (several for a large one), read back by ranges of 256 KB."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/json-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source", "n_chars")
+    JA.write_json_arrays(docs, path, key="source", order=["id"], file_rows=20_000)
+    back = JA.read_json_arrays(spark, path, "id long, text string, lang string, source string, n_chars long", chunk_bytes=256 << 10)
+    label = F.regexp_extract("file", r"([^/]+)-\d+-[0-9a-f]+\.json$", 1)  # key, part and the name of the attempt
+    return back.select(F.col("id").alias("doc_id"), "text", "lang", "source", "n_chars", label.alias("label"))
+
+
 # ---------------------------------------------------------------------------
 # Keyword tables: every word of the benchmark looked for in every document
 # ---------------------------------------------------------------------------
