@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmart.operators.tokens import ngram_table
+from textmart.session import cut_lineage
 
 # Width of the position ranges that split one word's occurrences over tasks.
 GAP_BUCKET = 1 << 22
@@ -57,8 +58,9 @@ def dispersion(positions: DataFrame, targets: DataFrame, *, word: str = "word",
     the range ends, so even a word holding a third of the corpus is spread
     over many tasks. Mean and std are partial/final aggregates.
     """
-    occ = positions.join(F.broadcast(targets.select(word).distinct()), on=word, how="left_semi")
-    occ = occ.select(word, gpos, F.floor(F.col(gpos) / F.lit(bucket)).alias("_r"))
+    targets = cut_lineage(targets.select(word).distinct())
+    occ = positions.join(targets, on=word, how="left_semi")
+    occ = cut_lineage(occ.select(word, gpos, F.floor(F.col(gpos) / F.lit(bucket)).alias("_r")))
     w_in = Window.partitionBy(word, "_r").orderBy(gpos)
     inner = occ.select(word, (F.col(gpos) - F.lag(gpos).over(w_in)).alias("gap"))
     ends = occ.groupBy(word, "_r").agg(F.min(gpos).alias("_first"), F.max(gpos).alias("_last"))
@@ -67,7 +69,7 @@ def dispersion(positions: DataFrame, targets: DataFrame, *, word: str = "word",
     gaps = inner.unionByName(cross).where(F.col("gap").isNotNull())
     g = gaps.groupBy(word).agg(F.avg("gap").alias("avg_gap"), F.stddev_pop("gap").alias("std_gap"))
     freq = occ.groupBy(word).agg(F.count(F.lit(1)).alias("frequency"))
-    t = targets.select(word).distinct().join(freq, on=word, how="left").join(g, on=word, how="left")
+    t = targets.join(freq, on=word, how="left").join(g, on=word, how="left")
     f = F.coalesce(F.col("frequency"), F.lit(0))
     avg = F.when(f > 1, F.col("avg_gap")).otherwise(F.lit(0.0))
     std = F.when(f > 1, F.col("std_gap")).otherwise(F.lit(0.0))

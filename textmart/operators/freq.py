@@ -13,7 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmart.operators.joins import join_null_safe
 from textmart.operators.keywords import mentions as automaton_mentions
+from textmart.operators.tokens import exact_median
 
 #: Keywords that are counted by native expressions, one scan of a text for each.
 FEW_KEYWORDS = 32
@@ -105,17 +107,17 @@ def length_distribution(tokens: DataFrame, *, word: str = "word") -> DataFrame:
 
 
 def describe(df: DataFrame, value: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """N, mean, exact median, population variance/std, min, max."""
+    """N, mean, exact median, population variance/std, min, max.
+
+    Rows are counted per distinct value first; the median is picked from running
+    counts (``exact_median``), so no task holds a group's values.
+    """
     v = F.col(value).cast("double")
-    return df.groupBy(*by).agg(
-        F.count(v).alias("n"),
-        F.avg(v).alias("mean"),
-        F.median(v).alias("median"),
-        F.var_pop(v).alias("var"),
-        F.stddev_pop(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
+    out = df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_pop(v).alias("var"), F.stddev_pop(v).alias("std"),
+                              F.min(v).alias("min"), F.max(v).alias("max"))
+    middle = exact_median(df.select(*by, v.alias("_v")), "_v", by=by, out="median")
+    out = join_null_safe(out, middle, list(by)) if by else out.withColumn("median", middle.select("median").scalar())
+    return out.select(*by, "n", "mean", "median", "var", "std", "min", "max")
 
 
 def share_of_total(df: DataFrame, count: str, *, total: Column | None = None, out: str = "pct",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from textmart.functions.text import ngrams as _array_ngrams
 from textmart.operators.joins import join_null_safe
+from textmart.session import cut_lineage
 
 # Number of order-key ranges of the two-level prefix sum.
 RANGES = 512
@@ -74,10 +75,11 @@ def ngram_table(docs: DataFrame, n: int | Sequence[int], *, tokens: str = "token
     size = F.size(tokens)
     edges = F.filter(F.transform(tokens, lambda w, i: F.struct(i.alias("p"), w.alias("w"))),
                      lambda e: (e["p"] < k) | (e["p"] >= size - k))
-    bnd = docs.select(*g, order, size.alias("_n"), edges.alias("_e"))
+    # a narrow row per document, read several times for the offsets; tokens are not computed again for them
+    bnd = cut_lineage(docs.select(*g, order, size.alias("_n"), edges.alias("_e")))
     bnd = with_offsets(bnd, order=order, count="_n", groups=g, offset="_off")
-    edge = bnd.select(*g, "_off", "_n", F.inline("_e")).select(
-        *g, (F.col("_off") + F.col("p")).alias("_g"), F.col("w").alias("_w"), F.col("p").alias("_p"), "_n")
+    edge = cut_lineage(bnd.select(*g, "_off", "_n", F.inline("_e")).select(
+        *g, (F.col("_off") + F.col("p")).alias("_g"), F.col("w").alias("_w"), F.col("p").alias("_p"), "_n"))
     out = inner
     for m in ns:
         if m < 2:
@@ -101,7 +103,7 @@ def positions(docs: DataFrame, *, tokens: str = "tokens", order: str = "doc_id",
     through the prefix-sum shuffles.
     """
     g = list(groups)
-    sizes = docs.select(*g, order, F.size(tokens).alias("_n"))
+    sizes = cut_lineage(docs.select(*g, order, F.size(tokens).alias("_n")))
     offs = with_offsets(sizes, order=order, count="_n", groups=g, offset="_off").drop("_n")
     toks = join_null_safe(docs.select(*g, *keep, order, tokens), offs, [*g, order], "inner")
     return toks.select(*g, *keep, order, "_off", F.posexplode(tokens).alias("pos", "word")).select(
@@ -128,9 +130,10 @@ def exact_median(df: DataFrame, value: str, *, by: Sequence[str], out: str = "me
     Counts per distinct value get running offsets, and the middle one or two
     values are picked from them: no group's values are held by one task.
     """
-    n = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    n = cut_lineage(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
     off = with_offsets(n, order=value, count="_n", groups=by, offset="_off")
-    off = join_null_safe(off, n.groupBy(*by).agg(F.sum("_n").alias("_all")), list(by))
+    total = n.groupBy(*by).agg(F.sum("_n").alias("_all"))
+    off = join_null_safe(off, total, list(by)) if by else off.withColumn("_all", total.scalar())
 
     def at(k):
         return F.max(F.when((F.col("_off") < k) & (k <= F.col("_off") + F.col("_n")), F.col(value)))

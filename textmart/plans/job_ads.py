@@ -17,6 +17,7 @@ from textmart.functions import rules as R
 from textmart.functions import text as T
 from textmart.operators import freq
 from textmart.operators.tokens import ngram_table
+from textmart.session import cut_lineage
 
 DEFAULT_STOP_WORDS = sorted(set(D.ENGLISH_STOP_WORDS) | set(D.CUSTOM_STOP_WORDS))
 
@@ -49,7 +50,7 @@ def job_token_docs(jobs: DataFrame, *, stop_words: Sequence[str] = DEFAULT_STOP_
 
 def top_ngrams(token_docs: DataFrame, n: int, k: int) -> DataFrame:
     """W6 + T1: the ``k`` most frequent n-grams of the concatenated token stream."""
-    grams = ngram_table(token_docs, n, tokens="tokens", order="job_id", gram="ngram")
+    grams = ngram_table(cut_lineage(token_docs.select("job_id", "tokens")), n, tokens="tokens", order="job_id", gram="ngram")
     return freq.top_terms(grams, k, word="ngram", rank="rank")
 
 

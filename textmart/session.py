@@ -70,6 +70,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table that is read in fewer partitions than there are cores to all cores.
+
+    For work that costs more CPU than reading (tokenising): a table in one file
+    of one row group would be tokenised by one task. A table with enough
+    partitions, as any large one has, stays as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame, *, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """Materialise ``df`` once as a table in the shared checkpoint folder and read it back.
 
