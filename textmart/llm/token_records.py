@@ -38,9 +38,9 @@ from textmart.session import checkpoint_dir
 FORMAT = "token_records"
 MANIFEST = "_manifest.json"
 END_ID = 1
-#: Distinct words, and as many pieces of words, that a task's tables hold (about 200 bytes each);
+#: Distinct words, and as many pieces of words, that a process's tables hold (about 200 bytes each);
 #: longer ones than LONG characters are not kept.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 250_000
 LONG = 64
 #: Character that stands between new words when many are encoded in one call, and words of a call.
 BETWEEN, CALL_WORDS = "\x01", 4096
@@ -364,15 +364,18 @@ class WordEncoder:
         mark = self.ids(f" {BETWEEN} ")
         self.mark = mark[0] if len(mark) == 1 else None
         self.cuts = bool(known and self.mark is not None)
-        self.emptied()
-
-    def emptied(self) -> None:
-        """Tables as at the start of a task: a process serves several tasks, its memory must not grow with them."""
-        self.words.clear()
-        self.parts.clear()
-        self.words[""] = b""
-        if self.cuts:
-            self.parts["\n"] = self.mark.tobytes()
+        self.asked, self.missed = 0, 1
+        self.begun()
+
+    def begun(self) -> None:
+        """At the start of a task: tables that lacked a quarter of the last task's words start anew."""
+        if 4 * self.missed > self.asked:
+            self.words.clear()
+            self.parts.clear()
+            self.words[""] = b""
+            if self.cuts:
+                self.parts["\n"] = self.mark.tobytes()
+        self.asked = self.missed = 0
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
@@ -396,7 +399,7 @@ class WordEncoder:
         return found
 
     def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes]) -> None:
-        """Nothing is added to a full table: frequent words come early in a task."""
+        """Nothing is added to a full table: frequent words come early."""
         for w in fresh if len(table) > self.table_words else [w for w in fresh if len(w) > LONG]:
             del table[w]
 
@@ -424,6 +427,7 @@ class WordEncoder:
         fresh = self.encoded_words(list(new)) if new else {}
         table.update(fresh)
         rows = [b"".join(map(table.__getitem__, words)) for words in cut]
+        self.asked, self.missed = self.asked + sum(map(len, cut)), self.missed + len(fresh)
         self.trimmed(table, fresh)
         return rows
 
@@ -447,11 +451,10 @@ def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(file)
-        encoder.emptied()
+        encoder.begun()
         for ids, texts in steps(batches):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([row + end for row in encoder.encode([t or "" for t in texts])], pa.binary())],
                                              names=["doc_id", "ids"])
-        encoder.emptied()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, ids binary"), width
 
