@@ -2,7 +2,11 @@
 
 Lemma and POS dictionaries replace per-word analyzers: a table ``(token,
 lemma, pos)`` is joined onto the tokens, and a token missing from it keeps
-itself as lemma and gets the part of speech ``UNKN``.
+itself as lemma and gets the part of speech ``UNKN``, or both are guessed from
+its ending (``guess_unknown``): the dictionary's words form a trie of their
+endings, in which every node knows the most frequent way from a word with that
+ending to its lemma. The trie is a table of (ending, rule), a look-up is one
+equi-join on the endings of the distinct unknown words.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 from textmart import dictionaries as D
 from textmart.operators.joins import join_null_safe
 from textmart.operators.tokens import exact_median, row_numbers
+from textmart.session import cut_lineage
 
 
 def lemmatize(tokens: DataFrame, lemma_dict: DataFrame | None = None, *, word: str = "word",
@@ -32,6 +37,60 @@ def lemmatize(tokens: DataFrame, lemma_dict: DataFrame | None = None, *, word: s
             .withColumn(pos, F.coalesce(F.col("_d.pos"), F.lit("UNKN"))).drop("_d"))
 
 
+#: Longest ending that is looked at, and words of the dictionary that must share a rule's ending.
+MAX_ENDING, MIN_WORDS = 5, 2
+
+
+def _endings(word: str, longest: int, whole: bool) -> Column:
+    """Endings of 1 .. ``longest`` characters, shorter than the word itself unless ``whole``."""
+    n = F.least(F.lit(longest), F.length(word) - (0 if whole else 1))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: F.right(F.col(word), k))).otherwise(F.array().cast("array<string>"))
+
+
+def ending_rules(lemma_dict: DataFrame, *, longest: int = MAX_ENDING, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(ending, strip, add, pos, n)``: the most frequent rule of the dictionary's words with each ending.
+
+    A rule strips characters from the word's end, adds others and names a part
+    of speech; it holds for an ending that contains what it strips. Of equally
+    frequent rules the first by (strip, add, pos) is taken. An ending is kept
+    if at least ``min_words`` words follow its rule.
+    """
+    entries = lemma_dict.where("token is not null and lemma is not null").groupBy("token").agg(F.min(F.struct("lemma", "pos")).alias("_d"))
+    entries = entries.select("token", "_d.lemma", "_d.pos")
+    upto = F.least(F.length("token"), F.length("lemma"))
+    same = F.when(upto > 0, F.size(F.filter(F.sequence(F.lit(1), upto), lambda k: F.left("token", k) == F.left("lemma", k)))).otherwise(0)
+    rules = entries.withColumn("_same", same).select(
+        "pos", "token", (F.length("token") - F.col("_same")).alias("strip"), F.substr("lemma", F.col("_same") + 1).alias("add"))
+    rows = rules.select("strip", "add", "pos", F.explode(_endings("token", longest, True)).alias("ending")).where(F.length("ending") >= F.col("strip"))
+    counted = rows.groupBy("ending", "strip", "add", "pos").agg(F.count(F.lit(1)).alias("n"))
+    best = counted.groupBy("ending").agg(F.min(F.struct((-F.col("n")).alias("k"), "strip", "add", "pos")).alias("_b"))
+    return best.select("ending", "_b.strip", "_b.add", "_b.pos", (-F.col("_b.k")).alias("n")).where(F.col("n") >= min_words)
+
+
+def guess_unknown(words: DataFrame, lemma_dict: DataFrame, *, word: str = "word", longest: int = MAX_ENDING,
+                  min_words: int = MIN_WORDS) -> DataFrame:
+    """``(word, ending, lemma, pos)`` for the distinct words outside the dictionary, by their longest known ending.
+
+    A word without a known ending is its own lemma, with ``UNKN`` and a null
+    ending. An ending is shorter than its word, so a guess never strips a whole word.
+    """
+    known = lemma_dict.where("token is not null").select(F.col("token").alias(word)).distinct()
+    new = cut_lineage(words.where(F.col(word).isNotNull()).select(word).distinct().join(known, word, "left_anti"))
+    rules = ending_rules(lemma_dict, longest=longest, min_words=min_words)
+    found = new.select(word, F.explode(_endings(word, longest, False)).alias("ending")).join(rules, "ending")
+    rule = F.max_by(F.struct("ending", "strip", "add", "pos"), F.length("ending")).alias("_r")
+    out = new.join(found.groupBy(word).agg(rule), word, "left")
+    stem = F.left(word, F.length(word) - F.col("_r.strip"))
+    return out.select(word, F.col("_r.ending").alias("ending"), F.coalesce(F.concat(stem, "_r.add"), word).alias("lemma"),
+                      F.coalesce("_r.pos", F.lit("UNKN")).alias("pos"))
+
+
+def with_guesses(lemma_dict: DataFrame, words: DataFrame, *, word: str = "word") -> DataFrame:
+    """The dictionary ``(token, lemma, pos)`` with an entry for every word it lacks, for ``lemmatize`` and ``lemmatize_arrays``."""
+    guessed = guess_unknown(words, lemma_dict, word=word).select(F.col(word).alias("token"), "lemma", "pos")
+    return cut_lineage(lemma_dict.select("token", "lemma", "pos").unionByName(guessed))
+
+
 def lemmatize_arrays(docs: DataFrame, lemma_dict: DataFrame, *, tokens: str = "tokens", key: str | Sequence[str] = "doc_id",
                      keep_pos: Sequence[str] | None = None, min_len: int = 0) -> DataFrame:
     """J6 on token arrays: every token becomes its lemma, in the same order.

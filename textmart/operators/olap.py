@@ -9,12 +9,15 @@ join of unbounded tables.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmart import dictionaries as D
 from textmart.functions import rules as R
+from textmart.operators.tokens import row_numbers
+from textmart.session import cut_lineage
 
 DEFAULT_TOP_TECH = ["SQL", "Python", "Excel"]
 
@@ -33,21 +36,25 @@ def enrich_jobs(jobs: DataFrame, *, title: str = "title", content: str = "conten
 
 
 def distributions(enriched: DataFrame) -> DataFrame:
-    """A4 + A5 (+ T8 ordering by years): ``(dimension, value, count, pct)`` for experience, technology, level and date.
+    """A4 + A5 + T8: ``(dimension, value, count, pct, position)`` for experience, technology, level and date.
+
+    ``position`` orders the values of a dimension: experience by years, the others by count.
 
     ``pct`` is count / number of jobs * 100 (technology shares can sum above
     100 because an ad has several tags).
     """
-    n_jobs = enriched.select(F.count(F.lit(1))).scalar()
-    exp = enriched.groupBy(F.col("experience_years").cast("string").alias("value")).count() \
-        .withColumn("dimension", F.lit("experience"))
-    tech = enriched.select(F.explode("technologies").alias("value")).groupBy("value").count() \
-        .withColumn("dimension", F.lit("technology"))
-    lvl = enriched.groupBy(F.col("level").alias("value")).count().withColumn("dimension", F.lit("level"))
-    day = enriched.groupBy(F.col("date").alias("value")).count().withColumn("dimension", F.lit("date"))
-    out = exp.unionByName(tech).unionByName(lvl).unionByName(day)
-    pct = F.when(n_jobs > 0, F.col("count") * 100.0 / n_jobs).otherwise(F.lit(0.0))
-    return out.select("dimension", "value", "count", pct.alias("pct"))
+    def row(dimension: str, value) -> Column:
+        return F.struct(F.lit(dimension).alias("dimension"), value.cast("string").alias("value"))
+
+    single = F.array(*[row(d, F.col(c)) for d, c in (("experience", "experience_years"), ("level", "level"), ("date", "date"))])
+    tags = F.transform(F.coalesce("technologies", F.array().cast("array<string>")), lambda t: row("technology", t))
+    rows = enriched.select(F.inline(F.concat(single, tags)))  # one scan for the four dimensions
+    counts = cut_lineage(rows.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("count")))
+    n_jobs = counts.where("dimension = 'level'").agg(F.sum("count")).scalar()  # an ad has one level
+    # one row per distinct value: years ascending, the other dimensions by count
+    by = [F.when(F.col("dimension") == "experience", F.col("value").cast("long")), F.col("count").desc(), F.col("value")]
+    position = F.row_number().over(Window.partitionBy("dimension").orderBy(*by))
+    return counts.select("dimension", "value", "count", (F.col("count") * 100.0 / n_jobs).alias("pct"), position.alias("position"))
 
 
 def top_technologies(enriched: DataFrame, k: int = 9) -> DataFrame:
@@ -90,7 +97,22 @@ def experience_tech_matrix(enriched: DataFrame, k: int = 9, bands: Sequence[str]
 
 
 def level_tech_cube(enriched: DataFrame, *, job_id: str = "job_id") -> DataFrame:
-    """``cube(level, tech)`` of distinct jobs; margins count jobs, not job-tag rows."""
-    rows = enriched.select(job_id, "level", F.explode_outer("technologies").alias("tech"))
-    return rows.cube("level", "tech").agg(
-        F.count_distinct(job_id).alias("jobs"), F.grouping_id().alias("grouping_id"))
+    """``cube(level, tech)`` of distinct jobs; margins count jobs, not job-tag rows.
+
+    Jobs are numbered, and the finest cells hold bitmaps of their jobs' numbers
+    (32,768 numbers each). The margins are the bitwise or of those bitmaps, so
+    neither are rows multiplied by the number of margins nor are jobs counted
+    apart for each of them. A null level is a level, a null job counts nowhere.
+    """
+    jobs = enriched.where(F.col(job_id).isNotNull()).select(job_id).distinct().withColumn("_h", F.xxhash64(job_id))
+    numbers = row_numbers(cut_lineage(jobs), by=[], order="_h", tiebreak=[job_id], out="_n").select(job_id, "_n")
+    rows = enriched.select(job_id, "level", F.explode_outer("technologies").alias("tech")).join(numbers, job_id, "left")
+    fine = cut_lineage(rows.groupBy("level", "tech", F.bitmap_bucket_number("_n").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_n")).alias("_bits")))
+
+    def margin(keys: list[str], grouping: int) -> DataFrame:
+        cells = fine.groupBy(*keys, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits")) if len(keys) < 2 else fine
+        out = cells.withColumn("grouping_id", F.lit(grouping)).groupBy(*keys, "grouping_id").agg(F.sum(F.bitmap_count("_bits")).alias("jobs"))
+        return out.select(*[F.col(k) if k in keys else F.lit(None).cast("string").alias(k) for k in ("level", "tech")], "jobs", "grouping_id")
+
+    return reduce(DataFrame.unionByName, [margin(["level", "tech"], 0), margin(["level"], 1), margin(["tech"], 2), margin([], 3)])

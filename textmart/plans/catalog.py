@@ -344,10 +344,10 @@ SQL_JOB_DOCS = f"""{SQL_JOBS},
   js AS (SELECT w AS w1, lead(w) OVER (ORDER BY job_id, p) AS w2, lead(w, 2) OVER (ORDER BY job_id, p) AS w3 FROM ju)"""
 
 
-def job_tokens_p1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def job_tokens_p1(spark: SparkSession, sf_dir: str, lemma_dict: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     jobs = jobs_table(spark, sf_dir)
     f1 = job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS, content_phrase=JOB_CONTENT_PHRASE)
-    return jobs, job_ads.job_token_docs(f1, stop_words=JOB_STOP)
+    return jobs, job_ads.job_token_docs(f1, stop_words=JOB_STOP, lemma_dict=lemma_dict)
 
 
 @register("job_filter_analyst", f"""
@@ -393,24 +393,6 @@ def job_meaningful_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("word", "count", F.col("rank").cast("long").alias("rank"))
 
 
-@register("job_funnel", f"""
-WITH {SQL_JOB_DOCS},
-  s AS (SELECT count(*) AS n_f, sum(length(raw)) + greatest(count(*) - 1, 0) AS c_raw,
-               sum(length(normalized)) + greatest(count(*) FILTER (WHERE normalized <> '') - 1, 0) AS c_norm,
-               sum(len(list_filter(string_split(normalized, ' '), lambda w: w <> ''))) AS t_all,
-               sum(len(toks)) AS t_clean FROM jt),
-  n AS (SELECT count(*) AS n FROM jobs)
-SELECT * FROM (
-  SELECT 1 AS ord, 'filter' AS stage, n.n AS n_in, s.n_f AS n_out FROM s, n
-  UNION ALL SELECT 2, 'normalize_chars', c_raw, c_norm FROM s
-  UNION ALL SELECT 3, 'tokenize', t_all, t_all FROM s
-  UNION ALL SELECT 4, 'stop_words', t_all, t_clean FROM s)
-""")
-def job_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs, docs = job_tokens_p1(spark, sf_dir)
-    return job_ads.funnel(jobs, docs, stop_words=JOB_STOP).withColumn("ord", F.col("ord").cast("int"))
-
-
 @register("job_tech_mentions", f"""
 WITH {SQL_JOBS}, f1 AS (SELECT lower(title || ' ' || content) AS t FROM jobs WHERE {SQL_P1}),
   kw AS (SELECT unnest({'[' + ', '.join(repr(k) for k in JOB_PATTERNS) + ']'}) AS keyword),
@@ -433,12 +415,13 @@ WITH {SQL_JOBS}, f1 AS (SELECT lower(coalesce(content, '')) AS t FROM jobs WHERE
   kw AS (SELECT * FROM (VALUES {_CAT_ROWS}) v(category, keyword)),
   m AS (SELECT category, keyword, sum((length(t) - length(replace(t, keyword, ''))) // length(keyword)) AS mentions
         FROM f1, kw GROUP BY ALL HAVING mentions > 0)
-SELECT category, keyword, mentions, sum(mentions) OVER (PARTITION BY category) AS category_total FROM m
+SELECT category, keyword, mentions, sum(mentions) OVER (PARTITION BY category) AS category_total,
+       row_number() OVER (PARTITION BY category ORDER BY mentions DESC, keyword) AS rank FROM m
 """)
 def job_category_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = jobs_table(spark, sf_dir)
     f1 = job_ads.filter_analyst_jobs(jobs, title_keywords=JOB_TITLE_KEYWORDS, content_phrase=JOB_CONTENT_PHRASE)
-    return job_ads.category_mentions(f1, categories=JOB_CATEGORIES)
+    return job_ads.category_mentions(f1, categories=JOB_CATEGORIES).withColumn("rank", F.col("rank").cast("long"))
 
 
 def enriched_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,11 +461,13 @@ WITH {SQL_ENRICHED}, n AS (SELECT count(*) AS n FROM en),
         UNION ALL SELECT 'technology', t, count(*) FROM (SELECT unnest(technologies) AS t FROM en) GROUP BY ALL
         UNION ALL SELECT 'level', level, count(*) FROM en GROUP BY ALL
         UNION ALL SELECT 'date', date, count(*) FROM en GROUP BY ALL)
-SELECT dimension, value, count, round(CASE WHEN n.n > 0 THEN count * 100.0 / n.n ELSE 0 END, 6) AS pct FROM u, n
+SELECT dimension, value, count, round(CASE WHEN n.n > 0 THEN count * 100.0 / n.n ELSE 0 END, 6) AS pct,
+       row_number() OVER (PARTITION BY dimension ORDER BY CASE WHEN dimension = 'experience' THEN value::BIGINT END, count DESC, value) AS position
+FROM u, n
 """)
 def job_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = olap.distributions(enriched_jobs(spark, sf_dir))
-    return d.select("dimension", "value", "count", F.round("pct", 6).alias("pct"))
+    return d.select("dimension", "value", "count", F.round("pct", 6).alias("pct"), F.col("position").cast("long"))
 
 
 def _sql_matrix(row: str, values, row_expr: str) -> str:
@@ -775,6 +760,27 @@ def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.distinct().where(n % 5 != 0).select("token", short.alias("lemma"), pos.alias("pos"))
 
 
+@register("job_funnel", f"""
+WITH {SQL_JOB_DOCS}, {SQL_DICT},
+  s AS (SELECT count(*) AS n_f, sum(length(raw)) + greatest(count(*) - 1, 0) AS c_raw,
+               sum(length(normalized)) + greatest(count(*) FILTER (WHERE normalized <> '') - 1, 0) AS c_norm,
+               sum(len(list_filter(string_split(normalized, ' '), lambda w: w <> ''))) AS t_all,
+               sum(len(toks)) AS t_clean FROM jt),
+  l AS (SELECT count(*) AS n FROM (SELECT coalesce(lemma, w) AS lemma FROM ju LEFT JOIN dict ON token = w)
+        WHERE length(lemma) >= 3 AND lemma NOT IN {JOB_STOP_SQL} AND NOT regexp_full_match(lemma, '[0-9]+')),
+  n AS (SELECT count(*) AS n FROM jobs)
+SELECT * FROM (
+  SELECT 1 AS ord, 'filter' AS stage, n.n AS n_in, s.n_f AS n_out FROM s, n
+  UNION ALL SELECT 2, 'normalize_chars', c_raw, c_norm FROM s
+  UNION ALL SELECT 3, 'tokenize', t_all, t_all FROM s
+  UNION ALL SELECT 4, 'stop_words', t_all, t_clean FROM s
+  UNION ALL SELECT 5, 'lemmas', t_clean, l.n FROM s, l)
+""")
+def job_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, docs = job_tokens_p1(spark, sf_dir, word_dictionary(spark, sf_dir))
+    return job_ads.funnel(jobs, docs, stop_words=JOB_STOP).withColumn("ord", F.col("ord").cast("int"))
+
+
 def article_table(spark: SparkSession, sf_dir: str, *, lemmas: bool = False) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.lit("").alias("title"),
                                                    F.col("text").alias("content"))
@@ -1478,3 +1484,23 @@ def vocabulary_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("word"))
     t = lexicon.normalisation_table(words, word_dictionary(spark, sf_dir), stem_suffixes=STEM_SUFFIXES)
     return t.select("word", "lemma", "stem")
+
+
+@register("unknown_word_guesses", f"""
+WITH {SQL_DICT},
+  e AS (SELECT *, len(list_filter(range(1, least(length(token), length(lemma)) + 1), lambda k: left(token, k) = left(lemma, k))) AS same FROM dict),
+  r AS (SELECT token, pos, length(token) - same AS strip, substr(lemma, same + 1) AS tail FROM e),
+  n AS (SELECT right(token, k) AS ending, strip, tail, pos, count(*) AS n FROM r, range(1, {lexicon.MAX_ENDING + 1}) x(k)
+        WHERE k <= length(token) AND k >= strip GROUP BY ALL),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ending ORDER BY n DESC, strip, tail, pos) AS place FROM n)
+        WHERE place = 1 AND n >= {lexicon.MIN_WORDS}),
+  u AS (SELECT DISTINCT word FROM (SELECT unnest({SQL_TOKENS}) AS word FROM documents) WHERE word NOT IN (SELECT token FROM dict)),
+  g AS (SELECT word, ending, strip, tail, pos, row_number() OVER (PARTITION BY word ORDER BY length(ending) DESC) AS place
+        FROM u, range(1, {lexicon.MAX_ENDING + 1}) x(k) JOIN b ON ending = right(word, k) WHERE k < length(word))
+SELECT u.word, ending, coalesce(left(u.word, length(u.word) - strip) || tail, u.word) AS lemma, coalesce(pos, 'UNKN') AS pos
+FROM u LEFT JOIN g ON g.word = u.word AND place = 1
+""")
+def unknown_word_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemma and part of speech of every word of the documents that the dictionary lacks, by its longest known ending."""
+    words = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("word"))
+    return lexicon.guess_unknown(words, word_dictionary(spark, sf_dir))
