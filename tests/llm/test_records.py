@@ -55,7 +55,7 @@ def test_checksums():
 
 
 def test_words_give_the_librarys_ids():
-    encoder, rng = R.WordEncoder(FILE, table_words=40), random.Random(5)
+    encoder, rng = R.WordEncoder(FILE, table_words=40, table_pieces=30), random.Random(5)
     assert encoder.by_word and encoder.width == 2 and encoder.cuts
     parts = ["a", "B", " ", "  ", "'s", "ΣΑΣ", "\n", "é", "é", "́", " ", " ", "\t", "日", "😀", "<|endoftext|>", "<|end", "12", "İ", ".", "\x01", "\x02", "²", "ª", "_", "\x85", "\xad", "'", "ll", "e\u0301", "É", "ŉ", "ǅ", "!?"]
     for _ in range(4000):
@@ -108,6 +108,15 @@ def test_file_format_and_damage(spark):
         R.read_records(spark, path).collect()
 
 
+def test_given_sequences(spark):
+    rows = [(3, [5, 49407, 65535]), (1, []), (None, [7]), (2, None), (3, [5, 49407, 65535]), (-4, list(range(3000)))]
+    for width in (2, 4):
+        path = folder(spark)
+        R.write_sequences(spark.createDataFrame(rows, "doc_id long, ids array<int>"), path, width=width)
+        got = [(r.doc_id, r.ids) for r in sorted(R.read_records(spark, path).collect(), key=lambda r: (r.file, r.record))]
+        assert got == [(i, ids or []) for i, ids in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+
+
 def test_whole_table(spark):
     docs = table(spark, "documents")
     got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in R.written_and_read(docs).collect())

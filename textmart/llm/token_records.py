@@ -38,9 +38,9 @@ from textmart.session import checkpoint_dir
 FORMAT = "token_records"
 MANIFEST = "_manifest.json"
 END_ID = 1
-#: Distinct words, and as many pieces of words, that a process's tables hold (about 200 bytes each);
-#: longer ones than LONG characters are not kept.
-TABLE_WORDS = 250_000
+#: Distinct words and pieces of words that a process's tables hold (about 170 bytes each); longer ones than LONG
+#: characters are not kept.
+TABLE_WORDS, TABLE_PIECES = 600_000, 600_000
 LONG = 64
 #: Character that stands between new words when many are encoded in one call, and words of a call.
 BETWEEN, CALL_WORDS = "\x01", 4096
@@ -189,37 +189,48 @@ class Piece(InputPartition):
 
 
 class RecordWriter(DataSourceArrowWriter):
-    """Rows (doc_id long, ids binary) in the order of their partitions; one data file and one index a partition."""
+    """Rows (doc_id long, ids binary), or (doc_id long, text string) to be encoded, in the order of their partitions; one data
+    file and one index a partition."""
 
-    def __init__(self, path: str, width: int):
-        self.path, self.width = path, width
+    def __init__(self, path: str, width: int, tokenizer: str | None, end_id: int | None):
+        self.path, self.width, self.tokenizer = path, width, tokenizer
+        self.end = b"" if end_id is None else end_id.to_bytes(width, "little")
         fs, at = located(path)
         if fs.get_file_info(f"{at}/{MANIFEST}").type != pafs.FileType.NotFound:
             raise ValueError(f"{path} already holds token records")
         fs.create_dir(at, recursive=True)
 
+    def sequences(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+        """(ids of documents, their token ids as bytes) in steps of bounded size."""
+        if self.tokenizer:
+            encoder = encoder_of(self.tokenizer)
+            encoder.begun()
+            for ids, texts in steps(batches):
+                yield ids, [row + self.end for row in encoder.encode([t or "" for t in texts])]
+            return
+        for batch in batches:
+            row, lengths = 0, pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            while row < batch.num_rows:
+                n = max(1, int(np.searchsorted(np.cumsum(lengths[row:]), STEP_IDS * self.width, side="right")))
+                yield batch.column(0).slice(row, n).to_pylist(), batch.column(1).slice(row, n).to_pylist()
+                row += n
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         part, (fs, at), crc = TaskContext.get().partitionId(), located(self.path), Crc32c()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         records, tokens, size, data, index = 0, 0, 0, None, None
-        for batch in iterator:
-            row = 0
-            lengths = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
-            while row < batch.num_rows:  # steps of bounded size
-                n = max(1, int(np.searchsorted(np.cumsum(lengths[row:]), STEP_IDS * self.width, side="right")))
-                step = batch.slice(row, n)
-                sequences = step.column(1).to_pylist()
-                pieces, sizes = frames(crc, step.column(0).to_pylist(), sequences, self.width)
-                if data is None:
-                    data, index = fs.open_output_stream(f"{at}/{name}.rec"), fs.open_output_stream(f"{at}/{name}.idx")
-                entries = np.zeros(len(sizes), INDEX)
-                entries["offset"] = size + np.cumsum(sizes) - sizes
-                entries["n"] = [len(s) // self.width for s in sequences]
-                data.write(b"".join(pieces))
-                index.write(entries.tobytes())
-                records, size, tokens, row = records + len(sizes), size + int(sizes.sum()), tokens + int(entries["n"].sum()), row + n
+        for ids, sequences in self.sequences(iterator):
+            pieces, sizes = frames(crc, ids, sequences, self.width)
+            if data is None:
+                data, index = fs.open_output_stream(f"{at}/{name}.rec"), fs.open_output_stream(f"{at}/{name}.idx")
+            entries = np.zeros(len(sizes), INDEX)
+            entries["offset"] = size + np.cumsum(sizes) - sizes
+            entries["n"] = [len(s) // self.width for s in sequences]
+            data.write(b"".join(pieces))
+            index.write(entries.tobytes())
+            records, size, tokens = records + len(sizes), size + int(sizes.sum()), tokens + int(entries["n"].sum())
         for f in (data, index):
             if f is not None:
                 f.close()
@@ -295,7 +306,7 @@ class RecordReader(DataSourceReader):
 
 
 class TokenRecords(DataSource):
-    """``format("token_records")``. Options: ``path``; ``width`` (bytes per id, writing); ``what`` = ``ids`` (default), ``digest`` or ``index``."""
+    """``format("token_records")``. Options: ``path``; for writing ``width`` (bytes per id) and, where the rows are texts, ``tokenizer`` and ``end_id``; ``what`` = ``ids`` (default), ``digest`` or ``index``."""
 
     @classmethod
     def name(cls) -> str:
@@ -311,7 +322,8 @@ class TokenRecords(DataSource):
         return RecordReader(self.options["path"], self.options.get("what", "ids"), int(self.options.get("part_bytes", PART_BYTES)))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return RecordWriter(self.options["path"], int(self.options["width"]))
+        end = self.options.get("end_id")
+        return RecordWriter(self.options["path"], int(self.options["width"]), self.options.get("tokenizer"), int(end) if end else None)
 
 
 # ---- encoding --------------------------------------------------------------------------------------------------------
@@ -344,7 +356,7 @@ class WordEncoder:
     """Ids of whole texts as bytes. Where the tokenizer lets words be told apart, a word is looked up in a table; a word that
     is not there is cut into its pieces where the pattern is the known one, and new pieces are encoded together."""
 
-    def __init__(self, file: str, table_words: int = TABLE_WORDS):
+    def __init__(self, file: str, table_words: int = TABLE_WORDS, table_pieces: int = TABLE_PIECES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -360,7 +372,7 @@ class WordEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.table_words = table_words
+        self.table_words, self.table_pieces = table_words, table_pieces
         mark = self.ids(f" {BETWEEN} ")
         self.mark = mark[0] if len(mark) == 1 else None
         self.cuts = bool(known and self.mark is not None)
@@ -398,9 +410,9 @@ class WordEncoder:
             found += [self.ids(w).tobytes() for w in some]
         return found
 
-    def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+    def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes], most: int) -> None:
         """Nothing is added to a full table: frequent words come early."""
-        for w in fresh if len(table) > self.table_words else [w for w in fresh if len(w) > LONG]:
+        for w in fresh if len(table) > most else [w for w in fresh if len(w) > LONG]:
             del table[w]
 
     def encoded_words(self, words: list[str]) -> dict[str, bytes]:
@@ -416,7 +428,7 @@ class WordEncoder:
         fresh = dict(zip(new, found[len(rest):], strict=True))
         parts.update(fresh)
         rows = self.between_marks(np.frombuffer(b"".join(map(parts.__getitem__, pieces)), f"<u{self.width}")) if latin else []
-        self.trimmed(parts, fresh)
+        self.trimmed(parts, fresh, self.table_pieces)
         return dict(zip(latin, rows, strict=True)) | dict(zip(rest, found, strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -428,7 +440,7 @@ class WordEncoder:
         table.update(fresh)
         rows = [b"".join(map(table.__getitem__, words)) for words in cut]
         self.asked, self.missed = self.asked + sum(map(len, cut)), self.missed + len(fresh)
-        self.trimmed(table, fresh)
+        self.trimmed(table, fresh, self.table_words)
         return rows
 
 
@@ -442,23 +454,6 @@ def encoder_of(file: str) -> WordEncoder:
     return _ENCODERS[file]
 
 
-def encode_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-                 end_id: int | None = END_ID) -> tuple[DataFrame, int]:
-    """``(doc_id, ids)`` in the order of ``docs``, ids as little-endian bytes, and the bytes per id. Narrow."""
-    file = tokenizer or default_tokenizer()
-    width = WordEncoder(file).width
-    end = b"" if end_id is None else end_id.to_bytes(width, "little")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(file)
-        encoder.begun()
-        for ids, texts in steps(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([row + end for row in encoder.encode([t or "" for t in texts])], pa.binary())],
-                                             names=["doc_id", "ids"])
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, ids binary"), width
-
-
 def write_texts(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
                 end_id: int | None = END_ID) -> None:
     """Encode every whole text and write the records in ascending id order; texts are shuffled once, by ranges of ids."""
@@ -467,8 +462,21 @@ def write_texts(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    ids, width = encode_texts(ordered, tokenizer=tokenizer, end_id=end_id)
-    ids.write.format(FORMAT).option("width", width).mode("append").save(path)
+    file = tokenizer or default_tokenizer()
+    out = ordered.select("doc_id", "text").write.format(FORMAT).option("width", WordEncoder(file).width).option("tokenizer", file)
+    (out if end_id is None else out.option("end_id", end_id)).mode("append").save(path)
+
+
+def write_sequences(rows: DataFrame, path: str, *, width: int = 2) -> None:
+    """Write ``(doc_id long, ids array<int>)`` in ascending id order (repeated ids by their sequence); null ids are empty."""
+    spark = rows.sparkSession
+    spark.dataSource.register(TokenRecords)
+    # least significant byte first
+    hexed = F.transform(F.coalesce("ids", F.array().cast("array<int>")), lambda x: F.concat(*[
+        F.lpad(F.hex(F.shiftright(x, 8 * k).bitwiseAND(255)), 2, "0") for k in range(width)]))
+    ids = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.array_join(hexed, "")).alias("ids"))
+    ordered = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
+    ordered.select("doc_id", "ids").write.format(FORMAT).option("width", width).mode("append").save(path)
 
 
 def read_records(spark: SparkSession, path: str, *, what: str = "ids", part_bytes: int = PART_BYTES) -> DataFrame:
