@@ -1301,6 +1301,33 @@ def naive_bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", "prediction", F.round("score", 4).alias("score"))
 
 
+@register("naive_bayes_folds", f"""
+WITH {SQL_CLS},
+  s AS (SELECT doc_id, label, (r - 1) % 5 AS fold, regexp_extract_all(lower(text), '[{WORD_SQL}]{{2,}}') AS t FROM sp),
+  tf AS (SELECT doc_id, label, fold, term, count(*) AS tf FROM (SELECT doc_id, label, fold, unnest(t) AS term FROM s) GROUP BY ALL),
+  tr AS (SELECT f, tf.* FROM tf, range(5) x(f) WHERE fold <> f),
+  vv AS (SELECT f, count(DISTINCT term) AS v FROM tr GROUP BY f),
+  cl AS (SELECT f, label, sum(tf) AS n_c, count(DISTINCT doc_id) AS docs FROM tr GROUP BY f, label),
+  nd AS (SELECT f, sum(docs) AS n FROM cl GROUP BY f),
+  ct AS (SELECT f, label, term, sum(tf) AS n FROM tr GROUP BY ALL),
+  kn AS (SELECT DISTINCT f, term FROM tr),
+  x AS (SELECT tf.doc_id, cl.label, sum(tf.tf * ln((coalesce(ct.n, 0) + 1) / (cl.n_c + vv.v))) AS s
+        FROM tf JOIN kn ON kn.f = tf.fold AND kn.term = tf.term JOIN cl ON cl.f = tf.fold JOIN vv ON vv.f = tf.fold
+        LEFT JOIN ct ON ct.f = tf.fold AND ct.label = cl.label AND ct.term = tf.term GROUP BY ALL),
+  y AS (SELECT d.doc_id, d.fold, d.label AS truth, cl.label, ln(cl.docs / nd.n) + coalesce(x.s, 0) AS score
+        FROM (SELECT DISTINCT doc_id, fold, label FROM tf) d JOIN cl ON cl.f = d.fold JOIN nd ON nd.f = d.fold LEFT JOIN x ON x.doc_id = d.doc_id AND x.label = cl.label),
+  p AS (SELECT doc_id, fold, truth, arg_min(label, {{'a': -round(score, 9), 'b': label}}) AS prediction FROM y GROUP BY ALL)
+SELECT fold, count(*) AS documents, round(avg((truth = prediction)::DOUBLE), 6) AS accuracy FROM p GROUP BY fold
+""")
+def naive_bayes_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of each of five folds; the fold's model is the total less the fold."""
+    d = C.kfold(C.label_index(classifier_data(spark, sf_dir)), id_col="doc_id", label="label", k=5)
+    toks = d.select("doc_id", "label", "fold", F.explode(T.vectorizer_tokens("text", word=WORD)).alias("term"))
+    tf = cut_lineage(toks.groupBy("doc_id", "label", "fold", "term").agg(F.count(F.lit(1)).alias("tf")))
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    return C.naive_bayes_folds(tf).groupBy("fold").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg(hit), 6).alias("accuracy"))
+
+
 @register("category_mapping", f"""
 SELECT doc_id, lang, CASE lang WHEN 'en' THEN 'english' WHEN 'fr' THEN 'romance' WHEN 'es' THEN 'romance' ELSE 'other' END AS category
 FROM documents
