@@ -45,6 +45,19 @@ def test_a_page_without_semantic_elements(model):
                                                    "\n\nA second one, with a link & more text <here>.")
 
 
+def test_text_of_formulas_fallbacks_and_unclosed_form_parts(model):
+    page = """<body><nav><a href=1>Home</a></nav><article><h1>A title of the page</h1><p>The area is <math><mi>a</mi><mo>=</mo><mn>4</mn></math> in all, as said.</p>
+      <noscript>Words that are shown without scripts, which count as well.</noscript><object>A fallback that was never closed, with a sentence.
+      <p>After the object there is more of the article, quite a long sentence.</p></article><form><select><option>One<option>Two</form>
+      <template><p>not shown</p></template></body>"""
+    text = main_texts([parse(page)], model)[0]
+    for part in ("The area is a=4 in all, as said.", "Words that are shown without scripts", "A fallback that was never closed", "After the object there is more"):
+        assert part in text, text
+    assert "One" not in text and "not shown" not in text
+    after = "<article><p>Pick <select><option>Red<option>Blue</p><p>Next paragraph of the article, long enough to be kept.</p></article><p>z</p>"
+    assert "Next paragraph of the article" in " ".join(parse(after).text)
+
+
 def test_awkward_pages(spark, model):
     rows = [(1, "u", None), (1, "u", ""), (2, None, "<div>" * 3000 + "x"), (None, "u", "<p>a<p>b<div"), (3, "u", "</p></div>x &bogus; &#0;"), (4, "u", "<ul><li>" * 50),
             (5, "u", "<article><p>" + "long words here. " * 30_000 + "</article>")]

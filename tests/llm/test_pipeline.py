@@ -54,6 +54,18 @@ def test_columns_and_awkward_rows(spark):
     assert sorted(str(r.doc_id) for r in dedup) == ["1", "4", "5", "6", "7", "None"]
 
 
+def test_repeated_and_missing_ids(spark):
+    item = table(spark, "benchmark").first().text
+    texts = [(1, "alpha beta gamma delta epsilon zeta"), (1, "another text that is not like the first one at all"), (1, "alpha beta gamma delta epsilon zeta"),
+             (2, "alpha beta gamma delta epsilon zeta"), (None, "alpha beta gamma delta epsilon zeta"), (None, "a text without an id, and no copy of it"),
+             (None, item), (3, item)]
+    docs = documents(spark, texts).select("doc_id", "text", "lang", "source", docs_chars(spark))
+    kept = sorted((str(r.doc_id), r.text) for r in P.simhash_dedup(spark, docs, SF).collect())
+    assert kept == sorted([("1", texts[0][1]), ("1", texts[1][1]), ("None", texts[5][1]), ("3", item)])
+    clean = [r.text for r in P.decontaminate(spark, docs, SF).collect()]
+    assert item not in clean and len(clean) == 6
+
+
 def docs_chars(spark):
     from pyspark.sql import functions as F
 

@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 from textmart.llm.common import steps
 
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
-                    "span strike strong sub sup time tt u var wbr").split())
+                    "span strike strong sub sup time tt u var wbr "
+                    # containers whose text is part of what surrounds them: fallbacks, formulas, drawings
+                    "noscript object canvas audio video iframe picture svg g text tspan textpath math semantics annotation mrow mi mn mo ms mtext "
+                    "mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mpadded mphantom").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template title svg math iframe object canvas audio video select option textarea datalist".split())
+#: Elements that are no text of the page: code, what stands in the head, and what forms hold.
+SILENT = frozenset("script style template title select option textarea datalist".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 TAGS = (("article",), ("main",), ("section",), ("div",), ("p", "blockquote", "pre"), ("h1",), ("h2", "h3", "h4", "h5", "h6"), ("li", "dt", "dd"),
         ("ul", "ol", "dl"), ("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "fieldset", "button", "dialog"),
@@ -112,7 +116,10 @@ class Page(HTMLParser):
             if tag in self.silent:
                 while self.silent.pop() != tag:
                     pass
-            return
+                return
+            if not self.open.get(tag):
+                return
+            self.silent.clear()  # the end of an element around it ends one that was not closed
         if tag == "a":
             self.links = max(0, self.links - 1)
         elif tag not in INLINE and tag not in VOID and self.open.get(tag):
@@ -382,7 +389,7 @@ def train(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPL
     rng, x, y, words = random.Random(seed), [], [], []
     for r in got:
         page = parse(r.html)
-        words += [w.strip(".,;!?") for t in page.text for w in t.split()[:200]]
+        words += [w.strip(".,;!?") for t in page.text for w in t.split()]
         label = weak_labels(page)
         if label is not None:
             x.append(features(page))

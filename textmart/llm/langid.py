@@ -141,16 +141,21 @@ class KneserNey:
         return -total / np.maximum(n, 1)[:, None], n, total
 
     def calibrate(self, texts: list[str]) -> None:
+        h, n, _ = self.entropies(texts)
+        self.limit_by(h.min(axis=1), h.argmin(axis=1), n)
+
+    def limit_by(self, best: np.ndarray, lang: np.ndarray, n: np.ndarray) -> None:
         """Set the rejection limit of each language from held-out labelled texts, of which a part may be noise or mislabelled.
 
+        Given are their lowest cross-entropies, the languages of those and the numbers of symbols.
+
         Texts far beyond the median (in absolute deviations) are set aside; the limit is a high quantile of the others,
         with slack. A language that few of the texts are in gets the limit of all languages together.
         """
-        h, n, _ = self.entropies(texts)
-        h, n = h[n > 0], n[n > 0]
-        if len(h) < CALIBRATION:
+        best, lang, n = best[n > 0], lang[n > 0], n[n > 0]
+        if not len(n):
             return
-        best, lang, wide = h.min(axis=1), h.argmin(axis=1), ERRORS * 2.0  # a symbol's surprise has a deviation of about two nats
+        wide = ERRORS * 2.0  # a symbol's surprise has a deviation of about two nats
 
         def limit(own: np.ndarray) -> float:
             low, middle = best[own] - wide / np.sqrt(n[own]), float(np.median(best[own]))
@@ -185,7 +190,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
           sample_rows: int = SAMPLE_ROWS) -> KneserNey:
     """Fit on about ``sample_rows`` rows of each language (whole texts), never on held-out rows; null languages are left out.
 
-    The driver gets one row per language, the n-gram counts of the sample, and a fifth of the sample for calibration.
+    The driver gets one row per language, the n-gram counts of the sample, and a fifth of the sample for calibration. Where
+    that fifth has fewer than ``CALIBRATION`` texts, every text of the sample is scored by a model fitted without it
+    (five parts), so that small tables have a rejection limit too; a table with one text has none.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -215,10 +222,37 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     if not langs:
         return KneserNey([])
     model = KneserNey.fit(langs, np.array([index[x] for x in names]), got.column("k").to_numpy().view(np.uint64), got.column("n").to_numpy())
-    model.calibrate([r.text for r in picked.filter(check).select("text").limit(sample_rows).collect()])
+    texts = [r.text for r in picked.filter(check).select("text").collect()]
+    if len(texts) >= CALIBRATION:
+        model.calibrate(texts)
+    else:
+        cross_calibrate(model, [(r.lang, r.text) for r in picked.select("lang", "text").orderBy(F.xxhash64("id"), "text", "lang").collect()])
     return model
 
 
+def cross_calibrate(model: KneserNey, rows: list[tuple[str, str]], parts: int = 5) -> None:
+    """Rejection limits from few (language, text) rows: every text is scored by a model of the other parts."""
+    best, lang, size = [], [], []
+    for k in range(parts):
+        learned = [(x, grams(s)) for i, (x, t) in enumerate(rows) if i % parts != k and len(s := symbols(t)) > 1]
+        names = sorted({x for x, _ in learned})
+        asked = [t for i, (_, t) in enumerate(rows) if i % parts == k]
+        if not names or not asked:
+            continue
+        owner, key, times = [], [], []
+        for j, x in enumerate(names):
+            found, n = np.unique(np.concatenate([g for y, g in learned if y == x]), return_counts=True)
+            owner.append(np.full(len(found), j))
+            key.append(found)
+            times.append(n)
+        h, n, _ = KneserNey.fit(names, np.concatenate(owner), np.concatenate(key), np.concatenate(times)).entropies(asked)
+        best.append(h.min(axis=1))
+        lang.append(np.array([model.langs.index(names[j]) if names[j] in model.langs else 0 for j in h.argmin(axis=1)], np.int64))
+        size.append(n)
+    if best:
+        model.limit_by(np.concatenate(best), np.concatenate(lang), np.concatenate(size))
+
+
 def identify(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``(<id_col>, lang_pred, score, cross_entropy, n_symbols, rejected)`` for every row, and ``text`` with ``keep_text``.
 
