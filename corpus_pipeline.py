@@ -28,20 +28,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "text", F.coalesce(F.col("doc.lang"), F.col("lang_pred")).alias("lang"), "doc.source", "doc.n_chars")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own (``row``), written once so that it stays: ids may be missing or repeated."""
+    return cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one with the smallest id, of each group of near-duplicates (three words, two bits).
+    """Keep one row, the one with the smallest id, of each group of near-duplicates (three words, two bits).
 
-    Rows without an id are kept; of rows that repeat an id one is kept.
+    Rows are judged by their texts alone: rows that repeat an id stay if their texts differ, rows without an id take part
+    and come after those with one.
     """
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=2).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
+    rows = numbered(docs)
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("key"), "text")
+    found = simhash.near_duplicates(keyed, id_col="key", shingle=3, max_bits=2).filter("key = component_id")
+    return rows.join(found.select("key.row"), "row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that leak a benchmark item."""
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Drop rows that leak a benchmark item, each judged by its own text, with or without an id."""
+    rows = numbered(docs)
+    found = decontam.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="row").select("row").distinct()
+    return rows.join(found, "row", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
