@@ -47,3 +47,42 @@ def test_planted_items_of_the_table(spark):
     items = [(r.item_id, r.text) for r in bench.collect()]
     planted = {(r.doc_id, i) for r in docs.collect() for i, t in items if r.text and t in r.text}
     assert planted and {(r.doc_id, r.item_id) for r in leaks(docs, bench).collect()} == planted
+
+
+DENSE = "Which of Anna, Bob, Carl, Dora, Emil and Fritz won the prize of Paris in London that year?"
+
+
+def test_questions_dense_with_names_are_found_in_copies(spark):
+    other = DENSE.replace("Anna", "Gerd").replace("Bob", "Hans").replace("Carl", "Ida").replace("Dora", "Jan").replace("Paris", "Rome")
+    got = found(spark, [f"Well. {DENSE}", DENSE.lower(), other, "Anna, Bob, Carl, Dora, Emil and Fritz"], [(1, DENSE)])
+    assert got[(0, 1)] == got[(1, 1)] == 1.0 and (3, 1) not in got
+
+
+def test_sql_on_names_numbers_and_variants(spark):
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from textmart.llm.decontam import duck_sql
+
+    rng = random.Random(12)
+    items = [(1, ITEM), (2, DENSE), (3, "Tom has 5 apples. Tom gives 2 apples to Anna. How many does Tom have left?"), (4, "one two"), (5, "1 2 3 4 5 6 7 8 9")]
+    names = ["Anna", "Bob", "Tom", "Carl", "Dora", "Eva", "Paris"]
+    texts = []
+    for _ in range(120):
+        t = rng.choice(items[:3])[1]
+        for n in names:
+            if rng.random() < 0.4:
+                t = t.replace(n, rng.choice(names))
+        t = "".join(rng.choice("0123456789") if c.isdigit() and rng.random() < 0.5 else c for c in t)
+        words = t.split()
+        if rng.random() < 0.5:
+            words[rng.randrange(len(words))] = rng.choice(["and", "7", "Eva", ""])
+        t = " ".join(words) + rng.choice(["", ". ", " and "]) + rng.choice(["", ITEM, DENSE.lower(), "The end"])
+        texts.append(t if rng.random() < 0.9 else t.title())
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = {(a, b): round(s, 9) for a, b, _, _, s in con.sql(duck_sql()).fetchall()}
+    assert {k: round(s, 9) for k, s in found(spark, texts, items).items()} == want and len(want) > 60

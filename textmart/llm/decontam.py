@@ -5,7 +5,9 @@ those inside sentences, none (which finds copies in other case), and also words
 words of the documents are hash-joined with those of the benchmark items. The placeholders that a matched window covers
 must fill consistently: within an occurrence of an item, an item's value stands for one value of the document. Occurrences
 are the matched windows on one diagonal (document position less item position), those on neighbouring diagonals, and all of
-the document together; the best one counts. A document leaks an item if at least ``min_share`` of the item's windows match.
+the document together; the best one counts. A document leaks an item if at least ``min_share`` of the item's windows match:
+of all its windows, or of those that say enough with their names as placeholders (a window dense with names can only be met
+in a literal copy).
 
 A bitmap of fixed size over the items' window hashes is tested before the shuffle, so that only windows which may match
 leave their task; its size does not depend on the number of items or documents, and the join that follows is exact.
@@ -87,7 +89,8 @@ def words_at(array: str) -> Column:
 
 
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Windows of the items in every form; one that starts with the item's first word also stands with that word as a name."""
+    """Windows of the items in every form that says enough; one that starts with the item's first word also stands with that word
+    as a name. ``strict`` windows say enough with their names as placeholders."""
     items = benchmark.select(F.col(item_col).alias("item"), raw_words(F.col(text_col)).alias("raw"))
     rows = window_rows(items.withColumn("tags", tagged(F.col("raw"))))
     inside, literal, starts = forms(F.col("tags"))
@@ -95,7 +98,7 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFram
                    F.concat(F.array(F.lit(NAME)), F.slice(inside, 2, WINDOW)))
     enough = lambda c: F.size(F.filter(c, lambda x: ~x.isin(*PLACEHOLDERS))) >= LITERALS
     every = F.array_distinct(F.filter(F.array(inside, literal, starts, first), lambda c: c.isNotNull() & enough(c)))
-    rows = rows.filter(enough(inside)).select("item", "at", F.transform(words_at("raw"), plain).alias("item_words"), F.explode(every).alias("item_canon"))
+    rows = rows.select("item", "at", enough(inside).alias("strict"), F.transform(words_at("raw"), plain).alias("item_words"), F.explode(every).alias("item_canon"))
     return rows.withColumn("hash", hash_of(F.col("item_canon")))
 
 
@@ -113,13 +116,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
           item_text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """``(<id_col>, <item_col>, n_windows, n_matched, share)`` for each document and benchmark item that it leaks.
 
-    Whole texts are searched. Items with fewer than five words, or without a window of three literal words, are not
-    searched for; null and empty texts match nothing. Rows without an id are left out of the pairs; rows that share an id
+    Whole texts are searched. Items with fewer than five words, or without a window of three literal words in any form, are
+    not searched for (numbers alone say too little); null and empty texts match nothing. Rows without an id are left out of the pairs; rows that share an id
     are judged as one document, items that share an id as one item. Repeated passages count once. Empty tables give no
     rows. Other columns of the inputs are not read.
     """
     wanted = item_windows(benchmark.filter(F.col(item_col).isNotNull()), item_col, item_text_col)
-    sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
+    strictly = F.when(F.col("strict"), F.col("at"))
+    sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_all"), F.countDistinct(strictly).alias("n_strict"))
     found = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), raw_words(F.col(text_col)).alias("raw"))
     found = found.withColumn("tags", tagged(F.col("raw")))
     found = found.select("id", "raw", *(f.alias(f"form{k}") for k, f in enumerate(forms(F.col("tags")))))
@@ -140,14 +144,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     slots = F.expr("filter(transform(sequence(0, size(canon) - 1), k -> struct(get(canon, k) as kind, get(item_words, k) as mine, "
                    "lower(rtrim('.!?', get(raw, k))) as theirs)), x -> x.kind in ('#', '%', '@'))")
     # both the votes and the windows they decide on read this: the corpus is scanned once
-    met = cut_lineage(met.select("id", "item", "at", (F.col("place") - F.col("at")).alias("diagonal"), slots.alias("slots")).distinct())
+    met = cut_lineage(met.select("id", "item", "at", "strict", (F.col("place") - F.col("at")).alias("diagonal"), slots.alias("slots")).distinct())
     by_diagonal = Window.partitionBy("id", "item").orderBy("diagonal")
     starts = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > SHIFT, F.lit(False)).cast("int")
     bands = met.select("id", "item", "diagonal").distinct().withColumn("far", starts).withColumn("band", F.sum("far").over(by_diagonal))
     scope = lambda name, nr: F.struct(F.lit(name).alias("scope"), nr.cast("long").alias("nr"))
     scopes = F.array(scope("all", F.lit(0)), scope("band", F.col("band")), scope("diagonal", F.col("diagonal")))
     met = join_split(met, bands.select("id", "item", "diagonal", "band"), ["id", "item", "diagonal"])
-    met = met.select("id", "item", F.explode(scopes).alias("part"), "at", "slots").distinct()
+    met = met.select("id", "item", F.explode(scopes).alias("part"), "at", "strict", "slots").distinct()
     place = ["id", "item", "part"]
     filled = met.select(*place, "at", F.explode("slots").alias("s")).select(*place, "at", "s.kind", "s.mine", "s.theirs")
     votes = filled.groupBy(*place, "kind", "mine", "theirs").agg(F.countDistinct("at").alias("n"))
@@ -155,10 +159,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     odd = votes.join(chosen, [*place, "kind", "mine"]).filter("theirs <> chosen").groupBy(*place).agg(
         F.collect_set(F.struct("kind", "mine", "theirs")).alias("odd"))
     kept = met.join(odd, place, "left").filter(F.col("odd").isNull() | ~F.arrays_overlap("slots", "odd"))
-    best = kept.groupBy(*place).agg(F.countDistinct("at").alias("n")).groupBy("id", "item").agg(F.max("n").alias("n_matched"))
-    counted = best.join(sizes, "item")
-    return (counted.withColumn("share", F.col("n_matched") / F.col("n_windows")).filter(F.col("share") >= min_share)
-            .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_matched", "share"))
+    counts = kept.groupBy(*place).agg(F.countDistinct("at").alias("m_all"), F.countDistinct(strictly).alias("m_strict")).join(sizes, "item")
+    ways = [F.struct(F.try_divide(f"m_{k}", f"n_{k}").alias("share"), F.col(f"n_{k}").alias("n_windows"), F.col(f"m_{k}").alias("n_matched")) for k in ("all", "strict")]
+    best = counts.groupBy("id", "item").agg(F.max(F.greatest(*ways)).alias("best"))
+    return (best.filter(F.col("best.share") >= min_share)
+            .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.n_windows", "best.n_matched", "best.share"))
 
 
 def duck_sql(min_share: float = MIN_SHARE) -> str:
@@ -168,36 +173,43 @@ def duck_sql(min_share: float = MIN_SHARE) -> str:
     raw = (f"list_filter(string_split(translate(translate(coalesce(text, ''), {blanks}, {q(' ' * len(BLANKS))}), {q(PUNCTUATION)}, ''), ' '),"
            " lambda w: w <> '')")
     bare = "rtrim(w, '.!?')"
-    canon = f"""list_transform(raw, lambda w, i: CASE
+    tags = f"""list_transform(raw, lambda w, i: CASE
       WHEN {bare} >= '0' AND {bare} < ':' THEN '#'
       WHEN lower({bare}) IN ({', '.join(map(q, UNITS))}) AND i > 1 AND raw[i - 1] >= '0' AND raw[i - 1] < ':' THEN '%'
-      WHEN lower({bare}) <> {bare} AND i > 1 AND length({bare}) > 1 AND substr({bare}, 2) = lower(substr({bare}, 2))
-        AND right(raw[i - 1], 1) NOT IN ('.', '!', '?') THEN '@'
+      WHEN lower({bare}) <> {bare} AND length({bare}) > 1 AND substr({bare}, 2) = lower(substr({bare}, 2))
+        THEN CASE WHEN i > 1 AND right(raw[i - 1], 1) NOT IN ('.', '!', '?') THEN '@' ELSE '^' END || lower({bare})
       ELSE lower({bare}) END)"""
-    first = "rtrim(raw[1], '.!?')"
+    form = lambda inside, start: (f"list_transform(win, lambda x: CASE WHEN starts_with(x, '@') THEN {inside} "
+                                  f"WHEN starts_with(x, '^') THEN {start} ELSE x END)")
+    plain_, rest = form("'@'", "substr(x, 2)"), form("substr(x, 2)", "substr(x, 2)")
+    three = f"[{plain_}, {rest}, {form(q('@'), q('@'))}]"
+    enough = lambda c: f"len(list_filter({c}, lambda x: x NOT IN ('#', '%', '@'))) >= {LITERALS}"
+    cut = (f"list_slice(tags, k, k + {WINDOW - 1}) AS win, list_slice(raw, k, k + {WINDOW - 1}) AS raw, k "
+           f"FROM (SELECT *, unnest(range(1, len(raw) - {WINDOW - 2})) AS k FROM")
     return f"""
-WITH d0 AS (SELECT doc_id AS id, {raw} AS raw FROM documents WHERE doc_id IS NOT NULL),
-d AS (SELECT id, raw, {canon} AS canon FROM d0),
-dw AS (SELECT id, list_slice(canon, k, k + {WINDOW - 1}) AS win, list_slice(raw, k, k + {WINDOW - 1}) AS raw
-       FROM (SELECT id, raw, canon, unnest(range(1, len(canon) - {WINDOW - 2})) AS k FROM d)),
-b0 AS (SELECT item_id AS item, {raw} AS raw FROM benchmark WHERE item_id IS NOT NULL),
-b1 AS (SELECT item, raw, {canon} AS canon FROM b0),
-b AS (SELECT item, raw, canon, false AS alt FROM b1 UNION ALL
-      SELECT item, raw, list_concat(['@'], canon[2:]), true FROM b1
-      WHERE {first} <> lower({first}) AND length({first}) > 1 AND substr({first}, 2) = lower(substr({first}, 2))),
-bw AS (SELECT item, k, list_slice(canon, k, k + {WINDOW - 1}) AS win,
-              list_transform(list_slice(raw, k, k + {WINDOW - 1}), lambda w: lower({bare})) AS words
-       FROM (SELECT item, raw, canon, alt, unnest(range(1, len(canon) - {WINDOW - 2})) AS k FROM b) WHERE NOT alt OR k = 1),
-w AS (SELECT * FROM bw WHERE len(list_filter(win, lambda x: x NOT IN ('#', '%', '@'))) >= {LITERALS}),
-n AS (SELECT item, count(DISTINCT k) AS n_windows FROM w GROUP BY item),
-met AS (SELECT DISTINCT id, item, k, list_filter(list_transform(range(1, {WINDOW + 1}), lambda j:
-          {{'kind': win[j], 'mine': words[j], 'theirs': lower(rtrim(raw[j], '.!?'))}}), lambda x: x.kind IN ('#', '%', '@')) AS slots
-        FROM dw JOIN w USING (win)),
-f AS (SELECT id, item, k, s.kind AS kind, s.mine AS mine, s.theirs AS theirs FROM (SELECT id, item, k, unnest(slots) AS s FROM met)),
-v AS (SELECT id, item, kind, mine, theirs, count(DISTINCT k) AS n FROM f GROUP BY ALL),
-c AS (SELECT *, row_number() OVER (PARTITION BY id, item, kind, mine ORDER BY n DESC, theirs DESC) AS r FROM v),
-odd AS (SELECT id, item, list({{'kind': kind, 'mine': mine, 'theirs': theirs}}) AS odd FROM c WHERE r > 1 GROUP BY id, item),
-m AS (SELECT id, item, count(DISTINCT k) AS n_matched FROM met LEFT JOIN odd USING (id, item)
-      WHERE odd IS NULL OR NOT list_has_any(slots, odd) GROUP BY id, item)
-SELECT id AS doc_id, item AS item_id, n_windows, n_matched, n_matched / n_windows AS share
-FROM m JOIN n USING (item) WHERE n_matched / n_windows >= {min_share}"""
+WITH d AS (SELECT id, raw, {tags} AS tags FROM (SELECT doc_id AS id, {raw} AS raw FROM documents WHERE doc_id IS NOT NULL)),
+dw AS (SELECT id, k, raw, unnest(list_distinct({three})) AS form FROM (SELECT id, {cut} d))),
+b AS (SELECT item, raw, {tags} AS tags FROM (SELECT item_id AS item, {raw} AS raw FROM benchmark WHERE item_id IS NOT NULL)),
+b1 AS (SELECT item, k, win, list_transform(raw, lambda w: lower({bare})) AS words, {enough(plain_)} AS strict FROM (SELECT item, {cut} b))),
+b2 AS (SELECT item, k, words, strict, unnest(list_distinct({three} || CASE WHEN k = 1 AND starts_with(win[1], '^')
+         THEN [list_concat(['@'], ({plain_})[2:])] ELSE [] END)) AS form FROM b1),
+w AS (SELECT * FROM b2 WHERE {enough('form')}),
+n AS (SELECT item, count(DISTINCT k) AS n_all, count(DISTINCT k) FILTER (strict) AS n_strict FROM w GROUP BY item),
+met AS (SELECT DISTINCT id, item, w.k, dw.k - w.k AS diagonal, strict, list_filter(list_transform(range(1, {WINDOW + 1}), lambda j:
+          {{'kind': form[j], 'mine': words[j], 'theirs': lower(rtrim(raw[j], '.!?'))}}), lambda x: x.kind IN ('#', '%', '@')) AS slots
+        FROM dw JOIN w USING (form)),
+g AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER u > {SHIFT} THEN 1 ELSE 0 END AS far FROM (SELECT DISTINCT id, item, diagonal FROM met)
+      WINDOW u AS (PARTITION BY id, item ORDER BY diagonal)),
+band AS (SELECT id, item, diagonal, sum(far) OVER (PARTITION BY id, item ORDER BY diagonal) AS band FROM g),
+part AS (SELECT DISTINCT id, item, p, k, strict, slots FROM (SELECT met.*, unnest(['all', 'band ' || band::BIGINT, 'diagonal ' || diagonal]) AS p
+         FROM met JOIN band USING (id, item, diagonal))),
+f AS (SELECT id, item, p, k, s.kind AS kind, s.mine AS mine, s.theirs AS theirs FROM (SELECT id, item, p, k, unnest(slots) AS s FROM part)),
+v AS (SELECT id, item, p, kind, mine, theirs, count(DISTINCT k) AS n FROM f GROUP BY ALL),
+c AS (SELECT *, row_number() OVER (PARTITION BY id, item, p, kind, mine ORDER BY n DESC, theirs DESC) AS r FROM v),
+odd AS (SELECT id, item, p, list({{'kind': kind, 'mine': mine, 'theirs': theirs}}) AS odd FROM c WHERE r > 1 GROUP BY id, item, p),
+m AS (SELECT id, item, p, count(DISTINCT k) AS m_all, count(DISTINCT k) FILTER (strict) AS m_strict FROM part LEFT JOIN odd USING (id, item, p)
+      WHERE odd IS NULL OR NOT list_has_any(slots, odd) GROUP BY id, item, p),
+ways AS (SELECT id, item, m_all / n_all AS share, n_all AS n_windows, m_all AS n_matched FROM m JOIN n USING (item)
+         UNION ALL SELECT id, item, m_strict / n_strict, n_strict, m_strict FROM m JOIN n USING (item) WHERE n_strict > 0),
+best AS (SELECT *, row_number() OVER (PARTITION BY id, item ORDER BY share DESC, n_windows DESC, n_matched DESC) AS place FROM ways)
+SELECT id AS doc_id, item AS item_id, n_windows, n_matched, share FROM best WHERE place = 1 AND share >= {min_share}"""
