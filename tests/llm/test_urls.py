@@ -38,3 +38,13 @@ def test_similar_branches_share_their_counts(spark):
     rows = [(k, f"http://h.net/a/{k}", int(k % 10 > 0)) for k in range(100)] + [(500 + k, f"http://h.net/b/{k}", int(k % 9 > 0)) for k in range(90)]
     got = {r.template: r.purity for r in judge(spark.createDataFrame(rows, "page_id long, url string, good int"), label_col="good").collect()}
     assert abs(got["a/*"] - got["b/*"]) < 0.02
+
+
+def test_one_bad_section_among_many_and_variable_segments(spark):
+    rows = [(100 * s + k, f"http://h.net/s{s}/{k}/view", int(s != 17)) for s in range(30) for k in range(12)]
+    rows += [(9000 + k, f"http://big.net/u{k % 400}/posts/{k}", 1) for k in range(800)] + [(20_000 + k, f"http://big.net/u7/spam/{k}", 0) for k in range(40)]
+    rows += [(30_000 + k, f"http://few.net/only{k}/x", None) for k in range(4)]
+    got = {r.page_id: r for r in judge(spark.createDataFrame(rows, "page_id long, url string, good int"), label_col="good").collect()}
+    assert all((got[i].verdict == "block") == (1700 <= i < 1712 or 20_000 <= i < 20_040) for i in got)
+    assert got[0].template == "s0/*/view" and got[9000].template == "*/posts/*" and got[20_000].template == "u7/spam/*"
+    assert got[9007].template == "u7/*/*" and got[30_000].template == "*/*"  # u7 has five pages, its two posts are rarer than that

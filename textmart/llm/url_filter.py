@@ -1,7 +1,8 @@
 """URL filter: allow and block rules, and a path-template tree per host, with DataFrame functions only.
 
-Below each host, a path segment stays literal if its share at that depth is at least about a twentieth (so a node has at
-most twenty literal branches) and becomes ``*`` otherwise. Each node of the tree counts its labelled pages. Branches of a
+The tree grows from each host downwards, level by level. Below a node a segment stays a branch of its own if at least
+``OWN_PAGES`` pages have it there; all rarer segments of the node are variable and share the branch ``*``, under which the
+next level goes on. Levels end where no host has that many pages left. Each node of the tree counts its labelled pages. Branches of a
 node whose share of good pages does not differ significantly from the rest of the node are merged: they share their
 counts. A template's purity is smoothed down its path, each node towards its parent, the root towards all labelled pages;
 a template is rejected below ``min_purity``.
@@ -10,6 +11,7 @@ a template is rejected below ``min_purity``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ from textmart.session import cut_lineage
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A segment is literal if count * SHARE >= all at its depth + SHARE.
-SHARE = 20
+#: Pages of its own that make a segment a branch of its node; fewer say too little about it.
+OWN_PAGES = 5
 #: Weight of the parent's purity, in pages; squared z value below which branches are merged; purity asked for.
 WEIGHT, SIMILAR, MIN_PURITY = 4.0, 3.841459, 0.5
 
@@ -49,6 +51,30 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]], v
     return out
 
 
+def templates_of(rows: DataFrame, own_pages: int = OWN_PAGES) -> DataFrame:
+    """``rows(id, host, path, good, segs)`` with their ``template``, ``segs`` left out.
+
+    Every level counts the pages of a node and segment (an aggregate) and gives the segment or ``*`` to the pages; pages
+    whose path ends leave. Hosts with fewer than ``own_pages`` pages that go on have only ``*`` from there.
+    """
+    done, now, k = [], cut_lineage(rows.withColumn("template", F.lit(""))), 0
+    while True:
+        done.append(now.filter(F.size("segs") <= k))
+        now = now.filter(F.size("segs") > k)
+        large = now.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= own_pages)
+        if not large.take(1):
+            break
+        now = now.withColumn("seg", F.get("segs", F.lit(k)))
+        own = now.groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= own_pages)
+        now = join_split(now, own, ["host", "template", "seg"], "left")
+        token = F.when(F.col("n").isNotNull(), F.col("seg")).otherwise(F.lit("*"))
+        now = now.withColumn("template", F.concat("template", F.lit("/") if k else F.lit(""), token))
+        now, k = cut_lineage(now.select(*rows.columns, "template")), k + 1
+    rest = F.array_join(F.array_repeat(F.lit("*"), F.size("segs") - k), "/")
+    done.append(now.withColumn("template", F.concat("template", F.lit("/") if k else F.lit(""), rest)))
+    return cut_lineage(reduce(DataFrame.unionByName, done).drop("segs"))
+
+
 def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", label_col: str | None = None,
           rules: Sequence[tuple[str, str, str]] = RULES, weight: float = WEIGHT, min_purity: float = MIN_PURITY) -> DataFrame:
     """``(<id_col>, host, path, rule, verdict, template, purity)`` for every row.
@@ -62,14 +88,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", la
     rows = rows.select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "good")
     rows = rows.withColumn("segs", F.filter(F.split("path", "/"), lambda s: s != ""))
 
-    at = rows.select("host", F.posexplode("segs").alias("k", "seg"))
-    n = at.groupBy("host", "k", "seg").agg(F.count(F.lit(1)).alias("n"))
-    depth = at.groupBy("host", "k").agg(F.count(F.lit(1)).alias("of"))
-    literal = join_split(n, depth, ["host", "k"]).filter(F.col("n") * SHARE >= F.col("of") + SHARE)
-    literal = literal.groupBy("host").agg(F.collect_list(F.concat_ws(":", F.col("k").cast("string"), "seg")).alias("literal"))
-    is_literal = lambda s, k: F.array_contains("literal", F.concat_ws(":", k.cast("string"), s))
-    tokens = F.transform("segs", lambda s, k: F.when(is_literal(s, k), s).otherwise(F.lit("*")))
-    paged = cut_lineage(join_split(rows, literal, "host", "left").select("id", "host", "path", "good", F.array_join(tokens, "/").alias("template")))
+    paged = templates_of(rows)
 
     count = (F.count("good").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("g"))
     templates = cut_lineage(paged.groupBy("host", "template").agg(*count))
@@ -119,12 +138,10 @@ WITH RECURSIVE u AS (SELECT page_id AS id, coalesce(translate(regexp_extract(url
 l AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id),
 r AS (SELECT id, host, path, quality AS good, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs
       FROM u LEFT JOIN l ON l.doc_id = try_cast(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1) AS BIGINT)),
-a AS (SELECT host, unnest(segs) AS seg, unnest(range(len(segs))) AS k FROM r),
-n AS (SELECT host, k, seg, count(*) AS n FROM a GROUP BY ALL),
-lit AS (SELECT host, list(k || ':' || seg) AS literal FROM (SELECT *, sum(n) OVER (PARTITION BY host, k) AS t FROM n)
-        WHERE n * {SHARE} >= t + {SHARE} GROUP BY host),
-paged AS (SELECT id, r.host, path, good, list_transform(segs, lambda s, i:
-            CASE WHEN list_contains(coalesce(literal, []), (i - 1) || ':' || s) THEN s ELSE '*' END) AS tokens FROM r LEFT JOIN lit ON r.host = lit.host),
+grow(id, host, path, good, segs, k, tokens) AS (SELECT id, host, path, good, segs, 0, []::VARCHAR[] FROM r
+  UNION ALL SELECT id, host, path, good, segs, k + 1, list_append(tokens,
+    CASE WHEN count(*) OVER (PARTITION BY host, tokens, segs[k + 1]) >= {OWN_PAGES} THEN segs[k + 1] ELSE '*' END) FROM grow WHERE k < len(segs)),
+paged AS (SELECT id, host, path, good, tokens FROM grow WHERE k = len(segs)),
 t AS (SELECT host, array_to_string(tokens, '/') AS template, any_value(tokens) AS tokens, count(good) AS n, coalesce(sum(good), 0) AS g
       FROM paged GROUP BY host, array_to_string(tokens, '/')),
 prior AS (SELECT CASE WHEN sum(n) > 0 THEN sum(g)::DOUBLE / sum(n) ELSE 1.0 END AS p FROM t),
