@@ -64,4 +64,21 @@ def test_awkward_vectors(spark):
     want = [(str(i), links.get(str(i), (0, i))[0], links.get(str(i), (0, i))[1], i is None or links.get(str(i), (0, i))[1] == i) for i, _, _ in rows]
     assert got == sorted(want)
     empty = df.limit(0)
-    assert fit(empty) is None and near_duplicates(empty, fit(empty)).count() == 0
+    assert fit(empty) == {} and near_duplicates(empty, fit(empty)).count() == 0
+
+
+def test_every_length_is_indexed(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for n, count in ((16, 300), (7, 40), (1, 9), (3, 2)):
+        x = rng.normal(size=(count, n))
+        x[1::2] = x[::2][:len(x[1::2])] * 1.5 + rng.normal(size=x[1::2].shape) * 0.02
+        x = x.astype(np.float32)
+        ids = [1000 * n + k for k in range(count)]
+        near = brute(x, np.zeros(count))
+        want |= dict(zip(ids, near.sum(1).tolist(), strict=True))
+        rows += [(i, [float(c) for c in v], 4) for i, v in zip(ids, x, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    indexes = fit(df, sample_rows=30)
+    assert sorted(indexes) == [1, 3, 7, 16]
+    assert {r.vec_id: r.n_links for r in near_duplicates(df, indexes).collect()} == want and sum(v > 0 for v in want.values()) > 300

@@ -5,13 +5,15 @@ every vector is indexed in its cell. A vector visits cells by multi-sequence tra
 lower bound of the half's distance to the entry's Voronoi cell, and pairs of entries are taken in ascending order of the
 summed squared bounds until the level that reaches the target recall. That level is calibrated on the sample the codebooks
 are fitted on: on its pairs over the threshold and on neighbours placed exactly at the threshold in random directions.
-What is found is verified by cosine in double precision.
+What is found is verified by cosine in double precision. Vectors of each length have an index of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,8 @@ from textmart.session import cut_lineage
 #: Rows of the sample that the codebooks and the traversal level are fitted on; entries of each codebook.
 SAMPLE_ROWS, ENTRIES = 4096, 16
 RECALL = 0.995
+#: Pairs of a sample vector that the traversal level is calibrated on.
+PARTNERS = 32
 #: Rows of each role in one verification unit, about.
 BLOCK_ROWS = 512
 
@@ -57,9 +61,14 @@ class MultiIndex:
         for at in range(0, len(x), 512):
             i, j = np.nonzero(x[at:at + 512] @ x.T >= threshold)
             keep = i + at != j
-            i, j = (i[keep] + at)[:20_000], j[keep][:20_000]
-            if len(i):
-                cost.append(self.costs(x[i], x[j]))
+            i, j = i[keep] + at, j[keep]
+            # a vector has at most PARTNERS pairs here, drawn at random: a large group counts as its vectors, not as its pairs
+            order = rng.permutation(len(i))
+            order = order[i[order].argsort(kind="stable")]
+            i, j = i[order], j[order]
+            some = np.arange(len(i)) - np.searchsorted(i, i) < PARTNERS
+            if some.any():
+                cost.append(self.costs(x[i[some]], x[j[some]]))
         self.level = max(float(np.quantile(c, recall)) for c in cost) + 1e-9
         return self
 
@@ -87,12 +96,27 @@ class MultiIndex:
         return one[rows, cell // len(self.books[1])] + two[rows, cell % len(self.books[1])]
 
     def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) of every visit; of a vector's row of the grid those entries of the sorted second list that fit."""
-        one, two = self.half_bounds(x)
-        order_one, order_two = one.argsort(1, kind="stable"), two.argsort(1, kind="stable")
-        one, two = np.take_along_axis(one, order_one, 1), np.take_along_axis(two, order_two, 1)
-        row, a, b = np.nonzero(one[:, :, None] + two[:, None, :] <= self.level)
-        return row, order_one[row, a] * len(self.books[1]) + order_two[row, b]
+        """(row, cell) of every visit: a heap over the two sorted lists gives the pairs of entries in ascending order of their
+        summed bounds until the level; a pair is pushed once, by its left or, in the first column, by its upper neighbour."""
+        halves = self.half_bounds(x)
+        orders = [h.argsort(1, kind="stable") for h in halves]
+        ones, twos = (np.take_along_axis(h, o, 1).tolist() for h, o in zip(halves, orders, strict=True))
+        row, first, second = [], [], []
+        for r, (one, two) in enumerate(zip(ones, twos, strict=True)):
+            heap = [(one[0] + two[0], 0, 0)]
+            while heap:
+                cost, a, b = heappop(heap)
+                if cost > self.level:
+                    break
+                row.append(r)
+                first.append(a)
+                second.append(b)
+                if b + 1 < len(two):
+                    heappush(heap, (one[a] + two[b + 1], a, b + 1))
+                if b == 0 and a + 1 < len(one):
+                    heappush(heap, (one[a + 1] + two[0], a + 1, 0))
+        row = np.array(row, np.int64)
+        return row, orders[0][row, first] * len(self.books[1]) + orders[1][row, second]
 
 
 def squares(x: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -112,27 +136,36 @@ def usable(label: str, vector: str):
     return F.coalesce(F.col(label).isNotNull() & ~F.exists(vector, bad) & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def padded(vector: str):
+    """A vector of one component gets a zero beside it, so that every vector has two halves; no cosine changes."""
+    return F.when(F.size(vector) == 1, F.concat(vector, F.array(F.lit(0.0)))).otherwise(F.col(vector))
+
+
 def fit(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-        threshold: float = 0.93, sample_rows: int = SAMPLE_ROWS) -> MultiIndex | None:
-    """Fit on about ``sample_rows`` usable rows, chosen by a hash of the id; vectors of the most frequent length there."""
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label")).filter(usable("label", "v"))
-    n = rows.count()
+        threshold: float = 0.93, sample_rows: int = SAMPLE_ROWS) -> dict[int, MultiIndex]:
+    """An index for each vector length, fitted on about ``sample_rows`` usable rows of that length, chosen by a hash of the id."""
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).alias("label"))
+    rows = rows.filter(usable("label", "v")).withColumn("length", F.size("v"))
+    sizes = {r["length"]: r.n for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a length
+    if not sizes:
+        return {}
     draw = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1_000_000))
-    got = [r.v for r in rows.filter(draw < F.lit(int(1_000_000 * min(1.0, sample_rows / max(n, 1))))).select("v").collect()]
-    if not got:
-        return None
-    sizes = [len(v) for v in got]
-    dim = max(sorted(set(sizes)), key=sizes.count)
-    x = np.array([v for v in got if len(v) == dim], np.float64)
-    return MultiIndex.fit(x / np.linalg.norm(x, axis=1, keepdims=True), threshold) if dim > 1 else None
+    share = F.create_map(*(F.lit(v) for x, n in sizes.items() for v in (x, int(1_000_000 * min(1.0, sample_rows / n)))))
+    got: dict[int, list] = {x: [] for x in sizes}
+    for r in rows.filter(draw < share[F.col("length")]).select("length", padded("v").alias("v")).collect():
+        got[r["length"]].append(r.v)
+    for x in [x for x, v in got.items() if not v]:  # no row of a rare length was drawn
+        got[x] = [r.v for r in rows.filter(F.col("length") == x).orderBy(draw, "v").limit(8).select(padded("v").alias("v")).collect()]
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    return {x: MultiIndex.fit(unit(np.array(v, np.float64)), threshold) for x, v in sorted(got.items())}
 
 
-def near_duplicates(vectors: DataFrame, index: MultiIndex | None, *, id_col: str = "vec_id", vector_col: str = "embedding",
+def near_duplicates(vectors: DataFrame, indexes: dict[int, MultiIndex], *, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """``(<id_col>, n_links, component_id, kept)`` for every row.
 
-    Vectors link at a cosine of at least ``threshold`` under equal labels. Vectors that are null, zero, hold null or
-    non-finite components, have a null label or another length than the indexed ones link with nothing. Usable rows that
+    Vectors link at a cosine of at least ``threshold`` under equal labels and of equal length. Vectors that are null, empty,
+    zero, hold null or non-finite components or have a null label link with nothing. Usable rows that
     repeat an id stand for one vector, the one with the smallest hash, and all get its result. Ids must be longs; rows
     without one come out unlinked. An empty table gives no rows.
 
@@ -140,12 +173,24 @@ def near_duplicates(vectors: DataFrame, index: MultiIndex | None, *, id_col: str
     unit hands out counts and a spanning forest, never its pairs.
     """
     ids = vectors.select(F.col(id_col).alias("id"))
-    if index is None:
+    if not indexes:
         return ids.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
-    rows = rows.filter(usable("label", "v") & (F.size("v") == index.dim) & F.col("id").isNotNull())
-    rows = rows.select("id", F.xxhash64("label").alias("label"), F.transform("v", lambda x: x.cast("double")).alias("v"))
+    rows = rows.filter(usable("label", "v") & F.col("id").isNotNull())
+    rows = rows.select("id", F.xxhash64("label").alias("label"), F.col("v").cast("array<double>").alias("v"))
     rows = rows.groupBy("id").agg(F.min_by(F.struct("label", "v"), F.xxhash64("label", "v")).alias("x")).select("id", "x.label", "x.v")
+    each = [links(rows.filter(F.size("v") == n).withColumn("v", padded("v")), index, threshold) for n, index in indexes.items()]
+    found = reduce(DataFrame.unionByName, each)
+    counted = found.groupBy("id").agg(F.sum("links").alias("n_links"))
+    component = components(found.select(F.col("id").alias("a"), F.col("peer").alias("b")))
+    out = ids.join(counted, "id", "left").join(component, F.col("id") == F.col("node"), "left")
+    component_id = F.coalesce("root", "id")
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component_id.alias("component_id"),
+                      F.coalesce(component_id == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def links(rows: DataFrame, index: MultiIndex, threshold: float) -> DataFrame:
+    """``(id, links, peer)`` of the linked rows ``(id, label, v)`` of one length, some rows several times; written once."""
     dim = index.dim
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +217,7 @@ def near_duplicates(vectors: DataFrame, index: MultiIndex | None, *, id_col: str
     dealt = dealt.withColumn("m", F.explode(F.when(member, F.array(part(F.col("members")))).otherwise(every(F.col("members")))))
     dealt = dealt.withColumn("n", F.explode(F.when(member, every(F.col("visitors"))).otherwise(F.array(part(F.col("visitors"))))))
     units = dealt.select("id", "role", F.xxhash64("label", "cell", "m", "n").alias("unit"), "label", "cell").join(rows.select("id", "v"), "id")
-    count = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = units.repartition(count, "unit", "label", "cell").sortWithinPartitions("unit", "label", "cell", "role")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +245,4 @@ def near_duplicates(vectors: DataFrame, index: MultiIndex | None, *, id_col: str
             some = np.flatnonzero((links > 0) | (root != np.arange(len(who))))
             yield pa.RecordBatch.from_arrays([pa.array(who[some]), pa.array(links[some]), pa.array(who[root[some]])], names=["id", "links", "peer"])
 
-    found = cut_lineage(units.select("id", "role", "unit", "label", "cell", "v").mapInArrow(verified, "id long, links long, peer long"))
-    counted = found.groupBy("id").agg(F.sum("links").alias("n_links"))
-    component = components(found.select(F.col("id").alias("a"), F.col("peer").alias("b")))
-    out = ids.join(counted, "id", "left").join(component, F.col("id") == F.col("node"), "left")
-    component_id = F.coalesce("root", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component_id.alias("component_id"),
-                      F.coalesce(component_id == F.col("id"), F.lit(True)).alias("kept"))
+    return cut_lineage(units.select("id", "role", "unit", "label", "cell", "v").mapInArrow(verified, "id long, links long, peer long"))
