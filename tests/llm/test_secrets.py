@@ -3,7 +3,7 @@ import re
 import numpy as np
 
 from tests.llm.helpers import documents, table
-from textmart.llm.secrets import CharCnn, base_spans, candidates, find_secrets, redacted, train, windows
+from textmart.llm.secrets import CharCnn, base_spans, candidates, find_secrets, generated, redacted, train, windows
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -60,7 +60,9 @@ def test_rare_secrets_of_a_large_table_train_the_network(spark):
 def test_candidates_and_redaction():
     text = "see ABCdef123456789012 and plainlowercasewordthatislong x"
     assert [text[a:b] for a, b in candidates(text, [])] == ["ABCdef123456789012"]
-    assert candidates(text, [(4, 0, 10)]) == []
+    assert candidates(text, [(4, 0, 22)]) == candidates(text, [(4, 0, 12), (10, 2, 22)]) == []
+    text = "key ABCD24be64439e3e49cf46XYZxyz987Q or sk_live.51HabcDEF, a1b2"
+    assert [text[a:b] for a, b in candidates(text, base_spans(text))] == ["ABCD24be64439e3e49cf46XYZxyz987Q", "sk_live.51HabcDEF"]
     assert redacted("ab12cd34", [(2, 0, 4, 1.0), (3, 2, 6, 1.0)]) == "ab[SECRET]34"
     assert redacted(None, []) is None
 
@@ -68,9 +70,21 @@ def test_candidates_and_redaction():
 def test_awkward_rows(spark):
     docs = documents(spark)
     cnn = train(docs)
-    assert not cnn.weights  # nothing to learn from: nothing is added
+    assert cnn.weights  # generated tokens teach it where the table has none
     got = find_secrets(docs, cnn, keep_text=True).collect()
     assert len(got) == docs.count() and all(r.spans == [] for r in got)
     assert sorted(str(r.redacted_text) for r in got) == sorted(str(r.text) for r in docs.collect())
     assert find_secrets(docs.limit(0), cnn).count() == 0
-    assert not train(docs.limit(0)).weights
+    assert train(docs.limit(0)).weights
+
+
+def test_planted_bare_keys_are_found_and_ordinary_long_tokens_left(spark):
+    """Keys and tokens from other seeds than the trained ones, in a table full of bare keys and one without any."""
+    new = generated(150, seed=1234)
+    rows = [(k, f"some words before {t} and some after it") for k, (t, _) in enumerate(new)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for cnn in (train(docs), train(docs.limit(0)), train(table(spark, "documents", "sf0.01"))):
+        spans = {r.doc_id: r.spans for r in find_secrets(docs, cnn).collect()}
+        hit = [bool(spans[k]) for k, (_, y) in enumerate(new) if y]
+        wrong = [bool(spans[k]) for k, (_, y) in enumerate(new) if not y]
+        assert np.mean(hit) > 0.95 and np.mean(wrong) < 0.05, (np.mean(hit), np.mean(wrong))

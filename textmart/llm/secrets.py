@@ -1,14 +1,19 @@
 """Secret scans: exact base patterns and a character convolutional network over every further candidate.
 
 The network sees the characters of a candidate and its surrounding context. It is trained here, in numpy, on labelled
-findings of a bounded sample: what the base patterns find is positive (half of it with a blank context, so that the
-network can't lean on the words before a secret), other candidates and ordinary tokens are negative. Its outputs are
-calibrated on a held-out fifth, and the threshold is the highest that keeps the recall asked for there.
+findings of a bounded sample and on generated ones: what the base patterns find and generated keys are positive (half of
+them with a blank context, so that the network can't lean on the words before a secret), ordinary tokens and generated
+names, addresses, numbers and paths are negative. Candidates that no base pattern covers are what the network is to judge;
+they are not trained on. Its outputs are calibrated on a held-out fifth of the values (all rows of one value are on one
+side), and the threshold is an even chance, or what keeps the recall asked for there among the table's findings and among the
+generated ones, if that is lower.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,8 +28,10 @@ KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-#: What the network looks at: long runs of key characters that hold a digit, or upper and lower case beyond the first.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+#: What the network looks at: runs of key characters, dots inside them included, that hold a letter and a digit, or upper and
+#: lower case beyond the first, and are not shorter than LEAST.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
+LEAST = 12
 MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|(?=.+[A-Z])(?=.+[a-z])", re.S)
 
 BEFORE, BODY, AFTER = 24, 64, 8
@@ -45,16 +52,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans of further candidates; those that touch a base span are left out."""
+    """Spans of further candidates; those that base spans cover whole are left out."""
+    merged: list[list[int]] = []
+    for b, _, f in base:
+        if merged and b <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], f)
+        else:
+            merged.append([b, f])
     out, k = [], 0
-    ends = np.maximum.accumulate([e for _, _, e in base]).tolist() if base else []
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        if not MIXED.match(m[0]):
+        if e - s < LEAST or not MIXED.match(m[0]):
             continue
-        while k < len(base) and base[k][0] < e:
+        while k < len(merged) and merged[k][1] <= s:
             k += 1
-        if not (k and ends[k - 1] > s):
+        if not (k < len(merged) and merged[k][0] <= s and e <= merged[k][1]):
             out.append((s, e))
     return out
 
@@ -133,16 +145,18 @@ class CharCnn:
                     v += 0.001 * (grad ** 2 - v)
                     self.weights[k] -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Platt scaling on held-out rows; the highest threshold that keeps ``recall`` of the positives."""
+    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float, group: np.ndarray | None = None) -> None:
+        """Platt scaling on held-out rows; an even chance as threshold, or less where that loses more than ``recall`` allows of
+        the positives of a group."""
         s = self.logits(x)
         a, b = 1.0, 0.0
         for _ in range(200):
             p = 1 / (1 + np.exp(-np.clip(a * s + b, -30, 30)))
             a, b = a - 0.1 * float(((p - y) * s).mean()), b - 0.1 * float((p - y).mean())
         self.scale, self.shift = max(a, 1e-3), b
-        hits = np.sort(self.probability(s[y == 1]))
-        self.threshold = float(hits[int((1 - recall) * len(hits))])
+        group = np.zeros(len(y), int) if group is None else group
+        hits = [np.sort(self.probability(s[(y == 1) & (group == g)])) for g in np.unique(group[y == 1])]
+        self.threshold = min(0.5, *(float(h[int((1 - recall) * len(h))]) for h in hits))
 
     def probability(self, logits: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -30, 30)))
@@ -157,6 +171,38 @@ class CharCnn:
 
 
 SAMPLE_ROWS, SAMPLE_FINDINGS = 6000, 3000
+#: Generated keys; there are twice as many generated tokens that are none.
+GENERATED = 600
+LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+
+def generated(n: int = GENERATED, seed: int = 9) -> list[tuple[str, int]]:
+    """``n`` keys (label 1) of several alphabets, lengths and prefixes, and ``2 * n`` tokens that only look long (label 0)."""
+    rng = random.Random(seed)
+    some = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
+    syllables = [a + v + c for a in "bdfgklmnprst" for v in "aeiou" for c in ("", "n", "r", "s")]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 5)))
+    mixed = LETTERS + LETTERS.upper() + DIGITS
+    keys = [lambda: some(mixed, rng.randrange(16, 65)), lambda: some(mixed + "+/", rng.randrange(20, 60)) + rng.choice(["", "=", "=="]),
+            lambda: some("0123456789abcdef", rng.randrange(16, 65)), lambda: some(LETTERS.upper() + DIGITS, rng.randrange(16, 40)),
+            lambda: rng.choice(["sk_live", "pk", "ghp", "xoxb", "key", "sk-proj"]) + rng.choice("_-.") + some(mixed, rng.randrange(12, 48)),
+            lambda: ".".join(some(mixed + "-_", rng.randrange(10, 40)) for _ in range(3)), lambda: some(LETTERS + DIGITS, rng.randrange(16, 50))]
+    others = [lambda: "".join(word().title() for _ in range(3)), lambda: "_".join([word(), word(), str(rng.randrange(100))]),
+              lambda: f"{word()}.{word().title()}", lambda: "/".join(["www." + word() + rng.choice([".org", ".com", ".net"]), word(), word() + str(rng.randrange(10 ** rng.randrange(1, 7)))]),
+              lambda: f"{rng.randrange(1990, 2040)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}T{rng.randrange(24):02}", lambda: word() + word() + str(rng.randrange(10_000)),
+              lambda: "-".join(word() for _ in range(4)) + f"-{rng.randrange(100)}", lambda: f"{word()}/{word()}/{word()}.{rng.choice(['html', 'py', 'txt', 'jpg'])}{rng.randrange(10)}",
+              lambda: word() + "..." + word().title(), lambda: f"{word()}={rng.randrange(100)}&{word()}", lambda: str(rng.randrange(10 ** 9)) + word().upper()]
+    return [(rng.choice(keys)(), 1) for _ in range(n)] + [(rng.choice(others)(), 0) for _ in range(2 * n)]
+
+
+def generated_rows(n: int = GENERATED, seed: int = 9) -> list[tuple[int, bytes, int]]:
+    """(label, codes, value) of the generated tokens, each once among words and once with nothing around it."""
+    rng, out = random.Random(seed + 1), []
+    for token, y in generated(n, seed):
+        before, after = rng.choice(["see ", "the ", "", "key is ", "(", "use "]), rng.choice([" and", ".", "", ", then", "\n"])
+        for text, s in ((token, 0), (before + token + after, len(before))):
+            out.append((y, windows(text, s, s + len(token))[0].astype(np.uint8).tobytes(), zlib.crc32(token.encode())))
+    return out
 
 
 def sample(docs: DataFrame, id_col: str, rows: int) -> DataFrame:
@@ -167,9 +213,8 @@ def sample(docs: DataFrame, id_col: str, rows: int) -> DataFrame:
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
           findings: int = SAMPLE_FINDINGS, recall: float = 0.98) -> CharCnn:
-    """Fit the network on at most ``findings`` positive findings of all rows and ``2 * findings`` negative ones of about ``sample_rows`` rows.
-
-    Without at least 20 positives in the whole table the network has no weights and adds nothing.
+    """Fit the network on at most ``findings`` positive findings of all rows, ``2 * findings`` ordinary tokens of about
+    ``sample_rows`` rows, and generated tokens of both kinds, so that tables of any size, also empty ones, have the same method.
     """
 
     def run(batches: Iterator[pa.RecordBatch], wanted: int) -> Iterator[pa.RecordBatch]:
@@ -182,8 +227,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
                 if not wanted:
                     covered = [(s, e) for s, _, e in base]
                     plain = [m.span() for k, m in enumerate(word.finditer(t or "")) if k % 16 == 0]
-                    spans = [(s, e, 0) for s, e in candidates(t or "", base)]
-                    spans += [(s, e, 0) for s, e in plain if not any(s < f and b < e for b, f in covered)]
+                    free = set(candidates(t or "", base))  # not labelled: left for the network to judge
+                    spans = [(s, e, 0) for s, e in plain if not any(s < f and b < e for b, f in covered)
+                             and not any(s <= b and f <= e for b, f in free)]
                 for s, e, y in spans:
                     if y and t[s:s + 4] != "AKIA" and not HEX.fullmatch(t[s:e]):
                         s += ASSIGN.match(t, s).start(2) - s
@@ -191,7 +237,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
                         rows = windows(t, s, e, context=not blank)
                         label.append(y)
                         codes.append(rows[0].astype(np.uint8).tobytes())
-                        order.append((s * 2654435761 + e * 40503 + len(t) * 97) % (1 << 31))
+                        order.append(zlib.crc32(t[s:e].encode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(codes, pa.binary()), pa.array(order, pa.int64())],
                                              names=["label", "codes", "ord"])
 
@@ -202,14 +248,15 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     for y, n in ((1, findings), (0, 2 * findings)):
         labelled = found[y].mapInArrow(lambda batches, y=y: run(batches, y), "label int, codes binary, ord long")
         got += labelled.distinct().orderBy("ord", "codes").limit(n).collect()
-    y = np.array([r.label for r in got], float)
+    rows = [(r.label, r.codes, r.ord) for r in got]
+    group = np.r_[np.zeros(len(rows), int), np.ones(len(made := generated_rows()), int)]
+    rows += made
+    y, value = np.array([r[0] for r in rows], float), np.array([r[2] for r in rows])
+    x = np.stack([np.frombuffer(r[1], np.uint8) for r in rows]).astype(np.int64)
+    held = value % 5 == 0  # by value: no secret is on both sides
     cnn = CharCnn()
-    if y.sum() < 20 or (1 - y).sum() < 20:
-        return cnn
-    x = np.stack([np.frombuffer(r.codes, np.uint8) for r in got]).astype(np.int64)
-    held = np.arange(len(y)) % 5 == 0
     cnn.fit(x[~held], y[~held])
-    cnn.calibrate(x[held], y[held], recall)
+    cnn.calibrate(x[held], y[held], recall, group[held])
     return cnn
 
 
