@@ -1071,6 +1071,7 @@ def product_extreme_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 from textmart.operators import classify as C  # noqa: E402
 from textmart.operators.joins import map_category  # noqa: E402
 from textmart.plans import topics as TP  # noqa: E402
+from textmart.sources import page_rules as PR  # noqa: E402
 from textmart.sources import pages as PG  # noqa: E402
 
 WORD = r"(?U)\w"          # Spark side (Unicode word characters)
@@ -1386,6 +1387,29 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.select("page_id", F.col("pos").cast("long"), "link", "title")
 
 
+@register("page_rule_texts", f"""
+WITH {SQL_PAGES}
+SELECT page_id, CASE WHEN body IS NULL THEN '{D.CONTENT_NOT_FOUND}' ELSE array_to_string(paras, chr(10) || chr(10)) END AS content FROM pp
+""")
+def page_rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9, S11 by a selector on the page's tree, so that containers may be nested."""
+    return PR.body_text(table(spark, sf_dir, "pages"), "article")
+
+
+@register("page_rule_links", f"""
+WITH {SQL_PAGES},
+  b AS (SELECT page_id, unnest(regexp_extract_all(s, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1)) AS block,
+               unnest(range(len(regexp_extract_all(s, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1)))) AS pos FROM h),
+  l AS (SELECT page_id, pos, regexp_extract(block, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1) AS link,
+               {_sql_inner("regexp_extract(block, '(?is)<a\\b[^>]*>(.*?)</a\\s*>', 1)")} AS title FROM b)
+SELECT page_id, pos, link, title FROM l WHERE link <> '' AND title <> ''
+""")
+def page_rule_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 by selectors: block, link and title rules of a listing page."""
+    rows = PR.listing(table(spark, sf_dir, "pages"), "li", {"link": ("a", "@href"), "title": ("a", "text")}, required=["link", "title"])
+    return rows.select("page_id", F.col("pos").cast("long"), "link", "title")
+
+
 @register("classifier_cross_validation", None)
 def classifier_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textmart.plans import classification as CL
