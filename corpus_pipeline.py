@@ -6,6 +6,7 @@ one; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +30,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own (``row``), written once so that it stays: ids may be missing or repeated."""
-    return cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+    """The rows with a name of their own, ``row``: their file (by a hash of its path) and their place in it.
+
+    Ids may be missing or repeated. A stage's input is a Parquet table, whose places stay the same in every scan; rows from
+    elsewhere are written first.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias("row")
+    try:
+        return docs.select(*COLUMNS, place)
+    except AnalysisException:  # no file behind the rows
+        return cut_lineage(docs.select(*COLUMNS)).select(*COLUMNS, place)
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` less those named in ``gone(row)``.
+
+    A bitmap of fixed size over the names says which rows may be gone; the others stay without a shuffle of their texts.
+    """
+    gone = cut_lineage(gone.select("row").distinct())
+    h, bits = F.xxhash64("row"), decontam.bitmap(gone.select(F.xxhash64("row").alias("hash")))
+    word = F.get(bits, F.shiftright(h.bitwiseAND(F.lit(decontam.BITMAP_BITS - 1)), 6).cast("int"))
+    may = F.coalesce(F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1, F.lit(True))
+    stay = rows.filter(~may).select(*COLUMNS)
+    return stay.unionByName(rows.filter(may).join(gone, "row", "left_anti").select(*COLUMNS))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +63,14 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     rows = numbered(docs)
     keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("key"), "text")
-    found = simhash.near_duplicates(keyed, id_col="key", shingle=3, max_bits=2).filter("key = component_id")
-    return rows.join(found.select("key.row"), "row", "left_semi").select(*COLUMNS)
+    found = simhash.near_duplicates(keyed, id_col="key", shingle=3, max_bits=2).filter("key <> component_id")
+    return without(rows, found.select("key.row"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop rows that leak a benchmark item, each judged by its own text, with or without an id."""
     rows = numbered(docs)
-    found = decontam.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="row").select("row").distinct()
-    return rows.join(found, "row", "left_anti").select(*COLUMNS)
+    return without(rows, decontam.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="row"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
