@@ -37,3 +37,14 @@ def test_offsets_of_many_rows_in_blocks_of_bounds(spark):
     assert got == want
     # a key is not compared with every bound
     assert "lasts" in tokens.with_offsets(docs, order="k", count="n")._jdf.queryExecution().analyzed().toString()
+
+
+def test_weights_are_not_shuffled_by_unit_for_few_norms(spark):
+    docs = spark.createDataFrame([("a", 1, ["x", "y", "x"]), ("a", 2, ["z"]), ("b", 1, ["y"]), (None, 1, ["x", "q"]), ("c", 1, [])],
+                                 "source string, doc_id long, tokens array<string>")
+    vec = tfidf.grouped_tfidf(docs)
+    assert "Exchange hashpartitioning" not in plan(vec)
+    norms = {r.source: round(r.n, 9) for r in vec.groupBy("source").agg(F.sum(F.col("tfidf") ** 2).alias("n")).collect()}
+    assert norms == {"a": 1.0, "b": 1.0, None: 1.0}
+    assert {(r.source, r.term, r.tf) for r in vec.collect()} == {
+        ("a", "x", 2), ("a", "y", 1), ("a", "z", 1), ("a", "x y", 1), ("a", "y x", 1), ("a", "x z", 1), ("b", "y", 1), (None, "x", 1), (None, "q", 1), (None, "x q", 1)}
