@@ -48,3 +48,16 @@ def test_weights_are_not_shuffled_by_unit_for_few_norms(spark):
     assert norms == {"a": 1.0, "b": 1.0, None: 1.0}
     assert {(r.source, r.term, r.tf) for r in vec.collect()} == {
         ("a", "x", 2), ("a", "y", 1), ("a", "z", 1), ("a", "x y", 1), ("a", "y x", 1), ("a", "x z", 1), ("b", "y", 1), (None, "x", 1), (None, "q", 1), (None, "x q", 1)}
+
+
+def test_few_units_are_multiplied_term_by_term(spark, monkeypatch):
+    vec = vectors(spark)
+    few = tfidf.pairwise_cosine(vec, unit="source", min_similarity=0.2)
+    # the weights of one side are matched by term; candidate pairs would be joined to whole vectors by unit
+    assert plan(few).count("Join") - plan(vec).count("Join") * 2 <= 1
+    got = {(r.source_a, r.source_b): round(r.cosine_similarity, 9) for r in few.collect()}
+    ends = {tuple(r)[:3]: round(r.cosine_similarity, 9) for r in similarity.similarity_extremes(vec, vec, unit="source").collect()}
+    monkeypatch.setattr(tfidf, "FEW_UNITS", 0)
+    assert got == {(r.source_a, r.source_b): round(r.cosine_similarity, 9) for r in tfidf.pairwise_cosine(vec, unit="source", min_similarity=0.2).collect()}
+    assert ends == {tuple(r)[:3]: round(r.cosine_similarity, 9) for r in similarity.similarity_extremes(vec, vec, unit="source").collect()}
+    assert got and {k[0] for k in ends} == {"least", "most"} and ends["least", "lone", "s0"] == 0.0
