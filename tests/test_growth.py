@@ -61,3 +61,15 @@ def test_few_units_are_multiplied_term_by_term(spark, monkeypatch):
     assert got == {(r.source_a, r.source_b): round(r.cosine_similarity, 9) for r in tfidf.pairwise_cosine(vec, unit="source", min_similarity=0.2).collect()}
     assert ends == {tuple(r)[:3]: round(r.cosine_similarity, 9) for r in similarity.similarity_extremes(vec, vec, unit="source").collect()}
     assert got and {k[0] for k in ends} == {"least", "most"} and ends["least", "lone", "s0"] == 0.0
+
+
+def test_topic_scores_deal_the_terms_of_a_text_once(spark):
+    texts = spark.createDataFrame([(1, "en", ["cat", "dog", "cat"]), (2, "en", ["fish"]), (2, "en", ["dog"]), (3, "uk", ["cat"]), (4, "en", []), (None, "en", ["cat"])],
+                                  "text_id long, lang string, tokens array<string>")
+    prof = spark.createDataFrame([("a", "en", ["cat", "cow"]), ("b", "en", ["dog", "cat"])], "topic_id string, lang string, tokens array<string>")
+    scores = tfidf.topic_scores(texts, prof)
+    assert plan(scores).count("Exchange hashpartitioning(text_id") == 1
+    got = {(r.text_id, r.topic_id): round(r.score, 9) for r in scores.collect()}
+    assert set(got) == {(1, "a"), (1, "b"), (2, "b")}
+    counts = texts.select("text_id", "lang", F.explode("tokens").alias("term")).groupBy("text_id", "lang", "term").agg(F.count(F.lit(1)).alias("x"))
+    assert got == {(r.text_id, r.topic_id): round(r.score, 9) for r in tfidf.topic_scores(counts, prof).collect()}

@@ -69,7 +69,8 @@ def classify(texts: DataFrame, profiles: DataFrame, *, stop_words: Sequence[str]
     prof = profiles if "term" in profiles.columns else profile_tokens(profiles, word=word)
     scores = tfidf.topic_scores(text_tokens(texts, stop_words=stop_words, word=word, lemma_dict=lemma_dict), prof)
     scores = scores.withColumn("_by", F.col("score") if digits is None else F.round("score", digits))
-    ranked = tfidf.ranked_topics(scores.join(prof.select("topic_id", "topic_ord").distinct(), on="topic_id"), score="_by")
+    orders = cut_lineage(prof.select("topic_id", "topic_ord").distinct())
+    ranked = tfidf.ranked_topics(scores.join(orders, on="topic_id"), score="_by")
     best = ranked.where("rank = 1").select("text_id", F.when(F.col("_by") >= threshold, F.col("topic_id")).alias("topic"), F.col("score").alias("best_score"))
     best = texts.select("text_id").join(best, on="text_id", how="left").select(
         "text_id", F.coalesce("topic", F.lit(D.UNKNOWN_TOPIC)).alias("topic"),
