@@ -73,3 +73,9 @@ def test_topic_scores_deal_the_terms_of_a_text_once(spark):
     assert set(got) == {(1, "a"), (1, "b"), (2, "b")}
     counts = texts.select("text_id", "lang", F.explode("tokens").alias("term")).groupBy("text_id", "lang", "term").agg(F.count(F.lit(1)).alias("x"))
     assert got == {(r.text_id, r.topic_id): round(r.score, 9) for r in tfidf.topic_scores(counts, prof).collect()}
+
+
+def test_topic_lemmas_are_counted(spark):
+    texts = spark.createDataFrame([(1, "cats and dogs, cats"), (2, None)], "text_id long, text string")
+    d = spark.createDataFrame([("cats", "cat", "NOUN"), ("dogs", "dog", "NOUN"), ("and", "and", "CONJ")], "token string, lemma string, pos string")
+    assert {tuple(r) for r in topics.text_tokens(texts, lemma_dict=d).select("text_id", "term", "x").collect()} == {(1, "cat", 2), (1, "dog", 1)}

@@ -110,6 +110,22 @@ def lemmatize_arrays(docs: DataFrame, lemma_dict: DataFrame, *, tokens: str = "t
     return out.withColumn(tokens, F.coalesce(F.col("_lem"), F.array().cast("array<string>"))).drop("_lem")
 
 
+def lemma_counts(docs: DataFrame, lemma_dict: DataFrame, *, by: Sequence[str], tokens: str = "tokens",
+                 keep_pos: Sequence[str] | None = None, min_len: int = 0) -> DataFrame:
+    """J6 + A2: ``(*by, lemma, n)``: how often each lemma comes in the token arrays of a group.
+
+    The same counts as those of ``lemmatize_arrays``, but a word is counted in
+    its group first, so that the dictionary meets one row per group and word.
+    """
+    words = docs.select(*by, F.explode(tokens).alias("word")).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
+    lem = lemmatize(words, lemma_dict)
+    if keep_pos is not None:
+        lem = lem.where(F.col("pos").isin(list(keep_pos)))
+    if min_len:
+        lem = lem.where(F.length("lemma") >= min_len)
+    return lem.groupBy(*by, "lemma").agg(F.sum("n").alias("n"))
+
+
 def lexicon_hits(lemmas: Column, positive: Sequence[str] = D.POSITIVE_LEMMAS,
                  negative: Sequence[str] = D.NEGATIVE_LEMMAS) -> tuple[Column, Column]:
     """Number of positive and negative lexicon lemmas in an array (literal hash sets)."""
