@@ -79,3 +79,15 @@ def test_topic_lemmas_are_counted(spark):
     texts = spark.createDataFrame([(1, "cats and dogs, cats"), (2, None)], "text_id long, text string")
     d = spark.createDataFrame([("cats", "cat", "NOUN"), ("dogs", "dog", "NOUN"), ("and", "and", "CONJ")], "token string, lemma string, pos string")
     assert {tuple(r) for r in topics.text_tokens(texts, lemma_dict=d).select("text_id", "term", "x").collect()} == {(1, "cat", 2), (1, "dog", 1)}
+
+
+def test_words_are_counted_before_they_meet_the_dictionary(spark):
+    docs = spark.createDataFrame([("a", 1, ["runs", "run", "ant", "runs"]), ("a", 2, ["ant", "ox"]), (None, 3, ["runs"]), ("b", 4, [])],
+                                 "source string, doc_id long, words array<string>")
+    d = spark.createDataFrame([("runs", "run", "VERB"), ("run", "run", "VERB"), ("ox", "ox", "NOUN")], "token string, lemma string, pos string")
+    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["source"], tokens="words").collect()} == {("a", "run", 3), ("a", "ant", 2), ("a", "ox", 1), (None, "run", 1)}
+    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["doc_id"], tokens="words", keep_pos=["VERB"], min_len=3).collect()} == {(1, "run", 3), (3, "run", 1)}
+    top = corpus_comparison.top_by_source(docs, "words", 1, name="lemma", lemma_dict=d)
+    assert {(r.source, r.lemma, r["count"]) for r in top.collect()} == {("a", "run", 3), (None, "run", 1)}
+    stems = corpus_comparison.top_stems_by_source(docs, 1, stem_suffixes=["n"], lemma_dict=d)
+    assert {(r.source, r.stem, r["count"]) for r in stems.collect()} == {("a", "run", 3), (None, "run", 1)}
