@@ -91,3 +91,10 @@ def test_words_are_counted_before_they_meet_the_dictionary(spark):
     assert {(r.source, r.lemma, r["count"]) for r in top.collect()} == {("a", "run", 3), (None, "run", 1)}
     stems = corpus_comparison.top_stems_by_source(docs, 1, stem_suffixes=["n"], lemma_dict=d)
     assert {(r.source, r.stem, r["count"]) for r in stems.collect()} == {("a", "run", 3), (None, "run", 1)}
+
+
+def test_feature_norms_need_no_join(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (2, "cc dd"), (3, "bb cc"), (4, "")], "doc_id long, text string")
+    feats, _ = classify.tfidf_features(docs, min_df=1, max_df=1.0)
+    assert plan(feats).count("Join") == 1
+    assert {r.doc_id: round(r.n, 9) for r in feats.groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()} == {1: 1.0, 2: 1.0, 3: 1.0}
