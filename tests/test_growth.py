@@ -85,8 +85,8 @@ def test_words_are_counted_before_they_meet_the_dictionary(spark):
     docs = spark.createDataFrame([("a", 1, ["runs", "run", "ant", "runs"]), ("a", 2, ["ant", "ox"]), (None, 3, ["runs"]), ("b", 4, [])],
                                  "source string, doc_id long, words array<string>")
     d = spark.createDataFrame([("runs", "run", "VERB"), ("run", "run", "VERB"), ("ox", "ox", "NOUN")], "token string, lemma string, pos string")
-    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["source"], tokens="words").collect()} == {("a", "run", 3), ("a", "ant", 2), ("a", "ox", 1), (None, "run", 1)}
-    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["doc_id"], tokens="words", keep_pos=["VERB"], min_len=3).collect()} == {(1, "run", 3), (3, "run", 1)}
+    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["source"], key="doc_id", tokens="words").collect()} == {("a", "run", 3), ("a", "ant", 2), ("a", "ox", 1), (None, "run", 1)}
+    assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=["doc_id"], key="doc_id", tokens="words", keep_pos=["VERB"], min_len=3).collect()} == {(1, "run", 3), (3, "run", 1)}
     top = corpus_comparison.top_by_source(docs, "words", 1, name="lemma", lemma_dict=d)
     assert {(r.source, r.lemma, r["count"]) for r in top.collect()} == {("a", "run", 3), (None, "run", 1)}
     stems = corpus_comparison.top_stems_by_source(docs, 1, stem_suffixes=["n"], lemma_dict=d)
@@ -98,3 +98,13 @@ def test_feature_norms_need_no_join(spark):
     feats, _ = classify.tfidf_features(docs, min_df=1, max_df=1.0)
     assert plan(feats).count("Join") == 1
     assert {r.doc_id: round(r.n, 9) for r in feats.groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()} == {1: 1.0, 2: 1.0, 3: 1.0}
+
+
+def test_lemma_counts_are_those_of_the_arrays_with_repeated_keys(spark):
+    docs = spark.createDataFrame([(1, "en", ["runs", "ant"]), (1, "uk", ["ox"]), (1, "en", ["ant"]), (2, "en", ["runs"]), (None, "en", ["ox"]), (None, "uk", ["ant"])],
+                                 "doc_id long, lang string, tokens array<string>")
+    d = spark.createDataFrame([("runs", "run", "VERB"), ("ox", "ox", "NOUN")], "token string, lemma string, pos string")
+    arrays = lexicon.lemmatize_arrays(docs, d).select("doc_id", "lang", F.explode("tokens").alias("lemma"))
+    for by in (["lang"], ["doc_id", "lang"]):
+        want = {tuple(r) for r in arrays.groupBy(*by, "lemma").count().collect()}
+        assert {tuple(r) for r in lexicon.lemma_counts(docs, d, by=by, key="doc_id").collect()} == want

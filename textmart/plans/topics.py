@@ -54,7 +54,7 @@ def text_tokens(texts: DataFrame, *, stop_words: Sequence[str] = (), word: str =
     out = texts.select("text_id", T.detect_language("text").alias("lang"),
                        T.topic_text_tokens("text", word=word, stop_words=stop_words).alias("tokens"))
     if lemma_dict is not None:
-        out = lemma_counts(out, lemma_dict, by=["text_id", "lang"], keep_pos=D.TOPIC_POS, min_len=3).withColumnsRenamed({"lemma": "term", "n": "x"})
+        out = lemma_counts(out, lemma_dict, by=["text_id", "lang"], key="text_id", keep_pos=D.TOPIC_POS, min_len=3).withColumnsRenamed({"lemma": "term", "n": "x"})
     return out
 
 
