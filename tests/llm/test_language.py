@@ -71,3 +71,36 @@ def test_awkward_rows(spark):
         assert len(got) == docs.count()
         assert all(r.lang_pred == "und" and r.score == 0 and r.rejected for r in got if r.doc_id in (1, 2, 3))
     assert identify(docs.limit(0), model).count() == 0
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """A rare n-gram of one row among many is in the model, and the counts are those of all rows."""
+    word = lambda k: "".join(chr(ord("a") + (k // 26 ** j) % 26) for j in range(4))
+    rows = [(k, f"{word(k * 7)} common words", "en" if k % 2 else "fr") for k in range(4000)]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    learned = [(t, x) for k, t, x in rows if zlib.crc32(str(k).encode()) % 4 != 2]
+    for x, lang in enumerate(["en", "fr"]):
+        keys, counts = np.unique(np.concatenate([grams(symbols(t)) for t, y in learned if y == lang]), return_counts=True)
+        alone = KneserNey.fit([lang], np.zeros(len(keys), int), keys, counts)
+        assert np.isin(keys, model.keys[4]).all()
+        at = np.searchsorted(model.keys[1], alone.keys[1])
+        alone.floor = model.floor
+        assert at.max() < len(model.keys[1]) and model.langs[x] == lang
+    every = np.unique(np.concatenate([grams(symbols(t)) for t, _ in learned]))
+    assert (model.keys[4] == every).all() and np.isfinite(model.limit[0]).all()
+
+
+def test_counts_are_added_up_in_a_task(monkeypatch):
+    import pyarrow as pa
+
+    from textmart.llm import langid
+    monkeypatch.setattr(langid, "HELD_GRAMS", 50)
+    texts = [f"some words number {'abc'[k % 3]}" for k in range(200)]
+    batch = pa.RecordBatch.from_pydict({"group": [f"{k % 2}:en" for k in range(200)], "text": texts})
+    got = {}
+    for b in langid.gram_counts([batch]):
+        for r in b.to_pylist():
+            got[r["group"], r["k"]] = got.get((r["group"], r["k"]), 0) + r["n"]
+    for g in range(2):
+        keys, counts = np.unique(np.concatenate([grams(symbols(t)) for t in texts[g::2]]), return_counts=True)
+        assert {k: n for (x, k), n in got.items() if x == f"{g}:en"} == dict(zip(keys.view(np.int64).tolist(), counts.tolist(), strict=True))

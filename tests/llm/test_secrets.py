@@ -88,3 +88,24 @@ def test_planted_bare_keys_are_found_and_ordinary_long_tokens_left(spark):
         hit = [bool(spans[k]) for k, (_, y) in enumerate(new) if y]
         wrong = [bool(spans[k]) for k, (_, y) in enumerate(new) if not y]
         assert np.mean(hit) > 0.95 and np.mean(wrong) < 0.05, (np.mean(hit), np.mean(wrong))
+
+
+def test_every_row_is_trained_on(spark, monkeypatch):
+    """Findings and tokens of all rows reach the fit, in several parts, and the held-out ones the threshold."""
+    from textmart.llm import secrets
+
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("etaoinshrdlu"), 14))
+    rows = [(k, " ".join([word(), word(), f"token={'%032x' % (k * 7919 + 12345678901234567)}"])) for k in range(12_000)]
+    seen, fitted, held = secrets.cut_lineage, [], []
+    monkeypatch.setattr(secrets, "cut_lineage", lambda df: fitted.append(seen(df)) or fitted[-1])
+    by = CharCnn.calibrate_by
+    monkeypatch.setattr(CharCnn, "calibrate_by", lambda self, s, y, n, *rest: held.append(n[:]) or by(self, s, y, n, *rest))
+    cnn = train(spark.createDataFrame(rows, "doc_id long, text string"))
+    every = fitted[0].groupBy("label").count().collect()
+    words = {w for _, t in rows for w in t.split(" ")[:2]}
+    assert {r["label"]: r["count"] for r in every}[0] >= 0.999 * len(words)
+    assert fitted[0].where("label = 1").select("value").distinct().count() >= 0.999 * 12_000
+    assert fitted[1].select("part").distinct().count() > 1
+    assert fitted[1].count() + fitted[0].where("value % 5 = 0").count() == fitted[0].count()
+    assert 0 < cnn.threshold <= 0.5

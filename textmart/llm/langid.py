@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart.llm.common import steps
+from textmart.session import cut_lineage
 
 ORDER = 4
 DISCOUNT = 0.75
-#: Bound of the labelled sample: rows of each language, chosen by a hash of the id.
-SAMPLE_ROWS = 800
+#: Parts of the labelled rows: a text is calibrated by a model of the other parts. N-grams that a task holds before it adds them up.
+PARTS, HELD_GRAMS = 5, 4_000_000
 #: Slack of the rejection limit, nats a character, and the number of standard errors that a short text may be off.
 SLACK, ERRORS = 0.5, 3.0
 #: Quantile of the calibration texts at the limit, absolute deviations beyond which a text is noise, fewest texts to calibrate with.
@@ -140,10 +141,6 @@ class KneserNey:
                 total[who[starts]] += np.add.reduceat(self.score(key[at:at + CHUNK]).astype(np.float64), starts, axis=0)
         return -total / np.maximum(n, 1)[:, None], n, total
 
-    def calibrate(self, texts: list[str]) -> None:
-        h, n, _ = self.entropies(texts)
-        self.limit_by(h.min(axis=1), h.argmin(axis=1), n)
-
     def limit_by(self, best: np.ndarray, lang: np.ndarray, n: np.ndarray) -> None:
         """Set the rejection limit of each language from held-out labelled texts, of which a part may be noise or mislabelled.
 
@@ -167,6 +164,23 @@ class KneserNey:
         counts = np.bincount(lang, minlength=len(self.langs))
         self.limit = (np.array([limit(lang == x if c >= CALIBRATION else every) for x, c in enumerate(counts)]), wide)
 
+    def limit_over(self, rows: DataFrame) -> None:
+        """``limit_by`` for a table (best, lang, n) of any size; cross-entropies are taken to four decimals, so that the quantiles
+        of a language, which are exact, need no more than one counter for each value."""
+        wide = ERRORS * 2.0
+        both = rows.select(F.explode(F.array(F.col("lang"), F.lit(-1))).alias("lang"), F.round("best", 4).alias("best"),
+                           F.round(F.col("best") - wide / F.sqrt("n"), 4).alias("low"))
+        middle = {r.lang: (r.middle, r.n) for r in both.groupBy("lang").agg(F.percentile("best", 0.5).alias("middle"), F.count("*").alias("n")).collect()}
+        if not middle:
+            return
+        by = lambda d: F.create_map(*(F.lit(x) for k, v in d.items() for x in (k, v)))[F.col("lang")]
+        off = F.percentile(F.round(F.abs(F.col("best") - by({k: m for k, (m, _) in middle.items()})), 4), 0.5)
+        far = {r.lang: middle[r.lang][0] + max(SLACK, FAR * 1.4826 * r.off) for r in both.groupBy("lang").agg(off.alias("off")).collect()}
+        near = both.filter(F.col("low") <= by(far)).groupBy("lang").agg(F.percentile("low", QUANTILE).alias("limit"))
+        high = {r.lang: r.limit for r in near.collect()}
+        limit = {k: max(high.get(k, m), m) + SLACK for k, (m, _) in middle.items()}
+        self.limit = (np.array([limit[x if x in middle and middle[x][1] >= CALIBRATION else -1] for x in range(len(self.langs))]), wide)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Language or und, score, cross-entropy, symbols, rejected."""
         h, n, _ = self.entropies(texts)
@@ -186,50 +200,88 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_rows: int = SAMPLE_ROWS) -> KneserNey:
-    """Fit on about ``sample_rows`` rows of each language (whole texts), never on held-out rows; null languages are left out.
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KneserNey:
+    """Fit on all rows that are not held out (whole texts); null languages are left out.
 
-    The driver gets one row per language, the n-gram counts of the sample, and a fifth of the sample for calibration. Where
-    that fifth has fewer than ``CALIBRATION`` texts, every text of the sample is scored by a model fitted without it
-    (five parts), so that small tables have a rejection limit too; a table with one text has none.
+    Every row is counted, and every row calibrates the rejection limits: its text is scored by the model of the other parts
+    (``PARTS`` parts by a hash of the id), whose counts are the total less those of its own part. The driver gets the
+    summed n-gram counts, which are the model, and a few quantiles. A table with fewer than ``PARTS * CALIBRATION`` texts is
+    calibrated on the driver (``cross_calibrate``); one with a single text has no limit.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
+                       F.pmod(F.xxhash64(F.lit(6), id_col), F.lit(PARTS)).cast("int").alias("part"))
     rows = rows.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(sizes)
-    if not langs:
+    counted = rows.withColumn("group", F.concat_ws(":", F.col("part").cast("string"), "lang")).select("group", "text")
+    counted = counted.mapInArrow(gram_counts, "group string, k long, n long").groupBy("group", "k").agg(F.sum("n").alias("n"))
+    got = counted.withColumn("part", F.substring_index("group", ":", 1).cast("int")).withColumn("lang", F.expr("substr(group, 3)")).select("part", "lang", "k", "n").toArrow()
+    if not got.num_rows:
         return KneserNey([])
-    draw = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_000))
-    share = F.create_map(*(F.lit(v) for x in langs for v in (x, int(1_000_000 * min(1.0, sample_rows / sizes[x])))))
-    picked = rows.filter(draw < share[F.col("lang")])
-    check = F.pmod(F.xxhash64(F.lit(6), "id"), F.lit(5)) == 0
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts in steps(batches):
-            for x in dict.fromkeys(lang):
-                found = [grams(s) for t, y in zip(texts, lang, strict=True) if y == x and len(s := symbols(t)) > 1]
-                if found:
-                    k, n = np.unique(np.concatenate(found), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([x] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n)],
-                                                     names=["lang", "k", "n"])
-
-    counted = picked.filter(~check).select("lang", "text").mapInArrow(count, "lang string, k long, n long")
-    got = counted.groupBy("lang", "k").agg(F.sum("n").alias("n")).toArrow()
-    names = got.column("lang").to_pylist()
-    langs = sorted(set(names))
-    index = {x: i for i, x in enumerate(langs)}
-    if not langs:
-        return KneserNey([])
-    model = KneserNey.fit(langs, np.array([index[x] for x in names]), got.column("k").to_numpy().view(np.uint64), got.column("n").to_numpy())
-    texts = [r.text for r in picked.filter(check).select("text").collect()]
-    if len(texts) >= CALIBRATION:
-        model.calibrate(texts)
-    else:
-        cross_calibrate(model, [(r.lang, r.text) for r in picked.select("lang", "text").orderBy(F.xxhash64("id"), "text", "lang").collect()])
+    names, part = got.column("lang").combine_chunks().dictionary_encode(), got.column("part").to_numpy()
+    seen = names.dictionary.to_pylist()
+    langs = sorted(seen)
+    lang = np.array([langs.index(x) for x in seen])[names.indices.to_numpy()]
+    key, n = got.column("k").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    model = KneserNey.fit(langs, *summed(lang, key, n))
+    if (size := rows.count()) < PARTS * CALIBRATION:
+        if size:
+            cross_calibrate(model, [(r.lang, r.text) for r in rows.select("lang", "text").orderBy(F.xxhash64("id"), "text", "lang").collect()])
+        return model
+    others = [KneserNey.fit(langs, *summed(lang[part != k], key[part != k], n[part != k])) for k in range(PARTS)]
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts, texts in steps(batches):
+            parts = np.array(parts)
+            for k in np.unique(parts):
+                h, size, _ = others[k].entropies([t for t, x in zip(texts, parts, strict=True) if x == k])
+                yield pa.RecordBatch.from_arrays([pa.array(h.min(axis=1)), pa.array(h.argmin(axis=1)), pa.array(size)], names=["best", "lang", "n"])
+
+    model.limit_over(cut_lineage(rows.select("part", "text").mapInArrow(scored, "best double, lang long, n long").filter("n > 0")))
     return model
 
 
+def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, n-gram, count) of (group, text) rows, added up in a task before they leave it."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    fresh: dict[str, list[np.ndarray]] = {}
+    size = 0
+
+    def fold() -> int:
+        for x, found in fresh.items():
+            held.setdefault(x, []).append(np.unique(np.concatenate(found), return_counts=True))
+        fresh.clear()
+        for x, parts in held.items():
+            _, k, n = summed(np.zeros(1), np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+            held[x] = [(k, n)]
+        return sum(len(k) for ((k, _),) in held.values())
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for x, ((k, n),) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([x] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n)], names=["group", "k", "n"])
+        held.clear()
+
+    for groups, texts in steps(batches):
+        for x, t in zip(groups, texts, strict=True):
+            if len(s := symbols(t)) > 1:
+                fresh.setdefault(x, []).append(grams(s))
+                size += len(s)
+        if size > HELD_GRAMS:
+            size = 0
+            if fold() > HELD_GRAMS:
+                yield from out()
+    fold()
+    yield from out()
+
+
+def summed(lang: np.ndarray, key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts added up by language and key."""
+    if len(lang) < len(key):
+        lang = np.broadcast_to(lang, len(key))
+    order = np.lexsort((key, lang))
+    lang, key, count = lang[order], key[order], count[order]
+    first = np.flatnonzero(np.r_[True, (lang[1:] != lang[:-1]) | (key[1:] != key[:-1])][:len(key)])
+    return lang[first], key[first], np.add.reduceat(count, first) if len(first) else count
+
+
 def cross_calibrate(model: KneserNey, rows: list[tuple[str, str]], parts: int = 5) -> None:
     """Rejection limits from few (language, text) rows: every text is scored by a model of the other parts."""
     best, lang, size = [], [], []
