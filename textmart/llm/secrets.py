@@ -312,7 +312,8 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
                     own = t.filter(pa.array(at == part))
                     yield round_of(int(part), own.column("codes"), own.column("label"), weights)
 
-        got = dealt.select("part", "codes", "label").mapInArrow(step, "part long, n long, weights array<double>").orderBy("part").collect()
+        got = dealt.select("part", "codes", "label").mapInArrow(step, "part long, n long, weights array<double>").collect()
+        got.sort(key=lambda r: r["part"])  # here: a sort by Spark would train twice, once to find its ranges
         if not got:
             nothing = pa.chunked_array([[]], pa.binary()), pa.chunked_array([[]], pa.int32())
             got = round_of(0, *nothing, weights).to_pylist()
