@@ -86,3 +86,22 @@ def test_sql_on_names_numbers_and_variants(spark):
     con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
     want = {(a, b): round(s, 9) for a, b, _, _, s in con.sql(duck_sql()).fetchall()}
     assert {k: round(s, 9) for k, s in found(spark, texts, items).items()} == want and len(want) > 60
+
+
+def test_words_are_hashed_once_and_cut_as_one_by_one(spark):
+    from pyspark.sql import functions as F
+
+    from textmart.llm import decontam as D
+
+    odd = ["  Anna\thas 12 kg... Then  Bob!? left. ... ? x", "\u0391\u03a3. \u03a3\u0391\u03a3! \u0130x I. a.b..c ..!d \u03a3", "", None, " . ", "9 KG 9. kg Kg", "One\u2028two.\u0085 three. 4!"]
+    rows = D.with_words(documents(spark, list(enumerate(odd))), F.col("text"))
+    # every word by itself
+    one = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), D.BLANKS + D.PUNCTUATION, " " * len(D.BLANKS)), " "), lambda w: w != "")
+    each = F.transform(one, lambda w: F.lower(F.rtrim(w, F.lit(D.ENDS))))
+    for r in rows.select(F.array_remove("raw", "").alias("raw"), "plain", "tags", one.alias("one"), each.alias("each")).collect():
+        assert r.raw == r.one and (r.plain == r.each or not r.one) and len(r.tags) == len(r.plain)
+    first = rows.filter("doc_id = 0").first()
+    assert first.tags == ["^anna", "has", "#", "%", "^then", "@bob", "left", "", "", "x"]
+    hashes = D.forms(F.col("tags"), F.xxhash64)
+    got = rows.filter("size(tags) > 6").select(*(D.hash_at(h, F.lit(1)) == D.hash_of(F.slice(f, 2, D.WINDOW)) for h, f in zip(hashes, D.forms(F.col("tags")), strict=True)))
+    assert got.count() >= 2 and all(all(r) for r in got.collect())

@@ -15,6 +15,8 @@ leave their task; its size does not depend on the number of items or documents,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,38 +42,42 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "ms", "min
          "percent", "miles", "mile", "feet", "foot", "inches", "pounds", "meters", "metres", "kilometers", "kilograms")
 
 
-def raw_words(text: Column) -> Column:
-    """Words between blanks, without punctuation other than sentence ends."""
-    blanked = F.translate(F.coalesce(text, F.lit("")), BLANKS + PUNCTUATION, " " * len(BLANKS))
-    return F.filter(F.split(blanked, " "), lambda w: w != "")
-
+def with_words(rows: DataFrame, text: Column) -> DataFrame:
+    """Adds ``raw``, the words between blanks without punctuation other than sentence ends, ``plain``, the same words in lower
+    case without sentence ends, and ``tags``; an empty text has one empty word.
 
-def plain(word: Column) -> Column:
-    return F.lower(F.rtrim(word, F.lit(ENDS)))
+    Letters and ends are changed in the whole text, not word by word: functions inside array lambdas are interpreted.
+    """
+    blanked = F.translate(F.coalesce(text, F.lit("")), BLANKS + PUNCTUATION, " " * len(BLANKS))
+    rows = rows.withColumn("single", F.trim(F.regexp_replace(blanked, " {2,}", " ")))
+    bare = F.regexp_replace(F.lower("single"), rf"(?<![{ENDS}])[{ENDS}]++(?= |\z)", "")
+    rows = rows.withColumns({"raw": F.split("single", " "), "plain": F.split(bare, " ")}).drop("single")
+    return rows.withColumn("tags", tagged(F.col("raw"), F.col("plain")))
 
 
-def tagged(raw: Column) -> Column:
+def tagged(raw: Column, plain: Column) -> Column:
     """NUMBER, UNIT after a number, the lower-case word after NAME inside a sentence or START at its start, if it may be a name."""
 
-    def one(w: Column, i: Column) -> Column:
-        s, before = F.rtrim(w, F.lit(ENDS)), F.get(raw, i - 1)
-        low = F.lower(s)
+    def one(low: Column, i: Column) -> Column:
+        w, before = F.get(raw, i), F.get(raw, i - 1)
+        s = F.rtrim(w, F.lit(ENDS))
         number = lambda x: (x >= "0") & (x < ":")  # noqa: E731  starts with a digit
         name = (low != s) & (F.length(s) > 1) & (F.substring(s, 2, 1 << 30) == F.lower(F.substring(s, 2, 1 << 30)))
         inside = before.isNotNull() & ~F.right(before, F.lit(1)).isin(*ENDS)
-        return (F.when(number(s), NUMBER).when(low.isin(*UNITS) & number(before), UNIT)
+        # most words are lower-case already: they are settled before anything is cut from them
+        return (F.when(number(low), NUMBER).when(number(before) & low.isin(*UNITS), UNIT).when(low == w, low)
                 .when(name, F.concat(F.when(inside, NAME).otherwise(START), low)).otherwise(low))
 
-    return F.transform(raw, one)
+    return F.transform(plain, one)
 
 
-def forms(tags: Column) -> list[Column]:
-    """The words with names inside sentences as placeholders, with every name literal, and with sentence starts as names too."""
+def forms(tags: Column, of: Callable[[Column], Column] = lambda x: x) -> list[Column]:
+    """``of`` the words with names inside sentences as placeholders, with every name literal, and with sentence starts as names too."""
     inside, start = lambda x: F.startswith(x, F.lit(NAME)), lambda x: F.startswith(x, F.lit(START))
     rest = lambda x: F.substring(x, 2, 1 << 30)
-    return [F.transform(tags, lambda x: F.when(inside(x), NAME).when(start(x), rest(x)).otherwise(x)),
-            F.transform(tags, lambda x: F.when(inside(x) | start(x), rest(x)).otherwise(x)),
-            F.transform(tags, lambda x: F.when(inside(x) | start(x), NAME).otherwise(x))]
+    return [F.transform(tags, lambda x: of(F.when(inside(x), NAME).when(start(x), rest(x)).otherwise(x))),
+            F.transform(tags, lambda x: of(F.when(inside(x) | start(x), rest(x)).otherwise(x))),
+            F.transform(tags, lambda x: of(F.when(inside(x) | start(x), NAME).otherwise(x)))]
 
 
 def window_rows(rows: DataFrame) -> DataFrame:
@@ -80,8 +86,13 @@ def window_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("at", F.explode(starts)).withColumn("tags", words_at("tags"))
 
 
+def hash_at(hashes: Column, at: Column) -> Column:
+    """Hash of a window from the hashes of its words: a word is hashed once, not in each of its windows."""
+    return F.xxhash64(*(F.get(hashes, at + k) for k in range(WINDOW)))
+
+
 def hash_of(canon: Column) -> Column:
-    return F.xxhash64(*(F.get(canon, F.lit(k)) for k in range(WINDOW)))
+    return F.xxhash64(*(F.xxhash64(F.get(canon, F.lit(k))) for k in range(WINDOW)))
 
 
 def words_at(array: str) -> Column:
@@ -91,14 +102,13 @@ def words_at(array: str) -> Column:
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Windows of the items in every form that says enough; one that starts with the item's first word also stands with that word
     as a name. ``strict`` windows say enough with their names as placeholders."""
-    items = benchmark.select(F.col(item_col).alias("item"), raw_words(F.col(text_col)).alias("raw"))
-    rows = window_rows(items.withColumn("tags", tagged(F.col("raw"))))
+    rows = window_rows(with_words(benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")), F.col("text")))
     inside, literal, starts = forms(F.col("tags"))
     first = F.when((F.col("at") == 0) & F.startswith(F.get("tags", F.lit(0)), F.lit(START)),
                    F.concat(F.array(F.lit(NAME)), F.slice(inside, 2, WINDOW)))
     enough = lambda c: F.size(F.filter(c, lambda x: ~x.isin(*PLACEHOLDERS))) >= LITERALS
     every = F.array_distinct(F.filter(F.array(inside, literal, starts, first), lambda c: c.isNotNull() & enough(c)))
-    rows = rows.select("item", "at", enough(inside).alias("strict"), F.transform(words_at("raw"), plain).alias("item_words"), F.explode(every).alias("item_canon"))
+    rows = rows.select("item", "at", enough(inside).alias("strict"), words_at("plain").alias("item_words"), F.explode(every).alias("item_canon"))
     return rows.withColumn("hash", hash_of(F.col("item_canon")))
 
 
@@ -124,25 +134,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     wanted = item_windows(benchmark.filter(F.col(item_col).isNotNull()), item_col, item_text_col)
     strictly = F.when(F.col("strict"), F.col("at"))
     sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_all"), F.countDistinct(strictly).alias("n_strict"))
-    found = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), raw_words(F.col(text_col)).alias("raw"))
-    found = found.withColumn("tags", tagged(F.col("raw")))
-    found = found.select("id", "raw", *(f.alias(f"form{k}") for k, f in enumerate(forms(F.col("tags")))))
-    found = found.withColumn("at", F.explode(F.when(F.size("raw") >= WINDOW, F.sequence(F.lit(0), F.size("raw") - WINDOW))))
+    found = with_words(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("text"))
+    found = found.select("id", "plain", "tags", *(h.alias(f"hashes{k}") for k, h in enumerate(forms(F.col("tags"), F.xxhash64))))
+    found = found.withColumn("at", F.explode(F.when(F.size("tags") >= WINDOW, F.sequence(F.lit(0), F.size("tags") - WINDOW))))
     bits = bitmap(wanted)
 
     def may_match(h: Column) -> Column:
         word = F.get(bits, F.shiftright(h.bitwiseAND(F.lit(BITMAP_BITS - 1)), 6).cast("int"))
         return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    found = found.withColumns({f"hash{k}": F.xxhash64(*(F.get(f"form{k}", F.col("at") + j) for j in range(WINDOW))) for k in range(3)})
-    found = found.filter(may_match(F.col("hash0")) | may_match(F.col("hash1")) | may_match(F.col("hash2")))
+    hashes = [hash_at(F.col(f"hashes{k}"), F.col("at")) for k in range(3)]
+    found = found.filter(may_match(hashes[0]) | may_match(hashes[1]) | may_match(hashes[2]))
+    found = found.select("id", F.col("at").alias("place"), words_at("plain").alias("words"), words_at("tags").alias("tags"))
     # the forms of a window are the same unless a word in it may be a name
-    every = F.array_distinct(F.array(*(F.struct(F.col(f"hash{k}").alias("hash"), words_at(f"form{k}").alias("canon")) for k in range(3))))
-    found = found.select("id", F.col("at").alias("place"), words_at("raw").alias("raw"), F.inline(every))
+    every = F.array_distinct(F.array(*(F.struct(hash_of(c).alias("hash"), c.alias("canon")) for c in forms(F.col("tags")))))
+    found = found.select("id", "place", "words", F.inline(every))
     met = found.join(wanted, "hash").filter("canon = item_canon")
     # the slots of a window: value of the item and value of the document under each placeholder
     slots = F.expr("filter(transform(sequence(0, size(canon) - 1), k -> struct(get(canon, k) as kind, get(item_words, k) as mine, "
-                   "lower(rtrim('.!?', get(raw, k))) as theirs)), x -> x.kind in ('#', '%', '@'))")
+                   "get(words, k) as theirs)), x -> x.kind in ('#', '%', '@'))")
     # both the votes and the windows they decide on read this: the corpus is scanned once
     met = cut_lineage(met.select("id", "item", "at", "strict", (F.col("place") - F.col("at")).alias("diagonal"), slots.alias("slots")).distinct())
     by_diagonal = Window.partitionBy("id", "item").orderBy("diagonal")
