@@ -68,6 +68,18 @@ def test_words_give_the_librarys_ids():
     assert array("H", encoder.encode([text])[0]).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_need_the_model_alone():
+    encoder, rng = R.WordEncoder(FILE), random.Random(6)
+    letters = [c for c in map(chr, range(0x21, 0x250)) if R.LATIN.fullmatch(c)]
+    words = [c for c in letters if not c.isupper()] + ["".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(4000)]
+    pieces = sorted({p for w in words for p in R.LATIN_PIECES.findall(w.lower())})
+    calls = []
+    whole, encoder.called = encoder.called, lambda some: calls.append(some) or whole(some)
+    got = encoder.called_pieces(pieces)
+    assert [array("H", g).tolist() for g in got] == [TOKENIZER.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert encoder.called_pieces([]) == [] and encoder.encode(["plain words, caf\u00e9s"]) and not any(calls)
+
+
 def test_awkward_rows_round_trip_and_shuffled_read(spark):
     docs, path = documents(spark), folder(spark)
     R.write_texts(docs, path)

@@ -21,6 +21,7 @@ import re
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,6 +57,8 @@ PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: versions differ. For them the pattern below cuts like PIECES; a line end stands between two words.
 LATIN = re.compile("[\x21-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]+")
 LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+|\n")
+# fixed value: the characters that stand for bytes in a byte-level vocabulary, where they differ from Latin-1
+BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 
 # fixed values of the checksum: reversed polynomial of CRC-32C, mask constant of the record format
 POLYNOMIAL = 0x82F63B78
@@ -410,6 +413,13 @@ class WordEncoder:
             found += [self.ids(w).tobytes() for w in some]
         return found
 
+    def called_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces as ``PIECES`` cuts them: nothing before the library's model would change or divide them, so it alone
+        is called; printable ASCII stands for itself in its vocabulary."""
+        tokenize, kind = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
+        spelt = (p if p.isascii() else p.encode().decode("latin-1").translate(BYTES) for p in pieces)
+        return [array(kind, [t.id for t in tokenize(p)]).tobytes() for p in spelt]
+
     def trimmed(self, table: dict[str, bytes], fresh: dict[str, bytes], most: int) -> None:
         """Nothing is added to a full table: frequent words come early."""
         for w in fresh if len(table) > most else [w for w in fresh if len(w) > LONG]:
@@ -424,12 +434,12 @@ class WordEncoder:
         rest = list(set(words).difference(latin)) if len(latin) < len(words) else []
         pieces = LATIN_PIECES.findall("\n".join(latin).lower())
         new = list(set(pieces).difference(parts))
-        found = self.called(rest + new)
-        fresh = dict(zip(new, found[len(rest):], strict=True))
+        found = self.called(rest)
+        fresh = dict(zip(new, self.called_pieces(new), strict=True))
         parts.update(fresh)
         rows = self.between_marks(np.frombuffer(b"".join(map(parts.__getitem__, pieces)), f"<u{self.width}")) if latin else []
         self.trimmed(parts, fresh, self.table_pieces)
-        return dict(zip(latin, rows, strict=True)) | dict(zip(rest, found, strict=False))
+        return dict(zip(latin, rows, strict=True)) | dict(zip(rest, found, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
